@@ -66,10 +66,10 @@ def decode_events(payloads: DataFrame, spec: SensorSpec, value: str = "value") -
         "timestampNTZFormat": TIME_FORMAT,
     }
     extra = [c for c in payloads.columns if c != value]
-    parsed = F.from_json(F.col(value).cast("string"), schema, options)
-    return payloads.select(*extra, F.col(value).cast("string").alias("payload_text"), parsed.alias("_e")).select(
-        *extra, "payload_text", "_e.*"
-    )
+    text = F.col(value).cast("string")
+    # inline() parses each text once: filters on its columns are not pushed into the parser
+    parsed = F.array(F.from_json(text, schema, options))
+    return payloads.select(*extra, text.alias("payload_text"), F.inline(parsed))
 
 
 def validate_contract(payloads: DataFrame, spec: SensorSpec, value: str = "value") -> DataFrame:
