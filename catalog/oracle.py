@@ -466,8 +466,8 @@ def _r3(e: str, name: str) -> str:
 
 add(
     "kpi_window_wide",
-    f"""SELECT event_bucket, dt, operating_state, {COUNTS}, {_r3(RATE, 'failure_window_rate')},
-    {', '.join(f"{_r3(f'avg({c})', f'avg_{c}')}, {_r3(f'stddev_samp({c})', f'std_{c}')}, {_r3(f'min({c})', f'min_{c}')}, {_r3(f'max({c})', f'max_{c}')}" for c in W_ANALOG)},
+    f"""SELECT event_bucket, dt, operating_state, {COUNTS}, {r(RATE, 'failure_window_rate')},
+    {', '.join(f"{r(f'avg({c})', f'avg_{c}')}, {r(f'stddev_samp({c})', f'std_{c}')}, {r(f'min({c})', f'min_{c}')}, {r(f'max({c})', f'max_{c}')}" for c in W_ANALOG)},
     sum(d_returned) AS active_count_d_returned, sum(d_final) AS active_count_d_final,
     strftime(event_bucket, '%Y-%m-%d %H:%M:00') AS minute_bucket FROM wide GROUP BY event_bucket, dt, operating_state""",
     WIDE,
@@ -667,15 +667,12 @@ def _framed(n: int) -> str:
 
 
 ROLL = {f"roll1_mean_{c}": f"{c}::DOUBLE" for c in ROLL_BASE}
-ROLL_INT: set[str] = set()
 for n in (5, 15, 60):
     for c in ROLL_BASE:
         ROLL[f"roll{n}_mean_{c}"] = f"avg({c}) {_framed(n)}"
         ROLL[f"roll{n}_std_{c}"] = f"coalesce(stddev_samp({c}) {_framed(n)}, 0)"
         ROLL[f"roll{n}_min_{c}"] = f"min({c}) {_framed(n)}"
         ROLL[f"roll{n}_max_{c}"] = f"max({c}) {_framed(n)}"
-        if c == "state_transition_count":
-            ROLL_INT |= {f"roll{n}_min_{c}", f"roll{n}_max_{c}"}
 QUANT = {
     f"roll{n}_{q}_mean_{c}": f"quantile_cont(mean_{c}, {p}) {_framed(n)}"
     for n in (15, 60)
@@ -685,7 +682,8 @@ QUANT = {
 
 
 def _roll_columns(chosen: dict[str, str]) -> str:
-    return ", ".join(f"{e} AS {n}" if n in ROLL_INT else r(e, n) for n, e in chosen.items())
+    # quartiles sit on quarter steps between means, where six places meet exact ties
+    return ", ".join(r(e, n, 8 if n in QUANT else 6) for n, e in chosen.items())
 
 
 add("rolling_stats", f"SELECT event_bucket, {_roll_columns(ROLL)} FROM base", *B5)
@@ -993,12 +991,12 @@ add(
       sum(is_failure_window)::BIGINT AS failure_sum FROM readings
     UNION ALL SELECT 'sensor_long', count(*), count(DISTINCT event_bucket), count(DISTINCT sensor_name),
       strftime(min(event_time), '%Y-%m-%d %H:%M:%S'), strftime(max(event_time), '%Y-%m-%d %H:%M:%S'), -1,
-      sum(is_failure_window) FROM long
+      sum(is_failure_window)::BIGINT FROM long
     UNION ALL SELECT 'window_kpi', count(*), count(DISTINCT event_bucket), -1,
       strftime(min(event_bucket), '%Y-%m-%d %H:%M:%S'), strftime(max(event_bucket), '%Y-%m-%d %H:%M:%S'),
-      sum(sample_count), sum(failure_sample_count) FROM kpi
+      sum(sample_count)::BIGINT, sum(failure_sample_count)::BIGINT FROM kpi
     UNION ALL SELECT 'sensor_kpi', count(*), -1, count(DISTINCT sensor_name), 'none', 'none',
-      sum(sample_count), sum(failure_sample_count) FROM sensor_kpi""",
+      sum(sample_count)::BIGINT, sum(failure_sample_count)::BIGINT FROM sensor_kpi""",
     *S5,
     KPI,
 )

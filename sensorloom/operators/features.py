@@ -22,6 +22,7 @@ FLAGS = (
     "post_maintenance",
     "normal_candidate",
 )
+SEQUENCE = "row_sequence"
 FRAMES = (1, 5, 15, 60)
 QUANTILE_FRAMES = (15, 60)
 NEVER_FEATURES = frozenset({*FLAGS, "rul_seconds", "window_start", "window_end", "failure_type"})
@@ -68,7 +69,7 @@ def with_changes(df: DataFrame, spec: SensorSpec, slices: Slices | None = None)
     The first row counts as a transition and has no toggles; borders of buckets, days and
     slices do not reset either.
     """
-    seen = with_previous(df, row_order(spec), [spec.state, *spec.digital], "_prev", slices)
+    seen = with_previous(df, row_order(spec), [spec.state, *spec.digital], "_prev", slices, SEQUENCE)
     same = F.col(spec.state).eqNullSafe(F.col(f"_prev.{spec.state}"))
     changed = F.when(F.col("_prev").isNull() | ~same, F.lit(1)).otherwise(F.lit(0))
     toggles = {
@@ -77,8 +78,9 @@ def with_changes(df: DataFrame, spec: SensorSpec, slices: Slices | None = None)
     return seen.withColumns({"state_transition_flag": changed, **toggles}).drop("_prev")
 
 
-def _first_last(name: str, spec: SensorSpec) -> list[Column]:
-    moment = F.when(F.col(name).isNotNull(), F.struct(spec.time, spec.row_id))
+def _first_last(name: str) -> list[Column]:
+    # a long keeps the buffers fixed-width, so the aggregation stays hash-based
+    moment = F.when(F.col(name).isNotNull(), F.col(SEQUENCE))
     return [
         F.min_by(name, moment).alias(f"first_{name}"),
         F.max_by(name, moment).alias(f"last_{name}"),
@@ -95,7 +97,7 @@ def bucket_features(changed: DataFrame, spec: SensorSpec) -> DataFrame:
             F.stddev_samp(name).alias(f"std_{name}"),
             F.min(name).alias(f"min_{name}"),
             F.max(name).alias(f"max_{name}"),
-            *_first_last(name, spec),
+            *_first_last(name),
         ]
     digital = []
     for name in spec.digital:

@@ -153,12 +153,21 @@ def with_previous(
     columns: Sequence[str],
     into: str = "_prev",
     slices: Slices | None = None,
+    sequence: str | None = None,
 ) -> DataFrame:
-    """Add a struct of ``columns`` of the previous row, null for the first row."""
+    """Add a struct of ``columns`` of the previous row, null for the first row.
+
+    ``sequence`` names a long that sorts rows like the order does (per key); it has gaps
+    between slices.
+    """
     slices = slices or plan_slices(df, order)
     keyed = slices.attach(df)
     payload = F.struct(*[F.col(c) for c in columns])
     inner = keyed.withColumn(into, F.lag(payload).over(slices.window()))
+    if sequence:
+        # slice and cut numbers stay below 2**15, rows of a slice below 2**32
+        group = (F.col("_slice") * (1 << 15) + F.col("_cut")).cast("long")
+        inner = inner.withColumn(sequence, group * (1 << 32) + F.row_number().over(slices.window()))
     if slices.whole:
         return _drop_helpers(inner)
     last = F.max_by(payload, F.struct(*slices.sort)).alias("_tail")

@@ -3,16 +3,21 @@
 Bucket rows are unique per (key, bucket), so a stretch of bucket time holds a bounded
 number of them: a cell of ``CELL`` buckets never has more than ``CELL`` rows per key.  The
 dense position comes from cell counts plus the row number inside the cell; blocks of that
-position are the window groups, and the last ``n - 1`` rows of a block are repeated at the
-head of the next one.
+position are the groups, and the last ``n - 1`` rows of a block are repeated at the head of
+the next one.  Spark shuffles and sizes the blocks; inside a block the frames are evaluated
+with numpy on Arrow columns, because the built-in sliding frame re-aggregates every frame
+from scratch for each of hundreds of statistics.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom.functions.scalars import epoch_micros
 from sensorloom.spec import unit_seconds
@@ -50,22 +55,55 @@ def _with_halo(df: DataFrame, reach: int, block_rows: int) -> DataFrame:
 
 
 Stat = tuple[str, str, int]  # (statistic, column, frame rows)
+_QUANTILES = {"q25": 0.25, "q75": 0.75}
+STATISTICS = ("mean", "std", "min", "max", *_QUANTILES)
 
 
-def _expression(stat: str, column: str, frame) -> Column:
-    if stat == "mean":
-        return F.avg(column).over(frame)
-    if stat == "std":
-        return F.coalesce(F.stddev_samp(column).over(frame), F.lit(0.0))
-    if stat == "min":
-        return F.min(column).over(frame)
-    if stat == "max":
-        return F.max(column).over(frame)
-    if stat == "q25":
-        return F.percentile(column, 0.25).over(frame)
-    if stat == "q75":
-        return F.percentile(column, 0.75).over(frame)
-    raise ValueError(f"unknown rolling statistic: {stat}")
+def _frames(values: np.ndarray, rows: int) -> np.ndarray:
+    """One row per frame, padded with NaN in front; NaN also stands for null."""
+    padded = np.concatenate([np.full(rows - 1, np.nan), values])
+    return np.lib.stride_tricks.sliding_window_view(padded, rows)
+
+
+def _quantile(ordered: np.ndarray, known: np.ndarray, share: float) -> np.ndarray:
+    """Linear interpolation among the known values; NaN sorts last."""
+    place = share * np.maximum(known - 1, 0)
+    low = np.floor(place).astype(int)
+    high = np.ceil(place).astype(int)
+    below = np.take_along_axis(ordered, low[:, None], 1)[:, 0]
+    above = np.take_along_axis(ordered, high[:, None], 1)[:, 0]
+    return below + (above - below) * (place - low)
+
+
+def trailing(values: np.ndarray, rows: int, stats: Iterable[str]) -> dict[str, np.ndarray]:
+    """Statistics of every trailing frame; a frame without known values gives NaN.
+
+    The deviation of fewer than two known values is 0.
+    """
+    frames = _frames(values, rows)
+    known = np.isfinite(frames)
+    count = known.sum(axis=1)
+    empty = count == 0
+    out: dict[str, np.ndarray] = {}
+    wanted = set(stats)
+    divisor = np.maximum(count, 1)
+    mean = np.where(known, frames, 0.0).sum(axis=1) / divisor
+    if "mean" in wanted:
+        out["mean"] = np.where(empty, np.nan, mean)
+    if "std" in wanted:
+        away = np.where(known, frames - mean[:, None], 0.0)
+        spread = np.sqrt((away * away).sum(axis=1) / np.maximum(count - 1, 1))
+        out["std"] = np.where(count > 1, spread, 0.0)
+    if "min" in wanted:
+        out["min"] = np.where(empty, np.nan, np.where(known, frames, np.inf).min(axis=1))
+    if "max" in wanted:
+        out["max"] = np.where(empty, np.nan, np.where(known, frames, -np.inf).max(axis=1))
+    asked = [q for q in _QUANTILES if q in wanted]
+    if asked:
+        ordered = np.sort(np.where(known, frames, np.nan), axis=1)
+        for q in asked:
+            out[q] = np.where(empty, np.nan, _quantile(ordered, count, _QUANTILES[q]))
+    return out
 
 
 def with_rolling(
@@ -76,25 +114,34 @@ def with_rolling(
     by: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Add ``roll{n}_{stat}_{column}`` for every requested statistic.
+    """Add ``roll{n}_{stat}_{column}`` (double) for every requested statistic.
 
-    Frames count existing rows, not clock time, and end at the current row.  A frame of
-    one row is the value itself and needs no window.
+    Frames count existing rows, not clock time, and end at the current row.
     """
+    unknown = {s[0] for s in stats} - set(STATISTICS)
+    if unknown:
+        raise ValueError(f"unknown rolling statistics: {sorted(unknown)}")
     reach = max((rows for _, _, rows in stats), default=1) - 1
-    single = [s for s in stats if s[2] == 1 and s[0] in ("mean", "min", "max")]
-    framed = [s for s in stats if s not in single]
-    copies = {f"roll1_{stat}_{name}": F.col(name).cast("double") for stat, name, _ in single}
-    if not framed:
-        return df.withColumns(copies)
     if reach > block_rows:
         raise ValueError("a frame may not be longer than a block")
     blocks = _with_halo(with_bucket_index(df, bucket, unit, by), reach, block_rows)
-    group = Window.partitionBy(*by, "_block").orderBy("_index")
-    frames: Mapping[int, object] = {
-        rows: group.rowsBetween(-(rows - 1), 0) for rows in {s[2] for s in framed}
-    }
-    rolled = {f"roll{n}_{stat}_{name}": _expression(stat, name, frames[n]) for stat, name, n in framed}
-    home = blocks.withColumns({**copies, **rolled}).filter(F.col("_home") == F.col("_block"))
-    order = df.columns + [f"roll{n}_{stat}_{name}" for stat, name, n in stats]
-    return home.select(*order)
+    names = [f"roll{n}_{stat}_{column}" for stat, column, n in stats]
+    kept = df.columns
+    wanted: dict[tuple[str, int], list[str]] = {}
+    for stat, column, n in stats:
+        wanted.setdefault((column, n), []).append(stat)
+
+    def roll(block: pa.Table) -> pa.Table:
+        block = block.sort_by("_index")
+        home = block["_home"].to_numpy() == block["_block"].to_numpy()
+        made: dict[str, np.ndarray] = {}
+        for (column, n), kinds in wanted.items():
+            values = block[column].cast(pa.float64()).to_numpy(zero_copy_only=False)
+            for kind, found in trailing(values, n, kinds).items():
+                made[f"roll{n}_{kind}_{column}"] = found[home]
+        own = block.select(kept).filter(pa.array(home))
+        columns = [own[c] for c in kept] + [pa.array(made[c], from_pandas=True) for c in names]
+        return pa.table(columns, names=kept + names)
+
+    schema = T.StructType(df.schema.fields + [T.StructField(n, T.DoubleType()) for n in names])
+    return blocks.groupBy(*by, "_block").applyInArrow(roll, schema)
