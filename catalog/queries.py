@@ -31,15 +31,17 @@ AVERAGES = ["pressure", "temperature"]
 NOW = jobs.Trigger(available_now=True)
 
 
-def rounded(df: DataFrame, places: int = 6) -> DataFrame:
+def rounded(df: DataFrame, places: int | None = 6) -> DataFrame:
     """Round doubles so that sums taken in another order compare equal."""
+    if places is None:
+        return df
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
     # quartiles sit on quarter steps between means, where six places meet exact ties
     finer = {c: 8 if "_q25_" in c or "_q75_" in c else places for c in doubles}
     return df.withColumns({c: F.round(F.col(c).cast("double"), n) + F.lit(0.0) for c, n in finer.items()})
 
 
-def query(name: str, places: int = 6) -> Callable[[Query], Query]:
+def query(name: str, places: int | None = 6) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return rounded(fn(spark, sf_dir), places)
@@ -749,7 +751,7 @@ def feature_table(spark, sf):
     return features.feature_table(a.bare_readings(spark, sf), E_, a.CALENDAR)
 
 
-@query("compressor_feature_table")
+@query("compressor_feature_table", None)
 def compressor_feature_table(spark, sf):
     """The 507-column table of the 15-sensor compressor, at minutes."""
     return features.feature_table(a.compressor(spark, sf), C_, a.CALENDAR)
@@ -1076,11 +1078,15 @@ def label_populated(spark, sf):
 # ---- models ------------------------------------------------------------------------
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once to the shared folder, because what follows reads it many times."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _features(spark, sf) -> DataFrame:
-    """The feature table, stored once because training reads it many times."""
-    path = scratch_path(spark, "features")
-    features.feature_table(a.bare_readings(spark, sf), E_, a.CALENDAR).write.parquet(path)
-    return spark.read.parquet(path)
+    return _stored(features.feature_table(a.bare_readings(spark, sf), E_, a.CALENDAR), "features")
 
 
 def _model_frame(table: DataFrame) -> tuple[DataFrame, list[str]]:
@@ -1113,11 +1119,12 @@ def clean_matrix(spark, sf):
 def _trained(spark, sf) -> tuple[DataFrame, list[str]]:
     rows, names = _model_frame(_features(spark, sf))
     scaler = matrix.fit_scaler(rows.filter(F.col("split") == "train"), names)
-    return scaler.transform(rows), names
+    return _stored(scaler.transform(rows), "matrix"), names
 
 
 def _evaluated(scored: DataFrame, name: str) -> DataFrame:
     """Threshold from validation, metrics on test."""
+    scored = _stored(scored.select(E_.bucket, "split", "pre_failure_24h", "score"), "scores")
     valid = scored.filter(F.col("split") == "validation")
     best = evaluate.best_threshold(valid, "score", "pre_failure_24h").first()["threshold"]
     metrics = evaluate.classification_metrics(
