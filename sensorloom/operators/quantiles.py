@@ -57,8 +57,8 @@ def exact_quantiles(
         for p in shares
         if counted[c]
     ]
-    _shrink(narrow, brackets, counted["_rows"], bracket_rows, sample_rows)
-    found = _rank_inside(narrow, brackets)
+    _shrink(narrow, brackets, bracket_rows, sample_rows)
+    found = _rank_inside(narrow, brackets) if brackets else {}
     return {c: [found.get((c, p)) for p in shares] for c in columns}
 
 
@@ -66,7 +66,7 @@ def _inside(b: _Bracket):
     return (F.col(b.column) >= b.low) & (F.col(b.column) <= b.high)
 
 
-def _shrink(df: DataFrame, brackets: list[_Bracket], rows: int, bracket_rows: int, sample_rows: int) -> None:
+def _shrink(df: DataFrame, brackets: list[_Bracket], bracket_rows: int, sample_rows: int) -> None:
     for attempt in range(8):
         wide = [b for b in brackets if b.inside > bracket_rows and b.low < b.high]
         if not wide:
