@@ -76,50 +76,64 @@ def _valid_time(text: Column) -> Column:
     return F.coalesce(shape & real, F.lit(False))
 
 
-def contract_errors(payload: Column, spec: SensorSpec) -> Column:
-    """Array of every contract violation of a JSON event, empty for a valid one.
+def contract_fields(spec: SensorSpec) -> list[str]:
+    """Fields the contract looks at."""
+    head = ["event_id", spec.row_id, spec.time, "ingest_time", spec.state, spec.flag, spec.label]
+    return head + spec.names
+
+
+def field_facts(parsed: Column, spec: SensorSpec) -> Column:
+    """Per field the JSON kind (null when the key is absent, VOID for a JSON null), and the
+    text of the fields whose value matters, as one struct."""
+    facts = []
+    for name in contract_fields(spec):
+        item = F.try_variant_get(parsed, f"$.{name}", "variant")
+        facts.append(F.schema_of_variant(item).alias(f"kind_{name}"))
+    for name in (spec.time, "ingest_time", spec.state, spec.flag):
+        facts.append(F.try_variant_get(parsed, f"$.{name}", "string").alias(f"text_{name}"))
+    return F.struct(F.schema_of_variant(parsed).alias("kind"), *facts)
+
+
+def contract_errors(spec: SensorSpec) -> Column:
+    """Array of every contract violation, from the columns of ``field_facts``.
 
     A key that is present with null counts as missing; the format of a time is checked
     only when its key is present; a boolean or quoted number is not a sensor value.
     """
-    parsed = F.try_parse_json(payload)
 
-    def item(name: str) -> Column:
-        return F.try_variant_get(parsed, f"$.{name}", "variant")
+    def kind(name: str) -> Column:
+        return F.coalesce(F.col(f"kind_{name}"), F.lit("VOID"))
 
     def text(name: str) -> Column:
-        return F.try_variant_get(parsed, f"$.{name}", "string")
-
-    def kind(name: str) -> Column:
-        return F.coalesce(F.schema_of_variant(item(name)), F.lit("VOID"))
+        return F.col(f"text_{name}")
 
     def holds(test: Column) -> Column:
         return F.coalesce(test, F.lit(False))
 
-    times = [spec.time, "ingest_time"]
-    required = ["event_id", spec.row_id, *times, spec.state, spec.flag, spec.label, *spec.names]
     known_state = (kind(spec.state) == "STRING") & text(spec.state).isin(*spec.bands.states)
-    known_flag = (kind(spec.flag) != "STRING") & F.try_variant_get(
-        parsed, f"$.{spec.flag}", "double"
-    ).isin(0.0, 1.0)
+    known_flag = (kind(spec.flag) == "BOOLEAN") | (
+        (kind(spec.flag) != "STRING") & text(spec.flag).try_cast("double").isin(0.0, 1.0)
+    )
     errors = [
-        F.when(kind(name) == "VOID", F.lit(f"missing_required_field:{name}")) for name in required
+        F.when(kind(name) == "VOID", F.lit(f"missing_required_field:{name}"))
+        for name in contract_fields(spec)
     ]
     errors += [
-        F.when(item(name).isNotNull() & ~_valid_time(text(name)), F.lit(f"invalid_{name}_format"))
-        for name in times
+        F.when(F.col(f"kind_{name}").isNotNull() & ~_valid_time(text(name)), F.lit(f"invalid_{name}_format"))
+        for name in (spec.time, "ingest_time")
     ]
     errors.append(F.when(~holds(known_state), F.lit(f"invalid_{spec.state}")))
     errors.append(F.when(~holds(known_flag), F.lit(f"invalid_{spec.flag}")))
+    numbers = ("BIGINT", "FLOAT", "DOUBLE")
     errors += [
         F.when(
-            ~kind(name).rlike("^(VOID|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"),
+            ~(kind(name).isin("VOID", *numbers) | kind(name).startswith("DECIMAL")),
             F.lit(f"non_numeric_sensor:{name}"),
         )
         for name in spec.names
     ]
     return (
-        F.when(parsed.isNull(), F.array(F.lit("invalid_json")))
-        .when(~F.schema_of_variant(parsed).startswith("OBJECT"), F.array(F.lit("payload_not_json_object")))
+        F.when(F.col("kind").isNull(), F.array(F.lit("invalid_json")))
+        .when(~F.col("kind").startswith("OBJECT"), F.array(F.lit("payload_not_json_object")))
         .otherwise(F.array_compact(F.array(*errors)))
     )

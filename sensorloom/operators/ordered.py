@@ -49,7 +49,8 @@ def _position(df: DataFrame, name: str, descending: bool = False) -> Column:
     timed = isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType))
     value = (epoch_micros(F.col(name)) if timed else F.col(name)).cast("double")
     value = -value if descending else value
-    return F.coalesce(value, F.lit(float("-inf")))
+    # null sorts first and NaN last, as in Spark's own ascending order
+    return F.coalesce(F.nanvl(value, F.lit(math.inf)), F.lit(-math.inf))
 
 
 @dataclass(frozen=True)

@@ -47,7 +47,7 @@ def build_layers(spark: SparkSession, base: str, spec: SensorSpec) -> DataFrame:
         ("sensor_kpi", kpi.sensor_kpi(readings, spec), None),
     ]
     reports = [
-        verified_write(df, layer_path(base, name), PARTITIONS[name], expected, name)
+        verified_write(df, layer_path(base, name), PARTITIONS[name], expected, name, conserve=False)
         for name, df, expected in outputs
     ]
     return reduce(DataFrame.unionByName, reports)

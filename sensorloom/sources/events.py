@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions import intervals
-from sensorloom.functions.gates import contract_errors
+from sensorloom.functions.gates import contract_errors, field_facts
 from sensorloom.functions.scalars import band, finite_or
 from sensorloom.spec import Calendar, SensorSpec
 
@@ -74,8 +74,10 @@ def decode_events(payloads: DataFrame, spec: SensorSpec, value: str = "value") -
 
 def validate_contract(payloads: DataFrame, spec: SensorSpec, value: str = "value") -> DataFrame:
     """Add the list of contract violations and a valid/invalid status."""
-    errors = contract_errors(F.col(value), spec)
-    out = payloads.withColumn("errors", errors)
+    # each inline() is evaluated once per row: one parse, then one look at every field
+    parsed = payloads.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(value)).alias("_v")))))
+    facts = parsed.select(*payloads.columns, F.inline(F.array(field_facts(F.col("_v"), spec))))
+    out = facts.select(*payloads.columns, contract_errors(spec).alias("errors"))
     return out.withColumn("status", F.when(F.size("errors") == 0, "valid").otherwise("invalid"))
 
 

@@ -108,7 +108,9 @@ def scored(
 ) -> DataFrame:
     """Risk events: score, level, reasons and metadata; scores outside [0, 1] are dropped."""
     keep = ["event_id", spec.row_id, spec.time, "ingest_time", "source", spec.state, spec.flag, spec.label]
-    base = valid.withColumn("risk_score", risk.score(rules))
+    # inline() computes the pair once per row; the filter and the level read the result
+    made = F.struct(risk.score(rules).alias("risk_score"), risk.alarm_reasons(rules).alias("risk_reason"))
+    base = valid.select(*keep, *spec.analog, F.inline(F.array(made)))
     base = base.filter(F.col("risk_score").between(0.0, 1.0))
     meta = risk.metadata(info, spec.time, scoring_time, rules)
     return base.select(
@@ -116,7 +118,7 @@ def scored(
         *spec.analog,
         "risk_score",
         risk.level(F.col("risk_score"), rules).alias("risk_level"),
-        risk.alarm_reasons(rules).alias("risk_reason"),
+        "risk_reason",
         *meta,
     ).withColumn("feature_window_minutes", F.concat_ws(",", F.col("feature_window_minutes").cast("array<string>")))
 

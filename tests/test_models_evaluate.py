@@ -130,7 +130,7 @@ def test_trained_models_find_the_signal(spark):
 def test_isolation_forest_ranks_outliers_first_and_repeats(spark):
     pdf, df = learnable(spark)
     df = df.withColumn("a", F.when(F.col("id") < 5, 40.0 + 20.0 * F.col("id")).otherwise(F.col("a")))
-    fit = lambda parts: isolation.fit_isolation(df.repartition(parts), ["a", "b", "c"], "id", trees=40, sample=64)
+    fit = lambda parts: isolation.fit_isolation(df.repartition(parts), ["a", "b", "c"], "id", trees=60, sample=256)
     one, two = fit(2), fit(5)
     assert one.nodes.sort_values(["tree", "node"]).reset_index(drop=True).equals(two.nodes.sort_values(["tree", "node"]).reset_index(drop=True))
     top = one.score(df).orderBy(F.desc("score")).limit(5).select("id").collect()
