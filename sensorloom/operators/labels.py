@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.scalars import epoch_micros
@@ -61,12 +61,10 @@ def with_overlap_flag(
 
 def with_running_max(df: DataFrame, order: Order, value: str, into: str) -> DataFrame:
     """Maximum over all earlier rows, null for the first."""
-    from pyspark.sql import Window
-
     slices = plan_slices(df, order)
     keyed = slices.attach(df)
     before = slices.window().rowsBetween(Window.unboundedPreceding, -1)
-    inner = keyed.withColumn(into, F.max(value).over(before))
+    inner = slices.spread(keyed).withColumn(into, F.max(value).over(before))
     if not slices.whole:
         tops = keyed.groupBy(*slices.columns).agg(F.max(value).alias("_top"))
         earlier = slices.across().rowsBetween(Window.unboundedPreceding, -1)

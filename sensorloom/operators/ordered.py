@@ -87,6 +87,16 @@ class Slices:
         last = [F.col(self.order.text_tie)] if self.order.text_tie else []
         return [F.col("_pos"), F.col("_tie"), *last]
 
+    def spread(self, keyed: DataFrame) -> DataFrame:
+        """Enough shuffle partitions for about one slice per task.
+
+        The session default may be far below the number of slices; adaptive execution can
+        merge partitions but does not split the input of a window.
+        """
+        groups = len(self.borders) + len(self.hot) * len(self.tie_borders) + 1
+        default = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return keyed.repartition(min(groups, MAX_SLICES), *self.columns) if groups > default else keyed
+
     def window(self):
         return Window.partitionBy(*self.columns).orderBy(*self.sort)
 
@@ -164,7 +174,7 @@ def with_previous(
     slices = slices or plan_slices(df, order)
     keyed = slices.attach(df)
     payload = F.struct(*[F.col(c) for c in columns])
-    inner = keyed.withColumn(into, F.lag(payload).over(slices.window()))
+    inner = slices.spread(keyed).withColumn(into, F.lag(payload).over(slices.window()))
     if sequence:
         # slice and cut numbers stay below 2**15, rows of a slice below 2**32
         group = (F.col("_slice") * (1 << 15) + F.col("_cut")).cast("long")
@@ -172,8 +182,12 @@ def with_previous(
     if slices.whole:
         return _drop_helpers(inner)
     last = F.max_by(payload, F.struct(*slices.sort)).alias("_tail")
-    tails = keyed.groupBy(*slices.columns).agg(last)
-    carried = tails.select(*slices.columns, F.lag("_tail").over(slices.across()).alias("_carry"))
+    # structs alone would make this a sort of all rows; a list aggregate beside them (always
+    # empty) lets Spark hash the rows of the few slices a task sees
+    hashed = F.collect_list(F.lit(None).cast("int")).alias("_none")
+    tails = keyed.groupBy(*slices.columns).agg(last, hashed)
+    before = F.lag("_tail").over(slices.across())
+    carried = tails.filter(F.size("_none") == 0).select(*slices.columns, before.alias("_carry"))
     joined = slices.join(inner, carried)
     return _drop_helpers(joined.withColumn(into, F.coalesce(into, "_carry")).drop("_carry"))
 
@@ -188,7 +202,8 @@ def with_running_totals(
     slices = slices or plan_slices(df, order)
     keyed = slices.attach(df)
     upto = slices.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = keyed.withColumns({name: F.sum(value).over(upto) for name, value in totals.items()})
+    running = {name: F.sum(value).over(upto) for name, value in totals.items()}
+    inner = slices.spread(keyed).withColumns(running)
     if slices.whole:
         return _drop_helpers(inner)
     sums = keyed.groupBy(*slices.columns).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
@@ -239,13 +254,14 @@ def ordered_split(df: DataFrame, order: Order, share: float = 0.7) -> DataFrame:
         .select("_slice", "_cut", (F.lit(cut) - F.col("_upto") + F.col("count")).alias("_nth"))
     )
     sort = F.struct(*slices.sort)
-    last_train = (
+    edge = (
         keyed.join(F.broadcast(holder), ["_slice", "_cut"])
         .withColumn("_rank", F.row_number().over(slices.window()))
         .filter(F.col("_rank") == F.col("_nth"))
         .select(sort.alias("_edge"))
+        .first()["_edge"]
     )
-    in_train = sort <= last_train.scalar()
+    in_train = sort <= F.struct(*[F.lit(v) for v in edge])
     return _drop_helpers(keyed.withColumn("split", F.when(in_train, "train").otherwise("test")))
 
 
@@ -275,7 +291,7 @@ def seconds_to_next(
     keyed = slices.attach(ranked)
     mark_at = F.when(F.col("_mark"), F.col("_at"))
     upto = slices.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = keyed.withColumn("_next", F.last(mark_at, ignorenulls=True).over(upto))
+    inner = slices.spread(keyed).withColumn("_next", F.last(mark_at, ignorenulls=True).over(upto))
     if not slices.whole:
         tails = keyed.groupBy(*slices.columns).agg(F.min(mark_at).alias("_tail"))
         before = slices.across().rowsBetween(Window.unboundedPreceding, -1)
