@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.models.matrix import with_vector
@@ -17,6 +17,7 @@ TREES = 120
 SAMPLE = 256
 OFFSET = 0.5
 _SPARE = 4  # candidates kept per tree, as a multiple of the sample size
+_RARE = 0.1  # expected trees per row below which trees may draw disjoint samples
 
 _NODES = "tree int, node int, feature int, split double, left int, right int, depth double"
 
@@ -93,6 +94,23 @@ class IsolationModel:
         return scored.withColumn(into, isolation_score(F.col("_vector"))).drop("_vector")
 
 
+def _draw(rows: DataFrame, row_id: str, trees: int, share: float, seed: int) -> DataFrame:
+    """Rows tagged with the tree that draws them; by hash, so a retry draws the same ones."""
+    span = 1 << 40
+
+    def chance(*parts) -> Column:
+        return F.pmod(F.xxhash64(F.col(row_id), *parts, F.lit(seed)), F.lit(span))
+
+    if share * trees <= _RARE:
+        # a row hardly ever serves two trees: one hash decides whether, another for which
+        kept = rows.filter(chance() < F.lit(int(share * trees * span)))
+        return kept.withColumn("tree", F.pmod(F.xxhash64(F.col(row_id), F.lit(seed + 1)), F.lit(trees)).cast("int"))
+    picks = F.filter(
+        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: chance(t) < F.lit(int(share * span))
+    )
+    return rows.select(row_id, "x", F.explode(picks).alias("tree"))
+
+
 def fit_isolation(
     normal: DataFrame,
     columns: Sequence[str],
@@ -109,12 +127,7 @@ def fit_isolation(
     size = min(sample, total)
     share = min(1.0, _SPARE * size / max(total, 1))
     drawn = with_vector(normal, columns, "x").select(row_id, "x")
-    # each tree keeps a row with the same small probability, independently by hash
-    picks = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)),
-        lambda t: F.pmod(F.xxhash64(F.col(row_id), t, F.lit(seed)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))),
-    )
-    chosen = drawn.select(row_id, "x", F.explode(picks).alias("tree"))
+    chosen = _draw(drawn, row_id, trees, share, seed)
 
     def grow(key: tuple, batch: pd.DataFrame) -> pd.DataFrame:
         rng = np.random.default_rng([seed, int(key[0]), 1])

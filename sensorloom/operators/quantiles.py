@@ -47,10 +47,10 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Linear-interpolated quantiles of the non-null values, per column."""
     narrow = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    counted = narrow.agg(F.count("*").alias("_rows"), *[F.count(c).alias(c) for c in columns]).first()
-    if counted["_rows"] * len(columns) <= small_cells:
+    if narrow.count() * len(columns) <= small_cells:
         row = narrow.agg(*[F.percentile(c, list(shares)).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in columns}
+    counted = narrow.agg(*[F.count(c).alias(c) for c in columns]).first()
     brackets = [
         _Bracket(c, p, -math.inf, math.inf, p * (counted[c] - 1), 0, counted[c])
         for c in columns

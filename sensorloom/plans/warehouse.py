@@ -71,7 +71,8 @@ def publish_tables(
     for name, (df, partitions) in tables.items():
         full = f"`{database}`.`{name}`"
         if fmt == "parquet":
-            writer = df.write.mode("overwrite").format(fmt)
+            even = df.hint("rebalance", *partitions) if partitions else df
+            writer = even.write.mode("overwrite").format(fmt)
             if partitions:
                 writer = writer.partitionBy(*partitions)
             writer.saveAsTable(full)

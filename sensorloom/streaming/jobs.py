@@ -48,9 +48,13 @@ def each_batch(
     return writer.trigger(**trigger.kwargs()).start()
 
 
-def _replace(rows: DataFrame, path: str, batch_id: int) -> None:
-    # a batch that is repeated after a failure replaces its own folder
-    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+def _replace(rows: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
+    # a batch that is repeated after a failure replaces its own folder, whatever the session
+    # says about partition overwrite
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    writer.parquet(f"{path}/batch={batch_id}")
 
 
 @dataclass(frozen=True)
@@ -68,11 +72,11 @@ class FanOut:
         try:
             valid = p.accepted(gate)
             _replace(p.rejected(gate, self.spec), f"{self.base}/dead_letters", batch_id)
-            _replace(p.readings_with_day(valid, self.spec), f"{self.base}/readings", batch_id)
+            _replace(p.readings_with_day(valid, self.spec), f"{self.base}/readings", batch_id, [self.spec.day])
             partials = kpi_partials(valid, self.spec)
             _replace(partials, f"{self.base}/kpi_partials", batch_id)
             risk = p.scored(valid, self.spec)
-            _replace(risk, f"{self.base}/risk_events", batch_id)
+            _replace(risk, f"{self.base}/risk_events", batch_id, [self.spec.day])
             if self.kpi_state:
                 merged = merge_kpi(partials, self.spec)
                 write_degraded(self.kpi_state, merged, batch_id)
@@ -86,7 +90,9 @@ class FanOut:
         return each_batch(payloads, self.handle, checkpoint, trigger=trigger)
 
     def read(self, spark: SparkSession, output: str) -> DataFrame:
-        return spark.read.parquet(f"{self.base}/{output}").drop("batch")
+        rows = spark.read.parquet(f"{self.base}/{output}").drop("batch")
+        day = self.spec.day  # partition discovery reads the day text as a date
+        return rows.withColumn(day, F.col(day).cast("string")) if day in rows.columns else rows
 
 
 def kpi_partials(valid: DataFrame, spec: SensorSpec, averages: Sequence[str] = p.KPI_AVERAGES) -> DataFrame:

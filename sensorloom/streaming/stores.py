@@ -33,6 +33,22 @@ class ParquetStore:
     def write(self, latest: DataFrame, batch_id: int) -> None:
         latest.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
 
+    def compact(self, spark: SparkSession, upto: int) -> None:
+        """Fold the batches before ``upto`` into it, so that reads do not grow with time.
+
+        Run between triggers.  The merged rows are complete before any folder is replaced,
+        and older folders are emptied last: stopping in between leaves only repeats, which
+        reads merge away.
+        """
+        rows = spark.read.parquet(self.path)
+        old = rows.filter(F.col("batch") <= upto).drop("batch")
+        latest_per_key(old, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}-merge/batch={upto}")
+        merged = spark.read.parquet(f"{self.path}-merge/batch={upto}")
+        numbers = [r["batch"] for r in rows.select("batch").distinct().filter(F.col("batch") < upto).collect()]
+        merged.write.mode("overwrite").parquet(f"{self.path}/batch={upto}")
+        for number in numbers:  # one entry per batch since the last compaction
+            merged.limit(0).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+
     def read(self, spark: SparkSession, now: Column | None = None, written_at: str | None = None) -> DataFrame:
         """Newest row per key; with a TTL, keys last written too long ago are left out."""
         rows = spark.read.parquet(self.path).drop("batch")

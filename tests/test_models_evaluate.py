@@ -137,6 +137,12 @@ def test_isolation_forest_ranks_outliers_first_and_repeats(spark):
     assert {r["id"] for r in top} == set(range(5))
 
 
+def test_rare_draws_are_spread_over_the_trees(spark):
+    rows = spark.range(200_000).select("id", F.array(F.rand(1), F.rand(2)).alias("x"))
+    got = isolation._draw(rows, "id", 20, 0.002, 7).groupBy("tree").count().collect()
+    assert len(got) == 20 and all(280 < r["count"] < 540 for r in got)
+
+
 def test_mad_falls_back_to_all_rows(spark):
     df = spark.createDataFrame([(float(i), 0) for i in range(11)], "a double, normal_candidate int")
     model = mad.fit_mad(df, ["a"])

@@ -129,6 +129,7 @@ def test_fan_out_resumes_and_repeats_without_duplicates(spark, tmp_path):
     # a batch that is delivered again replaces its own output
     job.handle(spark.read.text(str(inbox / "2.json")), 1)
     assert job.read(spark, "readings").count() == 2
+    assert {r["dt"] for r in job.read(spark, "risk_events").collect()} == {"2020-04-18"}
     assert job.read(spark, "dead_letters").count() == 2
     merged = jobs.merge_kpi(job.read(spark, "kpi_partials"), COMPRESSOR).collect()
     assert len(merged) == 1 and merged[0]["sample_count"] == 2 and merged[0]["failure_window_rate"] == 1.0
@@ -155,6 +156,16 @@ def test_state_expires(spark, tmp_path):
     assert [r["k"] for r in kept] == ["new"]
 
 
+def test_compaction_keeps_the_newest_rows(spark, tmp_path):
+    store = stores.ParquetStore(str(tmp_path / "s"), ["k"], ["t"])
+    for batch, rows in enumerate([[("a", 1), ("b", 1)], [("a", 2)], [("c", 5)]]):
+        store.write(spark.createDataFrame(rows, "k string, t int"), batch)
+    before = sorted(map(tuple, store.read(spark).collect()))
+    store.compact(spark, 1)
+    assert sorted(map(tuple, store.read(spark).collect())) == before == [("a", 2), ("b", 1), ("c", 5)]
+    assert spark.read.parquet(store.path).count() == 3
+
+
 def test_stream_watermark_drops_late_rows_and_dedups(spark, tmp_path):
     inbox = tmp_path / "in"
     put(inbox, "1.json", event(event_id="a", event_time="2020-04-18 00:00:10"), event(event_id="b", event_time="2020-04-18 00:05:00"))
