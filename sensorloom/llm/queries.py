@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import cascade, mixing, orc_tokens
+from sensorloom.llm import cascade, extraction, mixing, orc_tokens, simhash, warc
 from sensorloom.llm.tables import table
 from sensorloom.session import scratch_path
 
@@ -19,6 +19,18 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("copies")
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.extract(table(spark, sf_dir, "pages"))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -35,5 +47,6 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.screen(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_mix_sources, op9_orc_tokens, op10_quality_cascade)}
+OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op9_orc_tokens, op10_quality_cascade]
+QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}
 ORACLE: dict[str, str] = {}
