@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import cascade, extraction, mixing, orc_tokens, simhash, warc, winnowing
+from sensorloom.llm import cascade, extraction, mixing, orc_tokens, simhash, suffixes, warc, winnowing
 from sensorloom.llm.tables import table
 from sensorloom.session import scratch_path
 
@@ -35,6 +35,10 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -51,6 +55,6 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.screen(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
-OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op9_orc_tokens, op10_quality_cascade]
+OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op6_suffix_dedup, op9_orc_tokens, op10_quality_cascade]
 QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}
 ORACLE: dict[str, str] = {}
