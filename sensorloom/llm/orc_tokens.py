@@ -155,37 +155,29 @@ def slices(column: pa.Array, most_bytes: int = BATCH_BYTES) -> Iterator[tuple[in
         at = to
 
 
-def token_rows(docs: DataFrame, tokenizer: str, end_id: int, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``doc_id, n_tokens, tokens`` of every row."""
+def token_rows(texts: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+    """``doc_id, text_hash, n_tokens, tokens`` of the rows ``doc_id, text_hash, text``, in their order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(tokenizer)
         for batch in batches:
-            for at, n in slices(batch.column(1)):
+            for at, n in slices(batch.column("text")):
                 part = batch.slice(at, n)
-                ids, lengths = own.batch(part.column(1), end_id)
+                ids, lengths = own.batch(part.column("text"), end_id)
                 starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
-                marks = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(starts[:-1], starts[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        pa.array(lengths.astype(np.int32)),
-                        pa.ListArray.from_arrays(pa.array(starts), pa.array(ids)),
-                        pa.array(marks, pa.int64()),
-                    ],
-                    ["doc_id", "n_tokens", "tokens", "mark"],
-                )
-
-    kind = docs.schema[key].dataType
+                tokens = pa.ListArray.from_arrays(pa.array(starts), pa.array(ids))
+                columns = [part.column("doc_id"), part.column("text_hash"), pa.array(lengths.astype(np.int32)), tokens]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "n_tokens", "tokens"])
+
     schema = T.StructType(
         [
-            T.StructField("doc_id", kind),
+            T.StructField("doc_id", texts.schema["doc_id"].dataType),
+            T.StructField("text_hash", T.LongType()),
             T.StructField("n_tokens", T.IntegerType()),
             T.StructField("tokens", T.ArrayType(T.IntegerType())),
-            T.StructField("mark", T.LongType()),
         ]
     )
-    return docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return texts.mapInArrow(run, schema)
 
 
 def write_tokens(
@@ -199,12 +191,13 @@ def write_tokens(
 ) -> None:
     """Encode ``docs`` and write the ids to ORC files below ``path`` in ascending id, null ids first.
 
-    Rows with one id follow each other by the checksum of their ids, so the order is the same in each run.
+    Rows with one id follow each other by the hash of their text, so the order is the same in each run.  Texts are put
+    in order first and encoded where they are written: the range exchange samples its input, which would encode twice.
     """
-    rows = token_rows(docs, tokenizer, end_id, key, text)
-    ordered = rows.repartitionByRange(F.col("doc_id"), F.col("mark")).sortWithinPartitions("doc_id", "mark")
+    rows = docs.select(F.col(key).alias("doc_id"), F.xxhash64(F.col(text)).alias("text_hash"), F.col(text).alias("text"))
+    ordered = rows.repartitionByRange(F.col("doc_id"), F.col("text_hash")).sortWithinPartitions("doc_id", "text_hash")
     (
-        ordered.select("doc_id", "n_tokens", "tokens")
+        token_rows(ordered, tokenizer, end_id)
         .write.option("orc.compress", "ZLIB")
         .option("orc.stripe.size", str(stripe_bytes))
         .option("orc.row.index.stride", str(ROW_GROUP))
@@ -215,7 +208,7 @@ def write_tokens(
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
-    """``doc_id, n_tokens, tokens``; a filter on the id reaches stripe statistics, row index and Bloom filter."""
+    """``doc_id, text_hash, n_tokens, tokens``; a filter on the id reaches stripe statistics, row index and Bloom filter."""
     return spark.read.orc(path)
 
 
@@ -231,31 +224,27 @@ def token_digests(spark: SparkSession, path: str) -> DataFrame:
             lists = batch.column("tokens")
             offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy().astype("<u4")
             crcs = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("file"),
-                    batch.column("doc_id"),
-                    pc.cast(pc.list_value_length(lists), pa.int64()),
-                    pa.array(crcs, pa.int64()),
-                ],
-                ["file", "doc_id", "n_tokens", "ids_crc32"],
-            )
+            lengths = pc.cast(pc.list_value_length(lists), pa.int64())
+            columns = [*(batch.column(c) for c in ("file", "doc_id", "text_hash")), lengths, pa.array(crcs, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     stored = read_tokens(spark, path)
     schema = T.StructType(
         [
             T.StructField("file", T.StringType()),
             T.StructField("doc_id", stored.schema["doc_id"].dataType),
-            T.StructField("n_tokens", T.LongType()),
-            T.StructField("ids_crc32", T.LongType()),
+            *(T.StructField(c, T.LongType()) for c in ("text_hash", "n_tokens", "ids_crc32")),
         ]
     )
-    rows = stored.select(F.col("_metadata.file_path").alias("file"), "doc_id", "tokens").mapInArrow(run, schema)
-    per_file = rows.groupBy("file").agg(F.sum("n_tokens").alias("n"), F.min(F.struct(F.col("doc_id"), F.col("ids_crc32"))).alias("least"))
+    rows = stored.select(F.col("_metadata.file_path").alias("file"), "doc_id", "text_hash", "tokens").mapInArrow(run, schema)
+    # sums and first rows of files need no checksums, and no ids but their number
+    per_file = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.sum("n_tokens").alias("n"), F.min(F.struct("doc_id", "text_hash")).alias("least")
+    )
     files = per_file.select(
         "file", F.coalesce(F.sum("n").over(Window.orderBy("least").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base")
     )
-    inside = Window.partitionBy("file").orderBy("doc_id", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("file").orderBy("doc_id", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     return rows.join(files, "file").select(
         "doc_id",
         (F.col("base") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0))).alias("start"),
