@@ -56,7 +56,7 @@ def budgets(sources: DataFrame, weights: tuple[float, ...], most: float) -> Data
     # the first source that is not full sets the level of all from there on
     first = F.min(F.when(F.col("limit") >= F.col("own_level") * F.col("w"), F.struct(F.col("limit") / F.col("w"), "own_level")))
     common = own.withColumn("common", first.over(whole)["own_level"])
-    return common.select("source", "source_size", F.least(F.col("limit"), F.col("common") * F.col("w")).alias("target"))
+    return common.select("source", "source_size", F.round(F.least(F.col("limit"), F.col("common") * F.col("w")), 6).alias("target"))
 
 
 def mix(
@@ -93,7 +93,7 @@ def mix(
         .join(per_source.alias("s"), F.col("t.source").eqNullSafe(F.col("s.source")))
         .select("t.source", "t.source_size", "t.target", "s.n")
         .withColumn("epochs", F.floor(F.least(F.lit(most), F.coalesce(F.col("target") / F.nullif("source_size", F.lit(0)), F.lit(0.0)))))
-        .withColumn("rest", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
+        .withColumn("rest", F.floor(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
         .withColumn("parts", F.ceil(F.sqrt("n"))),
         "mix-plan",
     )

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from sensorloom.llm import cascade, extraction, mixing, orc_tokens, simhash, suffixes, warc, winnowing
+from sensorloom.llm import cascade, extraction, licences, mixing, oracle, orc_tokens, resampling, simhash, suffixes, warc, winnowing
 from sensorloom.llm.tables import table
 from sensorloom.session import scratch_path
 
@@ -39,6 +38,14 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.without_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_quality_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("text_hash")
+
+
+def op8_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_file() -> str:
     import public_tokenizers
 
@@ -55,6 +62,6 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.screen(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
-OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op6_suffix_dedup, op9_orc_tokens, op10_quality_cascade]
+OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op6_suffix_dedup, op7_quality_resampling, op8_licence_scan, op9_orc_tokens, op10_quality_cascade]
 QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op5_decontaminate": oracle.DECONTAMINATE, "op8_licence_scan": licences.sql(), "op10_quality_cascade": oracle.QUALITY}
