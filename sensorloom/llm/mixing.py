@@ -25,7 +25,7 @@ MARKUP = "#*$%&|<>!"
 def quality_weight(text: Column) -> Column:
     """1 for plain prose, down to 0.05 where a tenth of the characters are markup signs; 0.05 for null and empty."""
     plain = F.length(F.translate(text, MARKUP, ""))
-    share = 1 - plain / F.length(text)
+    share = 1 - plain / F.nullif(F.length(text), F.lit(0))
     return F.coalesce(F.greatest(F.lit(0.05), 1 - 10 * share), F.lit(0.05))
 
 
