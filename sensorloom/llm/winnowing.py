@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.llm.tables import stored, unused
 
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are put in lower case
+NOT_WORD_YET = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before A-Z are put in lower case
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 GRAM = 5
@@ -29,11 +29,10 @@ PLACE_BITS = 30
 
 def words_of(text: Column) -> Column:
     """Words of a text in order, A-Z in lower case and no other letter changed; none for null."""
-    ascii_only = ~text.rlike(r"[^\x00-\x7F]")
+    ascii_only = F.length(text) == F.octet_length(text)
     lower = F.when(ascii_only, F.lower(text)).otherwise(F.translate(text, UPPER, LOWER))
-    # separators to one space each, so that the array has no empty ends
-    flat = F.trim(F.regexp_replace(lower, NOT_WORD, " "))
-    return F.when(F.length(flat) > 0, F.split(flat, " ")).otherwise(F.array().cast("array<string>"))
+    # the ends of the text can leave an empty word
+    return F.coalesce(F.array_remove(F.split(lower, NOT_WORD), ""), F.array().cast("array<string>"))
 
 
 def grams(words: Column, k: int) -> Column:
@@ -129,7 +128,7 @@ def spans(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
 
 def row_key(ident: Column, text: Column) -> Column:
     """Rows with one id and one text have one result, so they may share a key."""
-    return F.concat_ws(":", F.xxhash64(text).cast("string"), F.length(text).cast("string"), ident.cast("string"))
+    return F.concat_ws(":", F.xxhash64(text).cast("string"), F.octet_length(text).cast("string"), ident.cast("string"))
 
 
 def contamination(
@@ -158,7 +157,7 @@ def contamination(
     )
     of_items = found.groupBy("row_key").agg(F.sort_array(F.collect_set(F.col("item_id").cast("string"))).alias("ids"))
     per_key = stored(hit.join(of_items, "row_key"), "winnow-result")
-    n_words = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
+    n_words = F.coalesce(F.size(F.array_remove(F.split("text", NOT_WORD_YET), "")), F.lit(0)).cast("long")
     counted = keyed.select("doc_id", "row_key", n_words.alias("n_words"))
     return counted.join(per_key, "row_key", "left").select(
         "doc_id",
