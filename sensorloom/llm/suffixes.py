@@ -33,7 +33,7 @@ from sensorloom.llm.tables import stored
 
 GRAM = 32
 HALF = 128
-HOT = 1000
+HOT = 200
 STRETCH = 4 << 20
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15
@@ -163,14 +163,14 @@ def multikey_order(*words: np.ndarray) -> np.ndarray:
 
 
 SUFFIX = T.StructType([T.StructField(c, T.LongType()) for c in ("row_key", "where", "gram", "around")])
-FLAGGED = T.StructType([*SUFFIX.fields, *(T.StructField(c, T.BooleanType()) for c in ("gram_twice", "around_twice", "sample", "border")), T.StructField("bucket", T.IntegerType())])
+FLAGGED = T.StructType([*SUFFIX.fields, *(T.StructField(c, T.BooleanType()) for c in ("gram_twice", "around_twice", "sample", "border", "lead")), T.StructField("bucket", T.IntegerType())])
 
 
 def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sort a bucket and flag rows whose gram, and whose surroundings as well, a neighbour shares.
 
-    Rows of grams that occur once are dropped, but for the first and last gram of the bucket, which may go on in the
-    next; ``sample`` marks one row of each run of equal surroundings.
+    Rows of grams that occur once are dropped, but for the first and last gram of the bucket (``border``), which may go
+    on in the next; ``lead`` marks the first row of each run of equal surroundings, ``sample`` the runs needed on.
     """
     parts = list(batches)
     if not sum(b.num_rows for b in parts):
@@ -188,11 +188,12 @@ def compare_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     # a settled run is needed on for grams that have other surroundings too
     run = np.cumsum(np.concatenate([none, ~g]))
     several = np.bincount(run[1:][g & ~a], minlength=run[-1] + 1) > 0
-    sample = around_twice & ~np.concatenate([none, a]) & (several[run] | border)
+    lead = ~np.concatenate([none, a])
+    sample = around_twice & lead & (several[run] | border)
     keep = np.flatnonzero(gram_twice | border)
     rows = table.take(pa.array(order[keep])).combine_chunks()
     bucket = pa.array(np.full(len(keep), TaskContext.get().partitionId(), np.int32))
-    flags = [pa.array(x[keep]) for x in (gram_twice, around_twice, sample, border)]
+    flags = [pa.array(x[keep]) for x in (gram_twice, around_twice, sample, border, lead)]
     out = pa.Table.from_arrays([*rows.columns, *flags, bucket], names=FLAGGED.names)
     yield from out.to_batches(max_chunksize=100_000)
 
@@ -203,21 +204,23 @@ def compared_suffixes(docs: DataFrame, length: int) -> DataFrame:
     salt = F.xxhash64("row_key", "where")
     sorted_in = suffixes.repartitionByRange(F.col("gram"), F.col("around"), salt)
     flagged = stored(sorted_in.mapInArrow(compare_neighbours, FLAGGED), "suffix-flags")
-    # runs that cross a border have rows in the first or last gram of two buckets
-    border = flagged.where("border")
-    grams = border.groupBy("gram").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).where("a < b").select("gram", F.lit(True).alias("g"))
-    arounds = border.groupBy("gram", "around").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).where("a < b")
+    # what crosses a border is first or last in two buckets; one row per run and bucket tells, and there are no more
+    # such grams than borders on either side, and no more such runs than borders
+    ends = flagged.where("border and lead")
+    grams = ends.groupBy("gram").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).where("a < b").select("gram", F.lit(True).alias("g"))
+    arounds = ends.groupBy("gram", "around").agg(F.min("bucket").alias("a"), F.max("bucket").alias("b")).where("a < b")
     arounds = arounds.select("gram", "around", F.lit(True).alias("r"))
-    crossed = flagged.where("border").join(grams, "gram", "left").join(arounds, ["gram", "around"], "left")
+    told = F.col("gram_twice") & F.col("around_twice") | ~F.col("border")
+    crossed = flagged.where(~told).join(F.broadcast(grams), "gram", "left").join(F.broadcast(arounds), ["gram", "around"], "left")
     crossed = crossed.select(
         *SUFFIX.names,
         (F.col("gram_twice") | F.coalesce("g", F.lit(False))).alias("gram_twice"),
         (F.col("around_twice") | F.coalesce("r", F.lit(False))).alias("around_twice"),
-        # one row of a run per bucket, for runs that have only one row in it as well
-        (F.col("sample") | (F.coalesce("r", F.lit(False)) & ~F.col("around_twice"))).alias("sample"),
+        # a run of one row in its bucket stands for itself
+        (F.col("sample") | F.coalesce("r", F.lit(False))).alias("sample"),
     ).where("gram_twice")
     names = [*SUFFIX.names, "gram_twice", "around_twice", "sample"]
-    return flagged.where("not border").select(names).unionByName(crossed)
+    return flagged.where(told).select(names).unionByName(crossed)
 
 
 def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
