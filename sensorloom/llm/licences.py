@@ -155,7 +155,7 @@ def scan(docs: DataFrame, licences: DataFrame | None = None, key: str = "doc_id"
     empty = F.md5(F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     keyed = rows.withColumn("row_key", F.concat_ws(":", F.xxhash64("text").cast("string"), F.length("text").cast("string"), F.col("doc_id").cast("string")))
-    lines = keyed.select("row_key", F.explode(F.array_distinct(F.split("text", "\n"))).alias("line"))
+    lines = keyed.select("row_key", F.explode_outer(F.array_distinct(F.split("text", "\n"))).alias("line"))
     # a known line has a known number of words at most, but any spelling; only empty lines are left out
     digests = lines.where(F.length("line") > 0).select("row_key", F.md5(canonical(F.col("line"))).alias("digest"))
     table = licences.where(F.col("digest") != empty)

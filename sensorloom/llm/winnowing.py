@@ -67,7 +67,8 @@ def _prints(rows: DataFrame, k: int, w: int) -> DataFrame:
     others = [c for c in rows.columns if c != "words"]
     codes = rows.withColumn("codes", grams(F.col("words"), k)).withColumn("kept", winnow(F.col("codes"), w))
     place = F.lit((1 << PLACE_BITS) - 1).cast("long")
-    return codes.select(*others, "words", F.explode("kept").alias("code")).select(
+    # explode() would put a filter on the size of the array below the steps that make it, and make it twice
+    return codes.select(*others, "words", F.explode_outer("kept").alias("code")).where("code is not null").select(
         *others, "words", F.shiftright("code", PLACE_BITS).alias("hash"), F.col("code").bitwiseAND(place).cast("int").alias("place")
     )
 
