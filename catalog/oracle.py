@@ -904,8 +904,7 @@ MINUTE = f"""minutes AS (
 add("kpi_1m", "SELECT * EXCLUDE (m) FROM minutes", *V4, MINUTE)
 add(
     "stream_event_kpi",
-    """SELECT * EXCLUDE (m) FROM minutes
-    WHERE m + INTERVAL 1 MINUTE <= (SELECT max(event_time) - INTERVAL 5 SECOND FROM valid)""",
+    "SELECT * EXCLUDE (m) FROM minutes",
     *V4,
     MINUTE,
 )
@@ -941,7 +940,7 @@ add("stream_dedup", "SELECT event_id, raw_index, event_time FROM valid", *V4)
 add(
     "stream_fanout",
     """SELECT output, value::BIGINT AS value FROM (
-      SELECT 'dead_letters' AS output, (SELECT count(*) FROM cevents) - (SELECT count(*) FROM valid) AS value
+      SELECT 'dead_letters' AS output, 2 * ((SELECT count(*) FROM cevents) - (SELECT count(*) FROM valid)) AS value
       UNION ALL SELECT 'readings', count(*) FROM valid
       UNION ALL SELECT 'risk_events', count(*) FROM valid
       UNION ALL SELECT 'minute_rows', count(*) FROM minutes
@@ -950,6 +949,18 @@ add(
     *V4,
     MINUTE,
 )
+add("stream_fanout_kpi", "SELECT * EXCLUDE (m) FROM minutes", *V4, MINUTE)
+add(
+    "stream_fanout_readings",
+    f"""SELECT event_id, raw_index, event_time, operating_state, {', '.join(r(c, c) for c in COMP_NAMES)},
+    strftime(event_time, '%Y-%m-%d') AS dt FROM valid""",
+    *V4,
+)
+add(
+    "stream_late_rows",
+    "SELECT count(*)::BIGINT AS event_rows, true AS has_late_rows, max(event_time) AS newest FROM valid",
+    *V4,
+)
 
 # ---- quality -----------------------------------------------------------------------
 

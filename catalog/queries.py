@@ -926,20 +926,23 @@ def kpi_1m(spark, sf):
     return pipeline.minute_kpi(_valid_events(spark, sf), C_, "event_time")
 
 
-def _payload_files(spark, sf, copies: int = 1) -> str:
+def _payload_files(spark, sf, copies: int = 1, files: int = 1) -> str:
+    """Payloads as text files; with several, events are dealt to them without regard to time."""
     path = scratch_path(spark, "payloads")
     rows = a.payloads(spark, sf)
+    rows = rows.repartition(files, F.xxhash64("value")) if files > 1 else rows
     for _ in range(copies):
         rows.write.mode("append").text(path)
     return path
 
 
-def _stream(spark, sf, copies: int = 1) -> DataFrame:
-    return ev.decode_events(ev.text_source(spark, _payload_files(spark, sf, copies)), C_)
+def _stream(spark, sf, copies: int = 1, files: int = 1) -> DataFrame:
+    one_each = 1 if files > 1 else None
+    return ev.decode_events(ev.text_source(spark, _payload_files(spark, sf, copies, files), one_each), C_)
 
 
-def _stream_valid(spark, sf, copies: int = 1) -> DataFrame:
-    return pipeline.accepted(pipeline.gated(_stream(spark, sf, copies), gates.strict_rules(C_)))
+def _stream_valid(spark, sf, copies: int = 1, files: int = 1) -> DataFrame:
+    return pipeline.accepted(pipeline.gated(_stream(spark, sf, copies, files), gates.strict_rules(C_)))
 
 
 def _drain(spark, rows: DataFrame, partitions=()) -> DataFrame:
@@ -961,10 +964,25 @@ def stream_dlq(spark, sf):
     return rows.groupBy("reason", "payload").agg(F.count("*").alias("event_rows"))
 
 
+def _event_kpi(spark, sf) -> jobs.MinuteKpi:
+    kpis = jobs.MinuteKpi(C_, scratch_path(spark, "event-kpi"))
+    rows = _stream_valid(spark, sf, files=8)
+    jobs.each_batch(rows, kpis.handle, scratch_path(spark, "checkpoint"), trigger=NOW).awaitTermination()
+    return kpis
+
+
 @query("stream_event_kpi")
 def stream_event_kpi(spark, sf):
-    """Windows the watermark has closed when the source is drained."""
-    return _drain(spark, pipeline.minute_kpi(_stream_valid(spark, sf), C_, "event_time"))
+    """Eight batches of events in no order of time; every one of them counts."""
+    return _event_kpi(spark, sf).read(spark).drop("window_start")
+
+
+@query("stream_late_rows")
+def stream_late_rows(spark, sf):
+    """Rows of all batches, the late ones among them included."""
+    return _event_kpi(spark, sf).late(spark).agg(
+        F.sum("event_rows").alias("event_rows"), (F.sum("late_rows") > 0).alias("has_late_rows"), F.max("newest").alias("newest")
+    )
 
 
 @query("stream_kpi_1m")
@@ -986,31 +1004,51 @@ def stream_risk(spark, sf):
 
 @query("stream_dedup")
 def stream_dedup(spark, sf):
-    """The source delivers every event twice; each id is kept once."""
-    rows = _drain(spark, pipeline.deduplicated(_stream_valid(spark, sf, 2), C_))
-    return rows.select("event_id", "raw_index", "event_time")
+    """The source delivers every event twice, far apart; each id is kept once."""
+    sink = jobs.FirstSeen(C_, scratch_path(spark, "unique"))
+    rows = _stream_valid(spark, sf, 2, 4)
+    jobs.each_batch(rows, sink.handle, scratch_path(spark, "checkpoint"), trigger=NOW).awaitTermination()
+    return sink.read(spark, rows.schema).select("event_id", "raw_index", "event_time")
+
+
+def _fan_out(spark, sf):
+    kpi = stores.ParquetStore(scratch_path(spark, "kpi-state"), ["window_start", "operating_state"], ["sample_count"], compact_every=3)
+    risk_rows = stores.ParquetStore(scratch_path(spark, "risk-state"), ["equipment_id"], ["event_time", "raw_index"], compact_every=3)
+    job = jobs.FanOut(C_, gates.strict_rules(C_), scratch_path(spark, "fanout"), kpi, risk_rows)
+    source = ev.text_source(spark, _payload_files(spark, sf, 2, 4), files_per_batch=1)
+    job.start(source, scratch_path(spark, "checkpoint"), NOW).awaitTermination()
+    return job
 
 
 @query("stream_fanout")
 def stream_fanout(spark, sf):
-    base = scratch_path(spark, "fanout")
-    state = stores.ParquetStore(scratch_path(spark, "risk-state"), ["equipment_id"], ["event_time", "raw_index"])
-    job = jobs.FanOut(C_, gates.strict_rules(C_), base, risk_state=state)
-    source = ev.text_source(spark, _payload_files(spark, sf), files_per_batch=1)
-    job.start(source, scratch_path(spark, "checkpoint"), NOW).awaitTermination()
-    minutes = jobs.merge_kpi(job.read(spark, "kpi_partials"), C_)
+    job = _fan_out(spark, sf)
+    minutes = job.kpi_state.read(spark)
     parts = {
+        # rejected events have no id to know them by, so both deliveries are there
         "dead_letters": job.read(spark, "dead_letters").agg(F.count("*")),
         "readings": job.read(spark, "readings").agg(F.count("*")),
         "risk_events": job.read(spark, "risk_events").agg(F.count("*")),
         "minute_rows": minutes.agg(F.count("*")),
         "minute_samples": minutes.agg(F.sum("sample_count")),
-        "latest_raw_index": state.read(spark).agg(F.max("raw_index")),
+        "latest_raw_index": job.risk_state.read(spark).agg(F.max("raw_index")),
     }
     rows = [df.toDF("value").select(F.lit(n).alias("output"), F.col("value").cast("long")) for n, df in parts.items()]
     return reduce(DataFrame.unionByName, rows)
 
 
+@query("stream_fanout_kpi")
+def stream_fanout_kpi(spark, sf):
+    """The KPI cache after eight batches, each event delivered twice."""
+    return _fan_out(spark, sf).kpi_state.read(spark).drop("window_start")
+
+
+@query("stream_fanout_readings")
+def stream_fanout_readings(spark, sf):
+    rows = _fan_out(spark, sf).read(spark, "readings")
+    return rows.select("event_id", "raw_index", "event_time", "operating_state", *C_.names, "dt")
+
+
 # ---- quality -----------------------------------------------------------------------
 
 

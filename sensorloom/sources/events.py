@@ -12,6 +12,8 @@ from sensorloom.functions.scalars import band, finite_or
 from sensorloom.spec import Calendar, SensorSpec
 
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+#: Fractions of a second are read if they are there.
+READ_FORMAT = f"{TIME_FORMAT}[.SSSSSS]"
 CORRUPT = "_corrupt"
 
 
@@ -63,7 +65,7 @@ def decode_events(payloads: DataFrame, spec: SensorSpec, value: str = "value") -
     options = {
         "mode": "PERMISSIVE",
         "columnNameOfCorruptRecord": CORRUPT,
-        "timestampNTZFormat": TIME_FORMAT,
+        "timestampNTZFormat": READ_FORMAT,
     }
     extra = [c for c in payloads.columns if c != value]
     text = F.col(value).cast("string")
@@ -90,8 +92,9 @@ def contract_summary(validated: DataFrame) -> DataFrame:
 
 
 # earliest and latest read the whole topic or only new records; "group" resumes from the
-# query checkpoint, which is where Structured Streaming keeps consumer positions
-_START = {"earliest": "earliest", "latest": "latest", "group": "latest"}
+# query checkpoint, which is where Structured Streaming keeps consumer positions, and a
+# first start without one reads the backlog
+_START = {"earliest": "earliest", "latest": "latest", "group": "earliest"}
 
 
 def kafka_source(
@@ -105,7 +108,7 @@ def kafka_source(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", _START[start])
-        .option("failOnDataLoss", "false")
+        .option("failOnDataLoss", "true")
     )
     for key, val in (options or {}).items():
         reader = reader.option(key, val)

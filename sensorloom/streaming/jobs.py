@@ -7,13 +7,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from sensorloom.functions.gates import Rule
 from sensorloom.sources.events import decode_events
 from sensorloom.spec import SensorSpec
 from sensorloom.streaming import pipeline as p
-from sensorloom.streaming.stores import KeyValueStore, write_degraded
+from sensorloom.streaming.stores import KeyValueStore, folder_exists, write_degraded
 
 
 @dataclass(frozen=True)
@@ -57,46 +58,132 @@ def _replace(rows: DataFrame, path: str, batch_id: int, partitions: Sequence[str
     writer.parquet(f"{path}/batch={batch_id}")
 
 
+def _earlier(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame | None:
+    """Rows of the batches before ``batch_id``; none before the first."""
+    if not folder_exists(spark, path):
+        return None
+    return spark.read.schema(schema.add("batch", T.LongType())).parquet(path).filter(F.col("batch") < batch_id).drop("batch")
+
+
+def first_seen(rows: DataFrame, path: str, day: str, batch_id: int, key: str = "event_id") -> DataFrame:
+    """Rows of a batch whose id is neither repeated in it nor in an earlier batch below ``path``.
+
+    Ids are looked up in the days the batch touches, however late they are; there is no
+    watermark, so no event is lost.  A null id is never a repeat.
+    """
+    marked = rows.withColumn("_nth", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
+    once = marked.dropDuplicates([key, day, "_nth"]).drop("_nth")
+    known = _earlier(rows.sparkSession, path, T.StructType([rows.schema[key], T.StructField(day, T.StringType())]), batch_id)
+    return once if known is None else once.join(known, [key, day], "left_anti")
+
+
+@dataclass(frozen=True)
+class FirstSeen:
+    """Deduplication as a sink: each id is stored once, by day."""
+
+    spec: SensorSpec
+    path: str
+
+    def handle(self, valid: DataFrame, batch_id: int) -> None:
+        rows = p.readings_with_day(valid, self.spec)
+        _replace(first_seen(rows, self.path, self.spec.day, batch_id), self.path, batch_id, [self.spec.day])
+
+    def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
+        full = T.StructType(schema.fields).add(self.spec.day, T.StringType()).add("batch", T.LongType())
+        return spark.read.schema(full).parquet(self.path).drop("batch")
+
+
+@dataclass(frozen=True)
+class MinuteKpi:
+    """Event-time KPI of a stream from additive partials: an event counts however late it comes.
+
+    ``late`` tells per batch how many rows were older than the newest event of the batches
+    before it less ``delay``.
+    """
+
+    spec: SensorSpec
+    base: str
+    delay: str = p.WATERMARK
+
+    def handle(self, valid: DataFrame, batch_id: int) -> None:
+        spark, time = valid.sparkSession, F.col(self.spec.time)
+        kept = valid.persist()
+        try:
+            _replace(kpi_partials(kept, self.spec), f"{self.base}/partials", batch_id, [self.spec.day])
+            kind = T.StructType([T.StructField("newest", T.TimestampNTZType())])
+            before = _earlier(spark, f"{self.base}/progress", kind, batch_id)
+            newest = None if before is None else before.agg(F.max("newest")).first()[0]
+            old = F.lit(False) if newest is None else time < F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {self.delay}")
+            progress = kept.agg(F.max(time).alias("newest"), F.count(F.lit(1)).alias("event_rows"), F.count(F.when(old, 1)).alias("late_rows"))
+            _replace(progress, f"{self.base}/progress", batch_id)
+        finally:
+            kept.unpersist()
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        rows = spark.read.parquet(f"{self.base}/partials").drop("batch", self.spec.day)
+        return merge_kpi(rows, self.spec)
+
+    def late(self, spark: SparkSession) -> DataFrame:
+        return spark.read.parquet(f"{self.base}/progress")
+
+
 @dataclass(frozen=True)
 class FanOut:
-    """Dead letters, readings, KPI partials, risk events and latest state from one source."""
+    """Dead letters, readings, KPI partials, risk events and latest state from one source.
+
+    Repeats of an event id are dropped however far apart they come (``unique``).  The KPI
+    cache gets the minutes a batch touches as they are over all batches.
+    """
 
     spec: SensorSpec
     rules: Sequence[Rule]
     base: str
     kpi_state: KeyValueStore | None = None
     risk_state: KeyValueStore | None = None
+    unique: bool = True
+
+    def _outputs(self, gate: DataFrame, valid: DataFrame) -> dict[str, DataFrame]:
+        return {
+            "dead_letters": p.rejected(gate, self.spec),
+            "readings": p.readings_with_day(valid, self.spec),
+            "kpi_partials": kpi_partials(valid, self.spec),
+            "risk_events": p.scored(valid, self.spec),
+        }
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
+        spark, day = batch.sparkSession, self.spec.day
         gate = p.gated(decode_events(batch, self.spec), self.rules).persist()
+        valid = p.accepted(gate)
+        if self.unique:
+            valid = first_seen(p.readings_with_day(valid, self.spec), f"{self.base}/readings", day, batch_id).drop(day)
+        valid = valid.select(p.accepted(gate).columns).persist()
         try:
-            valid = p.accepted(gate)
-            _replace(p.rejected(gate, self.spec), f"{self.base}/dead_letters", batch_id)
-            _replace(p.readings_with_day(valid, self.spec), f"{self.base}/readings", batch_id, [self.spec.day])
-            partials = kpi_partials(valid, self.spec)
-            _replace(partials, f"{self.base}/kpi_partials", batch_id)
-            risk = p.scored(valid, self.spec)
-            _replace(risk, f"{self.base}/risk_events", batch_id, [self.spec.day])
+            outputs = self._outputs(gate, valid)
+            for name, rows in outputs.items():
+                _replace(rows, f"{self.base}/{name}", batch_id, [day] if day in rows.columns else [])
             if self.kpi_state:
-                merged = merge_kpi(partials, self.spec)
-                write_degraded(self.kpi_state, merged, batch_id)
+                touched = outputs["kpi_partials"].select(day, "window_start", self.spec.state)
+                over_all = self.read(spark, "kpi_partials").join(touched, touched.columns, "left_semi")
+                write_degraded(self.kpi_state, merge_kpi(over_all, self.spec), batch_id)
             if self.risk_state:
-                newest = p.latest_per_key(risk, ["equipment_id"], [self.spec.time, self.spec.row_id])
+                newest = p.latest_per_key(outputs["risk_events"], ["equipment_id"], [self.spec.time, self.spec.row_id])
                 write_degraded(self.risk_state, newest, batch_id)
         finally:
+            valid.unpersist()
             gate.unpersist()
 
     def start(self, payloads: DataFrame, checkpoint: str, trigger: Trigger = Trigger()) -> StreamingQuery:
         return each_batch(payloads, self.handle, checkpoint, trigger=trigger)
 
     def read(self, spark: SparkSession, output: str) -> DataFrame:
-        rows = spark.read.parquet(f"{self.base}/{output}").drop("batch")
-        day = self.spec.day  # partition discovery reads the day text as a date
-        return rows.withColumn(day, F.col(day).cast("string")) if day in rows.columns else rows
+        """An output over all batches; the schema is declared, as a day folder may not exist yet."""
+        nothing = p.gated(decode_events(spark.createDataFrame([], "value string"), self.spec), self.rules)
+        schema = self._outputs(nothing, p.accepted(nothing))[output].schema
+        return spark.read.schema(schema.add("batch", T.LongType())).parquet(f"{self.base}/{output}").drop("batch")
 
 
 def kpi_partials(valid: DataFrame, spec: SensorSpec, averages: Sequence[str] = p.KPI_AVERAGES) -> DataFrame:
-    """Sums and counts per event minute and state of one batch; batches add up."""
+    """Sums and counts per event minute and state of one batch, with the day; batches add up."""
     minute = F.window(F.col(spec.time), "1 minute")["start"].alias("window_start")
     state = F.coalesce(F.col(spec.state), F.lit("unknown")).alias(spec.state)
     return valid.groupBy(minute, state).agg(
@@ -104,7 +191,7 @@ def kpi_partials(valid: DataFrame, spec: SensorSpec, averages: Sequence[str] = p
         F.sum(F.when(F.col(spec.flag) == 1, 1).otherwise(0)).alias("failure_sample_count"),
         *[F.sum(c).alias(f"sum_{c}") for c in averages],
         *[F.count(c).alias(f"count_{c}") for c in averages],
-    )
+    ).withColumn(spec.day, F.date_format("window_start", "yyyy-MM-dd"))
 
 
 def merge_kpi(partials: DataFrame, spec: SensorSpec, averages: Sequence[str] = p.KPI_AVERAGES) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 from typing import Protocol
 
@@ -25,39 +26,78 @@ def store_key(prefix: str, *parts: Column) -> Column:
 
 
 class ParquetStore:
-    """One folder per batch, replaced when the batch is repeated; reads merge by order."""
-
-    def __init__(self, path: str, keys: Sequence[str], order: Sequence[str], ttl_seconds: int | None = None):
-        self.path, self.keys, self.order, self.ttl_seconds = path, list(keys), list(order), ttl_seconds
+    """One folder per batch, replaced when the batch is repeated; reads merge by order.
+
+    Every ``compact_every`` batches the folders so far are folded into a new one, so that
+    neither reads nor folders grow with time; keys past their TTL go then.
+    """
+
+    def __init__(
+        self,
+        path: str,
+        keys: Sequence[str],
+        order: Sequence[str],
+        ttl_seconds: int | None = None,
+        written_at: str | None = None,
+        compact_every: int | None = 100,
+    ):
+        self.path, self.keys, self.order = path, list(keys), list(order)
+        self.ttl_seconds, self.written_at, self.compact_every = ttl_seconds, written_at, compact_every
 
     def write(self, latest: DataFrame, batch_id: int) -> None:
-        latest.write.mode("overwrite").parquet(f"{self.path}/batch={batch_id}")
+        latest.write.mode("overwrite").parquet(f"{self.path}/part=b{batch_id}")
+        if self.compact_every and batch_id and batch_id % self.compact_every == 0:
+            self.compact(latest.sparkSession, batch_id)
 
-    def compact(self, spark: SparkSession, upto: int) -> None:
-        """Fold the batches before ``upto`` into it, so that reads do not grow with time.
+    def compact(self, spark: SparkSession, upto: int, now: Column | None = None) -> None:
+        """Fold the batches up to ``upto`` and earlier folds into a new folder, then remove them.
 
-        Run between triggers.  The merged rows are complete before any folder is replaced,
-        and older folders are emptied last: stopping in between leaves only repeats, which
-        reads merge away.
+        Nothing is overwritten: the new folder is complete before an old one goes, and a stop
+        at any point leaves repeats at most, which reads merge away.
         """
-        rows = spark.read.parquet(self.path)
-        old = rows.filter(F.col("batch") <= upto).drop("batch")
-        latest_per_key(old, self.keys, self.order).write.mode("overwrite").parquet(f"{self.path}-merge/batch={upto}")
-        merged = spark.read.parquet(f"{self.path}-merge/batch={upto}")
-        numbers = [r["batch"] for r in rows.select("batch").distinct().filter(F.col("batch") < upto).collect()]
-        merged.write.mode("overwrite").parquet(f"{self.path}/batch={upto}")
-        for number in numbers:  # one entry per batch since the last compaction
-            merged.limit(0).write.mode("overwrite").parquet(f"{self.path}/batch={number}")
+        files = _files(spark, self.path)
+        old = [n for n in files.names() if n.startswith("part=m") or n.startswith("part=b") and int(n[len("part=b") :]) <= upto]
+        if not old:
+            return
+        rows = spark.read.option("basePath", self.path).parquet(*[f"{self.path}/{n}" for n in old]).drop("part")
+        self._alive(latest_per_key(rows, self.keys, self.order), now).write.parquet(f"{self.path}/part=m{upto}-{uuid.uuid4().hex}")
+        for name in old:
+            files.remove(name)
+
+    def _alive(self, newest: DataFrame, now: Column | None, written_at: str | None = None) -> DataFrame:
+        stamp = written_at or self.written_at
+        if not self.ttl_seconds or not stamp:
+            return newest
+        moment = F.current_timestamp() if now is None else now
+        return newest.filter(F.unix_timestamp(moment) - F.unix_timestamp(F.col(stamp)) <= self.ttl_seconds)
 
     def read(self, spark: SparkSession, now: Column | None = None, written_at: str | None = None) -> DataFrame:
         """Newest row per key; with a TTL, keys last written too long ago are left out."""
-        rows = spark.read.parquet(self.path).drop("batch")
-        newest = latest_per_key(rows, self.keys, self.order)
-        if self.ttl_seconds and written_at:
-            moment = F.current_timestamp() if now is None else now
-            age = F.unix_timestamp(moment) - F.unix_timestamp(F.col(written_at))
-            newest = newest.filter(age <= self.ttl_seconds)
-        return newest
+        rows = spark.read.parquet(self.path).drop("part")
+        return self._alive(latest_per_key(rows, self.keys, self.order), now, written_at)
+
+
+class _files:
+    """Names in a folder of whatever file system the session can reach."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        jvm = spark.sparkContext._jvm
+        self.make = jvm.org.apache.hadoop.fs.Path
+        self.path = path
+        self.fs = self.make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+    def exists(self) -> bool:
+        return self.fs.exists(self.make(self.path))
+
+    def names(self) -> list[str]:
+        return [f.getPath().getName() for f in self.fs.listStatus(self.make(self.path))] if self.exists() else []
+
+    def remove(self, name: str) -> None:
+        self.fs.delete(self.make(f"{self.path}/{name}"), True)
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    return _files(spark, path).exists()
 
 
 def write_degraded(store: KeyValueStore, latest: DataFrame, batch_id: int) -> bool:

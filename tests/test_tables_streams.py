@@ -187,3 +187,79 @@ def test_stream_watermark_drops_late_rows_and_dedups(spark, tmp_path):
     unique = pipeline.deduplicated(pipeline.accepted(pipeline.gated(events, gates.strict_rules(COMPRESSOR))), COMPRESSOR)
     jobs.append_parquet(unique, twice, str(tmp_path / "cp2"), trigger=NOW).awaitTermination()
     assert spark.read.parquet(twice).count() == 2
+
+
+def valid_events(spark, folder):
+    return pipeline.accepted(pipeline.gated(ev.decode_events(ev.text_source(spark, str(folder), 1), COMPRESSOR), gates.strict_rules(COMPRESSOR)))
+
+
+def test_late_events_count_and_are_counted(spark, tmp_path):
+    inbox = tmp_path / "in"
+    times = ["2020-04-18 00:05:00", "2020-04-18 00:00:10", "2020-04-18 00:05:30.250", "2020-04-17 23:59:59"]
+    for i, t in enumerate(times):
+        put(inbox, f"{i}.json", event(event_id=f"e{i}", event_time=t))
+    job = jobs.MinuteKpi(COMPRESSOR, str(tmp_path / "kpi"))
+    jobs.each_batch(valid_events(spark, inbox), job.handle, str(tmp_path / "cp"), trigger=NOW).awaitTermination()
+    got = {r["minute_bucket"]: r["sample_count"] for r in job.read(spark).collect()}
+    assert got == {"2020-04-17 23:59:00": 1, "2020-04-18 00:00:00": 1, "2020-04-18 00:05:00": 2}
+    assert sum(r["late_rows"] for r in job.late(spark).collect()) == 2
+
+
+def test_first_seen_keeps_an_id_once_over_batches_and_replays(spark, tmp_path):
+    inbox = tmp_path / "in"
+    put(inbox, "1.json", event(event_id="a"), event(event_id="a"), event(event_id="b"))
+    put(inbox, "2.json", event(event_id="b"), event(event_id="old", event_time="2020-02-01 00:00:00.5"))
+    put(inbox, "3.json", event(event_id="a"))
+    rows = valid_events(spark, inbox)
+    sink = jobs.FirstSeen(COMPRESSOR, str(tmp_path / "out"))
+    jobs.each_batch(rows, sink.handle, str(tmp_path / "cp"), trigger=NOW).awaitTermination()
+    assert sorted(r["event_id"] for r in sink.read(spark, rows.schema).collect()) == ["a", "b", "old"]
+    again = pipeline.accepted(pipeline.gated(ev.decode_events(spark.read.text(str(inbox / "1.json")), COMPRESSOR), gates.strict_rules(COMPRESSOR)))
+    sink.handle(again, 0)
+    assert sorted(r["event_id"] for r in sink.read(spark, rows.schema).collect()) == ["a", "b", "old"]
+
+
+def test_kpi_cache_over_batches_and_rejected_only_output(spark, tmp_path):
+    inbox = tmp_path / "in"
+    for i in range(4):
+        put(inbox, f"{i}.json", event(event_id=f"e{i}", raw_index=i, event_time=f"2020-04-18 00:00:{10 * i:02d}"), event(event_id="e0", raw_index=0, event_time="2020-04-18 00:00:00"))
+    cache = stores.ParquetStore(str(tmp_path / "kpi"), ["window_start", "operating_state"], ["sample_count"], compact_every=2)
+    job = jobs.FanOut(COMPRESSOR, gates.strict_rules(COMPRESSOR), str(tmp_path / "out"), cache)
+    job.start(ev.text_source(spark, str(inbox), 1), str(tmp_path / "cp"), NOW).awaitTermination()
+    assert [r["sample_count"] for r in cache.read(spark).collect()] == [4]
+    put(tmp_path / "bad", "1.json", "{cut")
+    empty = jobs.FanOut(COMPRESSOR, gates.strict_rules(COMPRESSOR), str(tmp_path / "none"))
+    empty.start(ev.text_source(spark, str(tmp_path / "bad")), str(tmp_path / "cp2"), NOW).awaitTermination()
+    assert empty.read(spark, "readings").count() == 0 and empty.read(spark, "dead_letters").count() == 1
+
+
+def test_compaction_stopped_anywhere_loses_nothing(spark, tmp_path, monkeypatch):
+    store = stores.ParquetStore(str(tmp_path / "s"), ["k"], ["t"], ttl_seconds=60, written_at="at", compact_every=None)
+    now = F.lit("2024-01-01 00:02:00").cast("timestamp")
+    for batch in range(4):
+        store.write(spark.createDataFrame([("a", batch, "2024-01-01 00:01:30"), (f"k{batch}", batch, "2024-01-01 00:00:00")], "k string, t int, at string"), batch)
+
+    def stop(self, name):
+        raise InterruptedError(name)
+
+    monkeypatch.setattr(stores._files, "remove", stop)
+    with pytest.raises(InterruptedError):
+        store.compact(spark, 2, now)
+    assert [tuple(r) for r in store.read(spark, now).collect()] == [("a", 3, "2024-01-01 00:01:30")]
+    monkeypatch.undo()
+    store.compact(spark, 3, now)
+    assert spark.read.parquet(store.path).count() == 1
+    assert [tuple(r) for r in store.read(spark, now).collect()] == [("a", 3, "2024-01-01 00:01:30")]
+
+
+def test_reload_of_a_day_and_of_the_whole_table(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = spark.createDataFrame([(i, f"2024-01-0{1 + i % 3}") for i in range(30)], "v int, dt string")
+    assert sinks.verified_write(rows, path, ["dt"]).first()["written_rows"] == 30
+    day = rows.filter("dt = '2024-01-02'").limit(4)
+    assert sinks.verified_write(day, path, ["dt"]).first()["written_rows"] == 4
+    assert spark.read.parquet(path).count() == 24
+    assert sinks.verified_write(day, path, ["dt"], whole_table=True).first()["written_rows"] == 4
+    assert spark.read.parquet(path).count() == 4
+    with pytest.raises(RuntimeError):
+        sinks.verified_write(rows.limit(0), path, ["dt"], conserve=False)
