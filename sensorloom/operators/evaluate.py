@@ -125,7 +125,12 @@ def threshold_sweep(df: DataFrame, score: str, label: str) -> DataFrame:
     narrow = df.select(F.col(score).cast("double").alias("_s"), F.col(label).cast("long").alias("_y"))
     classes = narrow.agg(F.min("_y").alias("lo"), F.max("_y").alias("hi")).first()
     shares = sweep_shares() if classes["lo"] != classes["hi"] else [SINGLE_CLASS_SHARE]
-    thresholds = sorted(set(exact_quantiles(narrow, ["_s"], shares)["_s"]))
+    thresholds = sorted({t for t in exact_quantiles(narrow, ["_s"], shares)["_s"] if t is not None})
+    if not thresholds:  # no score at all: no threshold to try
+        counts = ", ".join(f"{c} long" for c in ("tp", "fp", "fn", "tn"))
+        schema = f"threshold double, {counts}, precision double, recall double, f1 double, is_best int"
+        return df.sparkSession.createDataFrame([], schema)
+    narrow = narrow.filter(F.col("_s").isNotNull() & ~F.isnan("_s"))
     splits = [-float("inf"), *thresholds, float("inf")]
     binned = Bucketizer(splits=splits, inputCol="_s", outputCol="_bin").transform(narrow)
     bins = binned.groupBy("_bin").agg(F.sum("_y").alias("_p"), F.count("*").alias("_n"))

@@ -102,7 +102,7 @@ def bucket_features(changed: DataFrame, spec: SensorSpec) -> DataFrame:
     digital = []
     for name in spec.digital:
         digital += [
-            F.sum(name).alias(f"active_count_{name}"),
+            F.coalesce(F.sum(name), F.lit(0.0)).alias(f"active_count_{name}"),
             F.sum(f"toggle_{name}").alias(f"toggle_count_{name}"),
         ]
     states = one_hot(F.col(spec.state), spec.bands.states, "state_")

@@ -53,6 +53,24 @@ def _position(df: DataFrame, name: str, descending: bool = False) -> Column:
     return F.coalesce(F.nanvl(value, F.lit(math.inf)), F.lit(-math.inf))
 
 
+def _exact(df: DataFrame, name: str, descending: bool = False) -> Column:
+    """A value that sorts like the column without loss where ``_position`` rounds: longs and times.
+
+    A bitwise complement turns the order of longs around exactly.  Nulls are told apart by the
+    position, and other types are exact in it.
+    """
+    kind = df.schema[name].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        value = epoch_micros(F.col(name)).cast("long")
+    elif isinstance(kind, T.LongType):
+        value = F.col(name)
+    elif isinstance(kind, T.DecimalType):
+        return -F.col(name) if descending else F.col(name)
+    else:
+        return F.lit(0)
+    return F.bitwise_not(value) if descending else value
+
+
 @dataclass(frozen=True)
 class Slices:
     """Borders of the slices; a pure function of key and tie, so retries agree."""
@@ -71,21 +89,24 @@ class Slices:
         return not self.borders
 
     def attach(self, df: DataFrame) -> DataFrame:
-        """Add ``_pos``, ``_tie`` (sort columns) and ``_slice``, ``_cut`` (group columns)."""
+        """Add ``_pos``, ``_key``, ``_tie``, ``_last`` (sort columns) and ``_slice``, ``_cut`` (group columns)."""
         tie = _position(df, self.order.tie) if self.order.tie else F.lit(0.0)
-        out = df.withColumns({"_pos": _position(df, self.order.key, self.order.descending), "_tie": tie})
+        exact = {"_key": _exact(df, self.order.key, self.order.descending), "_last": _exact(df, self.order.tie) if self.order.tie else F.lit(0)}
+        out = df.withColumns({"_pos": _position(df, self.order.key, self.order.descending), "_tie": tie, **exact})
         if self.whole:
             return out.withColumns({"_slice": F.lit(0.0), "_cut": F.lit(0.0)})
         out = _bucketize(out, self.borders, "_pos", "_slice")
         if not self.tie_borders:
             return out.withColumn("_cut", F.lit(0.0))
         out = _bucketize(out, self.tie_borders, "_tie", "_cut")
-        return out.withColumn("_cut", F.when(F.col("_pos").isin(*self.hot), F.col("_cut")).otherwise(0.0))
+        # beyond 2**53 a position may stand for several keys, which a cut by the tie would mix
+        cut = F.col("_pos").isin(*self.hot) & (F.abs("_pos") < F.lit(float(1 << 53)))
+        return out.withColumn("_cut", F.when(cut, F.col("_cut")).otherwise(0.0))
 
     @property
     def sort(self) -> list[Column]:
         last = [F.col(self.order.text_tie)] if self.order.text_tie else []
-        return [F.col("_pos"), F.col("_tie"), *last]
+        return [F.col("_pos"), F.col("_key"), F.col("_tie"), F.col("_last"), *last]
 
     def spread(self, keyed: DataFrame) -> DataFrame:
         """Enough shuffle partitions for about one slice per task.
@@ -155,7 +176,7 @@ def _quantiles(df: DataFrame, name: str, count: int) -> list[float]:
 
 
 def _drop_helpers(df: DataFrame) -> DataFrame:
-    return df.drop("_pos", "_tie", "_slice", "_cut")
+    return df.drop("_pos", "_key", "_tie", "_last", "_slice", "_cut")
 
 
 def with_previous(
@@ -240,7 +261,7 @@ def ordered_split(df: DataFrame, order: Order, share: float = 0.7) -> DataFrame:
     """Add ``split``: 'train' for the first ``int(share * n)`` rows in order, else 'test'.
 
     Both sides keep at least one row.  Only the slice that holds the cut is ranked; the
-    rest is decided by comparing with the cut row.
+    rest is decided by the place of its slice.
     """
     total = df.count()
     cut = max(1, min(int(total * share), total - 1))
@@ -252,17 +273,16 @@ def ordered_split(df: DataFrame, order: Order, share: float = 0.7) -> DataFrame:
         sizes.withColumn("_upto", F.sum("count").over(upto))
         .filter((F.col("_upto") >= cut) & (F.col("_upto") - F.col("count") < cut))
         .select("_slice", "_cut", (F.lit(cut) - F.col("_upto") + F.col("count")).alias("_nth"))
+        .first()
     )
-    sort = F.struct(*slices.sort)
-    edge = (
-        keyed.join(F.broadcast(holder), ["_slice", "_cut"])
-        .withColumn("_rank", F.row_number().over(slices.window()))
-        .filter(F.col("_rank") == F.col("_nth"))
-        .select(sort.alias("_edge"))
-        .first()["_edge"]
-    )
-    in_train = sort <= F.struct(*[F.lit(v) for v in edge])
-    return _drop_helpers(keyed.withColumn("split", F.when(in_train, "train").otherwise("test")))
+    if holder is None:  # no rows
+        return df.withColumn("split", F.lit("train"))
+    at, place = F.struct(F.lit(holder["_slice"]), F.lit(holder["_cut"])), F.struct("_slice", "_cut")
+    side = lambda first: F.when(first, "train").otherwise("test")
+    others = keyed.filter(place != at).withColumn("split", side(place < at))
+    ranked = keyed.filter(place == at).withColumn("_rank", F.row_number().over(slices.window()))
+    inside = ranked.withColumn("split", side(F.col("_rank") <= holder["_nth"])).drop("_rank")
+    return _drop_helpers(others.unionByName(inside))
 
 
 def seconds_to_next(

@@ -45,8 +45,9 @@ def exact_quantiles(
     bracket_rows: int = _BRACKET_ROWS,
     sample_rows: int = _SAMPLE_ROWS,
 ) -> dict[str, list[float | None]]:
-    """Linear-interpolated quantiles of the non-null values, per column."""
-    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    """Linear-interpolated quantiles per column of the values that are neither null nor NaN, None if there are none."""
+    values = {c: F.col(c).cast("double") for c in columns}
+    narrow = df.select(*[F.when(~F.isnan(v), v).alias(c) for c, v in values.items()])
     if narrow.count() * len(columns) <= small_cells:
         row = narrow.agg(*[F.percentile(c, list(shares)).alias(c) for c in columns]).first()
         return {c: list(row[c]) if row[c] is not None else [None] * len(shares) for c in columns}

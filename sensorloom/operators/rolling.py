@@ -122,8 +122,7 @@ def with_rolling(
     if unknown:
         raise ValueError(f"unknown rolling statistics: {sorted(unknown)}")
     reach = max((rows for _, _, rows in stats), default=1) - 1
-    if reach > block_rows:
-        raise ValueError("a frame may not be longer than a block")
+    block_rows = max(block_rows, reach + 1)  # a frame reaches into the block before its own at most
     blocks = _with_halo(with_bucket_index(df, bucket, unit, by), reach, block_rows)
     names = [f"roll{n}_{stat}_{column}" for stat, column, n in stats]
     kept = df.columns

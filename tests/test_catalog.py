@@ -7,6 +7,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from catalog.oracle import ORACLE
+from catalog.queries import QUERIES
 from tools.check_oracle import rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -36,7 +38,8 @@ def test_query_equals_sql(spark, tables, name):
 
 def test_contract_of_the_entry_points(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    without_sql = set(entry.queries()) - set(entry.oracle_sql())
+    assert set(QUERIES) <= set(entry.queries())
+    without_sql = set(QUERIES) - set(ORACLE)
     assert without_sql == {
         "compressor_feature_table", "model_logistic", "model_gradient", "model_forest", "model_iforest", "top_weights", "score_table",
     }

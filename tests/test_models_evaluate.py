@@ -156,3 +156,19 @@ def test_class_weights_are_capped(spark):
     df = spark.createDataFrame([(1,)] + [(0,)] * 999, "y int")
     got = {r["label"]: r["class_weight"] for r in evaluate.class_weights(df, "y").collect()}
     assert got[1] == 30.0 and got[0] == pytest.approx(1000 / 1998)
+
+
+def test_quantiles_ignore_nan_and_null_alike_at_any_size(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(float(i % 97), nan if i % 3 else float(i), None, -inf if i == 5 else inf if i == 6 else None if i % 2 else 1.0) for i in range(2000)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    small = exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.9])
+    large = exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.9], small_cells=0, bracket_rows=50, sample_rows=200)
+    assert small == large and small["c"] == [None] * 3
+
+
+def test_sweep_without_scores(spark):
+    from sensorloom.operators.evaluate import threshold_sweep
+
+    df = spark.createDataFrame([(None, 1), (None, 0)], "s double, y int")
+    assert threshold_sweep(df, "s", "y").count() == 0

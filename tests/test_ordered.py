@@ -124,3 +124,19 @@ def test_sliced_plan_has_no_single_task_window(spark):
     slices = ordered.plan_slices(df, order, 300)
     plan = ordered.with_previous(df, order, ["v"], slices=slices)._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_ties_and_keys_beyond_doubles_are_exact(spark):
+    base = 1 << 60
+    rows = [(1, base + i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k long, id long").repartition(5)
+    for order in (ordered.Order("k", "id"), ordered.Order("id")):
+        slices = ordered.plan_slices(df, order, rows_per_slice=200)
+        got = ordered.with_previous(df, order, ["id"], slices=slices).filter("_prev is not null")
+        assert got.count() == 2999 and got.filter("_prev.id <> id - 1").count() == 0
+        assert ordered.with_index(df, order, slices=slices).filter(F.col("_index") != F.col("id") - base + 1).count() == 0
+    down = ordered.Order("id", descending=True)
+    got = ordered.with_previous(df, down, ["id"], slices=ordered.plan_slices(df, down, rows_per_slice=200)).filter("_prev is not null")
+    assert got.count() == 2999 and got.filter("_prev.id <> id + 1").count() == 0
+    split = ordered.ordered_split(df, ordered.Order("k", "id"), 0.7)
+    assert split.filter("split = 'train'").agg(F.count("*"), F.max("id")).first() == (2100, base + 2099)

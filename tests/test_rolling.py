@@ -56,5 +56,14 @@ def test_rejects_bad_requests(spark):
     df = spark.createDataFrame([("2024-01-01", 1.0)], "b string, v double").withColumn("b", F.col("b").cast("timestamp"))
     with pytest.raises(ValueError):
         rolling.with_rolling(df, "b", "minute", [("median", "v", 5)])
-    with pytest.raises(ValueError):
-        rolling.with_rolling(df, "b", "minute", [("mean", "v", 60)], block_rows=10)
+
+
+def test_a_frame_may_be_longer_than_a_block(spark):
+    import datetime as dt
+
+    rows = [(dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), float(i)) for i in range(300)]
+    df = spark.createDataFrame(rows, "m timestamp_ntz, v double")
+    got = rolling.with_rolling(df, "m", "minute", [("mean", "v", 150)], block_rows=16).collect()
+    for r in got:
+        low = max(0, int(r["v"]) - 149)
+        assert abs(r["roll150_mean_v"] - (low + r["v"]) / 2) < 1e-9
