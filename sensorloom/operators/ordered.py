@@ -11,6 +11,7 @@ more by the tie breaker.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -73,12 +74,15 @@ def _exact(df: DataFrame, name: str, descending: bool = False) -> Column:
 
 @dataclass(frozen=True)
 class Slices:
-    """Borders of the slices; a pure function of key and tie, so retries agree."""
+    """Borders of the slices; a pure function of key and tie, so retries agree.
+
+    ``hot`` has the tie borders of each instant that several borders fall on, as many as
+    fall on it, so there are at most twice as many groups as slices asked for.
+    """
 
     order: Order
     borders: tuple[float, ...] = ()
-    hot: tuple[float, ...] = ()
-    tie_borders: tuple[float, ...] = ()
+    hot: tuple[tuple[float, tuple[float, ...]], ...] = ()
 
     @property
     def columns(self) -> list[str]:
@@ -96,12 +100,14 @@ class Slices:
         if self.whole:
             return out.withColumns({"_slice": F.lit(0.0), "_cut": F.lit(0.0)})
         out = _bucketize(out, self.borders, "_pos", "_slice")
-        if not self.tie_borders:
+        if not self.hot:
             return out.withColumn("_cut", F.lit(0.0))
-        out = _bucketize(out, self.tie_borders, "_tie", "_cut")
+        table = df.sparkSession.createDataFrame([(h, list(b)) for h, b in self.hot], "_pos double, _edges array<double>")
+        out = out.join(F.broadcast(table), "_pos", "left")  # no more rows than slices
+        passed = F.size(F.filter("_edges", lambda e: e <= F.col("_tie"))).cast("double")
         # beyond 2**53 a position may stand for several keys, which a cut by the tie would mix
-        cut = F.col("_pos").isin(*self.hot) & (F.abs("_pos") < F.lit(float(1 << 53)))
-        return out.withColumn("_cut", F.when(cut, F.col("_cut")).otherwise(0.0))
+        single = (F.abs("_pos") < F.lit(float(1 << 53))) | (F.col("_pos") == -math.inf)
+        return out.withColumn("_cut", F.when(F.col("_edges").isNotNull() & single, passed).otherwise(0.0)).drop("_edges")
 
     @property
     def sort(self) -> list[Column]:
@@ -114,9 +120,9 @@ class Slices:
         The session default may be far below the number of slices; adaptive execution can
         merge partitions but does not split the input of a window.
         """
-        groups = len(self.borders) + len(self.hot) * len(self.tie_borders) + 1
+        groups = len(self.borders) + sum(len(b) for _, b in self.hot) + 1
         default = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return keyed.repartition(min(groups, MAX_SLICES), *self.columns) if groups > default else keyed
+        return keyed.repartition(groups, *self.columns) if groups > default else keyed
 
     def window(self):
         return Window.partitionBy(*self.columns).orderBy(*self.sort)
@@ -156,17 +162,28 @@ def plan_slices(df: DataFrame, order: Order, rows_per_slice: int = ROWS_PER_SLIC
     share = min(1.0, 1.2 * wanted / total)
     sample = keyed if share >= 1.0 else keyed.sample(share, seed=17)
     found = _quantiles(sample, "k", count)
-    hot = sorted({a for a, b in zip(found, found[1:]) if a == b})
-    borders = sorted(set(found) | {math.nextafter(h, math.inf) for h in hot})
+    times = {h: n for h, n in Counter(found).items() if n > 1}
+    borders = sorted(set(found) | {math.nextafter(h, math.inf) for h in times})
     borders = [b for b in borders if math.isfinite(b)]
     if not borders:
         return Slices(order)
-    tie_borders: list[float] = []
-    if hot and order.tie:
-        at_hot = sample.filter(F.col("k").isin(*hot))
-        tie_borders = sorted(set(_quantiles(at_hot, "t", count)))
-        tie_borders = [b for b in tie_borders if math.isfinite(b)]
-    return Slices(order, tuple(borders), tuple(hot), tuple(tie_borders))
+    return Slices(order, tuple(borders), _tie_borders(sample, times) if order.tie else ())
+
+
+def _tie_borders(sample: DataFrame, times: Mapping[float, int]) -> tuple[tuple[float, tuple[float, ...]], ...]:
+    """Quantiles of the tie at each hot instant, about as many as borders fall on it."""
+    found = []
+    by_size: dict[int, list[float]] = {}
+    for instant, n in times.items():
+        by_size.setdefault(1 << (n - 1).bit_length(), []).append(instant)
+    for n, instants in sorted(by_size.items()):
+        shares = [i / n for i in range(1, n)]
+        at = sample.filter(F.col("k").isin(*instants)).groupBy("k").agg(F.percentile_approx("t", shares, 10 * n).alias("q"))
+        for row in at.collect():  # as many numbers in all as there are slices, at most twice
+            edges = tuple(b for b in sorted(set(row["q"] or [])) if math.isfinite(b))
+            if edges:
+                found.append((row["k"], edges))
+    return tuple(sorted(found))
 
 
 def _quantiles(df: DataFrame, name: str, count: int) -> list[float]:

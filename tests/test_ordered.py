@@ -30,7 +30,7 @@ def test_previous_and_running_totals_equal_pandas(spark, seed, keys):
     by = ("key",) if keys > 1 else ()
     order = Order("time", "id", by)
     slices = ordered.plan_slices(df, order, rows_per_slice=40)
-    assert slices.hot and slices.tie_borders
+    assert slices.hot
     got = ordered.with_previous(df, order, ["v", "id"], "_p", slices, "seq")
     got = ordered.with_running_totals(got, order, {"n": F.lit(1), "s": F.col("v")}, slices)
     got = got.select("id", "_p.*", "seq", "n", "s").toDF("id", "pv", "pid", "seq", "n", "s").toPandas().set_index("id")
@@ -140,3 +140,17 @@ def test_ties_and_keys_beyond_doubles_are_exact(spark):
     assert got.count() == 2999 and got.filter("_prev.id <> id + 1").count() == 0
     split = ordered.ordered_split(df, ordered.Order("k", "id"), 0.7)
     assert split.filter("split = 'train'").agg(F.count("*"), F.max("id")).first() == (2100, base + 2099)
+
+
+def test_groups_stay_within_twice_the_slices_on_daily_times(spark):
+    rows = 20_000
+    df = spark.range(rows).select((F.col("id") % 40).alias("day"), F.col("id").alias("tie"), F.pmod(F.xxhash64("id"), F.lit(7)).alias("v"))
+    order = ordered.Order("day", "tie")
+    slices = ordered.plan_slices(df, order, rows_per_slice=100)
+    keyed = slices.attach(df)
+    groups = keyed.groupBy("_slice", "_cut").count()
+    assert groups.count() <= 2 * (rows // 100) + 40
+    assert groups.agg(F.max("count")).first()[0] <= 400
+    got = ordered.with_index(df, order, slices=slices)
+    wrong = got.filter(F.col("_index") != F.col("day") * (rows // 40) + F.floor(F.col("tie") / 40) + 1)
+    assert wrong.count() == 0
