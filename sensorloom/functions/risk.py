@@ -130,10 +130,22 @@ def level(value: Column, rules: RiskRules = RiskRules()) -> Column:
     )
 
 
+@dataclass(frozen=True)
+class SourceTags:
+    """What consumers of scores expect to read about where a score is from."""
+
+    given: str = "provided_risk_score"
+    model: str = "model_score"
+    rules: str = "signal_rules"
+    given_reason: str = "passed_through_existing_risk_score"
+    model_reason: str = "passed_through_model_score"
+
+
 def passthrough(
     given: Column | None = None,
     model: Column | None = None,
     rules: RiskRules = RiskRules(),
+    tags: SourceTags = SourceTags(),
 ) -> tuple[Column, Column, Column]:
     """(score, reasons, source): a given score, else a model score, else the rules.
 
@@ -144,14 +156,14 @@ def passthrough(
     second = none if model is None else null_if_not_finite(model)
     value = clip(F.coalesce(first, second, raw_score(rules)))
     reasons = (
-        F.when(first.isNotNull(), F.array(F.lit("passed_through_existing_risk_score")))
-        .when(second.isNotNull(), F.array(F.lit("passed_through_model_score")))
+        F.when(first.isNotNull(), F.array(F.lit(tags.given_reason)))
+        .when(second.isNotNull(), F.array(F.lit(tags.model_reason)))
         .otherwise(component_reasons(rules))
     )
     source = (
-        F.when(first.isNotNull(), F.lit("provided_risk_score"))
-        .when(second.isNotNull(), F.lit("model_score"))
-        .otherwise(F.lit("signal_rules"))
+        F.when(first.isNotNull(), F.lit(tags.given))
+        .when(second.isNotNull(), F.lit(tags.model))
+        .otherwise(F.lit(tags.rules))
     )
     return value, reasons, source
 

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sensorloom.models.matrix import with_vector
@@ -17,7 +18,6 @@ TREES = 120
 SAMPLE = 256
 OFFSET = 0.5
 _SPARE = 4  # candidates kept per tree, as a multiple of the sample size
-_RARE = 0.1  # expected trees per row below which trees may draw disjoint samples
 
 _NODES = "tree int, node int, feature int, split double, left int, right int, depth double"
 
@@ -95,20 +95,30 @@ class IsolationModel:
 
 
 def _draw(rows: DataFrame, row_id: str, trees: int, share: float, seed: int) -> DataFrame:
-    """Rows tagged with the tree that draws them; by hash, so a retry draws the same ones."""
-    span = 1 << 40
+    """Rows tagged with the trees that draw them, each with probability ``share``.
 
-    def chance(*parts) -> Column:
-        return F.pmod(F.xxhash64(F.col(row_id), *parts, F.lit(seed)), F.lit(span))
-
-    if share * trees <= _RARE:
-        # a row hardly ever serves two trees: one hash decides whether, another for which
-        kept = rows.filter(chance() < F.lit(int(share * trees * span)))
-        return kept.withColumn("tree", F.pmod(F.xxhash64(F.col(row_id), F.lit(seed + 1)), F.lit(trees)).cast("int"))
-    picks = F.filter(
-        F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: chance(t) < F.lit(int(share * span))
-    )
-    return rows.select(row_id, "x", F.explode(picks).alias("tree"))
+    One hash decides how many trees a row serves (a binomial number, as if every tree drew by
+    itself), another one which; so rows that serve none cost one hash, and a retry draws the
+    same rows.
+    """
+    span = 1 << 40
+    at_most, borders = 0.0, []
+    for k in range(trees):
+        at_most += math.comb(trees, k) * share**k * (1 - share) ** (trees - k)
+        if at_most >= 1 - 1e-12:
+            break
+        borders.append(int(at_most * span))
+    if not borders:
+        return rows.limit(0).select(row_id, "x", F.lit(0).alias("tree"))
+    number = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed)), F.lit(span))
+    served = F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in borders]), lambda b: number >= b))
+    kept = rows.filter(number >= borders[0])
+    # steps that share no factor with the number of trees meet each tree once
+    step = next(s for s in range(max(1, round(trees * 0.618)), 2 * trees + 2) if math.gcd(s, trees) == 1)
+    first = F.pmod(F.xxhash64(F.col(row_id), F.lit(seed + 1)), F.lit(trees))
+    counted = kept.select(row_id, "x", served.alias("_n"), first.alias("_first"))
+    picks = F.transform(F.sequence(F.lit(0), F.col("_n") - 1), lambda j: F.pmod(F.col("_first") + j * step, F.lit(trees)).cast("int"))
+    return counted.filter("_n > 0").select(row_id, "x", F.explode(picks).alias("tree"))
 
 
 def fit_isolation(

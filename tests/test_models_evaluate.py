@@ -143,6 +143,16 @@ def test_rare_draws_are_spread_over_the_trees(spark):
     assert len(got) == 20 and all(280 < r["count"] < 540 for r in got)
 
 
+@pytest.mark.parametrize("share", [1.0, 0.6, 0.05])
+def test_a_tree_draws_as_if_by_itself(spark, share):
+    rows = spark.range(4000).select("id", F.array(F.lit(1.0)).alias("x"))
+    drawn = isolation._draw(rows, "id", 12, share, 3)
+    assert drawn.distinct().count() == drawn.count()  # no tree has a row twice
+    sizes = [r["count"] for r in drawn.groupBy("tree").count().collect()]
+    spread = 5 * (4000 * share * (1 - share)) ** 0.5
+    assert len(sizes) == 12 and all(abs(n - 4000 * share) <= spread for n in sizes)
+
+
 def test_mad_falls_back_to_all_rows(spark):
     df = spark.createDataFrame([(float(i), 0) for i in range(11)], "a double, normal_candidate int")
     model = mad.fit_mad(df, ["a"])
