@@ -555,7 +555,7 @@ add(
     KPI,
 )
 add("dash_window", "SELECT * FROM window_state ORDER BY dt, operating_state LIMIT 100", *R3, KPI, WINDOW_STATE)
-for key in ("long_counts", "long_counts_sql"):
+for key in ("long_counts", "long_counts_sql", "long_counts_wide"):
     add(
         key,
         "SELECT sensor_name, sensor_type, count(*) AS rows_in_long_table FROM long JOIN dim USING (sensor_name) GROUP BY 1, 2",

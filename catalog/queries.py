@@ -109,16 +109,27 @@ def verified_write(spark, sf):
     return first.unionByName(warehouse.build_layers(spark, base, E_))
 
 
+_LAKES: dict[tuple[str, str], str] = {}
+
+
+def _lake(spark, sf) -> str:
+    """The layers of the readings, written once per session; pages and gates read what is stored."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _LAKES:
+        base = scratch_path(spark, "lake")
+        sinks.verified_write(a.readings(spark, sf), src.layer_path(base, "readings"), ["dt"], label="readings")
+        warehouse.build_layers(spark, base, E_)
+        _LAKES[key] = base
+    return _LAKES[key]
+
+
+def _layer(spark, sf, name: str) -> DataFrame:
+    rows = src.read_layer(spark, _lake(spark, sf), name)
+    return rows.withColumn("dt", F.col("dt").cast("string")) if "dt" in rows.columns else rows
+
+
 def _layers(spark, sf) -> dict[str, DataFrame]:
-    rows = a.readings(spark, sf)
-    long = reshape.with_dimension(reshape.to_long(rows, E_), E_)
-    return {
-        "readings": rows,
-        "sensor_long": long,
-        "overall_kpi": kpi.overall_kpi(rows, E_),
-        "window_kpi": kpi.window_kpi(rows, E_),
-        "sensor_kpi": kpi.sensor_kpi(rows, E_),
-    }
+    return {name: _layer(spark, sf, name) for name in src.LAYERS}
 
 
 @query("publish_tables")
@@ -141,9 +152,8 @@ def table_gate(spark, sf):
 
 
 def _views(spark, sf) -> dict[str, str]:
-    rows = a.readings(spark, sf)
-    kpi.window_kpi(rows, E_).createOrReplaceTempView("window_kpi_table")
-    kpi.sensor_kpi(rows, E_).createOrReplaceTempView("sensor_kpi_table")
+    _layer(spark, sf, "window_kpi").createOrReplaceTempView("window_kpi_table")
+    _layer(spark, sf, "sensor_kpi").createOrReplaceTempView("sensor_kpi_table")
     names = {"window": "bi_window_kpi", "sensor": "bi_sensor_kpi"}
     warehouse.create_views(
         spark,
@@ -590,13 +600,17 @@ def dash_window(spark, sf):
 
 @query("long_counts")
 def long_counts(spark, sf):
+    return kpi.long_counts(_layer(spark, sf, "sensor_long"))
+
+
+@query("long_counts_wide")
+def long_counts_wide(spark, sf):
     return kpi.rows_per_sensor(a.readings(spark, sf), E_)
 
 
 @query("long_counts_sql")
 def long_counts_sql(spark, sf):
-    long = reshape.with_dimension(reshape.to_long(a.readings(spark, sf), E_, ["raw_index"]), E_)
-    long.createOrReplaceTempView("sensor_long_view")
+    _layer(spark, sf, "sensor_long").createOrReplaceTempView("sensor_long_view")
     return dashboards.rows_per_sensor(spark, "sensor_long_view")
 
 
