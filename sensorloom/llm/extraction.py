@@ -173,7 +173,26 @@ def blocks_of(html: str) -> list[Block]:
     return out
 
 
-def evidence(block: Block, has_main: bool, holds_main: set[int], has_prose: bool) -> float:
+def page_wide(blocks: list[Block]) -> set[int]:
+    """Containers that hold a first heading and over half of the text that counts: their names say how the page is laid
+    out ("with-sidebar"), not what the text is."""
+    chars: dict[int, int] = {}
+    headed: set[int] = set()
+    total = 0
+    for b in blocks:
+        if b.node.silent:
+            continue
+        total += len(b.text)
+        node: Node | None = b.node
+        while node is not None:
+            chars[node.number] = chars.get(node.number, 0) + len(b.text)
+            if b.node.name == "h1":
+                headed.add(node.number)
+            node = node.parent
+    return {n for n in headed if 2 * chars[n] > total}
+
+
+def evidence(block: Block, has_main: bool, holds_main: set[int], wide: set[int], has_prose: bool) -> float:
     """What speaks for article, above 0, or for boilerplate, below 0."""
     if block.node.silent:
         return SILENCED
@@ -182,7 +201,7 @@ def evidence(block: Block, has_main: bool, holds_main: set[int], has_prose: bool
     named, top = False, False
     while node is not None:
         if node.number not in holds_main and node.name not in ("html", "body"):
-            named = named or bool(node.words & BOILERPLATE)
+            named = named or node.number not in wide and bool(node.words & BOILERPLATE)
             top = top or not node.main and (node.name == "header" or bool(node.words & TOP))
         node = node.parent
     score += NAMED_SO * named + AT_TOP * top
@@ -235,7 +254,8 @@ def main_text(html: str | None) -> str:
                 node = node.parent
     # on a page without a paragraph of some length, short lines are all there is
     has_prose = any(b.text.count(" ") >= 20 for b in blocks if not b.node.silent)
-    scores = [evidence(b, has_main, holds_main, has_prose) for b in blocks]
+    wide = page_wide(blocks)
+    scores = [evidence(b, has_main, holds_main, wide, has_prose) for b in blocks]
     keep = labels([max(0.0, -s) for s in scores], [max(0.0, s) for s in scores], smoothness(blocks))
     return "\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
 

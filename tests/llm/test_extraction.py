@@ -35,6 +35,8 @@ def test_cut_is_minimal(seed):
         f"<script>var a='<p>';</script><style>p{{}}</style><main>{ARTICLE}</main><section id='comments'><h2>Comments</h2><p>What a great article this is, I have read it twice and will again.</p></section>",
         f"<main>{ARTICLE}<form><label>Your mail</label><input><button>Send it</button></form></main><div class='cookie-notice'>We use cookies, as everyone does, to see what you like and what not.</div>",
         f"<div class='cookie-consent' role='dialog'>Accept all the cookies of this site, please, and go on.</div><article><header><time>May</time></header>{ARTICLE}",
+        f"<div class='with-sidebar'><div class='content'>{ARTICLE}</div><div class='sidebar'><p>More to read on the other side of it.</p></div></div>",
+        f"<div class='notice-bar'>Mind the works on the site tonight, all night long.</div><div class=post>{ARTICLE}</div><div class='related-posts'><a href=a>Another one to read</a></div>",
         f"<!-- <p>gone</p> --><main>{ARTICLE}<p hidden>Not seen by anybody at all, so it is not in the text.</p></main><!-- open",
     ],
 )
