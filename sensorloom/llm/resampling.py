@@ -31,7 +31,7 @@ BUCKET_BITS = 17
 BUCKETS = 1 << BUCKET_BITS
 LABEL_ROWS = 20_000
 PRIOR = 20.0
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 U = np.uint64
 _BYTE = np.arange(256)
 #: 0 white space, 1 letters, digits and all bytes above 127, 2 other signs.
