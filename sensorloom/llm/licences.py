@@ -157,8 +157,9 @@ def scan(docs: DataFrame, licences: DataFrame | None = None, key: str = "doc_id"
     keyed = rows.withColumn("row_key", F.concat_ws(":", F.xxhash64("text").cast("string"), F.length("text").cast("string"), F.col("doc_id").cast("string")))
     lines = keyed.select("row_key", F.explode_outer(F.array_distinct(F.split("text", "\n"))).alias("line"))
     # a known line has a known number of words at most, but any spelling; only empty lines are left out
-    # a digest that cannot be null gets no null filter in front of the join, which would make it twice
-    digests = lines.where(F.length("line") > 0).select("row_key", F.coalesce(F.md5(canonical(F.col("line"))), F.lit("")).alias("digest"))
+    # made by a generator, as filters that the join implies would otherwise be put below it and make the digest twice
+    made = F.explode_outer(F.array(F.md5(canonical(F.col("line"))))).alias("digest")
+    digests = lines.where(F.length("line") > 0).select("row_key", made)
     table = licences.where(F.col("digest") != empty)
     found = digests.join(table, "digest").groupBy("row_key").agg(F.sort_array(F.collect_set("license_id")).alias("ids"))
     whole = keyed.select("doc_id", "row_key", F.md5(canonical(F.col("text"))).alias("text_digest"))
