@@ -24,8 +24,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 2: of each group of near duplicates the document with the least id stays."""
-    return simhash.one_of_each_group(docs)
+    """Operator 2 by similarity: of each group of texts with 5-word shingles 0.8 alike the document with the least id stays."""
+    return simhash.one_of_each_similar_group(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,3 +116,47 @@ def test_one_of_each_group(spark, rows):
 def test_empty_table(spark):
     assert simhash.near_duplicates(documents(spark, [])).count() == 0
     assert simhash.one_of_each_group(documents(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize("radius", [4, 7, 11, 15])
+def test_bit_sliced_comparison_of_wide_radii(radius):
+    gen = np.random.default_rng(radius)
+    base = gen.integers(0, 2**64, 30, dtype=np.uint64)
+    x = np.array([int(b) ^ sum(1 << int(k) for k in {*gen.integers(0, 64, int(gen.integers(0, 14)))}) for b in base for _ in range(9)], np.uint64)
+    near = np.bitwise_count(x[:, None] ^ x[None, :]) <= radius
+    got = np.zeros(near.shape, bool)
+    got[simhash.near_matrix(x, x, radius)] = True
+    assert (got == near).all()
+    i, j = simhash.near_in_groups(x, np.array([200, 70]), radius)
+    group = np.repeat([0, 1], [200, 70])
+    pairs = {(min(a, b), max(a, b)) for a, b in zip(i.tolist(), j.tolist(), strict=True)}
+    assert pairs == {(a, b) for a in range(len(x)) for b in range(a + 1, len(x)) if group[a] == group[b] and near[a, b]}
+
+
+def shingles(text):
+    w = (text or "").lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def test_similar_texts_are_linked_and_others_are_not(spark, monkeypatch, rng):
+    monkeypatch.setattr(simhash, "BLOCK", 30)
+    rows = []
+    for k in range(40):
+        base = words(rng, rng.randrange(120, 400), 5000).split()
+        rows.append((10 * k, " ".join(base)))
+        for c in range(1, 4):
+            copy = list(base)
+            for at in rng.sample(range(len(base)), max(1, len(base) // rng.choice([25, 60, 80]))):
+                copy[at] = f"x{rng.randrange(10**6)}"
+            rows.append((10 * k + c, " ".join(copy)))
+    # four shingles of seven are the same
+    rows += [(900, None), (901, ""), (None, "alone here"), (902, rows[0][1]), (903, "one two three four five six seven eight"), (904, "one two three four five six seven nine ten")]
+    sets = [shingles(t) for _, t in rows]
+    links = [(a, rows[m]) for k, a in enumerate(rows) for m in range(k + 1, len(rows)) if sets[k] and 5 * len(sets[k] & sets[m]) >= 4 * len(sets[k] | sets[m])]
+    root = joined([r[0] for r in rows if r[0] is not None], [(a[0], b[0]) for a, b in links] + [(900, 901)])
+    want = {min(i for i in root if root[i] == r) for r in root.values()}
+    far = [(a[0], b[0]) for a, b in links if (fingerprint(a[1]) ^ fingerprint(b[1])).bit_count() > 3]
+    assert len(far) > 20
+    got = {r.doc_id for r in simhash.one_of_each_similar_group(documents(spark, rows).repartition(5)).collect()}
+    assert got == want | {None}
+    assert simhash.one_of_each_similar_group(documents(spark, [])).count() == 0
