@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sensorloom.llm import cascade, extraction, licences, mixing, oracle, orc_tokens, resampling, simhash, suffixes, warc, winnowing
+from sensorloom.llm import cascade, extraction, lattice, licences, mixing, oracle, orc_tokens, resampling, simhash, suffixes, warc, winnowing
 from sensorloom.llm.tables import table
 from sensorloom.session import scratch_path
 
@@ -62,6 +62,13 @@ def op10_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cascade.screen(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
-OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op6_suffix_dedup, op7_quality_resampling, op8_licence_scan, op9_orc_tokens, op10_quality_cascade]
+def op12_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = lattice.read_pieces(public_tokenizers.path("piece_bpe_32k.model"))
+    return lattice.score(table(spark, sf_dir, "documents"), pieces)
+
+
+OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op6_suffix_dedup, op7_quality_resampling, op8_licence_scan, op9_orc_tokens, op10_quality_cascade, op12_lattice_score]
 QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}
 ORACLE: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op5_decontaminate": oracle.DECONTAMINATE, "op8_licence_scan": licences.sql(), "op10_quality_cascade": oracle.QUALITY}
