@@ -65,3 +65,41 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
             OR 2 * len(regexp_extract_all(t, '[A-Za-zÀ-ÖØ-öø-ÿ]')) < word_chars) AS kept
 FROM b
 """
+
+PHRASES = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), pieces AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM docs
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), sizes AS (
+  SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
+), runs AS (
+  SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), i -> array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  FROM words, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k
+), f AS (
+  SELECT lang, k, phrase, count(*)::BIGINT AS a FROM runs GROUP BY ALL HAVING count(*) >= 10
+), cuts AS (
+  SELECT lang, k, phrase, a, string_split(phrase, ' ') AS w, unnest(generate_series(1, k - 1)) AS cut FROM f WHERE k > 1
+), scored AS (
+  SELECT c.lang, c.k, c.phrase, c.a, c.cut, head.a AS l, tail.a AS r,
+         ((1000000::HUGEINT * c.a * c.a) // (head.a::HUGEINT * tail.a))::BIGINT AS score
+  FROM cuts c
+  JOIN f head ON head.lang = c.lang AND head.phrase = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f tail ON tail.lang = c.lang AND tail.phrase = array_to_string(c.w[c.cut + 1:], ' ')
+), best AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, phrase, max(a) AS around
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM cuts WHERE k = 3)
+  GROUP BY ALL
+), kept AS (
+  SELECT b.* FROM best b LEFT JOIN inside i USING (lang, phrase) WHERE i.around IS NULL OR 100 * i.around < 50 * b.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sensorloom.llm import cascade, extraction, lattice, licences, mixing, oracle, orc_tokens, resampling, simhash, suffixes, warc, whitening, winnowing
+from sensorloom.llm import cascade, extraction, lattice, licences, mixing, oracle, orc_tokens, phrases, resampling, simhash, suffixes, warc, whitening, winnowing
 from sensorloom.llm.tables import table
 from sensorloom.session import scratch_path
 
@@ -75,6 +75,10 @@ def op12_lattice_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(table(spark, sf_dir, "documents"), pieces)
 
 
-OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op6_suffix_dedup, op7_quality_resampling, op8_licence_scan, op9_orc_tokens, op10_quality_cascade, op11_whitening, op12_lattice_score]
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+OPERATORS = [op1_mix_sources, op2_simhash, op3_warc, op4_html_text, op5_decontaminate, op6_suffix_dedup, op7_quality_resampling, op8_licence_scan, op9_orc_tokens, op10_quality_cascade, op11_whitening, op12_lattice_score, op13_phrases]
 QUERIES: dict[str, Query] = {f.__name__: f for f in OPERATORS}
-ORACLE: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op5_decontaminate": oracle.DECONTAMINATE, "op8_licence_scan": licences.sql(), "op10_quality_cascade": oracle.QUALITY}
+ORACLE: dict[str, str] = {"op1_mix_sources": oracle.MIX, "op5_decontaminate": oracle.DECONTAMINATE, "op8_licence_scan": licences.sql(), "op10_quality_cascade": oracle.QUALITY, "op13_phrases": oracle.PHRASES}
