@@ -19,6 +19,7 @@ level is counted without that filter and the gathered phrases are joined with th
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,9 +34,10 @@ from pyspark.sql import functions as F
 from sensorloom.llm.tables import stored
 
 SENT_HASHES = 1 << 22
+HELD = 1 << 21  # hashes a task holds before it sends them
 BATCH_BYTES = 1 << 21
-SHARD_BYTES = 1 << 22  # of phrases in one trie
-SENT_BYTES = 1 << 26  # of tries in one broadcast
+SHARD_BYTES = 1 << 21  # of phrases in one trie
+SENT_BYTES = 1 << 25  # of tries in one broadcast
 NO_LANG = "und"
 U = np.uint64
 _BYTE = np.arange(256)
@@ -128,37 +130,88 @@ def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
 
 
-def _safe(words: Words, hashes: list[np.ndarray], known: list[np.ndarray | None], k: int) -> np.ndarray:
+def _safe(words: Words, hashes: list[np.ndarray], known: list[tuple[np.ndarray, np.ndarray] | None], k: int) -> np.ndarray:
     """Where a phrase of k + 1 words starts whose parts may be frequent; a level without hashes at hand (None) rules nothing out."""
     fits = words.after >= k
     if k and known[k - 1] is not None:
-        part = _among(hashes[k - 1], known[k - 1])
+        part = _among(hashes[k - 1], known[k - 1][0])
         fits = fits & part & np.concatenate([part[1:], [False]])[: len(part)]
     return fits
 
 
+def _merged(h: np.ndarray, n: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, with the sum of their counts and the least of their witnesses."""
+    order = np.argsort(h, kind="stable")
+    h = h[order]
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    if not len(first):
+        return h, n[:0], w[:0]
+    return h[first], np.add.reduceat(n[order], first), np.minimum.reduceat(w[order], first)
+
+
+def _witnesses(langs: list[bytes], texts: list[bytes]) -> np.ndarray:
+    """A number of each document by its content, the same in every pass however rows are dealt."""
+    return np.array([zlib.crc32(t, zlib.crc32(lang)) for lang, t in zip(langs, texts)], np.uint32)
+
+
+def _packed(bits: int, h: np.ndarray, n: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+    """Sorted hashes as one row per bucket of their leading bits."""
+    bucket = (h >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+    cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(h)] if len(h) else []
+    ranges = list(zip(cut[:-1], cut[1:]))
+    arrays = [pa.array([x[b:e].tobytes() for b, e in ranges], pa.binary()) for x in (h, n.astype(np.int64), w)]
+    return pa.RecordBatch.from_arrays([pa.array([bucket[b] for b, _ in ranges], pa.int64()), *arrays], ["bucket", "h", "n", "w"])
+
+
 def level(rows: DataFrame, k: int, known: list[Broadcast | None], least: int) -> DataFrame:
-    """Stored hashes of phrases of k + 1 words that may be frequent."""
+    """Stored hashes of phrases of k + 1 words that may be frequent, packed by bucket, each with a document that holds it.
+
+    Hashes travel as packed runs, so that Spark moves a row per task and bucket and numpy adds up a bucket.
+    """
+    settled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(settled, rows.rdd.getNumPartitions(), 1).bit_length()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sent = [b and b.value for b in known]
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
         for batch in batches:
             for langs, texts in _stretches(batch):
                 words = words_of(texts, k + 1)
                 hashes = hashes_of(words, _salts(langs), k + 1)
-                h, n = np.unique(hashes[k][_safe(words, hashes, sent, k)], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n)], ["h", "n"])
-
-    summed = rows.mapInArrow(counted, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return stored(summed.where(F.col("n") >= least).select("h"), f"phrase-hashes-{k + 1}")
+                fits = _safe(words, hashes, sent, k)
+                h = hashes[k][fits]
+                held.append(_merged(h, np.ones(len(h), np.int64), _witnesses(langs, texts)[words.owner[fits]]))
+                size += len(held[-1][0])
+                if size > HELD:
+                    yield _packed(bits, *_merged(*map(np.concatenate, zip(*held))))
+                    held, size = [], 0
+        if held:
+            yield _packed(bits, *_merged(*map(np.concatenate, zip(*held))))
+
+    def summed(table: pa.Table) -> pa.Table:
+        parts = [np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("h", np.uint64), ("n", np.int64), ("w", np.uint32))]
+        h, n, w = _merged(*parts)
+        row = {"bucket": table.column("bucket")[0].as_py(), "h": h[n >= least].tobytes(), "w": w[n >= least].tobytes()}
+        return pa.Table.from_pylist([row], pa.schema([("bucket", pa.int64()), ("h", pa.binary()), ("w", pa.binary())]))
+
+    packed = rows.mapInArrow(counted, "bucket long, h binary, n binary, w binary")
+    return stored(packed.groupBy("bucket").applyInArrow(summed, "bucket long, h binary, w binary"), f"phrase-hashes-{k + 1}")
 
 
 def _sent(hashes: DataFrame) -> Broadcast | None:
-    """The hashes, sorted, as a broadcast; None if there are more than ``SENT_HASHES``."""
-    if hashes.count() > SENT_HASHES:
+    """The hashes, sorted, and their witnesses as a broadcast; None if there are more than ``SENT_HASHES``."""
+    if (hashes.agg(F.sum(F.length("h"))).first()[0] or 0) > 8 * SENT_HASHES:
         return None
-    found = np.sort(hashes.toArrow().column("h").to_numpy().view(np.uint64))
-    return hashes.sparkSession.sparkContext.broadcast(found)
+    found = hashes.orderBy("bucket").collect()
+    h, w = (np.frombuffer(b"".join(r[c] for r in found), t) for c, t in (("h", np.uint64), ("w", np.uint32)))
+    return hashes.sparkSession.sparkContext.broadcast((h, w))
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for data in batch.column("h").to_pylist():
+            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(data, np.int64))], ["h"])
 
 
 def _slices(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -182,10 +235,13 @@ def candidates(rows: DataFrame, longest: int, least: int) -> DataFrame:
         for batch in batches:
             for langs, texts in _stretches(batch):
                 words = words_of(texts, longest)
+                own_number = _witnesses(langs, texts)[words.owner]
                 for k, h in enumerate(hashes := hashes_of(words, _salts(langs), longest)):
                     fits = _safe(words, hashes, sent, k)
-                    if sent[k] is not None:
-                        fits = fits & _among(h, sent[k])
+                    if sent[k] is not None:  # once, from the document that stands for it (and its copies)
+                        known_h, witness = sent[k]
+                        fits = fits & _among(h, known_h)
+                        fits[fits] = witness[np.searchsorted(known_h, h[fits])] == own_number[fits]
                     _, first = np.unique(h[fits], return_index=True)
                     own = np.flatnonzero(fits)[first]
                     for at in range(0, len(own), 1 << 18):
@@ -197,7 +253,7 @@ def candidates(rows: DataFrame, longest: int, least: int) -> DataFrame:
     found = rows.mapInArrow(gathered, "lang binary, phrase binary, k int, h long")
     for k, sent in enumerate(known):
         if sent is None:
-            own = levels[k].select(F.lit(k).alias("k"), "h")
+            own = levels[k].select("h").mapInArrow(_unpacked, "h long").withColumn("k", F.lit(k))
             found = found.where(F.col("k") != k).unionByName(found.where(F.col("k") == k).join(own, ["k", "h"], "left_semi").select(found.columns))
     return found.select("lang", "phrase").distinct()
 
@@ -355,11 +411,12 @@ def occurrences(rows: DataFrame, longest: int, least: int) -> tuple[DataFrame, D
             room = SENT_BYTES
         rounds[-1].append(row["shard"])
         room -= row["size"]
-    parts = []
+    stored_parts = []
     for turn, some in enumerate(rounds):
         own = tries.where(F.col("shard").isin(some)).collect()  # at most SENT_BYTES, or one trie
         packed = [(r["shard"], r["keys"], r["root"], *(np.frombuffer(r[n], np.int32) for n in ("base", "check", "accept"))) for r in own]
         sent = rows.sparkSession.sparkContext.broadcast(packed)
+        del own, packed
 
         def counted(batches: Iterator[pa.RecordBatch], sent: Broadcast = sent, turn: int = turn) -> Iterator[pa.RecordBatch]:
             held = [(shard, keys, Trie(*arrays)) for shard, keys, *arrays in sent.value]
@@ -374,22 +431,40 @@ def occurrences(rows: DataFrame, longest: int, least: int) -> tuple[DataFrame, D
                         in_lang[lang] = in_lang.get(lang, 0) + n
             for total, (shard, _, _) in zip(totals, held):
                 some = np.flatnonzero(total)
-                columns = [pa.array(np.full(len(some), shard, np.int64)), pa.array(some.astype(np.int32)), pa.nulls(len(some), pa.binary()), pa.array(total[some])]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "number", "lang", "n"])
+                yield _row(shard, b"", some.astype(np.int32).tobytes(), total[some].tobytes())
             if turn == 0:
-                columns = [pa.nulls(len(in_lang), pa.int64()), pa.nulls(len(in_lang), pa.int32()), pa.array(list(in_lang), pa.binary()), pa.array(list(in_lang.values()), pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["shard", "number", "lang", "n"])
+                for lang, n in in_lang.items():
+                    yield _row(-1, lang, b"", np.int64(n).tobytes())
 
-        counts = rows.mapInArrow(counted, "shard long, number int, lang binary, n long")
-        parts.append(stored(counts.groupBy("shard", "number", "lang").agg(F.sum("n").alias("n")), "phrase-counts"))
-    found = parts[0]
-    for part in parts[1:]:
+        stored_parts.append(stored(rows.mapInArrow(counted, "shard long, lang binary, numbers binary, counts binary"), "phrase-counts"))
+    found = stored_parts[0]
+    for part in stored_parts[1:]:
         found = found.unionByName(part)
-    frequent = found.where(F.col("shard").isNotNull() & (F.col("n") >= least)).select("shard", "number", F.col("n").alias("a")).join(shards, ["shard", "number"])
-    per_lang = found.where(F.col("shard").isNull()).select(F.col("lang").cast("string").alias("lang"), "n")
+
+    def summed(table: pa.Table) -> pa.Table:
+        numbers, counts = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("numbers", np.int32), ("counts", np.int64)))
+        total = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
+        np.add.at(total, numbers, counts)
+        some = np.flatnonzero(total >= least)
+        shard = pa.repeat(table.column("shard")[0], len(some)) if len(some) else pa.array([], pa.int64())
+        return pa.table([shard, pa.array(some.astype(np.int32)), pa.array(total[some])], names=["shard", "number", "a"])
+
+    frequent = found.where("shard >= 0").groupBy("shard").applyInArrow(summed, "shard long, number int, a long").join(shards, ["shard", "number"])
+    per_lang = found.where("shard < 0").select("lang", "counts").mapInArrow(_lang_sizes, "lang binary, n long").groupBy(F.col("lang").cast("string").alias("lang")).agg(F.sum("n").alias("n"))
     return stored(frequent.select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), "a"), "phrases"), per_lang
 
 
+def _row(shard: int, lang: bytes, numbers: bytes, counts: bytes) -> pa.RecordBatch:
+    arrays = [pa.array([shard], pa.int64()), *[pa.array([x], pa.binary()) for x in (lang, numbers, counts)]]
+    return pa.RecordBatch.from_arrays(arrays, ["shard", "lang", "numbers", "counts"])
+
+
+def _lang_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.int64)
+        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(sizes)], ["lang", "n"])
+
+
 def collocations(
     docs: DataFrame,
     longest: int = 3,
