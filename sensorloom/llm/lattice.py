@@ -20,7 +20,7 @@ words stay distributed.
 
 from __future__ import annotations
 
-import uuid
+import os
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,10 +34,10 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from sensorloom.llm.tables import stored
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 23
 CELLS = 1 << 18  # characters times piece lengths that one call of the recursion holds
 PRIOR = 1000.0
-ROUNDS = 3
+ROUNDS = 2
 START = "▁"
 U = np.uint64
 MULTIPLIER = U(0x9E3779B97F4A7C15)
@@ -269,7 +269,7 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterato
                 pa.array(trained),
             ]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().hex])] + [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists],
+                [pa.array([int.from_bytes(os.urandom(8), "little", signed=True)])] + [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists],
                 [f.name for f in schema],
             ).cast(schema)
 
@@ -284,7 +284,7 @@ def _blocks(docs: DataFrame, key: str, text: str, folds: int, held_fold: int) ->
     )
     fields = [("keys", rows.schema["key"].dataType), ("held", T.BooleanType()), ("parts", T.LongType()), ("places", T.IntegerType())]
     fields += [("times", T.IntegerType()), ("words", T.BinaryType()), ("trained", T.LongType())]
-    schema = T.StructType([T.StructField("block", T.StringType())] + [T.StructField(n, T.ArrayType(t)) for n, t in fields])
+    schema = T.StructType([T.StructField("block", T.LongType())] + [T.StructField(n, T.ArrayType(t)) for n, t in fields])
     arrow = to_arrow_schema(schema)
     return stored(rows.mapInArrow(lambda batches: _cut_blocks(batches, arrow), schema), "lm-blocks")
 
@@ -355,8 +355,8 @@ def score(
     values = vocabulary.mapInArrow(solved, "word binary, c long, log double")
     asked = blocks.select("block", F.posexplode("words").alias("k", "word"))
     # a frequent word is in every block: the join sends each block's word once, and adaptive execution splits its rows
-    answers = asked.join(values, "word").groupBy("block").agg(F.sort_array(F.collect_list(F.struct("k", "c", "log"))).alias("values"))
-    ready = blocks.drop("words", "trained").join(answers, "block").select("keys", "held", "parts", "places", "times", "values.c", "values.log")
+    answers = asked.join(values, "word").groupBy("block").agg(F.collect_list(F.struct("k", "c", "log")).alias("values"))
+    ready = blocks.drop("words", "trained").join(answers, "block").select("keys", "held", "parts", "places", "times", "values.k", "values.c", "values.log")
     key_type = blocks.schema["keys"].dataType.elementType
     schema = T.StructType(
         [T.StructField(key, key_type), T.StructField("held_out", T.BooleanType())]
@@ -367,10 +367,11 @@ def score(
     def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(batch.num_rows):
-                keys, held, parts, places, times, c, value = (batch.column(j).slice(k, 1).flatten() for j in range(7))
+                keys, held, parts, places, times, word, c, value = (batch.column(j).slice(k, 1).flatten() for j in range(8))
                 owner = np.repeat(np.arange(len(parts)), parts.to_numpy())
                 place, m = places.to_numpy(), times.to_numpy()
-                c, value = c.to_numpy()[place], value.to_numpy()[place]
+                order = np.argsort(word.to_numpy())
+                c, value = c.to_numpy()[order][place], value.to_numpy()[order][place]
                 add = lambda x: np.bincount(owner, x, len(parts))
                 base = np.log10((c + 1.0) / (tokens + types + 1.0))
                 whole = [pa.array(x.round().astype(np.int64)) for x in (add(m), add(m * (c > 0)), np.full(len(parts), float(tokens)))]
