@@ -55,12 +55,17 @@ def main() -> None:
     )
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
+    failed: dict[str, str] = {}
     for name in chosen:
         laps = []
-        for _ in range(2 if name in SLOW else RUNS + 1):
-            begun = time.perf_counter()
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            laps.append(time.perf_counter() - begun)
+        try:
+            for _ in range(2 if name in SLOW else RUNS + 1):
+                begun = time.perf_counter()
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                laps.append(time.perf_counter() - begun)
+        except Exception as error:  # one failing query does not throw away the figures of the others
+            failed[name] = f"{type(error).__name__}: {error}"[:300]
+            continue
         times[name] = round(statistics.median(laps[1:]), 3)
     spark.stop()
     out = {
@@ -70,7 +75,10 @@ def main() -> None:
         "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),
     }
+    if failed:
+        out["failed"] = failed
     print(json.dumps(out))
+    sys.exit(1 if failed else 0)
 
 
 if __name__ == "__main__":

@@ -52,6 +52,7 @@ OVERLAPPING = Calendar.of(
         ("2024-01-06 10:00:00", "2024-01-09 00:00:00", "late"),
     ]
 )
+ORDER_SPAN_SECONDS = 30 * 86_400
 TRAIN_END = "2024-01-16 00:00:00"
 VALID_END = "2024-01-23 00:00:00"
 INGEST = "2024-02-01 00:00:00"
@@ -175,3 +176,14 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = model_rows(horizon_labels(bare_readings(spark, sf_dir), EVENTS, CALENDAR))
     score = F.col("pressure") / (F.col("pressure") + 50.0)
     return rows.select("raw_index", "event_time", score.alias("score"), F.col("pre_failure_24h").alias("label"))
+
+
+def order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order as an incident of one piece of equipment: up to two hours within the days of the events, many overlap."""
+    key = F.col("o_orderkey")
+    seconds = lambda n: F.make_dt_interval(secs=n.cast("decimal(18,6)"))
+    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz") + seconds(key * 7919 % ORDER_SPAN_SECONDS)
+    rows = table(spark, sf_dir, "orders").select(
+        key.alias("interval_id"), F.expr("o_custkey div 10").alias("equipment_id"), start.alias("start"), F.concat(F.lit("kind_"), (key % 5).cast("string")).alias("interval_type")
+    )
+    return rows.withColumn("end", F.col("start") + seconds(F.col("interval_id") * 31 % 7200))

@@ -881,9 +881,51 @@ add(
     max(coalesce(t BETWEEN s AND e, false)::INT) AS failure_window,
     max(coalesce(t >= s - INTERVAL 24 HOUR AND t < s, false)::INT) AS pre_failure,
     max(coalesce(t > e AND t <= e + INTERVAL 24 HOUR, false)::INT) AS post_maintenance
-    FROM (SELECT *, o_orderdate + INTERVAL 10 DAY AS t FROM orders) r
-    LEFT JOIN (SELECT o_custkey, o_orderdate AS s, o_orderdate + INTERVAL 12 DAY AS e FROM orders
-      WHERE o_orderkey % 2 = 0) c ON r.o_custkey = c.o_custkey GROUP BY 1""",
+    FROM (SELECT *, o_orderdate + INTERVAL 20 DAY AS t FROM orders) r
+    LEFT JOIN (SELECT o_custkey, o_orderdate AS s, o_orderdate + INTERVAL 12 DAY AS e FROM orders) c ON r.o_custkey = c.o_custkey GROUP BY 1""",
+)
+ORDER_CAL = """ocal AS (SELECT id, equipment_id, s, s + to_seconds(id * 31 % 7200) AS e, t FROM (
+  SELECT o_orderkey AS id, o_custkey // 10 AS equipment_id, TIMESTAMP '2024-01-01' + to_seconds(o_orderkey * 7919 % 2592000) AS s,
+    'kind_' || (o_orderkey % 5) AS t FROM orders))"""
+
+
+def _order_labels(match: str, pick: str) -> str:
+    pre = ", ".join(f"max(coalesce(event_time >= s - INTERVAL {h} HOUR AND event_time < s, false)::INT) AS pre_failure_{h}h" for h in (1, 6, 24))
+    return f"""olab AS (SELECT *, 1 - greatest(failure_window, pre_failure_24h, post_maintenance) AS normal_candidate,
+      CASE WHEN failure_window = 1 THEN 0 ELSE (epoch_us(nxt) - epoch_us(event_time)) / 1e6 END AS rul_seconds FROM (
+      SELECT raw_index, b.equipment_id, event_time, pressure, max(coalesce(event_time BETWEEN s AND e, false)::INT) AS failure_window, {pre},
+        max(coalesce(event_time > e AND event_time <= e + INTERVAL 24 HOUR, false)::INT) AS post_maintenance,
+        coalesce({pick}(t, id) FILTER (event_time BETWEEN s AND e), 'normal') AS failure_type, min(s) FILTER (s > event_time) AS nxt
+      FROM bare b LEFT JOIN ocal c ON {match} GROUP BY ALL))"""
+
+
+BY_KEY = (BARE, ORDER_CAL, _order_labels("b.equipment_id = c.equipment_id", "max_by"))
+add("labels_by_table", f"SELECT raw_index, {', '.join(FLAGS)}, failure_type, {r('rul_seconds', 'rul_seconds')} FROM olab", *BY_KEY)
+add(
+    "labels_by_table_first",
+    f"""SELECT raw_index, max((event_time BETWEEN s AND e)::INT) AS failure_window,
+    coalesce(min_by(t, id) FILTER (event_time BETWEEN s AND e), 'normal') AS failure_type,
+    {r('CASE WHEN max((event_time BETWEEN s AND e)::INT) = 1 THEN 0 ELSE (epoch_us(min(s) FILTER (s > event_time)) - epoch_us(event_time)) / 1e6 END', 'rul_seconds')}
+    FROM bare, ocal GROUP BY raw_index, event_time""",
+    BARE,
+    ORDER_CAL,
+)
+add(
+    "feature_table_by_calendar",
+    f"""SELECT equipment_id, event_bucket, sample_count, {', '.join(FLAGS)}, {r('rul_seconds', 'rul_seconds')}, {r('mean_pressure', 'mean_pressure')},
+    {r('avg(mean_pressure) OVER (PARTITION BY equipment_id ORDER BY event_bucket ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)', 'roll5_mean_mean_pressure')}
+    FROM (SELECT equipment_id, date_trunc('hour', event_time)::TIMESTAMP AS event_bucket, count(*) AS sample_count,
+      {', '.join(f'max({f}) AS {f}' for f in FLAGS)}, min(rul_seconds) AS rul_seconds, avg(pressure) AS mean_pressure FROM olab GROUP BY 1, 2)""",
+    *BY_KEY,
+)
+add(
+    "lead_time_by_table",
+    f"""SELECT equipment_id, id AS interval_id, s AS interval_start, first_alarm, (first_alarm IS NOT NULL)::INT AS detected,
+    {r('(epoch_us(s) - epoch_us(first_alarm)) / 3.6e9', 'lead_time_hours')} FROM (
+    SELECT c.equipment_id, id, s, min(event_time) FILTER (pressure >= 60 AND event_time >= s - INTERVAL 24 HOUR AND event_time < s) AS first_alarm
+    FROM ocal c JOIN bare b ON b.equipment_id = c.equipment_id GROUP BY ALL HAVING s BETWEEN min(event_time) AND max(event_time))""",
+    BARE,
+    ORDER_CAL,
 )
 add("horizon_labels", f"SELECT raw_index, {', '.join(FLAGS)}, failure_type FROM labelled", *L3)
 add("label_segment", f"SELECT raw_index, {SEGMENT} AS segment FROM labelled", *L3)

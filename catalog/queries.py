@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,8 @@ from catalog import adapters as a
 from sensorloom.compressor import COMPRESSOR
 from sensorloom.functions import gates, risk
 from sensorloom.functions.scalars import band, bucket_start, bucket_text, day_text, finite_or, one_hot
-from sensorloom.models import isolation, linear, mad, matrix
-from sensorloom.operators import analysis, evaluate, features, kpi, labels, normalize, ordered, quality, reconcile
+from sensorloom.models import forest, isolation, linear, mad, matrix
+from sensorloom.operators import analysis, calendars, evaluate, features, kpi, labels, normalize, ordered, quality, reconcile
 from sensorloom.operators import reshape, rolling
 from sensorloom.plans import dashboards, warehouse
 from sensorloom.session import scratch_path
@@ -899,9 +900,9 @@ def interval_flags_by_table(spark, sf):
     rows = orders.select(
         F.col("o_orderkey").alias("raw_index"),
         F.col("o_custkey").alias("equipment_id"),
-        (F.col("o_orderdate") + F.expr("INTERVAL 10 DAYS")).alias("event_time"),
+        (F.col("o_orderdate") + F.expr("INTERVAL 20 DAYS")).alias("event_time"),
     )
-    calendar = orders.filter(F.col("o_orderkey") % 2 == 0).select(
+    calendar = orders.select(
         F.col("o_custkey").alias("equipment_id"),
         F.col("o_orderdate").alias("start"),
         (F.col("o_orderdate") + F.expr("INTERVAL 12 DAYS")).alias("end"),
@@ -910,6 +911,37 @@ def interval_flags_by_table(spark, sf):
     return flagged.select("raw_index", "failure_window", "pre_failure", "post_maintenance")
 
 
+KEYED = replace(E_, by=("equipment_id",))
+
+
+@query("labels_by_table")
+def labels_by_table(spark, sf):
+    """Every label against all orders as incidents of their own equipment."""
+    rows = features.horizon_labels(a.bare_readings(spark, sf), KEYED, a.order_calendar(spark, sf))
+    return rows.select("raw_index", *features.FLAGS, "failure_type", "rul_seconds")
+
+
+@query("labels_by_table_first")
+def labels_by_table_first(spark, sf):
+    """One calendar for all equipment; of incidents that overlap the one listed first gives the type."""
+    calendar = a.order_calendar(spark, sf).drop("equipment_id")
+    rows = calendars.labels_by_table(a.bare_readings(spark, sf), calendar, features.row_order(E_), on_overlap="first")
+    return rows.select("raw_index", "failure_window", "failure_type", "rul_seconds")
+
+
+@query("feature_table_by_calendar")
+def feature_table_by_calendar(spark, sf):
+    """The feature table per equipment, labelled by a calendar table."""
+    rows = features.feature_table(a.bare_readings(spark, sf), KEYED, a.order_calendar(spark, sf))
+    return rows.select("equipment_id", E_.bucket, "sample_count", *features.FLAGS, "rul_seconds", "mean_pressure", "roll5_mean_mean_pressure")
+
+
+@query("lead_time_by_table")
+def lead_time_by_table(spark, sf):
+    rows = a.bare_readings(spark, sf).withColumn("prediction", (F.col("pressure") >= 60).cast("int"))
+    return calendars.lead_time_by_table(rows, a.order_calendar(spark, sf), "event_time", "prediction", ("equipment_id",))
+
+
 @query("horizon_labels")
 def horizon_labels(spark, sf):
     return _labelled(spark, sf).select("raw_index", *features.FLAGS, "failure_type")
@@ -1189,7 +1221,7 @@ def _evaluated(scored: DataFrame, name: str) -> DataFrame:
 def model_logistic(spark, sf):
     rows, names = _trained(spark, sf)
     model = linear.fit_logistic(rows.filter(F.col("split") == "train"), names, "pre_failure_24h")
-    return _evaluated(linear.score_with(model, rows), "logistic")
+    return _evaluated(model.scored(rows), "logistic")
 
 
 @query("model_gradient")
@@ -1203,8 +1235,8 @@ def model_gradient(spark, sf):
 @query("model_forest")
 def model_forest(spark, sf):
     rows, names = _trained(spark, sf)
-    model = linear.fit_forest(rows.filter(F.col("split") == "train"), names, "pre_failure_24h")
-    return _evaluated(linear.score_with(model, rows), "forest")
+    model = forest.fit_forest(rows.filter(F.col("split") == "train"), names, "pre_failure_24h")
+    return _evaluated(model.scored(rows), "forest")
 
 
 @query("model_iforest")
@@ -1253,14 +1285,21 @@ def lead_time_summary(spark, sf):
 def top_weights(spark, sf):
     rows, names = _trained(spark, sf)
     model = linear.fit_logistic(rows.filter(F.col("split") == "train"), names, "pre_failure_24h")
-    return evaluate.top_weights(rows, names, model.stages[-1].coefficients.toArray(), 30)
+    return evaluate.top_weights(rows, names, model.weights, 30)
+
+
+@query("forest_importances")
+def forest_importances(spark, sf):
+    rows, names = _trained(spark, sf)
+    model = forest.fit_forest(rows.filter(F.col("split") == "train"), names, "pre_failure_24h")
+    return evaluate.top_weights(rows, names, model.importances, 30)
 
 
 @query("score_table")
 def score_table(spark, sf):
     rows, names = _trained(spark, sf)
     model = linear.fit_logistic(rows.filter(F.col("split") == "train"), names, "pre_failure_24h")
-    scored = linear.score_with(model, rows.filter(F.col("split") == "test"))
+    scored = model.scored(rows.filter(F.col("split") == "test"))
     path = scratch_path(spark, "scores")
     out = scored.select(E_.bucket, "pre_failure_24h", "score", (F.col("score") >= 0.5).cast("int").alias("prediction"))
     out.write.parquet(path)

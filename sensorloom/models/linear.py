@@ -7,10 +7,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,57 +22,32 @@ LEARNING_RATE = 0.08
 L2 = 0.001
 
 
-def fit_logistic(train: DataFrame, columns: Sequence[str], label: str, cap: float | None = 30.0) -> PipelineModel:
-    """L-BFGS on the weighted, L2-regularised log loss; columns are already standardised."""
-    guard_features(columns)
-    weighted = with_class_weight(train, label, cap)
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    model = LogisticRegression(
-        labelCol=label, weightCol="class_weight", maxIter=ITERATIONS, regParam=L2, standardization=False
-    )
-    return Pipeline(stages=[assembler, model]).fit(weighted)
-
-
-def fit_forest(
-    train: DataFrame,
-    columns: Sequence[str],
-    label: str,
-    trees: int = 120,
-    depth: int = 10,
-    leaf: int = 20,
-    seed: int = 42,
-) -> PipelineModel:
-    """Balanced random forest."""
-    guard_features(columns)
-    weighted = with_class_weight(train, label, None)
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    model = RandomForestClassifier(
-        labelCol=label,
-        weightCol="class_weight",
-        numTrees=trees,
-        maxDepth=depth,
-        minInstancesPerNode=leaf,
-        seed=seed,
-    )
-    return Pipeline(stages=[assembler, model]).fit(weighted)
-
-
-def score_with(model: PipelineModel, df: DataFrame, into: str = "score") -> DataFrame:
-    """Probability of the positive class."""
-    scored = model.transform(df).withColumn(into, vector_to_array("probability")[1])
-    return scored.drop("features", "rawPrediction", "probability", "prediction")
-
-
 @dataclass(frozen=True)
-class GradientModel:
+class LinearModel:
     columns: tuple[str, ...]
     intercept: float
     weights: tuple[float, ...]
 
     def score(self) -> Column:
+        """Probability of the positive class as one expression; null where a feature is null."""
         terms = [F.col(c) * F.lit(w) for c, w in zip(self.columns, self.weights, strict=True)]
         return sigmoid(sum(terms, F.lit(self.intercept)))
 
+    def scored(self, df: DataFrame, into: str = "score") -> DataFrame:
+        return df.withColumn(into, self.score())
+
+
+def fit_logistic(train: DataFrame, columns: Sequence[str], label: str, cap: float | None = 30.0) -> LinearModel:
+    """L-BFGS on the weighted, L2-regularised log loss; columns are already standardised."""
+    guard_features(columns)
+    weighted = with_class_weight(train, label, cap)
+    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
+    solver = LogisticRegression(
+        labelCol=label, weightCol="class_weight", maxIter=ITERATIONS, regParam=L2, standardization=False
+    )
+    found = solver.fit(assembler.transform(weighted))
+    return LinearModel(tuple(columns), float(found.intercept), tuple(float(w) for w in found.coefficients.toArray()))
+
 
 def fit_gradient(
     train: DataFrame,
@@ -84,7 +57,7 @@ def fit_gradient(
     rate: float = LEARNING_RATE,
     l2: float = L2,
     cap: float = 30.0,
-) -> GradientModel:
+) -> LinearModel:
     """Full-batch gradient descent; each step is one distributed sum over all rows.
 
     Tasks turn a batch of rows into one partial gradient, Spark adds the partials, and
@@ -101,7 +74,7 @@ def fit_gradient(
             coef = coef - rate * gradient
     finally:
         rows.unpersist()
-    return GradientModel(tuple(columns), float(coef[0]), tuple(float(c) for c in coef[1:]))
+    return LinearModel(tuple(columns), float(coef[0]), tuple(float(c) for c in coef[1:]))
 
 
 def _gradient(rows: DataFrame, coef: np.ndarray) -> np.ndarray:

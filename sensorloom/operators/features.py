@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sensorloom.functions import intervals
 from sensorloom.functions.scalars import bucket_start, epoch_micros, one_hot
+from sensorloom.operators import calendars
 from sensorloom.operators.normalize import with_deltas, with_state
 from sensorloom.operators.ordered import Order, Slices, with_previous
 from sensorloom.operators.rolling import Stat, with_rolling
@@ -28,8 +29,13 @@ QUANTILE_FRAMES = (15, 60)
 NEVER_FEATURES = frozenset({*FLAGS, "rul_seconds", "window_start", "window_end", "failure_type"})
 
 
-def horizon_labels(df: DataFrame, spec: SensorSpec, calendar: Calendar, post_hours: int = 24) -> DataFrame:
-    """Weak labels by incident calendar: membership, horizons, recovery, remaining time."""
+def horizon_labels(df: DataFrame, spec: SensorSpec, calendar: Calendar | DataFrame, post_hours: int = 24) -> DataFrame:
+    """Weak labels by incident calendar: membership, horizons, recovery, remaining time.
+
+    A configured calendar compiles to expressions; a table of incidents, per key of the spec or for all, is merged in.
+    """
+    if isinstance(calendar, DataFrame):
+        return calendars.labels_by_table(df, calendar, row_order(spec), (1, 6, 24), post_hours)
     time = F.col(spec.time)
     out = df.withColumns(
         {
@@ -129,14 +135,14 @@ def with_slopes(buckets: DataFrame, spec: SensorSpec) -> DataFrame:
     )
 
 
-def prepare_rows(readings: DataFrame, spec: SensorSpec, calendar: Calendar) -> DataFrame:
+def prepare_rows(readings: DataFrame, spec: SensorSpec, calendar: Calendar | DataFrame) -> DataFrame:
     """Deltas, labels and bucket on typed readings; state is added when absent."""
     out = readings if spec.state in readings.columns else with_state(readings, spec)
     out = horizon_labels(with_deltas(out, spec), spec, calendar)
     return out.withColumn(spec.bucket, bucket_start(out, spec.time, spec.bucket_unit))
 
 
-def base_features(readings: DataFrame, spec: SensorSpec, calendar: Calendar) -> DataFrame:
+def base_features(readings: DataFrame, spec: SensorSpec, calendar: Calendar | DataFrame) -> DataFrame:
     """One row per bucket: counts, labels, statistics and slopes."""
     needed = [*spec.by, spec.row_id, spec.time, *spec.names]
     state = [spec.state] if spec.state in readings.columns else []
@@ -164,7 +170,7 @@ def rolling_stats(spec: SensorSpec) -> list[Stat]:
     return stats
 
 
-def feature_table(readings: DataFrame, spec: SensorSpec, calendar: Calendar) -> DataFrame:
+def feature_table(readings: DataFrame, spec: SensorSpec, calendar: Calendar | DataFrame) -> DataFrame:
     """The full table: bucket statistics, slopes and trailing frames."""
     base = base_features(readings, spec, calendar)
     return with_rolling(base, spec.bucket, spec.bucket_unit, rolling_stats(spec), spec.by)

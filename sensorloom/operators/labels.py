@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.scalars import epoch_micros
-from sensorloom.operators.ordered import Order, plan_slices, with_previous, with_running_totals
+from sensorloom.operators.ordered import Order, drop_helpers, plan_slices, with_running_totals
 
 _FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -70,7 +70,7 @@ def with_running_max(df: DataFrame, order: Order, value: str, into: str) -> Data
         earlier = slices.across().rowsBetween(Window.unboundedPreceding, -1)
         carried = tops.select(*slices.columns, F.max("_top").over(earlier).alias("_carry"))
         inner = slices.join(inner, carried).withColumn(into, F.greatest(into, "_carry")).drop("_carry")
-    return inner.drop("_pos", "_tie", "_slice", "_cut")
+    return drop_helpers(inner)
 
 
 def flags_by_table(

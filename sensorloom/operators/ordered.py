@@ -192,7 +192,7 @@ def _quantiles(df: DataFrame, name: str, count: int) -> list[float]:
     return list(found or [])
 
 
-def _drop_helpers(df: DataFrame) -> DataFrame:
+def drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop("_pos", "_key", "_tie", "_last", "_slice", "_cut")
 
 
@@ -218,7 +218,7 @@ def with_previous(
         group = (F.col("_slice") * (1 << 15) + F.col("_cut")).cast("long")
         inner = inner.withColumn(sequence, group * (1 << 32) + F.row_number().over(slices.window()))
     if slices.whole:
-        return _drop_helpers(inner)
+        return drop_helpers(inner)
     last = F.max_by(payload, F.struct(*slices.sort)).alias("_tail")
     # structs alone would make this a sort of all rows; a list aggregate beside them (always
     # empty) lets Spark hash the rows of the few slices a task sees
@@ -227,7 +227,7 @@ def with_previous(
     before = F.lag("_tail").over(slices.across())
     carried = tails.filter(F.size("_none") == 0).select(*slices.columns, before.alias("_carry"))
     joined = slices.join(inner, carried)
-    return _drop_helpers(joined.withColumn(into, F.coalesce(into, "_carry")).drop("_carry"))
+    return drop_helpers(joined.withColumn(into, F.coalesce(into, "_carry")).drop("_carry"))
 
 
 def with_running_totals(
@@ -243,7 +243,7 @@ def with_running_totals(
     running = {name: F.sum(value).over(upto) for name, value in totals.items()}
     inner = slices.spread(keyed).withColumns(running)
     if slices.whole:
-        return _drop_helpers(inner)
+        return drop_helpers(inner)
     sums = keyed.groupBy(*slices.columns).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
     before = slices.across().rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
@@ -251,7 +251,7 @@ def with_running_totals(
     )
     joined = slices.join(inner, offsets)
     summed = joined.withColumns({n: F.col(n) + F.col(f"_before_{n}") for n in totals})
-    return _drop_helpers(summed.drop(*[f"_before_{n}" for n in totals]))
+    return drop_helpers(summed.drop(*[f"_before_{n}" for n in totals]))
 
 
 def with_index(
@@ -299,7 +299,7 @@ def ordered_split(df: DataFrame, order: Order, share: float = 0.7) -> DataFrame:
     others = keyed.filter(place != at).withColumn("split", side(place < at))
     ranked = keyed.filter(place == at).withColumn("_rank", F.row_number().over(slices.window()))
     inside = ranked.withColumn("split", side(F.col("_rank") <= holder["_nth"])).drop("_rank")
-    return _drop_helpers(others.unionByName(inside))
+    return drop_helpers(others.unionByName(inside))
 
 
 def seconds_to_next(
@@ -337,3 +337,29 @@ def seconds_to_next(
     kept = inner.filter(F.col("_mark").isNull())
     wait = (F.col("_next") - F.col("_at")) / F.lit(1e6)
     return kept.select("_row.*", wait.alias(into))
+
+
+def with_last_mark(df: DataFrame, marks: DataFrame, order: Order, at: str, columns: Sequence[str], into: str) -> DataFrame:
+    """Add a struct of ``columns`` of the last row of ``marks`` at or before each row, null before the first.
+
+    ``marks`` has the keys of the order and one row per key and ``at`` (epoch micros).  Both sides are merged into one
+    order and the last mark is carried over slices, so tables of any size meet without pairs.
+    """
+    keys = list(order.by)
+    reading = df.select(F.struct(*df.columns).alias("_row"), *keys, epoch_micros(F.col(order.key)).alias("_at"))
+    marked = marks.select(*keys, F.col(at).alias("_at"), F.struct(*columns).alias("_mark"))
+    merged = reading.unionByName(marked, allowMissingColumns=True)
+    # at one instant the mark goes first, and a hash among readings lets a hot instant be cut
+    spread = F.pmod(F.xxhash64("_row"), F.lit(1 << 31))
+    ranked = merged.withColumn("_rank", F.when(F.col("_mark").isNotNull(), F.lit(-1)).otherwise(spread))
+    slices = plan_slices(ranked, Order("_at", "_rank", order.by))
+    keyed = slices.attach(ranked)
+    upto = slices.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = slices.spread(keyed).withColumn("_seen", F.last("_mark", ignorenulls=True).over(upto))
+    if not slices.whole:
+        tails = keyed.where(F.col("_mark").isNotNull()).groupBy(*slices.columns).agg(F.max_by("_mark", "_at").alias("_tail"))
+        groups = keyed.select(*slices.columns).distinct().join(tails, slices.columns, "left")
+        before = slices.across().rowsBetween(Window.unboundedPreceding, -1)
+        carried = groups.select(*slices.columns, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+        inner = slices.join(inner, carried).withColumn("_seen", F.coalesce("_seen", "_carry"))
+    return inner.where(F.col("_mark").isNull()).select("_row.*", F.col("_seen").alias(into))

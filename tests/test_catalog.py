@@ -41,6 +41,6 @@ def test_contract_of_the_entry_points(spark):
     assert set(QUERIES) <= set(entry.queries())
     without_sql = set(QUERIES) - set(ORACLE)
     assert without_sql == {
-        "compressor_feature_table", "model_logistic", "model_gradient", "model_forest", "model_iforest", "top_weights", "score_table",
+        "compressor_feature_table", "model_logistic", "model_gradient", "model_forest", "model_iforest", "top_weights", "forest_importances", "score_table",
     }
     assert entry.entry(spark).columns[:2] == ["dt", "operating_state"]

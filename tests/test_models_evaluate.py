@@ -3,7 +3,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from sensorloom.models import isolation, linear, mad, matrix
+from sensorloom.models import forest, isolation, linear, mad, matrix
 from sensorloom.operators import evaluate, ordered
 from sensorloom.operators.quantiles import exact_quantiles
 from sensorloom.spec import Calendar
@@ -122,11 +122,30 @@ def test_gradient_descent_equals_numpy(spark):
 
 def test_trained_models_find_the_signal(spark):
     pdf, df = learnable(spark)
-    for fit in (linear.fit_logistic, lambda d, c, y: linear.fit_forest(d, c, y, trees=10, depth=4, leaf=2)):
-        scored = linear.score_with(fit(df, ["a", "b", "c"], "y"), df).toPandas()
+    for fit in (linear.fit_logistic, lambda d, c, y: forest.fit_forest(d, c, y, trees=10, depth=4, leaf=2)):
+        scored = fit(df, ["a", "b", "c"], "y").scored(df).toPandas()
         assert scored.loc[scored["y"] == 1, "score"].mean() > scored.loc[scored["y"] == 0, "score"].mean() + 0.2
 
 
+def test_scores_equal_those_of_the_trainers(spark, monkeypatch):
+    from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+    from pyspark.ml.functions import vector_to_array
+
+    kept = []
+    for kind in (LogisticRegression, RandomForestClassifier):
+        monkeypatch.setattr(kind, "fit", lambda self, data, real=kind.fit: kept.append((real(self, data), data)) or kept[-1][0])
+    pdf, df = learnable(spark)
+    for fit in (linear.fit_logistic, lambda d, c, y: forest.fit_forest(d, c, y, trees=7, depth=5, leaf=3)):
+        model = fit(df, ["a", "b", "c"], "y")
+        found, data = kept[-1]
+        want = {r["id"]: r["p"] for r in found.transform(data).select("id", vector_to_array("probability")[1].alias("p")).collect()}
+        got = {r["id"]: r["score"] for r in model.scored(df).collect()}
+        assert got == pytest.approx(want, abs=1e-9)
+    assert model.importances == pytest.approx(found.featureImportances.toArray()) and sum(model.importances) == pytest.approx(1)
+    hole = model.scored(df.limit(3).withColumn("a", F.lit(None).cast("double"))).collect()
+    assert [r["score"] for r in hole] == [None] * 3
+
+
 def test_isolation_forest_ranks_outliers_first_and_repeats(spark):
     pdf, df = learnable(spark)
     df = df.withColumn("a", F.when(F.col("id") < 5, 40.0 + 20.0 * F.col("id")).otherwise(F.col("a")))

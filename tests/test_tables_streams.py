@@ -1,4 +1,6 @@
+import itertools
 import json
+import os
 from dataclasses import replace
 
 import pytest
@@ -112,9 +114,15 @@ def test_published_tables_and_views(spark, tmp_path):
     assert dict(spark.table("pub_test.v_w").dtypes)["sample_count"] == "bigint"
 
 
+_written = itertools.count()
+
+
 def put(folder, name, *events):
     folder.mkdir(exist_ok=True)
-    (folder / name).write_text("\n".join(e if isinstance(e, str) else json.dumps(e) for e in events) + "\n")
+    file = folder / name
+    file.write_text("\n".join(e if isinstance(e, str) else json.dumps(e) for e in events) + "\n")
+    at = 1_700_000_000 + next(_written)  # a file source takes files by their time, and those of one millisecond in any order
+    os.utime(file, (at, at))
 
 
 def test_fan_out_resumes_and_repeats_without_duplicates(spark, tmp_path):
