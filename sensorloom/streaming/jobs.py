@@ -14,7 +14,8 @@ from sensorloom.functions.gates import Rule
 from sensorloom.sources.events import decode_events
 from sensorloom.spec import SensorSpec
 from sensorloom.streaming import pipeline as p
-from sensorloom.streaming.stores import KeyValueStore, folder_exists, write_degraded
+from sensorloom.streaming.commits import Change, Commits
+from sensorloom.streaming.stores import KeyValueStore, write_degraded
 
 
 @dataclass(frozen=True)
@@ -49,32 +50,19 @@ def each_batch(
     return writer.trigger(**trigger.kwargs()).start()
 
 
-def _replace(rows: DataFrame, path: str, batch_id: int, partitions: Sequence[str] = ()) -> None:
-    # a batch that is repeated after a failure replaces its own folder, whatever the session
-    # says about partition overwrite
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-    if partitions:
-        writer = writer.partitionBy(*partitions)
-    writer.parquet(f"{path}/batch={batch_id}")
-
-
-def _earlier(spark: SparkSession, path: str, schema: T.StructType, batch_id: int) -> DataFrame | None:
-    """Rows of the batches before ``batch_id``; none before the first."""
-    if not folder_exists(spark, path):
-        return None
-    return spark.read.schema(schema.add("batch", T.LongType())).parquet(path).filter(F.col("batch") < batch_id).drop("batch")
-
+def first_seen(rows: DataFrame, log: Commits, output: str, day: str, batch_id: int, key: str = "event_id") -> DataFrame:
+    """Rows of a batch whose id is neither repeated in it nor in an earlier batch of ``output``.
 
-def first_seen(rows: DataFrame, path: str, day: str, batch_id: int, key: str = "event_id") -> DataFrame:
-    """Rows of a batch whose id is neither repeated in it nor in an earlier batch below ``path``.
-
-    Ids are looked up in the days the batch touches, however late they are; there is no
-    watermark, so no event is lost.  A null id is never a repeat.
+    Ids are looked up in the days the batch touches, however late they are, and only the folders of those days are
+    listed and read; there is no watermark, so no event is lost.  A null id is never a repeat.
     """
+    spark = rows.sparkSession
     marked = rows.withColumn("_nth", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
     once = marked.dropDuplicates([key, day, "_nth"]).drop("_nth")
-    known = _earlier(rows.sparkSession, path, T.StructType([rows.schema[key], T.StructField(day, T.StringType())]), batch_id)
-    return once if known is None else once.join(known, [key, day], "left_anti")
+    touched = [r[0] for r in rows.select(day).distinct().collect()]  # at most the days of the history
+    schema = T.StructType([rows.schema[key], T.StructField(day, T.StringType())])
+    known = log.read(spark, output, schema, touched, batch_id)
+    return once.join(known, [key, day], "left_anti") if known.inputFiles() else once
 
 
 @dataclass(frozen=True)
@@ -83,56 +71,94 @@ class FirstSeen:
 
     spec: SensorSpec
     path: str
+    compact_every: int = 50
+
+    @property
+    def log(self) -> Commits:
+        return Commits(self.path)
 
     def handle(self, valid: DataFrame, batch_id: int) -> None:
-        rows = p.readings_with_day(valid, self.spec)
-        _replace(first_seen(rows, self.path, self.spec.day, batch_id), self.path, batch_id, [self.spec.day])
+        spark, log, day = valid.sparkSession, self.log, self.spec.day
+        _tidy(spark, log, batch_id, self.compact_every)
+        rows = p.readings_with_day(valid, self.spec).persist()
+        try:
+            found = log.write(first_seen(rows, log, "rows", day, batch_id), "rows", batch_id, day)
+        finally:
+            rows.unpersist()
+        log.commit(spark, batch_id, [Change("rows", found)])
 
     def read(self, spark: SparkSession, schema: T.StructType) -> DataFrame:
-        full = T.StructType(schema.fields).add(self.spec.day, T.StringType()).add("batch", T.LongType())
-        return spark.read.schema(full).parquet(self.path).drop("batch")
+        return self.log.read(spark, "rows", T.StructType([*schema.fields, T.StructField(self.spec.day, T.StringType())]))
+
+
+def _tidy(spark: SparkSession, log: Commits, batch_id: int, every: int) -> None:
+    """Now and then, before a batch: those before it are done with and cannot come again."""
+    if every and batch_id and batch_id % every == 0:
+        log.compact(spark, batch_id)
+        log.clean(spark)
+
+
+def _merged_partials(new: DataFrame, log: Commits, output: str, spec: SensorSpec, batch_id: int) -> tuple[DataFrame, list[str]]:
+    """KPI partials of the days a batch touches, with those of earlier batches added, and the days."""
+    touched = [r[0] for r in new.select(spec.day).distinct().collect()]  # at most the days of the history
+    before = log.read(new.sparkSession, output, new.schema, touched, batch_id)
+    return add_partials(before.unionByName(new), spec), touched
 
 
 @dataclass(frozen=True)
 class MinuteKpi:
     """Event-time KPI of a stream from additive partials: an event counts however late it comes.
 
-    ``late`` tells per batch how many rows were older than the newest event of the batches
-    before it less ``delay``.
+    A batch adds its partials to those of the days it touches and puts each such day in place of the one before, so a
+    day has one folder and reading costs the same after any number of batches.  A repeated batch starts from the days as they
+    were before it.  ``late`` tells per batch how many rows were older than the newest event of the batches before it
+    less ``delay``.
     """
 
     spec: SensorSpec
     base: str
     delay: str = p.WATERMARK
+    compact_every: int = 50
+
+    @property
+    def log(self) -> Commits:
+        return Commits(self.base)
+
+    def _progress(self) -> T.StructType:
+        counts = [T.StructField(c, T.LongType()) for c in ("batch", "event_rows", "late_rows")]
+        return T.StructType([T.StructField("newest", T.TimestampNTZType()), *counts])
 
     def handle(self, valid: DataFrame, batch_id: int) -> None:
-        spark, time = valid.sparkSession, F.col(self.spec.time)
+        spark, log, time = valid.sparkSession, self.log, F.col(self.spec.time)
+        _tidy(spark, log, batch_id, self.compact_every)
         kept = valid.persist()
         try:
-            _replace(kpi_partials(kept, self.spec), f"{self.base}/partials", batch_id, [self.spec.day])
-            kind = T.StructType([T.StructField("newest", T.TimestampNTZType())])
-            before = _earlier(spark, f"{self.base}/progress", kind, batch_id)
-            newest = None if before is None else before.agg(F.max("newest")).first()[0]
+            merged, _ = _merged_partials(kpi_partials(kept, self.spec), log, "partials", self.spec, batch_id)
+            days = log.write(merged, "partials", batch_id, self.spec.day)
+            newest = log.read(spark, "progress", self._progress(), before=batch_id).agg(F.max("newest")).first()[0]
             old = F.lit(False) if newest is None else time < F.lit(newest).cast("timestamp_ntz") - F.expr(f"INTERVAL {self.delay}")
-            progress = kept.agg(F.max(time).alias("newest"), F.count(F.lit(1)).alias("event_rows"), F.count(F.when(old, 1)).alias("late_rows"))
-            _replace(progress, f"{self.base}/progress", batch_id)
+            progress = kept.agg(
+                F.max(time).alias("newest"), F.lit(batch_id).cast("long").alias("batch"), F.count(F.lit(1)).alias("event_rows"), F.count(F.when(old, 1)).alias("late_rows")
+            )
+            log.commit(spark, batch_id, [Change("partials", days, replace=True), Change("progress", log.write(progress, "progress", batch_id))])
         finally:
             kept.unpersist()
 
     def read(self, spark: SparkSession) -> DataFrame:
-        rows = spark.read.parquet(f"{self.base}/partials").drop("batch", self.spec.day)
-        return merge_kpi(rows, self.spec)
+        found = self.log.folders(spark, "partials")
+        return merge_kpi(spark.read.parquet(*found).drop(self.spec.day), self.spec)
 
     def late(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(f"{self.base}/progress")
+        return self.log.read(spark, "progress", self._progress())
 
 
 @dataclass(frozen=True)
 class FanOut:
     """Dead letters, readings, KPI partials, risk events and latest state from one source.
 
-    Repeats of an event id are dropped however far apart they come (``unique``).  The KPI
-    cache gets the minutes a batch touches as they are over all batches.
+    All outputs of a batch appear at once, by one commit.  Repeats of an event id are dropped however far apart they come
+    (``unique``).  KPI partials are kept added up per day.  The KPI cache gets the minutes a batch touches as they are over
+    all batches.
     """
 
     spec: SensorSpec
@@ -141,6 +167,11 @@ class FanOut:
     kpi_state: KeyValueStore | None = None
     risk_state: KeyValueStore | None = None
     unique: bool = True
+    compact_every: int = 50
+
+    @property
+    def log(self) -> Commits:
+        return Commits(self.base)
 
     def _outputs(self, gate: DataFrame, valid: DataFrame) -> dict[str, DataFrame]:
         return {
@@ -151,19 +182,25 @@ class FanOut:
         }
 
     def handle(self, batch: DataFrame, batch_id: int) -> None:
-        spark, day = batch.sparkSession, self.spec.day
+        spark, log, day = batch.sparkSession, self.log, self.spec.day
+        _tidy(spark, log, batch_id, self.compact_every)
         gate = p.gated(decode_events(batch, self.spec), self.rules).persist()
         valid = p.accepted(gate)
         if self.unique:
-            valid = first_seen(p.readings_with_day(valid, self.spec), f"{self.base}/readings", day, batch_id).drop(day)
+            valid = first_seen(p.readings_with_day(valid, self.spec), log, "readings", day, batch_id).drop(day)
         valid = valid.select(p.accepted(gate).columns).persist()
         try:
             outputs = self._outputs(gate, valid)
-            for name, rows in outputs.items():
-                _replace(rows, f"{self.base}/{name}", batch_id, [day] if day in rows.columns else [])
+            partials = outputs["kpi_partials"]
+            outputs["kpi_partials"], touched = _merged_partials(partials, log, "kpi_partials", self.spec, batch_id)
+            changes = [
+                Change(name, log.write(rows, name, batch_id, day if day in rows.columns else None), replace=name == "kpi_partials")
+                for name, rows in outputs.items()
+            ]
+            log.commit(spark, batch_id, changes)
             if self.kpi_state:
-                touched = outputs["kpi_partials"].select(day, "window_start", self.spec.state)
-                over_all = self.read(spark, "kpi_partials").join(touched, touched.columns, "left_semi")
+                minutes = partials.select(day, "window_start", self.spec.state)
+                over_all = self.read(spark, "kpi_partials", touched).join(minutes, minutes.columns, "left_semi")
                 write_degraded(self.kpi_state, merge_kpi(over_all, self.spec), batch_id)
             if self.risk_state:
                 newest = p.latest_per_key(outputs["risk_events"], ["equipment_id"], [self.spec.time, self.spec.row_id])
@@ -175,11 +212,10 @@ class FanOut:
     def start(self, payloads: DataFrame, checkpoint: str, trigger: Trigger = Trigger()) -> StreamingQuery:
         return each_batch(payloads, self.handle, checkpoint, trigger=trigger)
 
-    def read(self, spark: SparkSession, output: str) -> DataFrame:
-        """An output over all batches; the schema is declared, as a day folder may not exist yet."""
+    def read(self, spark: SparkSession, output: str, days: Sequence[str] | None = None) -> DataFrame:
+        """An output over all committed batches; the schema is declared, as there may be no row yet."""
         nothing = p.gated(decode_events(spark.createDataFrame([], "value string"), self.spec), self.rules)
-        schema = self._outputs(nothing, p.accepted(nothing))[output].schema
-        return spark.read.schema(schema.add("batch", T.LongType())).parquet(f"{self.base}/{output}").drop("batch")
+        return self.log.read(spark, output, self._outputs(nothing, p.accepted(nothing))[output].schema, days)
 
 
 def kpi_partials(valid: DataFrame, spec: SensorSpec, averages: Sequence[str] = p.KPI_AVERAGES) -> DataFrame:
@@ -194,6 +230,13 @@ def kpi_partials(valid: DataFrame, spec: SensorSpec, averages: Sequence[str] = p
     ).withColumn(spec.day, F.date_format("window_start", "yyyy-MM-dd"))
 
 
+def add_partials(partials: DataFrame, spec: SensorSpec) -> DataFrame:
+    """Partials of one row per minute and state, the sums of all."""
+    keys = ["window_start", spec.state, spec.day]
+    sums = [F.sum(c).alias(c) for c in partials.columns if c not in keys]
+    return partials.groupBy(*keys).agg(*sums).select(partials.columns)
+
+
 def merge_kpi(partials: DataFrame, spec: SensorSpec, averages: Sequence[str] = p.KPI_AVERAGES) -> DataFrame:
     """Minute KPI from the partials of any number of batches."""
     counts = ["sample_count", "failure_sample_count"]

@@ -55,7 +55,7 @@ class ParquetStore:
         Nothing is overwritten: the new folder is complete before an old one goes, and a stop
         at any point leaves repeats at most, which reads merge away.
         """
-        files = _files(spark, self.path)
+        files = Files(spark, self.path)
         old = [n for n in files.names() if n.startswith("part=m") or n.startswith("part=b") and int(n[len("part=b") :]) <= upto]
         if not old:
             return
@@ -77,27 +77,51 @@ class ParquetStore:
         return self._alive(latest_per_key(rows, self.keys, self.order), now, written_at)
 
 
-class _files:
-    """Names in a folder of whatever file system the session can reach."""
+class Files:
+    """Files of a folder in whatever file system the session can reach."""
 
     def __init__(self, spark: SparkSession, path: str):
-        jvm = spark.sparkContext._jvm
-        self.make = jvm.org.apache.hadoop.fs.Path
+        self.jvm = spark.sparkContext._jvm
+        self.gateway = spark.sparkContext._gateway
+        self.conf = spark.sparkContext._jsc.hadoopConfiguration()
+        self.make = self.jvm.org.apache.hadoop.fs.Path
         self.path = path
-        self.fs = self.make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.fs = self.make(path).getFileSystem(self.conf)
 
     def exists(self) -> bool:
         return self.fs.exists(self.make(self.path))
 
-    def names(self) -> list[str]:
-        return [f.getPath().getName() for f in self.fs.listStatus(self.make(self.path))] if self.exists() else []
+    def names(self, older_than_seconds: int | None = None) -> list[str]:
+        if not self.exists():
+            return []
+        found = list(self.fs.listStatus(self.make(self.path)))
+        if older_than_seconds is not None:
+            latest = self.jvm.java.lang.System.currentTimeMillis() - older_than_seconds * 1000
+            found = [f for f in found if f.getModificationTime() <= latest]
+        return [f.getPath().getName() for f in found]
 
     def remove(self, name: str) -> None:
         self.fs.delete(self.make(f"{self.path}/{name}"), True)
 
-
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    return _files(spark, path).exists()
+    def read(self, name: str) -> str:
+        stream = self.fs.open(self.make(f"{self.path}/{name}"))
+        try:
+            return self.jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    def put(self, name: str, text: str) -> None:
+        """Write a file whole: it is written aside and renamed over an earlier one in one step."""
+        aside = self.make(f"{self.path}/.{name}-{uuid.uuid4().hex}")
+        stream = self.fs.create(aside, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        how = self.jvm.org.apache.hadoop.fs.Options.Rename
+        options = self.gateway.new_array(how, 1)
+        options[0] = how.OVERWRITE
+        target = self.fs.makeQualified(self.make(f"{self.path}/{name}"))
+        context = self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), self.conf)
+        context.rename(self.fs.makeQualified(aside), target, options)
 
 
 def write_degraded(store: KeyValueStore, latest: DataFrame, batch_id: int) -> bool:

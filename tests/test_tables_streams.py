@@ -250,7 +250,7 @@ def test_compaction_stopped_anywhere_loses_nothing(spark, tmp_path, monkeypatch)
     def stop(self, name):
         raise InterruptedError(name)
 
-    monkeypatch.setattr(stores._files, "remove", stop)
+    monkeypatch.setattr(stores.Files, "remove", stop)
     with pytest.raises(InterruptedError):
         store.compact(spark, 2, now)
     assert [tuple(r) for r in store.read(spark, now).collect()] == [("a", 3, "2024-01-01 00:01:30")]
