@@ -37,7 +37,7 @@ SENT_HASHES = 1 << 22
 HELD = 1 << 21  # hashes a task holds before it sends them
 BATCH_BYTES = 1 << 21
 SHARD_BYTES = 1 << 21  # of phrases in one trie
-SENT_BYTES = 1 << 25  # of tries in one broadcast
+SENT_BYTES = 1 << 25  # of packed tries in one broadcast
 NO_LANG = "und"
 U = np.uint64
 _BYTE = np.arange(256)
@@ -124,24 +124,49 @@ def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[bytes]
         at = to
 
 
-def _among(h: np.ndarray, known: np.ndarray) -> np.ndarray:
-    if not len(known):
-        return np.zeros(len(h), bool)
-    return known[np.minimum(np.searchsorted(known, h), len(known) - 1)] == h
-
-
-def _safe(words: Words, hashes: list[np.ndarray], known: list[tuple[np.ndarray, np.ndarray] | None], k: int) -> np.ndarray:
-    """Where a phrase of k + 1 words starts whose parts may be frequent; a level without hashes at hand (None) rules nothing out."""
+class Known:
+    """Sorted hashes with the place where each run of equal leading bits starts: finding one takes a few steps, not a search."""
+
+    def __init__(self, h: np.ndarray):
+        self.h = h
+        self.bits = min(max(len(h), 1).bit_length() + 1, 24)
+        lead = (h >> U(64 - self.bits)).astype(np.int64)
+        self.start = np.searchsorted(lead, np.arange((1 << self.bits) + 1)).astype(np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """Place of each hash, -1 for none."""
+        out = np.full(len(h), -1, np.int32)
+        lead = (h >> U(64 - self.bits)).astype(np.int64)
+        at, end = self.start[lead], self.start[lead + 1]
+        left = np.flatnonzero(at < end)
+        while len(left):
+            place = at[left]
+            same = self.h[place] == h[left]
+            out[left[same]] = place[same]
+            left = left[~same]
+            at[left] += 1
+            left = left[at[left] < end[left]]
+        return out
+
+
+def _safe(words: Words, found: np.ndarray | None, k: int) -> np.ndarray:
+    """Where a phrase of k + 1 words starts whose parts may be frequent, by the places of its parts among the frequent ones; a
+    level without hashes at hand (None) rules nothing out."""
     fits = words.after >= k
-    if k and known[k - 1] is not None:
-        part = _among(hashes[k - 1], known[k - 1][0])
+    if k and found is not None:
+        part = found >= 0
         fits = fits & part & np.concatenate([part[1:], [False]])[: len(part)]
     return fits
 
 
+def _opened(known: list[Broadcast | None]) -> list[tuple[Known, np.ndarray] | None]:
+    """What a task has of each level: its hashes and their witnesses."""
+    return [(Known(b.value[0]), b.value[1]) if b else None for b in known]
+
+
 def _merged(h: np.ndarray, n: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct hashes, sorted, with the sum of their counts and the least of their witnesses."""
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     h = h[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
     if not len(first):
@@ -172,14 +197,14 @@ def level(rows: DataFrame, k: int, known: list[Broadcast | None], least: int) ->
     bits = max(settled, rows.rdd.getNumPartitions(), 1).bit_length()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = [b and b.value for b in known]
+        last = _opened(known[-1:])
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in batches:
             for langs, texts in _stretches(batch):
                 words = words_of(texts, k + 1)
                 hashes = hashes_of(words, _salts(langs), k + 1)
-                fits = _safe(words, hashes, sent, k)
+                fits = _safe(words, last[0][0].find(hashes[k - 1]) if k and last[0] else None, k)
                 h = hashes[k][fits]
                 held.append(_merged(h, np.ones(len(h), np.int64), _witnesses(langs, texts)[words.owner[fits]]))
                 size += len(held[-1][0])
@@ -231,17 +256,21 @@ def candidates(rows: DataFrame, longest: int, least: int) -> DataFrame:
         known.append(_sent(levels[-1]))
 
     def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = [b and b.value for b in known]
+        sent = _opened(known)
         for batch in batches:
             for langs, texts in _stretches(batch):
                 words = words_of(texts, longest)
                 own_number = _witnesses(langs, texts)[words.owner]
-                for k, h in enumerate(hashes := hashes_of(words, _salts(langs), longest)):
-                    fits = _safe(words, hashes, sent, k)
+                found = None
+                for k, h in enumerate(hashes_of(words, _salts(langs), longest)):
+                    fits = _safe(words, found, k)
+                    found = None
                     if sent[k] is not None:  # once, from the document that stands for it (and its copies)
-                        known_h, witness = sent[k]
-                        fits = fits & _among(h, known_h)
-                        fits[fits] = witness[np.searchsorted(known_h, h[fits])] == own_number[fits]
+                        hashes, witness = sent[k]
+                        found = np.full(len(h), -1, np.int32)
+                        found[fits] = hashes.find(h[fits])
+                        fits = found >= 0
+                        fits[fits] = witness[found[fits]] == own_number[fits]
                     _, first = np.unique(h[fits], return_index=True)
                     own = np.flatnonzero(fits)[first]
                     for at in range(0, len(own), 1 << 18):
@@ -361,7 +390,7 @@ def _tries(shards: DataFrame) -> DataFrame:
         order = sorted(range(len(keys)), key=keys.__getitem__)  # a language may hold bytes below a line break
         trie = build([keys[k] for k in order])
         accept = np.where(trie.accept >= 0, np.array(order, np.int32)[trie.accept], -1).astype(np.int32)
-        arrays = [x.tobytes() for x in (trie.base, trie.check, accept)]
+        arrays = [zlib.compress(x.tobytes(), 1) for x in (trie.base, trie.check, accept)]
         row = {"shard": table.column("shard")[0].as_py(), "keys": len(keys), "root": trie.root, "base": arrays[0], "check": arrays[1], "accept": arrays[2]}
         return pa.Table.from_pylist([row], pa.schema([("shard", pa.int64()), ("keys", pa.int32()), ("root", pa.int32())] + [(n, pa.binary()) for n in ("base", "check", "accept")]))
 
@@ -414,12 +443,12 @@ def occurrences(rows: DataFrame, longest: int, least: int) -> tuple[DataFrame, D
     stored_parts = []
     for turn, some in enumerate(rounds):
         own = tries.where(F.col("shard").isin(some)).collect()  # at most SENT_BYTES, or one trie
-        packed = [(r["shard"], r["keys"], r["root"], *(np.frombuffer(r[n], np.int32) for n in ("base", "check", "accept"))) for r in own]
+        packed = [(r["shard"], r["keys"], r["root"], *(bytes(r[n]) for n in ("base", "check", "accept"))) for r in own]
         sent = rows.sparkSession.sparkContext.broadcast(packed)
         del own, packed
 
         def counted(batches: Iterator[pa.RecordBatch], sent: Broadcast = sent, turn: int = turn) -> Iterator[pa.RecordBatch]:
-            held = [(shard, keys, Trie(*arrays)) for shard, keys, *arrays in sent.value]
+            held = [(shard, keys, Trie(start, *(np.frombuffer(zlib.decompress(x), np.int32) for x in arrays))) for shard, keys, start, *arrays in sent.value]
             totals = [np.zeros(keys, np.int64) for _, keys, _ in held]
             in_lang: dict[bytes, int] = {}
             for batch in batches:
