@@ -6,12 +6,14 @@ dense position comes from cell counts plus the row number inside the cell; block
 position are the groups, and the last ``n - 1`` rows of a block are repeated at the head of
 the next one.  Spark shuffles and sizes the blocks; inside a block the frames are evaluated
 with numpy on Arrow columns, because the built-in sliding frame re-aggregates every frame
-from scratch for each of hundreds of statistics.
+from scratch for each of hundreds of statistics.  Means, deviations and extremes come from stretches of doubled length,
+quantiles from a wavelet matrix, so a block takes memory for its rows and not for rows times frame.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -59,50 +61,119 @@ _QUANTILES = {"q25": 0.25, "q75": 0.75}
 STATISTICS = ("mean", "std", "min", "max", *_QUANTILES)
 
 
-def _frames(values: np.ndarray, rows: int) -> np.ndarray:
-    """One row per frame, padded with NaN in front; NaN also stands for null."""
-    padded = np.concatenate([np.full(rows - 1, np.nan), values])
-    return np.lib.stride_tricks.sliding_window_view(padded, rows)
+@dataclass
+class _Moments:
+    """Of a stretch of rows that ends at each place: known values, their sum, squared deviations, extremes."""
 
+    count: np.ndarray
+    total: np.ndarray
+    away: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
-def _quantile(ordered: np.ndarray, known: np.ndarray, share: float) -> np.ndarray:
-    """Linear interpolation among the known values; NaN sorts last."""
-    place = share * np.maximum(known - 1, 0)
-    low = np.floor(place).astype(int)
-    high = np.ceil(place).astype(int)
-    below = np.take_along_axis(ordered, low[:, None], 1)[:, 0]
-    above = np.take_along_axis(ordered, high[:, None], 1)[:, 0]
-    return below + (above - below) * (place - low)
+    def before(self, rows: int) -> _Moments:
+        """The stretch that ends ``rows`` places earlier; none before the first place."""
+        shift = lambda x, nothing: np.concatenate([np.full(min(rows, len(x)), nothing), x[: max(len(x) - rows, 0)]])
+        return _Moments(shift(self.count, 0), shift(self.total, 0.0), shift(self.away, 0.0), shift(self.low, np.inf), shift(self.high, -np.inf))
+
+    def joined(self, other: _Moments) -> _Moments:
+        """Both stretches together; deviations are merged about the two means, so nothing is subtracted away."""
+        count = self.count + other.count
+        both = (self.count > 0) & (other.count > 0)
+        gap = np.where(both, self.total / np.maximum(self.count, 1) - other.total / np.maximum(other.count, 1), 0.0)
+        between = gap * gap * (self.count * other.count / np.maximum(count, 1))
+        return _Moments(count, self.total + other.total, self.away + other.away + between, np.minimum(self.low, other.low), np.maximum(self.high, other.high))
+
+
+def _trailing_moments(values: np.ndarray, rows: int) -> _Moments:
+    """Moments of every trailing frame by doubling: stretches of 1, 2, 4 ... rows, those of the frame's binary digits joined.
+
+    Memory is a few arrays as long as ``values`` and time grows with the logarithm of the frame.
+    """
+    known = np.isfinite(values)
+    filled = np.where(known, values, 0.0)
+    step = _Moments(known.astype(np.int64), filled, np.zeros(len(values)), np.where(known, values, np.inf), np.where(known, values, -np.inf))
+    out, done, length = None, 0, 1
+    rows = min(rows, max(len(values), 1))
+    while True:
+        if rows & length:
+            out = step if out is None else out.joined(step.before(done))
+            done += length
+        length *= 2
+        if length > rows:
+            return out
+        step = step.joined(step.before(length // 2))
+
+
+class _Ranks:
+    """Order statistics of any stretch of a sequence: a wavelet matrix over the ranks of its values.
+
+    Per bit of the ranks, highest first, it has the number of zeros before each place, so the k-th smallest value of all
+    stretches is found together in one step per bit.
+    """
+
+    def __init__(self, values: np.ndarray):
+        self.ordered, rank = np.unique(values, return_inverse=True)
+        self.levels = []
+        for bit in range(max(int(len(self.ordered) - 1).bit_length(), 1) - 1, -1, -1):
+            ones = (rank >> bit) & 1 == 1
+            zeros = np.concatenate([[0], np.cumsum(~ones)]).astype(np.int32)
+            self.levels.append((bit, zeros))
+            rank = np.concatenate([rank[~ones], rank[ones]])
+
+    def kth(self, first: np.ndarray, end: np.ndarray, k: np.ndarray) -> np.ndarray:
+        """The k-th smallest (from 0) of each stretch ``first .. end - 1``."""
+        first, end, k = first.astype(np.int64), end.astype(np.int64), k.astype(np.int64)
+        rank = np.zeros(len(k), np.int64)
+        for bit, zeros in self.levels:
+            low, high = zeros[first], zeros[end]
+            right = k >= high - low
+            rank |= right.astype(np.int64) << bit
+            k = np.where(right, k - (high - low), k)
+            first = np.where(right, zeros[-1] + first - low, low)
+            end = np.where(right, zeros[-1] + end - high, high)
+        return self.ordered[rank]
+
+
+def _trailing_quantiles(values: np.ndarray, rows: int, shares: Sequence[float]) -> list[np.ndarray]:
+    """Linear-interpolated quantiles of the known values of every trailing frame, NaN where there are none."""
+    known = np.isfinite(values)
+    end = np.cumsum(known)
+    first = np.concatenate([np.zeros(min(rows, len(values)), np.int64), end[: max(len(values) - rows, 0)]])
+    count = end - first
+    some = np.flatnonzero(count)
+    out = [np.full(len(values), np.nan) for _ in shares]
+    if not len(some):
+        return out
+    ranks = _Ranks(values[known])
+    for found, share in zip(out, shares):
+        place = share * (count[some] - 1)
+        low, high = np.floor(place).astype(np.int64), np.ceil(place).astype(np.int64)
+        below, above = (ranks.kth(first[some], end[some], k) for k in (low, high))
+        found[some] = below + (above - below) * (place - low)
+    return out
 
 
 def trailing(values: np.ndarray, rows: int, stats: Iterable[str]) -> dict[str, np.ndarray]:
     """Statistics of every trailing frame; a frame without known values gives NaN.
 
-    The deviation of fewer than two known values is 0.
+    The deviation of fewer than two known values is 0.  Memory grows with the number of values, not with the frame.
     """
-    frames = _frames(values, rows)
-    known = np.isfinite(frames)
-    count = known.sum(axis=1)
-    empty = count == 0
-    out: dict[str, np.ndarray] = {}
     wanted = set(stats)
-    divisor = np.maximum(count, 1)
-    mean = np.where(known, frames, 0.0).sum(axis=1) / divisor
-    if "mean" in wanted:
-        out["mean"] = np.where(empty, np.nan, mean)
-    if "std" in wanted:
-        away = np.where(known, frames - mean[:, None], 0.0)
-        spread = np.sqrt((away * away).sum(axis=1) / np.maximum(count - 1, 1))
-        out["std"] = np.where(count > 1, spread, 0.0)
-    if "min" in wanted:
-        out["min"] = np.where(empty, np.nan, np.where(known, frames, np.inf).min(axis=1))
-    if "max" in wanted:
-        out["max"] = np.where(empty, np.nan, np.where(known, frames, -np.inf).max(axis=1))
+    out: dict[str, np.ndarray] = {}
+    if wanted - set(_QUANTILES):
+        found = _trailing_moments(values, rows)
+        empty = found.count == 0
+        made = {
+            "mean": lambda: np.where(empty, np.nan, found.total / np.maximum(found.count, 1)),
+            "std": lambda: np.where(found.count > 1, np.sqrt(found.away / np.maximum(found.count - 1, 1)), 0.0),
+            "min": lambda: np.where(empty, np.nan, found.low),
+            "max": lambda: np.where(empty, np.nan, found.high),
+        }
+        out |= {kind: make() for kind, make in made.items() if kind in wanted}
     asked = [q for q in _QUANTILES if q in wanted]
     if asked:
-        ordered = np.sort(np.where(known, frames, np.nan), axis=1)
-        for q in asked:
-            out[q] = np.where(empty, np.nan, _quantile(ordered, count, _QUANTILES[q]))
+        out |= dict(zip(asked, _trailing_quantiles(values, rows, [_QUANTILES[q] for q in asked])))
     return out
 
 

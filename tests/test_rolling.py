@@ -67,3 +67,49 @@ def test_a_frame_may_be_longer_than_a_block(spark):
     for r in got:
         low = max(0, int(r["v"]) - 149)
         assert abs(r["roll150_mean_v"] - (low + r["v"]) / 2) < 1e-9
+
+
+def by_hand(values, rows, kind):
+    out = []
+    for i in range(len(values)):
+        frame = [v for v in values[max(0, i - rows + 1) : i + 1] if np.isfinite(v)]
+        if kind == "std":
+            out.append(np.std(frame, ddof=1) if len(frame) > 1 else 0.0)
+        elif not frame:
+            out.append(np.nan)
+        else:
+            out.append({"mean": np.mean, "min": np.min, "max": np.max, "q25": lambda f: np.quantile(f, 0.25), "q75": lambda f: np.quantile(f, 0.75)}[kind](frame))
+    return np.array(out)
+
+
+@pytest.mark.parametrize("rows", [1, 2, 3, 5, 15, 60, 64, 255, 400])
+def test_every_statistic_of_every_frame(rows):
+    rng = np.random.default_rng(rows)
+    values = np.round(rng.normal(size=300) * rng.choice([1, 1e6], 300), 1)
+    values[rng.random(300) < 0.2] = np.nan
+    values[100:180] = 7.5  # ties and constant frames
+    values[200:270] = np.nan
+    got = rolling.trailing(values, rows, rolling.STATISTICS)
+    for kind in rolling.STATISTICS:
+        np.testing.assert_allclose(got[kind], by_hand(values, rows, kind), rtol=1e-9, atol=1e-9)
+    assert got["std"][150] == pytest.approx(0, abs=1e-9) or rows > 50
+
+
+def test_no_rows_and_no_known_values():
+    assert all(len(v) == 0 for v in rolling.trailing(np.zeros(0), 5, rolling.STATISTICS).values())
+    got = rolling.trailing(np.full(4, np.nan), 3, rolling.STATISTICS)
+    assert np.isnan(got["q25"]).all() and np.isnan(got["mean"]).all() and (got["std"] == 0).all()
+
+
+def test_a_day_of_seconds_takes_memory_for_its_rows_only():
+    import tracemalloc
+
+    values = np.random.default_rng(1).normal(size=172_800)
+    tracemalloc.start()
+    got = rolling.trailing(values, 86_400, rolling.STATISTICS)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6
+    last = values[-86_400:]
+    want = [last.mean(), last.std(ddof=1), last.min(), last.max(), *np.quantile(last, [0.25, 0.75])]
+    assert [got[k][-1] for k in rolling.STATISTICS] == pytest.approx(want, rel=1e-12)
