@@ -10,18 +10,41 @@ from sensorloom.spec import Calendar
 
 
 @pytest.mark.parametrize("kind", ["normal", "ties", "constant"])
-def test_bracketed_quantiles_are_exact(spark, kind):
+def test_radix_quantiles_are_exact(spark, kind):
     rng = np.random.default_rng(5)
     a = {"normal": rng.normal(size=4000), "ties": np.where(rng.random(4000) < 0.4, 7.0, rng.normal(size=4000)), "constant": np.ones(4000)}[kind]
     df = spark.createDataFrame(pd.DataFrame({"a": a, "b": rng.exponential(size=4000)})).repartition(4)
     df = df.withColumn("b", F.when(F.col("b") > 0.1, F.col("b")))
     shares = [0.0, 0.25, 0.5, 0.9, 0.995, 1.0]
-    got = exact_quantiles(df, ["a", "b"], shares, small_cells=0, bracket_rows=60, sample_rows=400)
+    got = exact_quantiles(df, ["a", "b"], shares, small_cells=0)
     pdf = df.toPandas()
     np.testing.assert_allclose(got["a"], np.quantile(pdf["a"], shares), rtol=1e-12)
     np.testing.assert_allclose(got["b"], np.nanquantile(pdf["b"], shares), rtol=1e-12)
 
 
+def test_sortable_bits_sort_like_doubles():
+    from sensorloom.operators import quantiles
+
+    values = np.array([-np.inf, -1e300, -2.5, -5e-324, 0.0, 5e-324, 1.0, np.nextafter(1.0, 2), 3e8, np.inf])
+    keys = quantiles.sortable(values)
+    assert (keys[1:] > keys[:-1]).all() and quantiles.sortable(np.array([-0.0]))[0] == keys[4]
+    assert [quantiles._double(int(k)) for k in keys] == values.tolist()
+
+
+def test_quantiles_evaluate_their_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return float(x)
+
+    df = spark.range(3000).select(counted("id").alias("a"), (F.col("id") % 7).cast("double").alias("b"))
+    got = exact_quantiles(df, ["a", "b"], [0.1 * k for k in range(11)], small_cells=0)
+    assert seen.value == 3000
+    assert got["a"] == pytest.approx(np.quantile(np.arange(3000.0), [0.1 * k for k in range(11)])) and got["b"][10] == 6.0
+
+
 def test_quantiles_of_an_empty_column(spark):
     df = spark.createDataFrame([(None,), (None,)], "a double")
     assert exact_quantiles(df, ["a"], [0.5]) == {"a": [None]}
@@ -192,7 +215,7 @@ def test_quantiles_ignore_nan_and_null_alike_at_any_size(spark):
     rows = [(float(i % 97), nan if i % 3 else float(i), None, -inf if i == 5 else inf if i == 6 else None if i % 2 else 1.0) for i in range(2000)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double")
     small = exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.9])
-    large = exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.9], small_cells=0, bracket_rows=50, sample_rows=200)
+    large = exact_quantiles(df, ["a", "b", "c", "d"], [0.25, 0.5, 0.9], small_cells=0)
     assert small == large and small["c"] == [None] * 3
 
 
