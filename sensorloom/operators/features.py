@@ -11,7 +11,7 @@ from sensorloom.functions import intervals
 from sensorloom.functions.scalars import bucket_start, epoch_micros, one_hot
 from sensorloom.operators import calendars
 from sensorloom.operators.normalize import with_deltas, with_state
-from sensorloom.operators.ordered import Order, Slices, with_previous
+from sensorloom.operators.ordered import Order, with_previous
 from sensorloom.operators.rolling import Stat, with_rolling
 from sensorloom.spec import Calendar, SensorSpec
 
@@ -69,13 +69,13 @@ def row_order(spec: SensorSpec) -> Order:
     return Order(spec.time, spec.row_id, spec.by)
 
 
-def with_changes(df: DataFrame, spec: SensorSpec, slices: Slices | None = None) -> DataFrame:
+def with_changes(df: DataFrame, spec: SensorSpec) -> DataFrame:
     """State transition flag and absolute digital changes against the previous row.
 
     The first row counts as a transition and has no toggles; borders of buckets, days and
     slices do not reset either.
     """
-    seen = with_previous(df, row_order(spec), [spec.state, *spec.digital], "_prev", slices, SEQUENCE)
+    seen = with_previous(df, row_order(spec), [spec.state, *spec.digital], "_prev", SEQUENCE)
     same = F.col(spec.state).eqNullSafe(F.col(f"_prev.{spec.state}"))
     changed = F.when(F.col("_prev").isNull() | ~same, F.lit(1)).otherwise(F.lit(0))
     toggles = {

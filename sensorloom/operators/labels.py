@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.functions.scalars import epoch_micros
-from sensorloom.operators.ordered import Order, drop_helpers, plan_slices, with_running_totals
+from sensorloom.operators.ordered import Order, drop_helpers, in_order, with_running_totals
 
 _FORMAT = "yyyy-MM-dd HH:mm:ss"
 
@@ -61,15 +61,13 @@ def with_overlap_flag(
 
 def with_running_max(df: DataFrame, order: Order, value: str, into: str) -> DataFrame:
     """Maximum over all earlier rows, null for the first."""
-    slices = plan_slices(df, order)
-    keyed = slices.attach(df)
-    before = slices.window().rowsBetween(Window.unboundedPreceding, -1)
-    inner = slices.spread(keyed).withColumn(into, F.max(value).over(before))
-    if not slices.whole:
-        tops = keyed.groupBy(*slices.columns).agg(F.max(value).alias("_top"))
-        earlier = slices.across().rowsBetween(Window.unboundedPreceding, -1)
-        carried = tops.select(*slices.columns, F.max("_top").over(earlier).alias("_carry"))
-        inner = slices.join(inner, carried).withColumn(into, F.greatest(into, "_carry")).drop("_carry")
+    found = in_order(df, order)
+    before = found.window().rowsBetween(Window.unboundedPreceding, -1)
+    inner = found.rows.withColumn(into, F.max(value).over(before))
+    tops = found.rows.groupBy(*found.columns).agg(F.max(value).alias("_top"))
+    earlier = found.across().rowsBetween(Window.unboundedPreceding, -1)
+    carried = tops.select(*found.columns, F.max("_top").over(earlier).alias("_carry"))
+    inner = found.join(inner, carried).withColumn(into, F.greatest(into, "_carry")).drop("_carry")
     return drop_helpers(inner)
 
 

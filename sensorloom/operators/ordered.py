@@ -1,31 +1,27 @@
 """Row order without a natural partition key: previous row, running totals, rank.
 
-A window with only ORDER BY runs in one task.  Here the order is cut into slices of about
-equal row count, each slice is one window group, and what has to cross a border (the last
-row, a subtotal) travels through a table with one row per slice.  A key, day or single
-instant that holds a third of all rows is cut like any other stretch, because the borders
-are quantiles of the order itself and instants that several quantiles fall on are cut once
-more by the tie breaker.
+A window with only ORDER BY runs in one task.  Here one range exchange puts rows into slices that follow each other in the
+order, each with all its sort columns, and the slices are written once: the input is evaluated for the exchange's sample
+and for the exchange, and never again.  Each slice is one window group, and what has to cross a border (the last row, a
+subtotal) travels through a table with one row per slice.  A key, day or single instant that holds a third of all rows is
+cut like any other stretch, because the exchange cuts by key, time and tie breaker together.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions.scalars import epoch_micros
+from sensorloom.session import stored
 
-ROWS_PER_SLICE = 1_000_000
-MAX_SLICES = 20_000
-_SAMPLES_PER_SLICE = 100
-_SMALLEST_SLICE = 2_000
+#: Slices asked for; None leaves it to the session's shuffle partitions, of which adaptive execution merges small ones.
+PARTITIONS: int | None = None
 
 
 @dataclass(frozen=True)
@@ -73,56 +69,19 @@ def _exact(df: DataFrame, name: str, descending: bool = False) -> Column:
 
 
 @dataclass(frozen=True)
-class Slices:
-    """Borders of the slices; a pure function of key and tie, so retries agree.
-
-    ``hot`` has the tie borders of each instant that several borders fall on, as many as
-    fall on it, so there are at most twice as many groups as slices asked for.
-    """
+class InOrder:
+    """Stored rows with their sort columns ``_pos``, ``_key``, ``_tie``, ``_last`` and ``_slice``, the number of their stretch."""
 
     order: Order
-    borders: tuple[float, ...] = ()
-    hot: tuple[tuple[float, tuple[float, ...]], ...] = ()
+    rows: DataFrame
 
     @property
     def columns(self) -> list[str]:
-        return [*self.order.by, "_slice", "_cut"]
-
-    @property
-    def whole(self) -> bool:
-        return not self.borders
-
-    def attach(self, df: DataFrame) -> DataFrame:
-        """Add ``_pos``, ``_key``, ``_tie``, ``_last`` (sort columns) and ``_slice``, ``_cut`` (group columns)."""
-        tie = _position(df, self.order.tie) if self.order.tie else F.lit(0.0)
-        exact = {"_key": _exact(df, self.order.key, self.order.descending), "_last": _exact(df, self.order.tie) if self.order.tie else F.lit(0)}
-        out = df.withColumns({"_pos": _position(df, self.order.key, self.order.descending), "_tie": tie, **exact})
-        if self.whole:
-            return out.withColumns({"_slice": F.lit(0.0), "_cut": F.lit(0.0)})
-        out = _bucketize(out, self.borders, "_pos", "_slice")
-        if not self.hot:
-            return out.withColumn("_cut", F.lit(0.0))
-        table = df.sparkSession.createDataFrame([(h, list(b)) for h, b in self.hot], "_pos double, _edges array<double>")
-        out = out.join(F.broadcast(table), "_pos", "left")  # no more rows than slices
-        passed = F.size(F.filter("_edges", lambda e: e <= F.col("_tie"))).cast("double")
-        # beyond 2**53 a position may stand for several keys, which a cut by the tie would mix
-        single = (F.abs("_pos") < F.lit(float(1 << 53))) | (F.col("_pos") == -math.inf)
-        return out.withColumn("_cut", F.when(F.col("_edges").isNotNull() & single, passed).otherwise(0.0)).drop("_edges")
+        return [*self.order.by, "_slice"]
 
     @property
     def sort(self) -> list[Column]:
-        last = [F.col(self.order.text_tie)] if self.order.text_tie else []
-        return [F.col("_pos"), F.col("_key"), F.col("_tie"), F.col("_last"), *last]
-
-    def spread(self, keyed: DataFrame) -> DataFrame:
-        """Enough shuffle partitions for about one slice per task.
-
-        The session default may be far below the number of slices; adaptive execution can
-        merge partitions but does not split the input of a window.
-        """
-        groups = len(self.borders) + sum(len(b) for _, b in self.hot) + 1
-        default = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return keyed.repartition(groups, *self.columns) if groups > default else keyed
+        return _sort(self.order)
 
     def window(self):
         return Window.partitionBy(*self.columns).orderBy(*self.sort)
@@ -130,70 +89,38 @@ class Slices:
     def across(self):
         """Window over the table of slices, in order."""
         ordered = Window.partitionBy(*self.order.by) if self.order.by else Window.partitionBy()
-        return ordered.orderBy("_slice", "_cut")
+        return ordered.orderBy("_slice")
 
     def join(self, df: DataFrame, table: DataFrame) -> DataFrame:
         """Join a one-row-per-slice table back; small enough to broadcast only without ``by``,
         where its row count is bounded by the number of slices."""
         side = table if self.order.by else F.broadcast(table)
-        return df.join(side, self.columns, "left")
-
+        joined = df.join(side, self.columns, "left")
+        return joined.select(*df.columns, *[c for c in table.columns if c not in self.columns])
 
-def _bucketize(df: DataFrame, borders: Sequence[float], source: str, target: str) -> DataFrame:
-    splits = [-math.inf, *borders, math.inf]
-    return Bucketizer(splits=splits, inputCol=source, outputCol=target).transform(df)
 
+def _sort(order: Order) -> list[Column]:
+    last = [F.col(order.text_tie)] if order.text_tie else []
+    return [F.col("_pos"), F.col("_key"), F.col("_tie"), F.col("_last"), *last]
 
-def plan_slices(df: DataFrame, order: Order, rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
-    """Choose borders: one count, then quantiles of a bounded sample.
 
-    The sample only places borders (as Spark's own range partitioning does); every row
-    stays in the result whatever the borders are.
-    """
-    tie = _position(df, order.tie) if order.tie else F.lit(0.0)
-    keyed = df.select(_position(df, order.key, order.descending).alias("k"), tie.alias("t"))
-    total = keyed.count()
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    spread = min(cores, total // min(_SMALLEST_SLICE, rows_per_slice))
-    count = min(MAX_SLICES, max(math.ceil(total / rows_per_slice), spread))
-    if count <= 1:
-        return Slices(order)
-    wanted = _SAMPLES_PER_SLICE * count
-    share = min(1.0, 1.2 * wanted / total)
-    sample = keyed if share >= 1.0 else keyed.sample(share, seed=17)
-    found = _quantiles(sample, "k", count)
-    times = {h: n for h, n in Counter(found).items() if n > 1}
-    borders = sorted(set(found) | {math.nextafter(h, math.inf) for h in times})
-    borders = [b for b in borders if math.isfinite(b)]
-    if not borders:
-        return Slices(order)
-    return Slices(order, tuple(borders), _tie_borders(sample, times) if order.tie else ())
-
-
-def _tie_borders(sample: DataFrame, times: Mapping[float, int]) -> tuple[tuple[float, tuple[float, ...]], ...]:
-    """Quantiles of the tie at each hot instant, about as many as borders fall on it."""
-    found = []
-    by_size: dict[int, list[float]] = {}
-    for instant, n in times.items():
-        by_size.setdefault(1 << (n - 1).bit_length(), []).append(instant)
-    for n, instants in sorted(by_size.items()):
-        shares = [i / n for i in range(1, n)]
-        at = sample.filter(F.col("k").isin(*instants)).groupBy("k").agg(F.percentile_approx("t", shares, 10 * n).alias("q"))
-        for row in at.collect():  # as many numbers in all as there are slices, at most twice
-            edges = tuple(b for b in sorted(set(row["q"] or [])) if math.isfinite(b))
-            if edges:
-                found.append((row["k"], edges))
-    return tuple(sorted(found))
-
-
-def _quantiles(df: DataFrame, name: str, count: int) -> list[float]:
-    shares = [i / count for i in range(1, count)]
-    found = df.agg(F.percentile_approx(name, shares, 10 * count).alias("q")).first()["q"]
-    return list(found or [])
+def in_order(df: DataFrame, order: Order) -> InOrder:
+    """``df`` in slices of the order, written once.  Where borders fall never changes a result."""
+    keyed = df.withColumns(
+        {
+            "_pos": _position(df, order.key, order.descending),
+            "_key": _exact(df, order.key, order.descending),
+            "_tie": _position(df, order.tie) if order.tie else F.lit(0.0),
+            "_last": _exact(df, order.tie) if order.tie else F.lit(0),
+        }
+    )
+    by = [*[F.col(c) for c in order.by], *_sort(order)]
+    ranged = keyed.repartitionByRange(PARTITIONS, *by) if PARTITIONS else keyed.repartitionByRange(*by)
+    return InOrder(order, stored(ranged.withColumn("_slice", F.spark_partition_id()), "ordered"))
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:
-    return df.drop("_pos", "_key", "_tie", "_last", "_slice", "_cut")
+    return df.drop("_pos", "_key", "_tie", "_last", "_slice")
 
 
 def with_previous(
@@ -201,7 +128,6 @@ def with_previous(
     order: Order,
     columns: Sequence[str],
     into: str = "_prev",
-    slices: Slices | None = None,
     sequence: str | None = None,
 ) -> DataFrame:
     """Add a struct of ``columns`` of the previous row, null for the first row.
@@ -209,56 +135,44 @@ def with_previous(
     ``sequence`` names a long that sorts rows like the order does (per key); it has gaps
     between slices.
     """
-    slices = slices or plan_slices(df, order)
-    keyed = slices.attach(df)
+    found = in_order(df, order)
     payload = F.struct(*[F.col(c) for c in columns])
-    inner = slices.spread(keyed).withColumn(into, F.lag(payload).over(slices.window()))
+    inner = found.rows.withColumn(into, F.lag(payload).over(found.window()))
     if sequence:
-        # slice and cut numbers stay below 2**15, rows of a slice below 2**32
-        group = (F.col("_slice") * (1 << 15) + F.col("_cut")).cast("long")
-        inner = inner.withColumn(sequence, group * (1 << 32) + F.row_number().over(slices.window()))
-    if slices.whole:
-        return drop_helpers(inner)
-    last = F.max_by(payload, F.struct(*slices.sort)).alias("_tail")
+        # rows of a slice stay below 2**32
+        inner = inner.withColumn(sequence, F.col("_slice").cast("long") * (1 << 32) + F.row_number().over(found.window()))
+    last = F.max_by(payload, F.struct(*found.sort)).alias("_tail")
     # structs alone would make this a sort of all rows; a list aggregate beside them (always
     # empty) lets Spark hash the rows of the few slices a task sees
     hashed = F.collect_list(F.lit(None).cast("int")).alias("_none")
-    tails = keyed.groupBy(*slices.columns).agg(last, hashed)
-    before = F.lag("_tail").over(slices.across())
-    carried = tails.filter(F.size("_none") == 0).select(*slices.columns, before.alias("_carry"))
-    joined = slices.join(inner, carried)
+    tails = found.rows.groupBy(*found.columns).agg(last, hashed)
+    before = F.lag("_tail").over(found.across())
+    carried = tails.filter(F.size("_none") == 0).select(*found.columns, before.alias("_carry"))
+    joined = found.join(inner, carried)
     return drop_helpers(joined.withColumn(into, F.coalesce(into, "_carry")).drop("_carry"))
 
 
-def with_running_totals(
-    df: DataFrame,
-    order: Order,
-    totals: Mapping[str, Column],
-    slices: Slices | None = None,
-) -> DataFrame:
-    """Add inclusive running sums in order."""
-    slices = slices or plan_slices(df, order)
-    keyed = slices.attach(df)
-    upto = slices.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = {name: F.sum(value).over(upto) for name, value in totals.items()}
-    inner = slices.spread(keyed).withColumns(running)
-    if slices.whole:
-        return drop_helpers(inner)
-    sums = keyed.groupBy(*slices.columns).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
-    before = slices.across().rowsBetween(Window.unboundedPreceding, -1)
+def _running_totals(found: InOrder, totals: Mapping[str, Column]) -> DataFrame:
+    upto = found.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = found.rows.withColumns({name: F.sum(value).over(upto) for name, value in totals.items()})
+    sums = found.rows.groupBy(*found.columns).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
+    before = found.across().rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(
-        *slices.columns, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in totals]
+        *found.columns, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in totals]
     )
-    joined = slices.join(inner, offsets)
+    joined = found.join(inner, offsets)
     summed = joined.withColumns({n: F.col(n) + F.col(f"_before_{n}") for n in totals})
     return drop_helpers(summed.drop(*[f"_before_{n}" for n in totals]))
 
 
-def with_index(
-    df: DataFrame, order: Order, into: str = "_index", slices: Slices | None = None
-) -> DataFrame:
+def with_running_totals(df: DataFrame, order: Order, totals: Mapping[str, Column]) -> DataFrame:
+    """Add inclusive running sums in order."""
+    return _running_totals(in_order(df, order), totals)
+
+
+def with_index(df: DataFrame, order: Order, into: str = "_index") -> DataFrame:
     """Add the dense 1-based position in order."""
-    return with_running_totals(df, order, {into: F.lit(1).cast("long")}, slices)
+    return with_running_totals(df, order, {into: F.lit(1).cast("long")})
 
 
 def downsample(df: DataFrame, order: Order, max_rows: int) -> DataFrame:
@@ -267,11 +181,12 @@ def downsample(df: DataFrame, order: Order, max_rows: int) -> DataFrame:
     Unchanged when there are at most ``max_rows`` rows; more than ``max_rows`` rows remain
     when k is 1.
     """
-    total = df.count()
+    found = in_order(df, order)
+    total = found.rows.count()
     step = max(1, total // max_rows)
     if total <= max_rows or step == 1:
-        return df
-    return with_index(df, order).filter(F.col("_index") % step == 0).drop("_index")
+        return drop_helpers(found.rows)
+    return _running_totals(found, {"_index": F.lit(1).cast("long")}).filter(F.col("_index") % step == 0).drop("_index")
 
 
 def ordered_split(df: DataFrame, order: Order, share: float = 0.7) -> DataFrame:
@@ -280,24 +195,23 @@ def ordered_split(df: DataFrame, order: Order, share: float = 0.7) -> DataFrame:
     Both sides keep at least one row.  Only the slice that holds the cut is ranked; the
     rest is decided by the place of its slice.
     """
-    total = df.count()
+    found = in_order(df, order)
+    total = found.rows.count()
     cut = max(1, min(int(total * share), total - 1))
-    slices = plan_slices(df, order)
-    keyed = slices.attach(df)
-    sizes = keyed.groupBy("_slice", "_cut").count()
-    upto = slices.across().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = found.rows.groupBy("_slice").count()
+    upto = Window.partitionBy().orderBy("_slice").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     holder = (
         sizes.withColumn("_upto", F.sum("count").over(upto))
         .filter((F.col("_upto") >= cut) & (F.col("_upto") - F.col("count") < cut))
-        .select("_slice", "_cut", (F.lit(cut) - F.col("_upto") + F.col("count")).alias("_nth"))
+        .select("_slice", (F.lit(cut) - F.col("_upto") + F.col("count")).alias("_nth"))
         .first()
     )
     if holder is None:  # no rows
         return df.withColumn("split", F.lit("train"))
-    at, place = F.struct(F.lit(holder["_slice"]), F.lit(holder["_cut"])), F.struct("_slice", "_cut")
     side = lambda first: F.when(first, "train").otherwise("test")
-    others = keyed.filter(place != at).withColumn("split", side(place < at))
-    ranked = keyed.filter(place == at).withColumn("_rank", F.row_number().over(slices.window()))
+    at = F.lit(holder["_slice"])
+    others = found.rows.filter(F.col("_slice") != at).withColumn("split", side(F.col("_slice") < at))
+    ranked = found.rows.filter(F.col("_slice") == at).withColumn("_rank", F.row_number().over(Window.partitionBy("_slice").orderBy(*found.sort)))
     inside = ranked.withColumn("split", side(F.col("_rank") <= holder["_nth"])).drop("_rank")
     return drop_helpers(others.unionByName(inside))
 
@@ -323,17 +237,14 @@ def seconds_to_next(
     ranked = merged.withColumns(
         {"_order": -F.col("_at"), "_rank": F.when(F.col("_mark"), F.lit(1 << 31)).otherwise(spread)}
     )
-    backwards = Order("_order", "_rank", order.by)
-    slices = plan_slices(ranked, backwards)
-    keyed = slices.attach(ranked)
+    found = in_order(ranked, Order("_order", "_rank", order.by))
     mark_at = F.when(F.col("_mark"), F.col("_at"))
-    upto = slices.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = slices.spread(keyed).withColumn("_next", F.last(mark_at, ignorenulls=True).over(upto))
-    if not slices.whole:
-        tails = keyed.groupBy(*slices.columns).agg(F.min(mark_at).alias("_tail"))
-        before = slices.across().rowsBetween(Window.unboundedPreceding, -1)
-        carried = tails.select(*slices.columns, F.min("_tail").over(before).alias("_carry"))
-        inner = slices.join(inner, carried).withColumn("_next", F.coalesce("_next", "_carry"))
+    upto = found.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = found.rows.withColumn("_next", F.last(mark_at, ignorenulls=True).over(upto))
+    tails = found.rows.groupBy(*found.columns).agg(F.min(mark_at).alias("_tail"))
+    before = found.across().rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(*found.columns, F.min("_tail").over(before).alias("_carry"))
+    inner = found.join(inner, carried).withColumn("_next", F.coalesce("_next", "_carry"))
     kept = inner.filter(F.col("_mark").isNull())
     wait = (F.col("_next") - F.col("_at")) / F.lit(1e6)
     return kept.select("_row.*", wait.alias(into))
@@ -352,14 +263,11 @@ def with_last_mark(df: DataFrame, marks: DataFrame, order: Order, at: str, colum
     # at one instant the mark goes first, and a hash among readings lets a hot instant be cut
     spread = F.pmod(F.xxhash64("_row"), F.lit(1 << 31))
     ranked = merged.withColumn("_rank", F.when(F.col("_mark").isNotNull(), F.lit(-1)).otherwise(spread))
-    slices = plan_slices(ranked, Order("_at", "_rank", order.by))
-    keyed = slices.attach(ranked)
-    upto = slices.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = slices.spread(keyed).withColumn("_seen", F.last("_mark", ignorenulls=True).over(upto))
-    if not slices.whole:
-        tails = keyed.where(F.col("_mark").isNotNull()).groupBy(*slices.columns).agg(F.max_by("_mark", "_at").alias("_tail"))
-        groups = keyed.select(*slices.columns).distinct().join(tails, slices.columns, "left")
-        before = slices.across().rowsBetween(Window.unboundedPreceding, -1)
-        carried = groups.select(*slices.columns, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
-        inner = slices.join(inner, carried).withColumn("_seen", F.coalesce("_seen", "_carry"))
+    found = in_order(ranked, Order("_at", "_rank", order.by))
+    upto = found.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inner = found.rows.withColumn("_seen", F.last("_mark", ignorenulls=True).over(upto))
+    tails = found.rows.groupBy(*found.columns).agg(F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("_at"))).alias("_tail"))
+    before = found.across().rowsBetween(Window.unboundedPreceding, -1)
+    carried = tails.select(*found.columns, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
+    inner = found.join(inner, carried).withColumn("_seen", F.coalesce("_seen", "_carry"))
     return inner.where(F.col("_mark").isNull()).select("_row.*", F.col("_seen").alias(into))

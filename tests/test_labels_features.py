@@ -127,7 +127,7 @@ def compressor_rows(spark, rows=400, seed=3):
 def test_full_feature_table_against_pandas(spark, monkeypatch):
     from sensorloom.operators import ordered
 
-    monkeypatch.setattr(ordered.plan_slices, "__defaults__", (60,))
+    monkeypatch.setattr(ordered, "PARTITIONS", 12)
     pdf, df = compressor_rows(spark)
     got = features.feature_table(df, COMPRESSOR, CAL)
     assert len(got.columns) == 507

@@ -60,7 +60,7 @@ def scores(spark, rows=500, seed=2):
 
 
 def test_average_precision(spark, monkeypatch):
-    monkeypatch.setattr(ordered.plan_slices, "__defaults__", (40,))
+    monkeypatch.setattr(ordered, "PARTITIONS", 12)
     pdf, df = scores(spark)
     s = pdf.sort_values(["score", "time"], ascending=[False, True])
     tp, n = s["label"].cumsum(), np.arange(1, len(s) + 1)

@@ -25,14 +25,13 @@ def frame(spark, seed, rows=600, keys=1, hot=True):
 
 
 @pytest.mark.parametrize("seed,keys", [(1, 1), (2, 4)])
-def test_previous_and_running_totals_equal_pandas(spark, seed, keys):
+def test_previous_and_running_totals_equal_pandas(spark, seed, keys, monkeypatch):
     pdf, df = frame(spark, seed, keys=keys)
     by = ("key",) if keys > 1 else ()
     order = Order("time", "id", by)
-    slices = ordered.plan_slices(df, order, rows_per_slice=40)
-    assert slices.hot
-    got = ordered.with_previous(df, order, ["v", "id"], "_p", slices, "seq")
-    got = ordered.with_running_totals(got, order, {"n": F.lit(1), "s": F.col("v")}, slices)
+    monkeypatch.setattr(ordered, "PARTITIONS", 15)
+    got = ordered.with_previous(df, order, ["v", "id"], "_p", "seq")
+    got = ordered.with_running_totals(got, order, {"n": F.lit(1), "s": F.col("v")})
     got = got.select("id", "_p.*", "seq", "n", "s").toDF("id", "pv", "pid", "seq", "n", "s").toPandas().set_index("id")
     want = pdf.sort_values([*by, "time", "id"]).set_index("id", drop=False)
     groups = want.groupby("key") if by else want.assign(one=1).groupby("one")
@@ -46,21 +45,43 @@ def test_previous_and_running_totals_equal_pandas(spark, seed, keys):
         assert part["seq"].is_monotonic_increasing and part["seq"].is_unique
 
 
-def test_no_slice_holds_much_more_than_its_share(spark):
-    _, df = frame(spark, 3, rows=3000)
-    slices = ordered.plan_slices(df, Order("time", "id"), rows_per_slice=300)
-    sizes = [r["count"] for r in slices.attach(df).groupBy("_slice", "_cut").count().collect()]
-    assert sum(sizes) == 3000 and max(sizes) <= 600
+@pytest.mark.parametrize("by", [(), ("key",)])
+def test_no_slice_holds_much_more_than_its_share(spark, by, monkeypatch):
+    monkeypatch.setattr(ordered, "PARTITIONS", 10)
+    _, df = frame(spark, 3, rows=3000, keys=3)
+    found = ordered.in_order(df, Order("time", "id", by))
+    sizes = [r["count"] for r in found.rows.groupBy("_slice").count().collect()]
+    assert sum(sizes) == 3000 and max(sizes) <= 600 and len(sizes) >= 8
 
 
-def test_borders_do_not_change_results(spark):
+def test_borders_do_not_change_results(spark, monkeypatch):
     _, df = frame(spark, 4)
     order = Order("time", "id")
-    whole = ordered.with_index(df, order, slices=ordered.Slices(order))
-    cut = ordered.with_index(df, order, slices=ordered.plan_slices(df, order, 30))
+    found = []
+    for n in (1, 20):
+        monkeypatch.setattr(ordered, "PARTITIONS", n)
+        found.append(ordered.with_index(df, order))
+    whole, cut = found
     assert whole.exceptAll(cut).count() == 0 and cut.exceptAll(whole).count() == 0
 
 
+def test_input_is_evaluated_twice_at_most(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PARTITIONS", 6)
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = spark.range(0, 2000, 1, 4).select(counted("id").alias("id"), (F.col("id") % 50).alias("t"))
+    order = Order("t", "id")
+    for make in (lambda: ordered.with_previous(df, order, ["id"]), lambda: ordered.with_index(df, order), lambda: ordered.downsample(df, order, 100), lambda: ordered.ordered_split(df, order)):
+        before = seen.value
+        make().count()
+        assert seen.value - before <= 2 * 2000
+
+
 @pytest.mark.parametrize("share", [0.0, 0.7, 1.0])
 def test_ordered_split(spark, share):
     pdf, df = frame(spark, 5, rows=101)
@@ -77,8 +98,7 @@ def test_downsample_steps(spark, limit, kept):
 
 
 def test_seconds_to_next_is_strictly_later(spark, monkeypatch):
-    monkeypatch.setattr(ordered, "ROWS_PER_SLICE", 50)
-    monkeypatch.setattr(ordered.plan_slices, "__defaults__", (50,))
+    monkeypatch.setattr(ordered, "PARTITIONS", 12)
     pdf, df = frame(spark, 7, keys=3)
     events = df.filter(F.col("v") == 0).select("key", F.col("time").alias("e"))
     order = Order("time", "id", ("key",))
@@ -92,7 +112,7 @@ def test_seconds_to_next_is_strictly_later(spark, monkeypatch):
 
 
 def test_table_calendar_flags_equal_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(ordered.plan_slices, "__defaults__", (50,))
+    monkeypatch.setattr(ordered, "PARTITIONS", 12)
     pdf, df = frame(spark, 8, keys=2)
     rng = np.random.default_rng(0)
     begin = rng.integers(0, 200, 40)
@@ -121,36 +141,32 @@ def test_overlap_flag(spark):
 def test_sliced_plan_has_no_single_task_window(spark):
     _, df = frame(spark, 9, rows=3000)
     order = Order("time", "id", ("key",))
-    slices = ordered.plan_slices(df, order, 300)
-    plan = ordered.with_previous(df, order, ["v"], slices=slices)._jdf.queryExecution().executedPlan().toString()
+    plan = ordered.with_previous(df, order, ["v"])._jdf.queryExecution().executedPlan().toString()
     assert "SinglePartition" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_ties_and_keys_beyond_doubles_are_exact(spark):
+def test_ties_and_keys_beyond_doubles_are_exact(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PARTITIONS", 15)
     base = 1 << 60
     rows = [(1, base + i) for i in range(3000)]
     df = spark.createDataFrame(rows, "k long, id long").repartition(5)
     for order in (ordered.Order("k", "id"), ordered.Order("id")):
-        slices = ordered.plan_slices(df, order, rows_per_slice=200)
-        got = ordered.with_previous(df, order, ["id"], slices=slices).filter("_prev is not null")
+        got = ordered.with_previous(df, order, ["id"]).filter("_prev is not null")
         assert got.count() == 2999 and got.filter("_prev.id <> id - 1").count() == 0
-        assert ordered.with_index(df, order, slices=slices).filter(F.col("_index") != F.col("id") - base + 1).count() == 0
+        assert ordered.with_index(df, order).filter(F.col("_index") != F.col("id") - base + 1).count() == 0
     down = ordered.Order("id", descending=True)
-    got = ordered.with_previous(df, down, ["id"], slices=ordered.plan_slices(df, down, rows_per_slice=200)).filter("_prev is not null")
+    got = ordered.with_previous(df, down, ["id"]).filter("_prev is not null")
     assert got.count() == 2999 and got.filter("_prev.id <> id + 1").count() == 0
     split = ordered.ordered_split(df, ordered.Order("k", "id"), 0.7)
     assert split.filter("split = 'train'").agg(F.count("*"), F.max("id")).first() == (2100, base + 2099)
 
 
-def test_groups_stay_within_twice_the_slices_on_daily_times(spark):
+def test_daily_times_are_cut_by_their_ties(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "PARTITIONS", 200)
     rows = 20_000
     df = spark.range(rows).select((F.col("id") % 40).alias("day"), F.col("id").alias("tie"), F.pmod(F.xxhash64("id"), F.lit(7)).alias("v"))
-    order = ordered.Order("day", "tie")
-    slices = ordered.plan_slices(df, order, rows_per_slice=100)
-    keyed = slices.attach(df)
-    groups = keyed.groupBy("_slice", "_cut").count()
-    assert groups.count() <= 2 * (rows // 100) + 40
-    assert groups.agg(F.max("count")).first()[0] <= 400
-    got = ordered.with_index(df, order, slices=slices)
+    found = ordered.in_order(df, ordered.Order("day", "tie")).rows.groupBy("_slice").count()
+    assert found.count() > 150 and found.agg(F.max("count")).first()[0] <= 400
+    got = ordered.with_index(df, ordered.Order("day", "tie"))
     wrong = got.filter(F.col("_index") != F.col("day") * (rows // 40) + F.floor(F.col("tie") / 40) + 1)
     assert wrong.count() == 0
