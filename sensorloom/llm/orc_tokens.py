@@ -33,10 +33,14 @@ _ODD = re.compile(r"[\x1c-\x1f]")
 #: A space after other white space: a text in which a single space is not always a cut.
 _RUN = r"[\p{Z}\x09-\x0D\x1C-\x1F\x{85}] |[\x1C-\x1F]"
 #: Letters of these two blocks are letters to every Unicode version.
-_LETTERS = re.compile(r" ?[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+")
+_LATIN = r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]+"
+_LETTERS = re.compile(rf" ?{_LATIN}")
+#: A line break, if no space follows it, such a run, and a stop or comma: up to three pieces.
+_FORM = re.compile(rf"(\n(?! ))?( ?{_LATIN})([.,])?")
 #: The sign a byte-level model has for each byte: itself if it prints, else the next free one from 256 on.
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 BYTE_SIGNS = {b: b for b in _PRINTED} | {b: 256 + n for n, b in enumerate(sorted({*range(256)} - {*_PRINTED}))}
+_SPACE_SIGN = chr(BYTE_SIGNS[32])
 PIECES_KEPT = 500_000
 LONG_PIECE = 32
 BATCH_BYTES = 12 << 20
@@ -65,25 +69,43 @@ class Encoder:
 
     def pieces(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece, as 32-bit numbers."""
-        out = list(map(self.seen.get, pieces))
-        for i, known in enumerate(out):
-            if known is None:
-                out[i] = self.piece(pieces[i])
+        seen, form, room = self.seen, _FORM.fullmatch, PIECES_KEPT
+        out = list(map(seen.get, pieces))
+        for i in [i for i, known in enumerate(out) if known is None]:
+            piece = pieces[i]
+            parts = form(piece)
+            if parts is None:
+                out[i] = self.piece(piece)
+                continue
+            line, word, stop = parts.groups()
+            ids = seen.get(word)
+            if ids is None:
+                ids = self.word(word)
+                if len(seen) < room and len(word) <= LONG_PIECE:
+                    seen[word] = ids
+            if line or stop:
+                ids = (self.piece(line) if line else b"") + ids + (self.piece(stop) if stop else b"")
+                if len(seen) < room and len(piece) <= LONG_PIECE:
+                    seen[piece] = ids
+            out[i] = ids
         return out
 
+    def word(self, word: str) -> bytes:
+        """The ids of a run of Latin letters with at most one space before it: one piece, so only the model looks at it."""
+        signs = word.replace(" ", _SPACE_SIGN) if word.isascii() else word.encode().decode("latin-1").translate(BYTE_SIGNS)
+        return array("i", [t.id for t in self.tokenizer.model.tokenize(signs)]).tobytes()
+
     def piece(self, piece: str) -> bytes:
         """The ids of one piece, remembered if it is short.
 
-        A run of Latin letters with at most one space before it is one piece to the pre-tokenizer as well, so only the
-        model has to look at it; a line break before a word and a stop or comma after one are pieces of their own; all
-        else takes the whole way through the tokenizer.
+        A run of Latin letters is one piece to the pre-tokenizer as well; a line break before a word and a stop or comma
+        after one are pieces of their own; all else takes the whole way through the tokenizer.
         """
         ids = self.seen.get(piece)
         if ids is not None:
             return ids
         if _LETTERS.fullmatch(piece):
-            signs = piece.encode().decode("latin-1").translate(BYTE_SIGNS)
-            ids = array("i", [t.id for t in self.tokenizer.model.tokenize(signs)]).tobytes()
+            ids = self.word(piece)
         elif len(parts := _PIECE.findall(piece)) > 1:
             ids = b"".join(map(self.piece, parts))
         elif len(piece) > 1 and piece[0] == "\n" and not piece[1].isspace():
