@@ -803,7 +803,7 @@ def _metrics(score: str, threshold: str, src: str) -> str:
 
 
 RULES = {"plain": "score", "inverse": "(1.0 - score)", "flat": "(score * 0.5)"}
-SOURCES = {"csv_derived": f"(SELECT * FROM scored WHERE event_time < {T2})", "warehouse_derived": "scored"}
+SOURCES = {"csv_derived": "(SELECT * REPLACE (floor(score * 100.0::DOUBLE) / 100.0::DOUBLE AS score) FROM scored)", "warehouse_derived": "scored"}
 MODELS = "models AS (" + " UNION ALL ".join(
     f"""SELECT '{s}' AS source_type, '{m}' AS model_name,
     '{'skipped' if (s, m) == ('csv_derived', 'flat') else 'trained'}' AS status, p AS precision, q AS recall, f1,
@@ -1061,17 +1061,26 @@ add(
     UNION ALL SELECT 'long_sensors', 'PASS', 5, 5 UNION ALL SELECT 'kpi_sensors', 'PASS', 5, 5""",
     *R3,
 )
+PAIRS = {"whole_copy": "true", "copy_without_a_day": "dt <> '2024-01-05'"}
+RECONCILED = "reconciled AS (" + " UNION ALL ".join(
+    f"""SELECT '{pair}' AS pair, "check", CASE WHEN a = b THEN 'PASS' ELSE 'FAIL' END AS status, a::DOUBLE AS expected, b::DOUBLE AS actual FROM (
+      SELECT 'row_count' AS "check", count(*) AS a, count(*) FILTER ({kept}) AS b FROM kpi
+      UNION ALL SELECT 'group_count', count(DISTINCT (dt, operating_state)), count(DISTINCT (dt, operating_state)) FILTER ({kept}) FROM kpi
+      UNION ALL SELECT 'sum_sample_count', sum(sample_count), sum(sample_count) FILTER ({kept}) FROM kpi
+      UNION ALL SELECT 'sum_failure_sample_count', sum(failure_sample_count), sum(failure_sample_count) FILTER ({kept}) FROM kpi)"""
+    for pair, kept in PAIRS.items()
+) + ")"
+add("reconcile", "SELECT * FROM reconciled", *R3, KPI, RECONCILED)
 add(
-    "reconcile",
-    """SELECT "check", CASE WHEN a = b THEN 'PASS' ELSE 'FAIL' END AS status, a::DOUBLE AS expected, b::DOUBLE AS actual FROM (
-      SELECT 'row_count' AS "check", count(*) AS a, count(*) FILTER (dt <> '2024-01-05') AS b FROM kpi
-      UNION ALL SELECT 'group_count', count(DISTINCT (dt, operating_state)),
-        count(DISTINCT (dt, operating_state)) FILTER (dt <> '2024-01-05') FROM kpi
-      UNION ALL SELECT 'sum_sample_count', sum(sample_count), sum(sample_count) FILTER (dt <> '2024-01-05') FROM kpi
-      UNION ALL SELECT 'sum_failure_sample_count', sum(failure_sample_count),
-        sum(failure_sample_count) FILTER (dt <> '2024-01-05') FROM kpi)""",
-    *R3,
+    "comparison_status",
+    """SELECT 'same_stores' AS comparison, CASE WHEN bool_and(status = 'PASS') THEN 'PASS' ELSE 'FAIL' END AS status FROM reconciled WHERE pair = 'whole_copy'
+    UNION ALL SELECT 'a_day_lost', CASE WHEN bool_and(status = 'PASS') THEN 'PASS' ELSE 'FAIL' END FROM reconciled WHERE pair <> 'whole_copy'
+    UNION ALL SELECT 'a_model_not_trained', CASE WHEN bool_and(status = 'trained') THEN 'PASS' ELSE 'FAIL' END FROM models""",
+    *S4,
+    MODELS,
+    *[c for c in R3 if c not in S4],
     KPI,
+    RECONCILED,
 )
 KEY_COLUMNS = ["mean_pressure", "std_temperature", "slope_delta_pt", "state_transition_count"]
 BASE_COLUMNS = 11 + 1 + 3 + 6 * len(SIGNALS) + 2 * len(DIGITAL) + len(SIGNALS)
@@ -1160,6 +1169,14 @@ add(
     *S4,
 )
 ROWS = f"""model_rows AS (SELECT *, {SPLIT_B} AS split FROM base WHERE failure_window = 0 AND post_maintenance = 0)"""
+add(
+    "model_bounds",
+    """SELECT model_name, split, count(*) AS scored_rows, sum(pre_failure_24h)::BIGINT AS positive_rows, 0::BIGINT AS null_scores, true AS in_range,
+    CASE WHEN split = 'train' AND model_name <> 'isolation_forest' THEN true END AS separates
+    FROM model_rows, (SELECT unnest(['logistic', 'gradient', 'forest', 'isolation_forest']) AS model_name) GROUP BY 1, 2""",
+    *B5,
+    ROWS,
+)
 CLEAN = [f"{k}_{c}" for c in SIGNALS for k in ("mean", "std", "slope")]
 MED = f"med AS (SELECT {', '.join(f'quantile_cont({c}, 0.5) AS {c}' for c in CLEAN)} FROM model_rows WHERE split = 'train')"
 FIT = "fit AS (SELECT " + ", ".join(

@@ -457,7 +457,9 @@ def _model_metrics(spark, sf) -> DataFrame:
     rows = a.scored(spark, sf)
     rules = {"plain": F.col("score"), "inverse": 1.0 - F.col("score"), "flat": F.col("score") * 0.5}
     parts = []
-    for source, chosen in (("csv_derived", rows.filter(F.col("event_time") < a.VALID_END)), ("warehouse_derived", rows)):
+    # a text file keeps two places of each score
+    as_text = rows.withColumn("score", F.floor(F.col("score") * 100.0) / F.lit(100.0))
+    for source, chosen in (("csv_derived", as_text), ("warehouse_derived", rows)):
         for name, score in rules.items():
             made = chosen.select("event_time", "label", score.alias("score"))
             metrics = evaluate.classification_metrics(made, "score", "label", "event_time", 0.5)
@@ -1132,13 +1134,37 @@ def layer_alignment(spark, sf):
     return quality.layer_alignment(quality.layer_summary(layers, E_), len(E_.names))
 
 
-@query("reconcile", 3)
-def reconcile_(spark, sf):
+def _reconciled(spark, sf) -> dict[str, DataFrame]:
+    """KPIs of all days next to a stored copy of all days, and next to a copy that lacks one day."""
     rows = kpi.window_kpi(a.readings(spark, sf), E_)
-    path = scratch_path(spark, "copy")
-    rows.filter(F.col("dt") != "2024-01-05").write.parquet(path)
     measures = ["sample_count", "failure_sample_count"]
-    return reconcile.reconcile(rows, spark.read.parquet(path), ["dt", "operating_state"], measures)
+    out = {}
+    for pair, kept in (("whole_copy", F.lit(True)), ("copy_without_a_day", F.col("dt") != "2024-01-05")):
+        path = scratch_path(spark, "copy")
+        rows.filter(kept).write.parquet(path)
+        out[pair] = reconcile.reconcile(rows, spark.read.parquet(path), ["dt", "operating_state"], measures)
+    return out
+
+
+@query("reconcile", 3)
+def reconcile_(spark, sf):
+    pairs = _reconciled(spark, sf)
+    return reduce(DataFrame.unionByName, [checks.withColumn("pair", F.lit(pair)) for pair, checks in pairs.items()])
+
+
+@query("comparison_status")
+def comparison_status(spark, sf):
+    """Overall verdict of a comparison: models trained in both sources, and the two stores they read."""
+    metrics = _model_metrics(spark, sf)
+    models = metrics.groupBy("model_name").agg(F.min(F.when(F.col("status") == "trained", "PASS").otherwise("FAIL")).alias("status"))
+    compared = models.filter(F.col("model_name") != "flat")
+    pairs = _reconciled(spark, sf)
+    asked = {
+        "same_stores": [compared, pairs["whole_copy"]],
+        "a_day_lost": [compared, pairs["copy_without_a_day"]],
+        "a_model_not_trained": [models, pairs["whole_copy"]],
+    }
+    return reduce(DataFrame.unionByName, [reconcile.comparison_status(checks).select(F.lit(name).alias("comparison"), "status") for name, checks in asked.items()])
 
 
 @query("parity_verdicts")
@@ -1248,6 +1274,35 @@ def model_iforest(spark, sf):
     return _evaluated(model.score(rows), "isolation_forest")
 
 
+@query("model_bounds")
+def model_bounds(spark, sf):
+    """All models trained on one matrix: every row gets a score, scores keep to their range, and supervised ones separate the classes they learned."""
+    rows, names = _trained(spark, sf)
+    train = rows.filter(F.col("split") == "train")
+    target = "pre_failure_24h"
+    normal = train.filter(F.col(target) == 0).withColumn("row_id", F.unix_timestamp(E_.bucket))
+    supervised = {
+        "logistic": linear.fit_logistic(train, names, target),
+        "gradient": linear.fit_gradient(train, names, target),
+        "forest": forest.fit_forest(train, names, target),
+    }
+    scored = {name: (model.scored(rows), 0.0, 1.0) for name, model in supervised.items()}
+    scored["isolation_forest"] = (isolation.fit_isolation(normal, names, "row_id").score(rows), -0.5, 0.5)
+    mean_of = lambda y: F.avg(F.when(F.col(target) == y, F.col("score")))
+    parts = []
+    for name, (df, low, high) in scored.items():
+        facts = df.groupBy("split").agg(
+            F.count("*").alias("scored_rows"),
+            F.sum(target).cast("long").alias("positive_rows"),
+            F.count_if(F.col("score").isNull()).alias("null_scores"),
+            F.min(F.col("score").between(low, high)).alias("in_range"),
+            (mean_of(1) > mean_of(0)).alias("separates"),
+        )
+        learned = (F.col("split") == "train") & F.lit(name in supervised)
+        parts.append(facts.select(F.lit(name).alias("model_name"), "*").withColumn("separates", F.when(learned, F.col("separates"))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("mad_anomaly", 5)
 def mad_anomaly(spark, sf):
     rows, _ = _model_frame(_base(spark, sf))
