@@ -78,7 +78,7 @@ WITH docs AS (
 ), sizes AS (
   SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang
 ), runs AS (
-  SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), i -> array_to_string(w[i:i + k - 1], ' '))) AS phrase
+  SELECT lang, k, unnest(list_transform(generate_series(1, len(w) - k + 1), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
   FROM words, (SELECT unnest([1, 2, 3]) AS k) WHERE len(w) >= k
 ), f AS (
   SELECT lang, k, phrase, count(*)::BIGINT AS a FROM runs GROUP BY ALL HAVING count(*) >= 10

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from sensorloom.llm.tables import stored
 
 SENT_HASHES = 1 << 22
-HELD = 1 << 21  # hashes a task holds before it sends them
+HELD = 1 << 20  # hashes a task holds before it sends them
 BATCH_BYTES = 1 << 21
 SHARD_BYTES = 1 << 21  # of phrases in one trie
 SENT_BYTES = 1 << 25  # of packed tries in one broadcast
