@@ -13,8 +13,9 @@ A comparison returns a spanning forest of the links it found, not all of them: n
 a dense group gives at most one row per member.
 
 ``one_of_each_similar_group`` asks for a similarity of the texts instead of a radius.  At a Jaccard similarity of 0.8 of
-the sets of 5-word shingles fingerprints lie 9.7 bits apart on average (standard deviation 2.9), so candidates are pairs
-within 15 bits that share one of ``TABLES`` fixed samples of ``TABLE_BITS`` bits, and each link is verified on the sets.
+the sets of 5-word shingles fingerprints lie 9.7 bits apart on average (standard deviation 2.9), too far for blocks of
+bits.  Groups are formed on bands of min-wise hashes instead, whose size follows the copies and not the corpus; in a group
+fingerprints within ``SIMILAR_RADIUS`` bits are compared by their sketches, and each link is verified on the sets.
 """
 
 from __future__ import annotations
@@ -39,10 +40,16 @@ SMALL = 64
 #: Widths of the five blocks of bits.
 WIDTHS = (13, 13, 13, 13, 12)
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
-#: Of the similarity join: words of a shingle, least similarity in percent, radius of candidates, tables and bits of each.
-SIMILAR_WIDTH, SIMILAR_PERCENT, SIMILAR_RADIUS, TABLES, TABLE_BITS = 5, 80, 15, 64, 11
-#: Tables of the first pass, which only looks for links that settle dense groups.
-FIRST_TABLES = 8
+#: Of the similarity join: words of a shingle, least similarity in percent, radius of candidates.
+SIMILAR_WIDTH, SIMILAR_PERCENT, SIMILAR_RADIUS = 5, 80, 22
+#: Bands of min-wise slots: at 0.8 two sets share none of them with probability (1 - 0.8^4)^18 = 0.00008.
+BANDS, BAND_SLOTS = 18, 4
+#: Slots of 72 that two sketches must share; at 0.8 they share 57.6 on average (standard deviation 3.4).
+LEAST_EQUAL = 44
+#: Passes that only look for the links that settle dense groups.
+BEST_PASSES = 2
+#: Odd multiplier that spreads bits upwards.
+MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Spreads the bits of a byte over the bytes of a word, so that up to 255 of them add up side by side.
 SPREAD = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").copy().view("<u8").ravel()
 
@@ -367,16 +374,28 @@ def _shingle_set(text: bytes | None) -> np.ndarray:
     return np.unique(np.array(shingle_hashes(text, SIMILAR_WIDTH), np.uint64))
 
 
-def table_masks() -> list[int]:
-    """``TABLES`` samples of ``TABLE_BITS`` bits, always the same ones, as signed longs."""
-    draw = np.random.default_rng(SEED)
-    masks = [sum(1 << int(b) for b in draw.choice(64, TABLE_BITS, replace=False)) for _ in range(TABLES)]
-    return [m - (1 << 64) if m >> 63 else m for m in masks]
+def min_slots(sets: list[np.ndarray]) -> np.ndarray:
+    """``BANDS * BAND_SLOTS`` min-wise values of each set, none of which is empty: two sets agree in one with the
+    probability of their Jaccard similarity."""
+    draw = np.random.default_rng(SEED).integers(0, 1 << 64, (BANDS * BAND_SLOTS, 2), np.uint64)
+    sizes = np.array([len(x) for x in sets], np.int64)
+    flat, first = np.concatenate(sets), np.cumsum(sizes) - sizes
+    return np.stack([np.minimum.reduceat((flat ^ x) * (y | np.uint64(1)), first) for x, y in draw], axis=1)
+
+
+def band_keys(slots: np.ndarray) -> np.ndarray:
+    """One number per band from all of its slots; no two bands share numbers but by chance."""
+    keys = np.tile(np.arange(1, BANDS + 1, dtype=np.uint64) * MIX, (len(slots), 1))
+    for k in range(BAND_SLOTS):
+        keys = (keys ^ slots[:, k::BAND_SLOTS]) * MIX
+        keys ^= keys >> np.uint64(29)
+    return keys
 
 
 def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Stored table of the distinct sets of shingles: ``node`` (digest of the set), ``fp``, ``n`` (its size) and ``b``, the
-    row that stands for it: whether its id is null, its id, the hash of its text."""
+    """Stored table of the distinct sets of shingles: ``node`` (digest of the set) and ``b``, of the row that stands for it
+    whether its id is null, its id, the hash of its text, and what follows from the set: ``fp``, ``n`` (its size), ``keys``
+    (of the bands), ``sketch`` (a byte per slot)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -388,48 +407,77 @@ def shingle_sets(docs: DataFrame, key: str, text: str) -> DataFrame:
                 sizes = np.array([len(x) for x in sets], np.int64)
                 fps = majority(np.concatenate(sets), sizes)
                 nodes = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64)
+                keys = np.zeros((len(sets), BANDS), np.uint64)
+                sketch = np.zeros((len(sets), BANDS * BAND_SLOTS), np.uint8)
+                if sizes.any():
+                    slots = min_slots([x for x in sets if len(x)])
+                    keys[sizes > 0], sketch[sizes > 0] = band_keys(slots), (slots & np.uint64(255)).astype(np.uint8)
+                lists = pa.ListArray.from_arrays(np.arange(len(sets) + 1, dtype=np.int32) * BANDS, keys.ravel().view(np.int64))
                 columns = [part.column(0), part.column(2), *(pa.array(c.view(np.int64)) for c in (nodes, fps, sizes))]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
+                yield pa.RecordBatch.from_arrays([*columns, lists, pa.array([x.tobytes() for x in sketch], pa.binary())], schema.names)
 
-    schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), *(T.StructField(c, T.LongType()) for c in ("text_hash", "node", "fp", "n"))])
+    longs = [T.StructField(c, T.LongType()) for c in ("text_hash", "node", "fp", "n")]
+    more = [T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType())]
+    schema = T.StructType([T.StructField("doc_id", docs.schema[key].dataType), *longs, *more])
     texts = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("binary").alias("text"), F.xxhash64(F.col(text)).alias("text_hash"))
-    row = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_hash")
-    return stored(texts.mapInArrow(run, schema).groupBy("node").agg(F.min("fp").alias("fp"), F.min("n").alias("n"), F.min(row).alias("b")), "similar-sets")
+    row = F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "text_hash", "fp", "n", "keys", "sketch")
+    return stored(texts.mapInArrow(run, schema).groupBy("node").agg(F.min(row).alias("b")), "similar-sets")
+
 
+#: Columns of a member of a group, as numpy sees them.
+MEMBER = ("fp", "node", "n", "label", "sketch")
 
-def _members(column: pa.ListArray, at: int) -> tuple[np.ndarray, ...]:
-    rows = column[at].values
-    return tuple(rows.field(k).to_numpy().view(np.uint64 if k == 0 else np.int64) for k in range(4))
 
+def _columns(arrays: list[pa.Array]) -> list[np.ndarray]:
+    """Columns ``MEMBER`` as numpy arrays, the sketches as rows of bytes."""
+    fp, node, n, label = (c.to_numpy() for c in arrays[:4])
+    sketch = arrays[4]
+    at = np.frombuffer(sketch.buffers()[1], np.int32)[sketch.offset] if len(sketch) else 0
+    size = BANDS * BAND_SLOTS
+    bytes_ = np.frombuffer(sketch.buffers()[2], np.uint8)[at : at + size * len(sketch)] if len(sketch) else np.zeros(0, np.uint8)
+    return [fp.view(np.uint64), node, n, label, bytes_.reshape(-1, size)]
 
-def _open_pairs(i: np.ndarray, j: np.ndarray, node: np.ndarray, n: np.ndarray, label: np.ndarray, first: bool) -> pa.RecordBatch:
-    """Pairs of positions that may be similar by the sizes of their sets and are not joined yet; in the first pass only
-    one per member."""
+
+def _open_pairs(i: np.ndarray, j: np.ndarray, members: list[np.ndarray], best: bool) -> pa.RecordBatch:
+    """Pairs of positions that may be similar by the sizes of their sets and their sketches and are not joined yet; with
+    ``best`` only two per member, its first partner and its most similar one."""
+    _, node, n, label, sketch = members
     small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-    some = (i != j) & (label[i] != label[j]) & (100 * small >= SIMILAR_PERCENT * large)
-    i, j = np.maximum(i, j)[some], np.minimum(i, j)[some]
-    if first:
-        order = np.lexsort((j, i))
-        i, at = np.unique(i[order], return_index=True)
-        j = j[order][at]
+    some = (label[i] != label[j]) & (100 * small >= SIMILAR_PERCENT * large)
+    i, j = i[some], j[some]
+    equal = np.zeros(len(i), np.int64)
+    for at in range(0, len(i), 20_000):
+        part = slice(at, at + 20_000)
+        equal[part] = (sketch[i[part]] == sketch[j[part]]).sum(axis=1)
+    some = equal >= LEAST_EQUAL
+    i, j, equal = i[some], j[some], equal[some]
+    if best:
+        i, j, equal = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([equal, equal])
+        chosen = []
+        for order in (np.lexsort((j, i)), np.lexsort((j, -equal, i))):
+            chosen.append(order[np.unique(i[order], return_index=True)[1]])
+        at = np.concatenate(chosen)
+        i, j = i[at], j[at]
     pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
     return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
 
 
-def _similar_inside(first: bool):
+def _similar_inside(best: bool):
     def of(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         """Pairs within the groups of sorted rows, small groups together."""
-        fp, node, n, label = (rows.column(k).to_numpy().view(np.uint64 if k == 3 else np.int64) for k in range(3, 7))
         starts = np.flatnonzero(_changes(rows))
         sizes = np.diff(np.append(starts, rows.num_rows))
+        members = _columns(rows.columns[2:])
         small = sizes <= 4 * SMALL
         mask = np.repeat(small, sizes)
         if small.any():
-            i, j = near_in_groups(fp[mask], sizes[small], SIMILAR_RADIUS)
-            yield _open_pairs(i, j, node[mask], n[mask], label[mask], first)
+            own = [c[mask] for c in members]
+            yield _open_pairs(*near_in_groups(own[0], sizes[small], SIMILAR_RADIUS), own, best)
         for at, size in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
-            part = slice(at, at + size)
-            yield _open_pairs(*near_matrix(fp[part], fp[part], SIMILAR_RADIUS), node[part], n[part], label[part], first)
+            own = [c[at : at + size] for c in members]
+            if (own[3] != own[3][0]).any():
+                i, j = near_matrix(own[0], own[0], SIMILAR_RADIUS)
+                yield _open_pairs(i[i < j], j[i < j], own, best)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
@@ -448,45 +496,52 @@ def _similar_inside(first: bool):
 
 
 def _changes(rows: pa.RecordBatch) -> np.ndarray:
-    """Whether a row is the first of its group ``t, k, part``; the first row always is."""
-    t, k, part = (rows.column(c).to_numpy() for c in range(3))
-    return np.append(True, (t[1:] != t[:-1]) | (k[1:] != k[:-1]) | (part[1:] != part[:-1]))
+    """Whether a row is the first of its group ``k, part``; the first row always is."""
+    k, part = (rows.column(c).to_numpy() for c in range(2))
+    return np.append(True, (k[1:] != k[:-1]) | (part[1:] != part[:-1]))
 
 
-def _similar_between(first: bool):
+def _similar_between(best: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                one, two = _members(batch.column(0), at), _members(batch.column(1), at)
+                one, two = (_columns([column[at].values.field(k) for k in range(5)]) for column in batch.columns)
                 i, j = near_matrix(one[0], two[0], SIMILAR_RADIUS)
-                yield _open_pairs(i, j + len(one[0]), *(np.concatenate(c) for c in list(zip(one, two, strict=True))[1:]), first)
+                yield _open_pairs(i, j + len(one[0]), [np.concatenate(c) for c in zip(one, two, strict=True)], best)
 
     return run
 
 
-def similar_candidates(nodes: DataFrame, masks: list[int], first: bool) -> DataFrame:
-    """Distinct pairs ``u, v`` of nodes (``node, fp, n, label``) of different labels that a table brings together within
-    ``SIMILAR_RADIUS`` bits; in the first pass at most one per node and block.
-
-    Groups are counted first (at most 2^TABLE_BITS per table) and cut into blocks like those of ``near_links``.
-    """
-    tables = F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(masks)])
-    keyed = nodes.where("n > 0").select(F.struct("fp", "node", "n", "label").alias("m"), F.explode(tables).alias("b")).select("b.t", "b.k", "m")
-    counts = stored(keyed.groupBy("t", "k").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "similar-groups")
+def similar_places(nodes: DataFrame) -> DataFrame:
+    """Stored table of the places of nodes in groups of at least two: ``k`` (band and its values), ``parts`` and ``part``
+    (blocks of about ``BLOCK`` members that the group is cut into), and what ``MEMBER`` names but the label."""
+    keyed = nodes.where("b.n > 0").select("b.fp", "node", "b.n", "b.sketch", F.explode("b.keys").alias("k"))
+    counts = stored(keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "similar-groups")
     cut = F.ceil(F.col("c") / BLOCK).cast("int")
-    placed = keyed.join(F.broadcast(counts), ["t", "k"]).select("t", "k", "m", cut.alias("parts"), F.pmod(F.xxhash64("m.node"), cut).cast("int").alias("part"))
-    rows = placed.select("t", "k", "part", "m.fp", "m.node", "m.n", "m.label")
-    inside = rows.repartition("t", "k", "part").sortWithinPartitions("t", "k", "part").mapInArrow(_similar_inside(first), "u long, v long")
-    if counts.where(F.col("c") > BLOCK).isEmpty():
+    part = F.pmod(F.xxhash64("node"), cut).cast("int")
+    return stored(keyed.join(counts, "k").select("k", cut.alias("parts"), part.alias("part"), "fp", "node", "n", "sketch"), "similar-places")
+
+
+def similar_candidates(places: DataFrame, roots: DataFrame | None, best: bool) -> DataFrame:
+    """Stored table of distinct pairs ``u, v`` of nodes of different labels that share a band, lie within
+    ``SIMILAR_RADIUS`` bits and have sketches to match; with ``best`` at most two per member and block."""
+    if roots is None:
+        rows = places.withColumn("label", F.col("node"))
+    else:
+        rows = places.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+    grouped = rows.select("k", "part", *MEMBER).repartition("k", "part").sortWithinPartitions("k", "part", "node")
+    inside = grouped.mapInArrow(_similar_inside(best), "u long, v long")
+    if places.where("parts > 1").isEmpty():
         return stored(inside.distinct(), "similar-pairs")
-    large = stored(placed.where("parts > 1").groupBy("t", "k", "parts", "part").agg(F.collect_list("m").alias("ms")), "similar-blocks")
-    other = large.select("t", "k", F.col("part").alias("other"), F.col("ms").alias("theirs"))
+    hot = rows.where("parts > 1")
+    large = stored(hot.groupBy("k", "parts", "part").agg(F.collect_list(F.struct(*MEMBER)).alias("ms")), "similar-blocks")
+    other = large.select("k", F.col("part").alias("other"), F.col("ms").alias("theirs"))
     pairs = (
         large.where("part + 1 < parts")
-        .select("t", "k", "part", "ms", F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)).alias("other"))
-        .join(other, ["t", "k", "other"])
+        .select("k", "part", "ms", F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)).alias("other"))
+        .join(other, ["k", "other"])
     )
-    between = pairs.repartition("t", "k", "part", "other").select("ms", "theirs").mapInArrow(_similar_between(first), "u long, v long")
+    between = pairs.repartition("k", "part", "other").select("ms", "theirs").mapInArrow(_similar_between(best), "u long, v long")
     return stored(inside.unionByName(between).distinct(), "similar-pairs")
 
 
@@ -494,8 +549,8 @@ def _row_name(doc_id: Column, text_hash: Column) -> Column:
     return F.concat_ws(":", text_hash.cast("string"), doc_id.cast("string"))
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Stored table of the pairs whose sets of shingles have a Jaccard similarity of ``SIMILAR_PERCENT`` at least."""
+def sets_of(places: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text: str) -> DataFrame:
+    """Stored table ``node, s`` of the sets of shingles of all nodes that have a place, each made from one text."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -503,6 +558,16 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text
                 part = batch.slice(at, 500)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([_shingle_set(t.as_py()).tobytes() for t in part.column(1)], pa.binary())], ["node", "s"])
 
+    used = nodes.join(places.select("node").distinct(), "node", "left_semi")
+    wanted = used.select("node", _row_name(F.col("b.doc_id"), F.col("b.text_hash")).alias("name"))
+    rows = docs.select(_row_name(F.col(key), F.xxhash64(F.col(text))).alias("name"), F.col(text).cast("binary").alias("text"))
+    found = rows.join(wanted, "name").dropDuplicates(["name"]).select("node", "text")
+    return stored(found.mapInArrow(sets, "node long, s binary"), "similar-shingles")
+
+
+def verified(pairs: DataFrame, own: DataFrame) -> DataFrame:
+    """Stored table of the pairs whose sets of shingles have a Jaccard similarity of ``SIMILAR_PERCENT`` at least."""
+
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -514,31 +579,34 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, key: str, text
                 keep.append(100 * common >= SIMILAR_PERCENT * (len(both) - common))
             yield batch.select(["u", "v"]).filter(pa.array(keep, pa.bool_()))
 
-    used = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = nodes.join(used, "node").select("node", _row_name(F.col("b.doc_id"), F.col("b.text_hash")).alias("name"))
-    rows = docs.select(_row_name(F.col(key), F.xxhash64(F.col(text))).alias("name"), F.col(text).cast("binary").alias("text"))
-    found = rows.join(wanted, "name").dropDuplicates(["name"]).select("node", "text")
-    own = stored(found.mapInArrow(sets, "node long, s binary"), "similar-shingles")
     left, right = (own.select(F.col("node").alias(c), F.col("s").alias(s)) for c, s in (("u", "x"), ("v", "y")))
     return stored(pairs.join(left, "u").join(right, "v").select("u", "v", "x", "y").mapInArrow(similar, "u long, v long"), "similar-links")
 
 
+def similar_roots(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> DataFrame:
+    """Stored table ``node, root`` of the components of verified links.
+
+    The first passes verify at most two pairs per member of a block, which joins most of a dense group; the last one
+    verifies every candidate whose two texts are not joined by then, so what they leave out cannot change a group.
+    """
+    places = similar_places(nodes)
+    own = sets_of(places, nodes, docs, key, text)
+    links = roots = None
+    for best in (True,) * BEST_PASSES + (False,):
+        new = verified(similar_candidates(places, roots, best), own)
+        links = new if links is None else links.unionByName(new)
+        roots = stored(components(links), "similar-roots")
+    return roots
+
+
 def one_of_each_similar_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each group that verified links join: the one with the least id, null ids last, and of rows
     with that id the one with the least hash of its text.  Rows that are equal in both count once.  Texts without words
-    are one group.
-
-    A first pass verifies a few pairs per text, which joins most of a dense group; the second verifies every candidate
-    whose two texts are not joined by then, so what it leaves out cannot change a group.
-    """
-    nodes, masks = shingle_sets(docs, key, text), table_masks()
-    alone = nodes.select("node", "fp", "n", F.col("node").alias("label"))
-    first = verified(similar_candidates(alone, masks[:FIRST_TABLES], True), nodes, docs, key, text)
-    roots = components(first)
-    labelled = stored(nodes.join(roots, "node", "left").select("node", "fp", "n", F.coalesce("root", "node").alias("label")), "similar-labels")
-    second = verified(similar_candidates(labelled, masks, False), nodes, docs, key, text)
-    roots = stored(components(first.unionByName(second)), "similar-roots")
-    chosen = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("b").alias("b"))
+    are one group."""
+    nodes = shingle_sets(docs, key, text)
+    roots = similar_roots(docs, nodes, key, text)
+    row = F.struct("b.null_id", "b.doc_id", "b.text_hash")
+    chosen = nodes.join(roots, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min(row).alias("b"))
     name, mark = unused(docs, "near_ident"), "kept_ident"
     kept = chosen.select(_row_name(F.col("b.doc_id"), F.col("b.text_hash")).alias(mark))
     rows = docs.withColumn(name, _row_name(F.col(key), F.xxhash64(F.col(text))))
