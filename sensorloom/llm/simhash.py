@@ -46,8 +46,10 @@ SIMILAR_WIDTH, SIMILAR_PERCENT, SIMILAR_RADIUS = 5, 80, 22
 BANDS, BAND_SLOTS = 18, 4
 #: Slots of 72 that two sketches must share; at 0.8 they share 57.6 on average (standard deviation 3.4).
 LEAST_EQUAL = 44
-#: Passes that only look for the links that settle dense groups.
-BEST_PASSES = 2
+#: Shingles of a block, and shingles that are counted at once in it.
+BLOCK_SHINGLES, MATRIX_WIDTH = 1 << 20, 4096
+#: Passes before the last that only look for the links that settle dense groups.
+BEST_PASSES = 1
 #: Odd multiplier that spreads bits upwards.
 MIX = np.uint64(0x9E3779B97F4A7C15)
 #: Spreads the bits of a byte over the bytes of a word, so that up to 255 of them add up side by side.
@@ -438,10 +440,10 @@ def _columns(arrays: list[pa.Array]) -> list[np.ndarray]:
     return [fp.view(np.uint64), node, n, label, bytes_.reshape(-1, size)]
 
 
-def _open_pairs(i: np.ndarray, j: np.ndarray, members: list[np.ndarray], best: bool) -> pa.RecordBatch:
-    """Pairs of positions that may be similar by the sizes of their sets and their sketches and are not joined yet; with
-    ``best`` only two per member, its first partner and its most similar one."""
-    _, node, n, label, sketch = members
+def _open_pairs(i: np.ndarray, j: np.ndarray, members: list[np.ndarray]) -> tuple[np.ndarray, ...]:
+    """Of pairs of positions those that may be similar by the sizes of their sets and their sketches and are not joined
+    yet, and in how many slots each pair agrees."""
+    _, _, n, label, sketch = members
     small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
     some = (label[i] != label[j]) & (100 * small >= SIMILAR_PERCENT * large)
     i, j = i[some], j[some]
@@ -450,34 +452,82 @@ def _open_pairs(i: np.ndarray, j: np.ndarray, members: list[np.ndarray], best: b
         part = slice(at, at + 20_000)
         equal[part] = (sketch[i[part]] == sketch[j[part]]).sum(axis=1)
     some = equal >= LEAST_EQUAL
-    i, j, equal = i[some], j[some], equal[some]
-    if best:
-        i, j, equal = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([equal, equal])
-        chosen = []
-        for order in (np.lexsort((j, i)), np.lexsort((j, -equal, i))):
-            chosen.append(order[np.unique(i[order], return_index=True)[1]])
-        at = np.concatenate(chosen)
-        i, j = i[at], j[at]
-    pairs = np.unique(np.stack([np.minimum(node[i], node[j]), np.maximum(node[i], node[j])]), axis=1)
-    return pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], ["u", "v"])
-
-
-def _similar_inside(best: bool):
-    def of(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        """Pairs within the groups of sorted rows, small groups together."""
+    return i[some], j[some], equal[some]
+
+
+def _best(i: np.ndarray, j: np.ndarray, equal: np.ndarray) -> np.ndarray:
+    """Two pairs per member: with its first partner and with its most similar one."""
+    i, j, equal = np.concatenate([i, j]), np.concatenate([j, i]), np.concatenate([equal, equal])
+    orders = (np.lexsort((j, i)), np.lexsort((j, -equal, i)))
+    at = np.concatenate([order[np.unique(i[order], return_index=True)[1]] for order in orders])
+    return np.stack([i[at], j[at]])
+
+
+def common_shingles(sets: list[np.ndarray]) -> np.ndarray:
+    """How many members each two of the sets share, as a product of indicator matrices of bounded width; shingles that only
+    one set has take no part."""
+    sizes = [len(x) for x in sets]
+    flat = np.concatenate(sets)
+    order = np.argsort(flat, kind="stable")
+    first = np.append(True, flat[order][1:] != flat[order][:-1])
+    owner, column = np.repeat(np.arange(len(sets)), sizes)[order], np.cumsum(first) - 1
+    shared = np.bincount(column) > 1
+    some = shared[column]
+    owner, column = owner[some], (np.cumsum(shared) - 1)[column[some]]
+    out = np.zeros((len(sets), len(sets)), np.int64)
+    for lo in range(0, int(shared.sum()), MATRIX_WIDTH):
+        at = slice(*np.searchsorted(column, [lo, lo + MATRIX_WIDTH]))
+        x = np.zeros((len(sets), MATRIX_WIDTH), np.float32)
+        x[owner[at], column[at] - lo] = 1
+        out += np.rint(x @ x.T).astype(np.int64)
+    return out
+
+
+def _verified_links(i: np.ndarray, j: np.ndarray, members: list[np.ndarray], sets: pa.Array) -> np.ndarray:
+    """Of the open pairs of one group those whose sets are similar; one for each two labels."""
+    used, at = np.unique(np.concatenate([i, j]), return_inverse=True)
+    common = common_shingles([np.frombuffer(sets[k].as_buffer(), np.uint64) for k in used.tolist()])[at[: len(i)], at[len(i) :]]
+    _, _, n, label, _ = members
+    some = 100 * common >= SIMILAR_PERCENT * (n[i] + n[j] - common)
+    i, j = i[some], j[some]
+    ends = np.stack([np.minimum(label[i], label[j]), np.maximum(label[i], label[j])])
+    one = np.unique(ends, axis=1, return_index=True)[1]
+    return np.stack([i[one], j[one]])
+
+
+def _similar(best: bool):
+    """Over rows ``k, a, b, part``, ``MEMBER`` and, unless ``best``, the sets ``s``, sorted by the first three: pairs ``u, v``
+    of nodes within block ``a`` of group ``k``, or between its blocks ``a`` and ``b``."""
+
+    def of(rows: pa.RecordBatch) -> pa.RecordBatch:
         starts = np.flatnonzero(_changes(rows))
         sizes = np.diff(np.append(starts, rows.num_rows))
-        members = _columns(rows.columns[2:])
-        small = sizes <= 4 * SMALL
-        mask = np.repeat(small, sizes)
-        if small.any():
-            own = [c[mask] for c in members]
-            yield _open_pairs(*near_in_groups(own[0], sizes[small], SIMILAR_RADIUS), own, best)
+        a, b, part = (rows.column(c).to_numpy() for c in (1, 2, 3))
+        members = _columns(rows.columns[4:9])
+        fp = members[0]
+        small = (sizes <= 4 * SMALL) & (a[starts] == b[starts])
+        mask = np.flatnonzero(np.repeat(small, sizes))
+        found = [np.stack([mask[x] for x in near_in_groups(fp[mask], sizes[small], SIMILAR_RADIUS)])] if len(mask) else []
         for at, size in zip(starts[~small].tolist(), sizes[~small].tolist(), strict=True):
-            own = [c[at : at + size] for c in members]
-            if (own[3] != own[3][0]).any():
-                i, j = near_matrix(own[0], own[0], SIMILAR_RADIUS)
-                yield _open_pairs(i[i < j], j[i < j], own, best)
+            one = at + np.flatnonzero(part[at : at + size] == a[at])
+            two = one if a[at] == b[at] else at + np.flatnonzero(part[at : at + size] == b[at])
+            i, j = near_matrix(fp[one], fp[two], SIMILAR_RADIUS)
+            i, j = one[i], two[j]
+            some = i < j if a[at] == b[at] else slice(None)
+            found.append(np.stack(_open_pairs(i[some], j[some], members)[:2]))
+        pairs = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
+        i, j, equal = _open_pairs(*pairs, members)
+        if best:
+            links = _best(i, j, equal)
+        else:
+            group = np.searchsorted(starts, i, side="right")
+            order = np.argsort(group, kind="stable")
+            cuts = np.flatnonzero(np.diff(group[order])) + 1
+            links = [_verified_links(i[x], j[x], members, rows.column(9)) for x in np.split(order, cuts) if len(x)]
+            links = np.concatenate(links, axis=1) if links else np.zeros((2, 0), np.int64)
+        ends = members[1][links]
+        ends = np.unique(np.sort(ends, axis=0), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(ends[0]), pa.array(ends[1])], ["u", "v"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         left = None
@@ -487,62 +537,61 @@ def _similar_inside(best: bool):
             rows = batch if left is None else pa.concat_batches([left, batch])
             last = int(np.flatnonzero(_changes(rows))[-1])  # the last group may go on in the next batch
             if last:
-                yield from of(rows.slice(0, last))
+                yield of(rows.slice(0, last))
             left = rows.slice(last)
         if left is not None:
-            yield from of(left)
+            yield of(left)
 
     return run
 
 
 def _changes(rows: pa.RecordBatch) -> np.ndarray:
-    """Whether a row is the first of its group ``k, part``; the first row always is."""
-    k, part = (rows.column(c).to_numpy() for c in range(2))
-    return np.append(True, (k[1:] != k[:-1]) | (part[1:] != part[:-1]))
-
-
-def _similar_between(best: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(batch.num_rows):
-                one, two = (_columns([column[at].values.field(k) for k in range(5)]) for column in batch.columns)
-                i, j = near_matrix(one[0], two[0], SIMILAR_RADIUS)
-                yield _open_pairs(i, j + len(one[0]), [np.concatenate(c) for c in zip(one, two, strict=True)], best)
-
-    return run
+    """Whether a row is the first of its group ``k, a, b``; the first row always is."""
+    k, a, b = (rows.column(c).to_numpy() for c in range(3))
+    return np.append(True, (k[1:] != k[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
 
 
 def similar_places(nodes: DataFrame) -> DataFrame:
     """Stored table of the places of nodes in groups of at least two: ``k`` (band and its values), ``parts`` and ``part``
-    (blocks of about ``BLOCK`` members that the group is cut into), and what ``MEMBER`` names but the label."""
+    (blocks of about ``BLOCK`` members and at most about ``BLOCK_SHINGLES`` shingles that the group is cut into), and what
+    ``MEMBER`` names but the label."""
     keyed = nodes.where("b.n > 0").select("b.fp", "node", "b.n", "b.sketch", F.explode("b.keys").alias("k"))
-    counts = stored(keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "similar-groups")
-    cut = F.ceil(F.col("c") / BLOCK).cast("int")
+    counts = stored(keyed.groupBy("k").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("all_n")).where("c > 1"), "similar-groups")
+    cut = F.ceil(F.greatest(F.col("c") / BLOCK, F.least(F.col("all_n") / BLOCK_SHINGLES, F.col("c")))).cast("int")
     part = F.pmod(F.xxhash64("node"), cut).cast("int")
     return stored(keyed.join(counts, "k").select("k", cut.alias("parts"), part.alias("part"), "fp", "node", "n", "sketch"), "similar-places")
 
 
-def similar_candidates(places: DataFrame, roots: DataFrame | None, best: bool) -> DataFrame:
-    """Stored table of distinct pairs ``u, v`` of nodes of different labels that share a band, lie within
-    ``SIMILAR_RADIUS`` bits and have sketches to match; with ``best`` at most two per member and block."""
+def _labelled(places: DataFrame, roots: DataFrame | None) -> DataFrame:
     if roots is None:
-        rows = places.withColumn("label", F.col("node"))
-    else:
-        rows = places.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
-    grouped = rows.select("k", "part", *MEMBER).repartition("k", "part").sortWithinPartitions("k", "part", "node")
-    inside = grouped.mapInArrow(_similar_inside(best), "u long, v long")
-    if places.where("parts > 1").isEmpty():
-        return stored(inside.distinct(), "similar-pairs")
-    hot = rows.where("parts > 1")
-    large = stored(hot.groupBy("k", "parts", "part").agg(F.collect_list(F.struct(*MEMBER)).alias("ms")), "similar-blocks")
-    other = large.select("k", F.col("part").alias("other"), F.col("ms").alias("theirs"))
-    pairs = (
-        large.where("part + 1 < parts")
-        .select("k", "part", "ms", F.explode(F.sequence(F.col("part") + 1, F.col("parts") - 1)).alias("other"))
-        .join(other, ["k", "other"])
-    )
-    between = pairs.repartition("k", "part", "other").select("ms", "theirs").mapInArrow(_similar_between(best), "u long, v long")
-    return stored(inside.unionByName(between).distinct(), "similar-pairs")
+        return places.withColumn("label", F.col("node"))
+    return places.join(roots, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+
+
+def _compared(rows: DataFrame, best: bool) -> DataFrame:
+    """Distinct pairs of all blocks: a member goes to its own block and to each pair of blocks that has its own."""
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
+    whole = [*MEMBER] if best else [*MEMBER, "s"]
+    dealt = rows.select("k", "part", *whole, other).select("k", F.least("part", "other").alias("a"), F.greatest("part", "other").alias("b"), "part", *whole)
+    sorted_ = dealt.repartition("k", "a", "b").sortWithinPartitions("k", "a", "b", "node")
+    return sorted_.mapInArrow(_similar(best), "u long, v long").distinct()
+
+
+def similar_candidates(places: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Stored table of distinct pairs ``u, v`` of nodes of different labels that share a band, lie within
+    ``SIMILAR_RADIUS`` bits and have sketches to match: at most two per member and block."""
+    return stored(_compared(_labelled(places, roots), True), "similar-pairs")
+
+
+def remaining_links(places: DataFrame, roots: DataFrame, own: DataFrame) -> DataFrame:
+    """Stored table of verified links between different labels, at least one for each two labels that a link joins.
+
+    Only groups with two labels or more take part; the sets of shingles go with the members, so that all candidates are
+    verified where they meet and only links leave a task.
+    """
+    rows = _labelled(places, roots)
+    mixed = rows.groupBy("k").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("k")
+    return stored(_compared(rows.join(mixed, "k", "left_semi").join(own, "node"), False), "similar-rest")
 
 
 def _row_name(doc_id: Column, text_hash: Column) -> Column:
@@ -592,11 +641,11 @@ def similar_roots(docs: DataFrame, nodes: DataFrame, key: str, text: str) -> Dat
     places = similar_places(nodes)
     own = sets_of(places, nodes, docs, key, text)
     links = roots = None
-    for best in (True,) * BEST_PASSES + (False,):
-        new = verified(similar_candidates(places, roots, best), own)
+    for _ in range(BEST_PASSES):
+        new = verified(similar_candidates(places, roots), own)
         links = new if links is None else links.unionByName(new)
         roots = stored(components(links), "similar-roots")
-    return roots
+    return stored(components(links.unionByName(remaining_links(places, roots, own))), "similar-roots")
 
 
 def one_of_each_similar_group(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
