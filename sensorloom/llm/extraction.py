@@ -13,6 +13,7 @@ stray ``<`` are all read to the end of the text.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from html import unescape
@@ -74,6 +75,7 @@ class Node:
     main: bool = False
     words: frozenset[str] = frozenset()
     number: int = 0
+    block: Node | None = None  # the nearest element that is a block, itself included
 
 
 @dataclass
@@ -96,21 +98,23 @@ def _open(name: str, attributes: str, parent: Node | None, number: int) -> Node:
     main = name in MAIN or bool(words & {"main"}) and name in ("div", "section")
     if parent:
         silent, main = silent or parent.silent, main or parent.main
-    return Node(name, parent, silent, main, frozenset(words), number)
+    node = Node(name, parent, silent, main, frozenset(words), number)
+    node.block = node if name in BLOCK or parent is None else parent.block
+    return node
 
 
 def blocks_of(html: str) -> list[Block]:
     """The text blocks of a page in order, white space inside a block as one space, empty ones left out."""
-    root = Node("", None)
+    root = _open("", "", None, 0)
     stack, out, current, count = [root], [], None, 0
-    links = 0
+    opened: Counter[str] = Counter()  # names on the stack, so that what is not there is not looked for
 
     def add(text: str) -> None:
         nonlocal current
         if current is None:
-            current = Block(next(n for n in reversed(stack) if n.name in BLOCK or not n.name))
+            current = Block(stack[-1].block)
         current.parts.append(text)
-        if links:
+        if opened["a"]:
             current.linked += len(text.strip())
 
     def flush() -> None:
@@ -122,9 +126,8 @@ def blocks_of(html: str) -> list[Block]:
             current = None
 
     def pop_to(k: int) -> None:
-        nonlocal links
         while len(stack) > k:
-            links -= stack.pop().name == "a"
+            opened[stack.pop().name] -= 1
 
     at, end = 0, len(html)
     while at < end:
@@ -142,9 +145,8 @@ def blocks_of(html: str) -> list[Block]:
         if name in BLOCK:
             flush()
         if closing:
-            k = next((k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name), 0)
-            if k:
-                pop_to(k)
+            if opened[name]:
+                pop_to(next(k for k in range(len(stack) - 1, 0, -1) if stack[k].name == name))
             continue
         if name in RAW:
             close = re.compile(rf"</{re.escape(name)}(?=[\s/>])[^>]*>?", re.I).search(html, at)
@@ -157,7 +159,7 @@ def blocks_of(html: str) -> list[Block]:
         if name in BLOCK:
             # a block ends an open paragraph, and an item the item before it
             ends = (name, SAME_CLOSES[name].split()) if name in SAME_CLOSES else (CLOSED_BY_BLOCK, ())
-            for k in range(len(stack) - 1, 0, -1):
+            for k in range(len(stack) - 1, 0, -1) if opened[ends[0]] or opened[CLOSED_BY_BLOCK] else ():
                 if stack[k].name in (ends[0], CLOSED_BY_BLOCK):
                     pop_to(k)
                     if stack[-1].name != ends[0]:
@@ -168,42 +170,58 @@ def blocks_of(html: str) -> list[Block]:
             continue
         count += 1
         stack.append(_open(name, attributes, stack[-1], count))
-        links += name == "a"
+        opened[name] += 1
     flush()
     return out
 
 
-def page_wide(blocks: list[Block]) -> set[int]:
+def _nodes(blocks: list[Block]) -> list[Node]:
+    """The containers of the blocks and all around them, each once, a container before what it holds."""
+    seen: dict[int, Node] = {}
+    for b in blocks:
+        node: Node | None = b.node
+        while node is not None and node.number not in seen:
+            seen[node.number] = node
+            node = node.parent
+    return [seen[k] for k in sorted(seen)]
+
+
+def page_wide(blocks: list[Block], nodes: list[Node]) -> set[int]:
     """Containers that hold a first heading and over half of the text that counts: their names say how the page is laid
     out ("with-sidebar"), not what the text is."""
-    chars: dict[int, int] = {}
+    chars = dict.fromkeys((n.number for n in nodes), 0)
     headed: set[int] = set()
-    total = 0
     for b in blocks:
-        if b.node.silent:
-            continue
-        total += len(b.text)
-        node: Node | None = b.node
-        while node is not None:
-            chars[node.number] = chars.get(node.number, 0) + len(b.text)
+        if not b.node.silent:
+            chars[b.node.number] += len(b.text)
             if b.node.name == "h1":
-                headed.add(node.number)
-            node = node.parent
+                headed.add(b.node.number)
+    for node in reversed(nodes):
+        if node.parent is not None:
+            chars[node.parent.number] += chars[node.number]
+            if node.number in headed:
+                headed.add(node.parent.number)
+    total = chars[nodes[0].number]
     return {n for n in headed if 2 * chars[n] > total}
 
 
-def evidence(block: Block, has_main: bool, holds_main: set[int], wide: set[int], has_prose: bool) -> float:
+def around(nodes: list[Node], holds_main: set[int], wide: set[int]) -> dict[int, tuple[bool, bool]]:
+    """Per container whether it or one around it is named like boilerplate, and like the top of a page."""
+    out: dict[int, tuple[bool, bool]] = {}
+    for node in nodes:
+        named, top = out[node.parent.number] if node.parent is not None else (False, False)
+        if node.number not in holds_main and node.name not in ("html", "body"):
+            named = named or node.number not in wide and bool(node.words & BOILERPLATE)
+            top = top or not node.main and (node.name == "header" or bool(node.words & TOP))
+        out[node.number] = named, top
+    return out
+
+
+def evidence(block: Block, has_main: bool, named: bool, top: bool, has_prose: bool) -> float:
     """What speaks for article, above 0, or for boilerplate, below 0."""
     if block.node.silent:
         return SILENCED
     score = (IN_MAIN if block.node.main else OUTSIDE) if has_main else 0.0
-    node: Node | None = block.node
-    named, top = False, False
-    while node is not None:
-        if node.number not in holds_main and node.name not in ("html", "body"):
-            named = named or node.number not in wide and bool(node.words & BOILERPLATE)
-            top = top or not node.main and (node.name == "header" or bool(node.words & TOP))
-        node = node.parent
     score += NAMED_SO * named + AT_TOP * top
     text = block.text
     linked = min(1.0, block.linked / len(text))
@@ -241,21 +259,18 @@ def main_text(html: str | None) -> str:
     blocks = blocks_of(html or "")
     if not blocks:
         return ""
+    nodes = _nodes(blocks)
+    has_main = any(b.node.main and not b.node.silent for b in blocks)
+    counted = {b.node.number for b in blocks if b.node.main and not b.node.silent}
     holds_main: set[int] = set()
-    has_main = False
-    for b in blocks:
-        if b.node.main and not b.node.silent:
-            has_main = True
-            node: Node | None = b.node
-            while node is not None and node.main:
-                node = node.parent
-            while node is not None:
-                holds_main.add(node.number)
-                node = node.parent
+    for node in reversed(nodes):
+        if node.parent is not None and (node.number in holds_main or node.number in counted):
+            # what is in the main part passes the mark on, what is around it keeps it
+            (counted if node.parent.main else holds_main).add(node.parent.number)
     # on a page without a paragraph of some length, short lines are all there is
     has_prose = any(b.text.count(" ") >= 20 for b in blocks if not b.node.silent)
-    wide = page_wide(blocks)
-    scores = [evidence(b, has_main, holds_main, wide, has_prose) for b in blocks]
+    facts = around(nodes, holds_main, page_wide(blocks, nodes))
+    scores = [evidence(b, has_main, *facts[b.node.number], has_prose) for b in blocks]
     keep = labels([max(0.0, -s) for s in scores], [max(0.0, s) for s in scores], smoothness(blocks))
     return "\n".join(b.text for b, k in zip(blocks, keep, strict=True) if k)
 

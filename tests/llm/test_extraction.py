@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 
 import pytest
 
@@ -61,3 +62,22 @@ def test_rows(spark):
     got = extraction.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted(map(tuple, got), key=str) == sorted([(1, "u", WANT, len(WANT))] * 2 + [(None, None, "", 0), (3, "v", "", 0)], key=str)
     assert extraction.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<div>text here. " * n,
+        lambda n: "<div class=a>" * n + "<p>some text here, a sentence.</p>" * n,
+        lambda n: "<b>" * n + "<h1></h1>text </x>" * n,
+        lambda n: "<main>" * n + "<li>text" * n,
+    ],
+)
+def test_time_is_linear_in_nesting(page):
+    def seconds(n):
+        at = time.process_time()
+        extraction.main_text(page(n))
+        return time.process_time() - at
+
+    seconds(500)
+    assert seconds(16_000) < 24 * max(seconds(2_000), 0.02)
