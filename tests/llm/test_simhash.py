@@ -160,3 +160,31 @@ def test_similar_texts_are_linked_and_others_are_not(spark, monkeypatch, rng):
     got = {r.doc_id for r in simhash.one_of_each_similar_group(documents(spark, rows).repartition(5)).collect()}
     assert got == want | {None}
     assert simhash.one_of_each_similar_group(documents(spark, [])).count() == 0
+
+
+def test_common_shingles_against_sets(monkeypatch):
+    monkeypatch.setattr(simhash, "MATRIX_WIDTH", 7)
+    gen = np.random.default_rng(3)
+    sets = [np.unique(gen.integers(0, 60, int(n)).astype(np.uint64)) for n in (1, 5, 40, 80, 3, 40)]
+    want = [[len({*a.tolist()} & {*b.tolist()}) if a is not b else None for b in sets] for a in sets]
+    got = simhash.common_shingles(sets)
+    assert [[None if i == j else int(got[i, j]) for j in range(6)] for i in range(6)] == want
+
+
+def test_large_group_near_the_border_of_similarity(spark, monkeypatch, rng):
+    """Many texts a little more or less alike than 0.8, in one group that is cut into blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", 16)
+    base = words(rng, 150, 5000).split()
+    rows = []
+    for k in range(90):
+        copy = list(base)
+        for at in rng.sample(range(len(base)), rng.randrange(1, 7)):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        rows.append((k, " ".join(copy)))
+    sets = [shingles(t) for _, t in rows]
+    links = [(a, b) for a in range(90) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    root = joined(range(90), links)
+    want = {min(i for i in root if root[i] == r) for r in root.values()}
+    assert 1 < len(want) < 60 and len(links) < 90 * 89 / 2
+    got = [r.doc_id for r in simhash.one_of_each_similar_group(documents(spark, rows).repartition(4)).collect()]
+    assert sorted(got) == sorted(want)
