@@ -57,6 +57,20 @@ def digests(buf: np.ndarray, width: int, start: np.ndarray | None = None, start_
     return h
 
 
+def stretch_digests(buf: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Digest of all bytes from ``low`` to ``high``: a difference of sums of bytes times falling powers, raised to one place."""
+    sums = np.full(len(buf) + 1, U(pow(BASE, -1, 1 << 64)))
+    sums[0] = 1
+    np.multiply.accumulate(sums, out=sums)
+    sums[1:] = sums[:-1] * BYTES[buf]
+    sums[0] = 0
+    np.cumsum(sums, out=sums)
+    found = sums[high] - sums[low]
+    for k in range(len(buf).bit_length()):
+        found[(low >> k & 1).astype(bool)] *= U(pow(BASE, 1 << k, 1 << 64))
+    return found
+
+
 def sliding_least(c: np.ndarray, width: int) -> np.ndarray:
     w = 1
     while 2 * w <= width:
@@ -75,7 +89,6 @@ def anchors(buf: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -
     gram = digests(buf, GRAM)
     if len(gram) < length - GRAM + 1:
         return (np.zeros(0, np.int64),) * 5
-    half = digests(buf, HALF, gram, GRAM)
     gram = mixed(gram)
     least = sliding_least((gram & HIGH) | np.arange(len(gram), dtype=np.uint64), length - GRAM + 1)
     step = np.zeros(len(least) + 1, np.int32)
@@ -89,9 +102,7 @@ def anchors(buf: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -
     new = np.flatnonzero(np.concatenate([[True], (picked[1:] != picked[:-1]) | (start[1:] != start[:-1] + 1)]))
     low, at = start[new], picked[new]
     more = start[np.append(new[1:], len(start)) - 1] - low
-    high = low + more + length
-    middle = np.minimum(low + HALF, high - HALF)
-    around = mixed(half[low]) * U(3) + mixed(half[middle] + U(1)) * U(5) + mixed(half[high - HALF] + U(2)) * U(7)
+    around = mixed(stretch_digests(buf, low, low + more + length))
     around = mixed(around + (at - low).astype(np.uint64) * U(BASE) + more.astype(np.uint64))
     return low, more, at - low, gram[at], around
 

@@ -83,3 +83,14 @@ def test_other_lengths_and_empty_table(spark, rows):
     assert suffixes.without_repeats(documents(spark, [])).count() == 0
     with pytest.raises(ValueError):
         suffixes.without_repeats(documents(spark, rows), 20)
+
+
+@pytest.mark.parametrize("length", [300, 1000])
+def test_lengths_beyond_384_bytes_of_surroundings(spark, rng, length):
+    same = [letters(rng, 2000) for _ in range(3)]
+    cases = [(k, letters(rng, 40 + k) + same[k % 3][k : 400 + 60 * k % 1600] + letters(rng, 30)) for k in range(24)]
+    # alike but for one byte in the middle
+    cases += [(100 + k, t[: len(t) // 2] + "~" + t[len(t) // 2 + 1 :]) for k, t in cases]
+    got = sorted(map(tuple, suffixes.without_repeats(documents(spark, cases), length).collect()), key=str)
+    assert got == brute(cases, length)
+    assert 0 < sum(r[2] for r in got) < sum(r[1] for r in got)
