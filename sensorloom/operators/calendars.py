@@ -1,93 +1,159 @@
 """Incident calendars as tables of any size, per key: type, horizons, recovery, remaining time, lead time.
 
-A calendar becomes a table of segments: between two neighbouring borders (of incidents, horizons and recoveries) every
-label is constant, so a reading needs one thing only, the segment it falls into.  Counts of open spans are running sums over
-the borders.  The type of overlapping incidents is a stabbing query: each incident is dealt to the dyadic blocks of borders
-it covers (at most two per level), each block keeps its winner, and a segment asks the blocks above it.  All of that is
-joins and partial aggregates on the size of the calendar; readings meet it in one as-of merge and form no pairs.
+Readings and the starts and ends of incidents are merged once in the order of time, and every label follows from three
+neighbours of a reading: the next start, the last end, and the incident that wins among those open.  In a slice of the order
+the open incidents are a stabbing query over positions, settled by numpy in rows times the logarithm of rows; an incident
+that covers whole slices is dealt to dyadic blocks of slices, of which each keeps its winner.  No reading is paired with an
+incident, and what is shuffled is one row per reading and two per incident.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sensorloom.functions.scalars import epoch_micros
-from sensorloom.operators.ordered import Order, seconds_to_next, with_last_mark, with_running_totals
+from sensorloom.operators.ordered import InOrder, Order, before_and_after, in_order, seconds_to_next
 from sensorloom.session import stored
 
 HORIZONS = (1, 6, 24)
 POST_HOURS = 24
 _HOUR = 3_600_000_000
-
-
-def _span_names(horizons: Sequence[int]) -> list[str]:
-    return ["failure_window", *[f"pre_failure_{h}h" for h in horizons], "post_maintenance"]
+_START, _END = 1, 2  # sides of an incident; readings have none
+_WHO = ("_listed", "_s", "_kind")
+#: Levels of blocks of slices, enough for 2**24 slices.
+_LEVELS = 24
+#: Rows of a slice that one task holds.
+SLICE_ROWS = 1_000_000
 
 
 def _instant(micros: Column) -> Column:
     return F.timestamp_micros(micros).cast("timestamp_ntz")
 
 
-def segments(
-    calendar: DataFrame,
-    keys: Sequence[str] = (),
-    horizons: Sequence[int] = HORIZONS,
-    post_hours: int = POST_HOURS,
-    on_overlap: str = "last",
-    start: str = "start",
-    end: str = "end",
-    kind: str = "interval_type",
-    listed: str = "interval_id",
-) -> DataFrame:
-    """Stored segments: keys, ``at`` (first microsecond), a 0/1 flag per span, ``type`` (null outside), ``next_start`` (micros).
+def _who() -> Column:
+    """The incident as a struct that sorts by listing, start and type, null without one."""
+    return F.when(F.col("_s").isNotNull(), F.struct(*_WHO))
+
+
+def _merged(df: DataFrame, spans: DataFrame, order: Order, keys: list[str]) -> InOrder:
+    """Readings and both ends of every incident in one order; at one instant the ends go first."""
+    reading = df.select(F.struct(*df.columns).alias("_row"), *keys, epoch_micros(F.col(order.key)).alias("_at"))
+    side = lambda n, c: F.struct(F.lit(n).alias("_side"), F.col(c).alias("_at"))
+    ends = spans.select(*keys, "_id", "_e", *_WHO, F.explode(F.array(side(_START, "_s"), side(_END, "_e"))).alias("_x"))
+    merged = reading.unionByName(ends.select("*", "_x.*").drop("_x"), allowMissingColumns=True)
+    # a hash among the rows of one instant lets a hot instant be cut, among readings and among ends
+    spread = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 31))
+    ranked = merged.withColumn("_rank", F.when(F.col("_side").isNotNull(), -1 - spread("_id")).otherwise(spread("_row")))
+    wanted = (df.count() + 2 * spans.count()) // SLICE_ROWS + 1
+    enough = wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return in_order(ranked, Order("_at", "_rank", tuple(keys)), None if enough else wanted)
 
-    Incidents are closed on both ends; those without a start or end, or that end before they start, are left out.  Of
-    incidents that overlap the one listed last (or first) gives the type, by ``listed``, then by start and type.
+
+def _best(lo: np.ndarray, hi: np.ndarray, rank: np.ndarray, n: int) -> np.ndarray:
+    """Largest rank of the ranges ``lo .. hi - 1`` over each of n positions, else -1.
+
+    A range is two stretches of the same power of two; stretches are halved level by level.
     """
-    if on_overlap not in ("first", "last"):
-        raise ValueError("on_overlap is 'first' or 'last'")
-    keys = list(keys)
-    spans = calendar.select(
-        *keys, epoch_micros(F.col(start)).alias("s"), (epoch_micros(F.col(end)) + 1).alias("e"), F.struct(F.col(listed), F.col(start), F.col(kind)).alias("who")
-    ).where("s < e")
-    spans = stored(spans, "calendar")
-    steps = [("failure_window", "s", 0, 1), ("failure_window", "e", 0, -1), ("post_maintenance", "e", 0, 1), ("post_maintenance", "e", post_hours, -1)]
-    for h in horizons:
-        steps += [(f"pre_failure_{h}h", "s", -h, 1), (f"pre_failure_{h}h", "s", 0, -1)]
-    names = _span_names(horizons)
-    made = F.array(*[F.struct(F.lit(n).alias("span"), (F.col(c) + h * _HOUR).alias("at"), F.lit(d).alias("move"), F.lit(c == "s" and h == 0).alias("opens")) for n, c, h, d in steps])
-    moved = spans.select(*keys, F.explode(made).alias("m")).groupBy(*keys, F.col("m.at").alias("at"))
-    borders = moved.agg(*[F.sum(F.when(F.col("m.span") == n, F.col("m.move"))).alias(f"d_{n}") for n in names], F.max("m.opens").alias("opens"))
-    borders = stored(borders.withColumn("instant", _instant(F.col("at"))), "calendar-borders")
-    order = Order("at", None, tuple(keys))
-    sums = {n: F.coalesce(F.col(f"d_{n}"), F.lit(0)) for n in names} | {"place": F.lit(1).cast("long")}
-    ranked = stored(with_running_totals(borders, order, sums).select(*keys, "at", "instant", "place", *names), "calendar-ranked")
-    wait = seconds_to_next(ranked, borders.where("opens"), Order("instant", None, tuple(keys)), "instant", "wait")
-    whole = wait.withColumn("next_start", F.col("at") + F.round(F.col("wait") * 1e6).cast("long"))
-    best = _winners(spans, ranked, keys, on_overlap)
-    flags = [(F.col(n) > 0).cast("int").alias(n) for n in names]
-    labelled = whole.join(best, [*keys, "place"], "left").select(*keys, "at", *flags, F.col(f"who.{kind}").alias("type"), "next_start")
-    return stored(labelled, "calendar-segments")
-
-
-def _winners(spans: DataFrame, ranked: DataFrame, keys: list[str], on_overlap: str) -> DataFrame:
-    """keys, place and ``who`` of each segment that some incident covers."""
-    place = lambda c: ranked.select(*keys, F.col("at").alias(c), F.col("place").alias(f"{c}_place"))
-    placed = spans.join(place("s"), [*keys, "s"]).join(place("e"), [*keys, "e"])
-    levels = F.sequence(F.lit(0), F.lit(max(ranked.count(), 1).bit_length()))
-    # segments s_place .. e_place - 1; at each level the odd block at either end is one of its own
+    level = np.frexp((hi - lo).astype(np.float64))[1] - 1
+    best = np.full(n, -1, dtype=np.int64)
+    for k in range(int(level.max(initial=0)), -1, -1):
+        here = level == k
+        np.maximum.at(best, lo[here], rank[here])
+        np.maximum.at(best, hi[here] - (1 << k), rank[here])
+        if k:
+            half = 1 << (k - 1)
+            whole, best = best, best.copy()
+            best[half:] = np.maximum(whole[half:], whole[:-half])
+    return best
+
+
+def _neighbours(keys: list[str], last_wins: bool) -> Callable[[pa.Table], pa.Table]:
+    """The readings of one slice with the last end, the next start and the winner among the incidents with an end in it."""
+
+    def settle(rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in (*keys, "_at", "_rank")], null_placement="at_start"))
+        n = rows.num_rows
+        side = rows["_side"].fill_null(0).to_numpy()
+        place = np.arange(n)
+        fresh = np.zeros(n, dtype=bool)
+        fresh[:1] = True
+        for c in keys:
+            one, two = rows[c].slice(0, n - 1), rows[c].slice(1)
+            same = pc.or_kleene(pc.equal(one, two).fill_null(False), pc.and_(one.is_null(), two.is_null()))
+            fresh[1:] |= ~same.to_numpy().astype(bool)
+        starts = np.flatnonzero(fresh)
+        group = np.cumsum(fresh) - 1
+        first, after = starts[group], np.append(starts[1:], n)[group]
+        reading = side == 0
+        asked = np.flatnonzero(reading)
+        ended = np.maximum.accumulate(np.where(side == _END, place, -1))
+        coming = np.minimum.accumulate(np.where(side == _START, place, n)[::-1])[::-1]
+        at = rows["_at"].fill_null(0).to_numpy()
+        pick = lambda found, ok: pa.array(at[np.where(ok, found, 0)], mask=~ok)
+        ended, coming = ended[asked], coming[asked]
+
+        # incidents by their start, or by their end if the start is in an earlier slice
+        ends = np.flatnonzero(~reading)
+        ids = rows["_id"].take(pa.array(ends)).to_numpy()
+        by_id = np.lexsort((side[ends], ids))
+        ends, ids = ends[by_id], ids[by_id]
+        lead = np.append(True, ids[1:] != ids[:-1])[: len(ids)]
+        paired = np.append(~lead[1:], False)[: len(ids)]
+        one = ends[lead]
+        opens = side[one] == _START
+        until = np.append(ends[1:], 0)[: len(ends)][lead]
+        lo = np.where(opens, one, first[one])
+        hi = np.where(paired[lead], until, np.where(opens, after[one], one))
+        upto = np.append(0, np.cumsum(reading))
+        lo, hi = upto[lo], upto[hi]
+        over = hi > lo
+        lo, hi, one = lo[over], hi[over], one[over]
+        who = rows.select(list(_WHO)).take(pa.array(one))
+        how = "ascending" if last_wins else "descending"
+        sorted_ = pc.sort_indices(who, sort_keys=[(c, how) for c in _WHO], null_placement="at_start" if last_wins else "at_end").to_numpy().astype(np.int64)
+        rank = np.empty(len(one), dtype=np.int64)
+        rank[sorted_] = np.arange(len(one))
+        best = _best(lo, hi, rank, len(asked))
+        winner = np.where(best >= 0, np.append(sorted_, 0)[best], 0)
+        won = who.take(pa.array(winner, mask=best < 0))
+        kept = rows.select([*keys, "_slice", "_at", "_row"]).take(pa.array(asked))
+        kept = kept.append_column("_ended", pick(ended, ended >= first[asked])).append_column("_next", pick(coming, coming < after[asked]))
+        for c in _WHO:
+            kept = kept.append_column(c, won[c])
+        return kept
+
+    return settle
+
+
+def _over_slices(found: InOrder, on_overlap: str) -> DataFrame:
+    """keys, ``_slice`` and the winner ``_over`` among the incidents that open in an earlier slice and end in a later one."""
+    keys = list(found.order.by)
+    pick = F.max if on_overlap == "last" else F.min
+    bounds = found.rows.groupBy(*found.columns).agg(F.min("_at").alias("_lo"), F.max("_at").alias("_hi"))
+    # slices of keys that have three or more: their number is bounded by that of slices
+    stretch = bounds.groupBy(*keys).agg(F.min("_slice").alias("_a"), F.max("_slice").alias("_b")).where("_b - _a > 1")
+    same = lambda left, right, names: [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in names]
+    wide = bounds.alias("x").join(F.broadcast(stretch).alias("y"), same("x", "y", keys) or F.lit(True), "left_semi")
+    wide = stored(wide, "calendar-slices")
+    ends = found.rows.where("_side is not null").select(*found.columns, "_id", "_side", "_e", *_WHO)
+    held = ends.alias("x").join(F.broadcast(wide).alias("y"), same("x", "y", found.columns)).select("x.*", "_lo", "_hi")
+    leaving = held.where(((F.col("_side") == _START) & (F.col("_e") >= F.col("_hi"))) | ((F.col("_side") == _END) & (F.col("_s") <= F.col("_lo"))))
+    crossing = leaving.groupBy(*keys, "_id", *_WHO).agg(F.min("_slice").alias("_a"), F.max("_slice").alias("_b")).where("_b - _a > 1")
+    # slices _a + 1 .. _b - 1; at each level the odd block at either end is one of its own
+    levels = F.sequence(F.lit(0), F.lit(_LEVELS))
+    right, left = (lambda c, j: F.call_function("shiftright", c, j)), (lambda c, j: F.call_function("shiftleft", c, j))
     blocks = F.transform(
         levels,
-        lambda j: F.struct(
-            j.alias("level"),
-            F.call_function("shiftright", F.col("s_place") + F.call_function("shiftleft", F.lit(1).cast("long"), j) - 1, j).alias("lo"),
-            F.call_function("shiftright", F.col("e_place"), j).alias("hi"),
-        ),
+        lambda j: F.struct(j.alias("level"), right(F.col("_a") + left(F.lit(1), j), j).alias("lo"), right(F.col("_b"), j).alias("hi")),
     )
-    ends = F.flatten(
+    taken = F.flatten(
         F.transform(
             F.filter(blocks, lambda b: b.lo < b.hi),
             lambda b: F.array_compact(
@@ -98,10 +164,10 @@ def _winners(spans: DataFrame, ranked: DataFrame, keys: list[str], on_overlap: s
             ),
         )
     )
-    pick = F.max if on_overlap == "last" else F.min
-    won = placed.select(*keys, "who", F.explode(ends).alias("b")).groupBy(*keys, "b.level", "b.block").agg(pick("who").alias("who"))
-    asked = ranked.select(*keys, "place", F.explode(levels).alias("level")).withColumn("block", F.call_function("shiftright", F.col("place"), F.col("level")))
-    return asked.join(won, [*keys, "level", "block"]).groupBy(*keys, "place").agg(pick("who").alias("who"))
+    won = crossing.select(*keys, _who().alias("_over"), F.explode(taken).alias("b")).groupBy(*keys, "b.level", "b.block").agg(pick("_over").alias("_over"))
+    asked = wide.select(*found.columns, F.explode(levels).alias("level")).withColumn("block", F.call_function("shiftright", F.col("_slice"), F.col("level")))
+    both = asked.alias("x").join(won.alias("y"), same("x", "y", [*keys, "level", "block"])).select(*[f"x.{c}" for c in found.columns], "y._over")
+    return both.groupBy(*found.columns).agg(pick("_over").alias("_over"))
 
 
 def labels_by_table(
@@ -112,28 +178,54 @@ def labels_by_table(
     post_hours: int = POST_HOURS,
     on_overlap: str = "last",
     default: str = "normal",
-    **names: str,
+    start: str = "start",
+    end: str = "end",
+    kind: str = "interval_type",
+    listed: str = "interval_id",
 ) -> DataFrame:
     """``df`` with every label of ``features.horizon_labels`` against a table of incidents of any size.
 
     ``order.by`` names the keys that a calendar has to itself, if it has them; without, one calendar holds for all rows.
-    Rows without a time are in no segment.
+    Incidents are closed on both ends; those without a start, end or key, or that end before they start, are left out.  Of
+    incidents that overlap the one listed last (or first) gives the type, by ``listed``, then by start and type.  Rows
+    without a time are in no incident.
     """
+    if on_overlap not in ("first", "last"):
+        raise ValueError("on_overlap is 'first' or 'last'")
     keys = [k for k in order.by if k in calendar.columns]
-    found = segments(calendar, keys, horizons, post_hours, on_overlap, **names)
-    spans = _span_names(horizons)
-    merged = with_last_mark(df, found, Order(order.key, None, tuple(keys)), "at", [*spans, "type", "next_start"], "_segment")
-    at = epoch_micros(F.col(order.key))
-    inside = F.col("_segment.failure_window") == 1
-    rul = F.when(inside, F.lit(0.0)).otherwise((F.col("_segment.next_start") - at) / F.lit(1e6))
-    # before the first segment there is no mark; what is next is the first start of the key
-    firsts = found.where(F.col("next_start").isNotNull()).groupBy(*keys).agg(F.min_by("next_start", "at").alias("_first"))
-    joined = merged.join(firsts, keys, "left") if keys else merged.crossJoin(F.broadcast(firsts.agg(F.max("_first").alias("_first"))))  # one row
-    wait = F.when(F.col("_segment").isNotNull(), rul).otherwise((F.col("_first") - at) / F.lit(1e6))
-    flags = {n: F.coalesce(F.col(f"_segment.{n}"), F.lit(0)) for n in spans}
-    out = joined.withColumns({**flags, "failure_type": F.coalesce(F.col("_segment.type"), F.lit(default)), "rul_seconds": wait})
+    s, e = epoch_micros(F.col(start)), epoch_micros(F.col(end)) + 1
+    spans = calendar.select(*keys, F.col(listed).alias("_listed"), s.alias("_s"), F.col(kind).alias("_kind"), e.alias("_e")).where("_s < _e")
+    spans = spans.dropna(subset=keys) if keys else spans
+    spans = stored(spans.withColumn("_id", F.monotonically_increasing_id()), "calendar")
+    found = _merged(df, spans, order, keys)
+    kinds = {f.name: f.dataType for f in found.rows.schema.fields}
+    shape = [*keys, "_slice", "_at", "_row", "_ended", "_next", *_WHO]
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in shape])
+    local = found.rows.select(*keys, "_slice", "_at", "_rank", "_side", "_id", *_WHO, "_row").groupBy("_slice")
+    settled = local.applyInArrow(_neighbours(keys, on_overlap == "last"), schema)
+    tails = found.rows.groupBy(*found.columns).agg(
+        F.max(F.when(F.col("_side") == _END, F.col("_at"))).alias("_ended"), F.min(F.when(F.col("_side") == _START, F.col("_at"))).alias("_next")
+    )
+    earlier, later = before_and_after(found)
+    around = tails.select(*found.columns, F.max("_ended").over(earlier).alias("_ended_before"), F.min("_next").over(later).alias("_next_after"))
+    carried = around.join(_over_slices(found, on_overlap), found.columns, "left") if keys else around.join(F.broadcast(_over_slices(found, on_overlap)), "_slice", "left")
+    joined = found.join(settled, carried)
+    at = F.col("_at")
+    ended, coming = F.coalesce("_ended", "_ended_before"), F.coalesce("_next", "_next_after")
+    who = (F.greatest if on_overlap == "last" else F.least)(_who(), F.col("_over"))
+    near = joined.select("_row", "_at", ended.alias("_ended"), coming.alias("_next"), who.alias("_who"))
+    flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
+    inside = F.col("_who").isNotNull()
+    out = near.select(
+        "_row.*",
+        flag(inside).alias("failure_window"),
+        *[flag(F.col("_next") - at <= h * _HOUR).alias(f"pre_failure_{h}h") for h in horizons],
+        flag(at - F.col("_ended") < post_hours * _HOUR).alias("post_maintenance"),
+        F.coalesce(F.col("_who._kind"), F.lit(default)).alias("failure_type"),
+        F.when(inside, F.lit(0.0)).otherwise((F.col("_next") - at) / F.lit(1e6)).alias("rul_seconds"),
+    )
     at_risk = F.greatest("failure_window", f"pre_failure_{max(horizons)}h", "post_maintenance")
-    return out.withColumn("normal_candidate", F.lit(1) - at_risk).drop("_segment", "_first")
+    return out.withColumn("normal_candidate", F.lit(1) - at_risk)
 
 
 def lead_time_by_table(

@@ -12,6 +12,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,11 +93,15 @@ class InOrder:
         return ordered.orderBy("_slice")
 
     def join(self, df: DataFrame, table: DataFrame) -> DataFrame:
-        """Join a one-row-per-slice table back; small enough to broadcast only without ``by``,
-        where its row count is bounded by the number of slices."""
-        side = table if self.order.by else F.broadcast(table)
-        joined = df.join(side, self.columns, "left")
-        return joined.select(*df.columns, *[c for c in table.columns if c not in self.columns])
+        """Join a table of what crosses borders back, by slice and key.
+
+        Of the keys in a slice only the first goes on from an earlier slice and only the last into a later one: rows in
+        which nothing crosses are left out, and the number of the others is bounded by that of slices.
+        """
+        names = [c for c in table.columns if c not in self.columns]
+        some = table.where(reduce(Column.__or__, [F.col(c).isNotNull() for c in names]))
+        same = [F.col(f"_l.{c}").eqNullSafe(F.col(f"_r.{c}")) for c in self.columns]
+        return df.alias("_l").join(F.broadcast(some).alias("_r"), same, "left").select("_l.*", *[f"_r.{c}" for c in names])
 
 
 def _sort(order: Order) -> list[Column]:
@@ -104,7 +109,7 @@ def _sort(order: Order) -> list[Column]:
     return [F.col("_pos"), F.col("_key"), F.col("_tie"), F.col("_last"), *last]
 
 
-def in_order(df: DataFrame, order: Order) -> InOrder:
+def in_order(df: DataFrame, order: Order, slices: int | None = None) -> InOrder:
     """``df`` in slices of the order, written once.  Where borders fall never changes a result."""
     keyed = df.withColumns(
         {
@@ -115,10 +120,17 @@ def in_order(df: DataFrame, order: Order) -> InOrder:
         }
     )
     by = [*[F.col(c) for c in order.by], *_sort(order)]
-    ranged = keyed.repartitionByRange(PARTITIONS, *by) if PARTITIONS else keyed.repartitionByRange(*by)
+    number = PARTITIONS or slices
+    ranged = keyed.repartitionByRange(number, *by) if number else keyed.repartitionByRange(*by)
     return InOrder(order, stored(ranged.withColumn("_slice", F.spark_partition_id()), "ordered"))
 
 
+def before_and_after(found: InOrder):
+    """Windows over the table of slices: the slices before each one and those after it."""
+    turned = (Window.partitionBy(*found.order.by) if found.order.by else Window.partitionBy()).orderBy(F.desc("_slice"))
+    return tuple(w.rowsBetween(Window.unboundedPreceding, -1) for w in (found.across(), turned))
+
+
 def drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop("_pos", "_key", "_tie", "_last", "_slice")
 
@@ -157,11 +169,9 @@ def _running_totals(found: InOrder, totals: Mapping[str, Column]) -> DataFrame:
     inner = found.rows.withColumns({name: F.sum(value).over(upto) for name, value in totals.items()})
     sums = found.rows.groupBy(*found.columns).agg(*[F.sum(v).alias(n) for n, v in totals.items()])
     before = found.across().rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select(
-        *found.columns, *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"_before_{n}") for n in totals]
-    )
+    offsets = sums.select(*found.columns, *[F.sum(n).over(before).alias(f"_before_{n}") for n in totals])
     joined = found.join(inner, offsets)
-    summed = joined.withColumns({n: F.col(n) + F.col(f"_before_{n}") for n in totals})
+    summed = joined.withColumns({n: F.col(n) + F.coalesce(f"_before_{n}", F.lit(0)) for n in totals})
     return drop_helpers(summed.drop(*[f"_before_{n}" for n in totals]))
 
 
@@ -248,26 +258,3 @@ def seconds_to_next(
     kept = inner.filter(F.col("_mark").isNull())
     wait = (F.col("_next") - F.col("_at")) / F.lit(1e6)
     return kept.select("_row.*", wait.alias(into))
-
-
-def with_last_mark(df: DataFrame, marks: DataFrame, order: Order, at: str, columns: Sequence[str], into: str) -> DataFrame:
-    """Add a struct of ``columns`` of the last row of ``marks`` at or before each row, null before the first.
-
-    ``marks`` has the keys of the order and one row per key and ``at`` (epoch micros).  Both sides are merged into one
-    order and the last mark is carried over slices, so tables of any size meet without pairs.
-    """
-    keys = list(order.by)
-    reading = df.select(F.struct(*df.columns).alias("_row"), *keys, epoch_micros(F.col(order.key)).alias("_at"))
-    marked = marks.select(*keys, F.col(at).alias("_at"), F.struct(*columns).alias("_mark"))
-    merged = reading.unionByName(marked, allowMissingColumns=True)
-    # at one instant the mark goes first, and a hash among readings lets a hot instant be cut
-    spread = F.pmod(F.xxhash64("_row"), F.lit(1 << 31))
-    ranked = merged.withColumn("_rank", F.when(F.col("_mark").isNotNull(), F.lit(-1)).otherwise(spread))
-    found = in_order(ranked, Order("_at", "_rank", order.by))
-    upto = found.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = found.rows.withColumn("_seen", F.last("_mark", ignorenulls=True).over(upto))
-    tails = found.rows.groupBy(*found.columns).agg(F.max_by("_mark", F.when(F.col("_mark").isNotNull(), F.col("_at"))).alias("_tail"))
-    before = found.across().rowsBetween(Window.unboundedPreceding, -1)
-    carried = tails.select(*found.columns, F.last("_tail", ignorenulls=True).over(before).alias("_carry"))
-    inner = found.join(inner, carried).withColumn("_seen", F.coalesce("_seen", "_carry"))
-    return inner.where(F.col("_mark").isNull()).select("_row.*", F.col("_seen").alias(into))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from catalog.adapters import EVENTS, OVERLAPPING
 from sensorloom.functions import intervals
-from sensorloom.operators import calendars, features, labels
+from sensorloom.operators import calendars, features, labels, ordered
 from sensorloom.operators.ordered import Order
 
 T0 = datetime(2024, 1, 1)
@@ -92,3 +92,37 @@ def test_running_maximum_leaves_no_helper_columns(spark):
     out = labels.with_overlap_flag(cal, ("unit",))
     assert out.columns == [*cal.columns, "overlaps_earlier"]
     assert {r["interval_id"]: r["overlaps_earlier"] for r in out.collect()} == {1: 0, 2: 1, 3: 0}
+
+
+@pytest.mark.parametrize("on_overlap,pick", [("last", max), ("first", min)])
+@pytest.mark.parametrize("keyed", [True, False])
+def test_incidents_over_many_slices(spark, monkeypatch, on_overlap, pick, keyed):
+    """Slices that an incident covers whole have no end of it; a row of a null key meets no incident of a key."""
+    monkeypatch.setattr(calendars, "SLICE_ROWS", 150)
+    rng = random.Random(13)
+    incidents = [(k, rng.choice("aab"), at(s := rng.randrange(3_000)), at(s + rng.choice([2, 40, 900, 2_500])), rng.choice("xyz")) for k in range(60)]
+    rows = [(k, rng.choice("aaab"), at(rng.randrange(-100, 6_000))) for k in range(3_000)] + [(k, "a", at(700)) for k in range(3_000, 3_400)]
+    df = spark.createDataFrame([*rows, (9_000, None, at(700))], "id long, unit string, event_time timestamp_ntz")
+    cal = spark.createDataFrame([*incidents, (99, None, at(0), at(3_000), "n")] if keyed else incidents, CAL)
+    got = calendars.labels_by_table(df, cal if keyed else cal.drop("unit"), Order("event_time", "id", ("unit",)), on_overlap=on_overlap)
+    found = {r["id"]: (r["failure_window"], r["pre_failure_1h"], r["pre_failure_6h"], r["pre_failure_24h"], r["post_maintenance"], r["failure_type"], r["rul_seconds"]) for r in got.collect()}
+    for k, unit, t in [*rows, (9_000, None, at(700))]:
+        known = incidents if keyed else [(i[0], unit, *i[2:]) for i in incidents]
+        assert found[k] == loop(t, unit, known, pick), (k, unit, t)
+
+
+def test_stored_rows_are_readings_and_two_per_incident(spark, monkeypatch):
+    """Neither borders nor blocks multiply the calendar: long incidents that all overlap are stored as they are."""
+    made, real = {}, calendars.stored
+
+    def counted(df, name):
+        made[name] = made.get(name, 0) + (out := real(df, name)).count()
+        return out
+
+    monkeypatch.setattr(calendars, "stored", counted)
+    monkeypatch.setattr(ordered, "stored", counted)
+    cal = spark.createDataFrame([(k, "a", at(k), at(5_000 + k), "x") for k in range(300)], CAL)
+    df = spark.createDataFrame([(k, "a", at(20 * k)) for k in range(400)], "id long, unit string, event_time timestamp_ntz")
+    assert calendars.labels_by_table(df, cal, Order("event_time", "id", ("unit",))).count() == 400
+    assert made["calendar"] == 300 and made["ordered"] == 1_000
+    assert sum(made.values()) <= 1_300 + 10, made
