@@ -4,19 +4,20 @@ Bucket rows are unique per (key, bucket), so a stretch of bucket time holds a bo
 number of them: a cell of ``CELL`` buckets never has more than ``CELL`` rows per key.  The
 dense position comes from cell counts plus the row number inside the cell; blocks of that
 position are the groups, and the last ``n - 1`` rows of a block are repeated at the head of
-the next one.  Spark shuffles and sizes the blocks; inside a block the frames are evaluated
-with numpy on Arrow columns, because the built-in sliding frame re-aggregates every frame
+the next one.  Spark shuffles and sorts the blocks; stretches of whole blocks, so many of them where keys have few
+rows, are evaluated together with numpy on Arrow columns, because the built-in sliding frame re-aggregates every frame
 from scratch for each of hundreds of statistics.  Means, deviations and extremes come from stretches of doubled length,
 quantiles from a wavelet matrix, so a block takes memory for its rows and not for rows times frame.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,7 @@ from sensorloom.spec import unit_seconds
 
 CELL = 4096
 BLOCK_ROWS = 1024
+PACK_ROWS = 16_384  # rows that are evaluated together, up to the end of their last block
 
 
 def with_bucket_index(
@@ -71,9 +73,10 @@ class _Moments:
     low: np.ndarray
     high: np.ndarray
 
-    def before(self, rows: int) -> _Moments:
-        """The stretch that ends ``rows`` places earlier; none before the first place."""
-        shift = lambda x, nothing: np.concatenate([np.full(min(rows, len(x)), nothing), x[: max(len(x) - rows, 0)]])
+    def before(self, rows: int, start: np.ndarray) -> _Moments:
+        """The stretch that ends ``rows`` places earlier; none before the first place of its block."""
+        there = np.arange(len(start)) - rows >= start
+        shift = lambda x, nothing: np.where(there, np.concatenate([np.full(min(rows, len(x)), nothing), x[: max(len(x) - rows, 0)]]), nothing)
         return _Moments(shift(self.count, 0), shift(self.total, 0.0), shift(self.away, 0.0), shift(self.low, np.inf), shift(self.high, -np.inf))
 
     def joined(self, other: _Moments) -> _Moments:
@@ -85,7 +88,7 @@ class _Moments:
         return _Moments(count, self.total + other.total, self.away + other.away + between, np.minimum(self.low, other.low), np.maximum(self.high, other.high))
 
 
-def _trailing_moments(values: np.ndarray, rows: int) -> _Moments:
+def _trailing_moments(values: np.ndarray, rows: int, start: np.ndarray) -> _Moments:
     """Moments of every trailing frame by doubling: stretches of 1, 2, 4 ... rows, those of the frame's binary digits joined.
 
     Memory is a few arrays as long as ``values`` and time grows with the logarithm of the frame.
@@ -94,15 +97,14 @@ def _trailing_moments(values: np.ndarray, rows: int) -> _Moments:
     filled = np.where(known, values, 0.0)
     step = _Moments(known.astype(np.int64), filled, np.zeros(len(values)), np.where(known, values, np.inf), np.where(known, values, -np.inf))
     out, done, length = None, 0, 1
-    rows = min(rows, max(len(values), 1))
     while True:
         if rows & length:
-            out = step if out is None else out.joined(step.before(done))
+            out = step if out is None else out.joined(step.before(done, start))
             done += length
         length *= 2
         if length > rows:
             return out
-        step = step.joined(step.before(length // 2))
+        step = step.joined(step.before(length // 2, start))
 
 
 class _Ranks:
@@ -135,11 +137,11 @@ class _Ranks:
         return self.ordered[rank]
 
 
-def _trailing_quantiles(values: np.ndarray, rows: int, shares: Sequence[float]) -> list[np.ndarray]:
+def _trailing_quantiles(values: np.ndarray, rows: int, shares: Sequence[float], start: np.ndarray) -> list[np.ndarray]:
     """Linear-interpolated quantiles of the known values of every trailing frame, NaN where there are none."""
     known = np.isfinite(values)
-    end = np.cumsum(known)
-    first = np.concatenate([np.zeros(min(rows, len(values)), np.int64), end[: max(len(values) - rows, 0)]])
+    upto = np.concatenate([[0], np.cumsum(known)])
+    end, first = upto[1:], upto[np.maximum(np.arange(len(values)) - rows + 1, start)]
     count = end - first
     some = np.flatnonzero(count)
     out = [np.full(len(values), np.nan) for _ in shares]
@@ -154,15 +156,16 @@ def _trailing_quantiles(values: np.ndarray, rows: int, shares: Sequence[float])
     return out
 
 
-def trailing(values: np.ndarray, rows: int, stats: Iterable[str]) -> dict[str, np.ndarray]:
+def trailing(values: np.ndarray, rows: int, stats: Iterable[str], start: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Statistics of every trailing frame; a frame without known values gives NaN.
 
-    The deviation of fewer than two known values is 0.  Memory grows with the number of values, not with the frame.
+    ``start`` is, per place, the first place its frame may reach back to; without, that is the first of all.  The deviation of fewer than two known values is 0.  Memory grows with the number of values, not with the frame.
     """
     wanted = set(stats)
+    start = np.zeros(len(values), np.int64) if start is None else start
     out: dict[str, np.ndarray] = {}
     if wanted - set(_QUANTILES):
-        found = _trailing_moments(values, rows)
+        found = _trailing_moments(values, rows, start)
         empty = found.count == 0
         made = {
             "mean": lambda: np.where(empty, np.nan, found.total / np.maximum(found.count, 1)),
@@ -173,10 +176,42 @@ def trailing(values: np.ndarray, rows: int, stats: Iterable[str]) -> dict[str, n
         out |= {kind: make() for kind, make in made.items() if kind in wanted}
     asked = [q for q in _QUANTILES if q in wanted]
     if asked:
-        out |= dict(zip(asked, _trailing_quantiles(values, rows, [_QUANTILES[q] for q in asked])))
+        out |= dict(zip(asked, _trailing_quantiles(values, rows, [_QUANTILES[q] for q in asked], start)))
     return out
 
 
+def _first_places(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """Places of rows that differ from the row before in a key; nulls are alike."""
+    fresh = np.zeros(rows.num_rows, dtype=bool)
+    fresh[:1] = True
+    for c in keys:
+        one, two = rows[c].slice(0, max(rows.num_rows - 1, 0)), rows[c].slice(1)
+        same = pc.or_(pc.equal(one, two).fill_null(False), pc.and_(one.is_null(), two.is_null()))
+        fresh[1:] |= ~same.to_numpy().astype(bool)
+    return np.flatnonzero(fresh)
+
+
+def _whole_blocks(keys: Sequence[str], evaluate: Callable[[pa.Table, np.ndarray], pa.Table]):
+    """Sorted rows to stretches of whole blocks of about ``PACK_ROWS`` rows, each evaluated with the first places of its blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(batch)
+            if sum(b.num_rows for b in held) < PACK_ROWS:
+                continue
+            rows = pa.Table.from_batches(held)
+            first = _first_places(rows, keys)
+            if first[-1]:
+                yield from evaluate(rows.slice(0, first[-1]), first[:-1]).to_batches()
+                held = rows.slice(first[-1]).to_batches()
+        rows = pa.Table.from_batches(held) if held else None
+        if rows is not None and rows.num_rows:
+            yield from evaluate(rows, _first_places(rows, keys)).to_batches()
+
+    return run
+
+
 def with_rolling(
     df: DataFrame,
     bucket: str,
@@ -201,17 +236,19 @@ def with_rolling(
     for stat, column, n in stats:
         wanted.setdefault((column, n), []).append(stat)
 
-    def roll(block: pa.Table) -> pa.Table:
-        block = block.sort_by("_index")
-        home = block["_home"].to_numpy() == block["_block"].to_numpy()
+    def roll(rows: pa.Table, first: np.ndarray) -> pa.Table:
+        start = np.repeat(first, np.diff(np.append(first, rows.num_rows)))
+        home = rows["_home"].to_numpy() == rows["_block"].to_numpy()
         made: dict[str, np.ndarray] = {}
         for (column, n), kinds in wanted.items():
-            values = block[column].cast(pa.float64()).to_numpy(zero_copy_only=False)
-            for kind, found in trailing(values, n, kinds).items():
+            values = rows[column].cast(pa.float64()).to_numpy(zero_copy_only=False)
+            for kind, found in trailing(values, n, kinds, start).items():
                 made[f"roll{n}_{kind}_{column}"] = found[home]
-        own = block.select(kept).filter(pa.array(home))
+        own = rows.select(kept).filter(pa.array(home))
         columns = [own[c] for c in kept] + [pa.array(made[c], from_pandas=True) for c in names]
-        return pa.table(columns, names=kept + names)
+        return pa.table(columns, names=kept + names).combine_chunks()
 
     schema = T.StructType(df.schema.fields + [T.StructField(n, T.DoubleType()) for n in names])
-    return blocks.groupBy(*by, "_block").applyInArrow(roll, schema)
+    groups = [*by, "_block"]
+    in_blocks = blocks.repartition(*groups).sortWithinPartitions(*groups, "_index")
+    return in_blocks.mapInArrow(_whole_blocks(groups, roll), schema)

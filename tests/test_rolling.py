@@ -1,5 +1,6 @@
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -113,3 +114,28 @@ def test_a_day_of_seconds_takes_memory_for_its_rows_only():
     last = values[-86_400:]
     want = [last.mean(), last.std(ddof=1), last.min(), last.max(), *np.quantile(last, [0.25, 0.75])]
     assert [got[k][-1] for k in rolling.STATISTICS] == pytest.approx(want, rel=1e-12)
+
+
+def test_blocks_of_few_rows_are_evaluated_together():
+    """Many keys of few rows are one call, and no frame reaches into the rows of another key."""
+    rng = np.random.default_rng(5)
+    sizes = rng.integers(1, 9, 9_000)
+    keys, values = np.repeat(np.arange(len(sizes)), sizes), rng.normal(size=sizes.sum())
+    values[::17] = np.nan
+    calls = []
+
+    def evaluate(rows, first):
+        calls.append(len(first))
+        start = np.repeat(first, np.diff(np.append(first, rows.num_rows)))
+        made = rolling.trailing(rows["v"].to_numpy(), 5, ["mean", "std", "min", "max", "q25", "q75"], start)
+        return pa.table(made | {"k": rows["k"]})
+
+    whole = pa.table({"k": keys, "v": values})
+    got = pa.Table.from_batches(rolling._whole_blocks(["k"], evaluate)(iter(whole.to_batches(max_chunksize=1_000))))
+    assert sum(calls) == len(sizes) and len(calls) < 6
+    assert got["k"].to_numpy().tolist() == keys.tolist()
+    ends = np.cumsum(sizes)
+    for k in range(0, len(sizes), 101):
+        own = slice(ends[k] - sizes[k], ends[k])
+        for kind, want in rolling.trailing(values[own], 5, ["mean", "std", "min", "max", "q25", "q75"]).items():
+            np.testing.assert_allclose(got[kind].to_numpy()[own], want, rtol=1e-12, atol=1e-12)
