@@ -974,23 +974,27 @@ def kpi_1m(spark, sf):
     return pipeline.minute_kpi(_valid_events(spark, sf), C_, "event_time")
 
 
-def _payload_files(spark, sf, copies: int = 1, files: int = 1) -> str:
-    """Payloads as text files; with several, events are dealt to them without regard to time."""
+#: Files a batch of a stream over several reads, so that writing and reading them is shared by as many tasks.
+BATCH_FILES = 6
+
+
+def _payload_files(spark, sf, copies: int = 1, batches: int = 1) -> str:
+    """Payloads as text files; for several batches, events are dealt to them without regard to time."""
     path = scratch_path(spark, "payloads")
     rows = a.payloads(spark, sf)
-    rows = rows.repartition(files, F.xxhash64("value")) if files > 1 else rows
+    rows = rows.repartition(batches * BATCH_FILES, F.xxhash64("value")) if batches > 1 else rows
     for _ in range(copies):
         rows.write.mode("append").text(path)
     return path
 
 
-def _stream(spark, sf, copies: int = 1, files: int = 1) -> DataFrame:
-    one_each = 1 if files > 1 else None
-    return ev.decode_events(ev.text_source(spark, _payload_files(spark, sf, copies, files), one_each), C_)
+def _stream(spark, sf, copies: int = 1, batches: int = 1) -> DataFrame:
+    each = BATCH_FILES if batches > 1 else None
+    return ev.decode_events(ev.text_source(spark, _payload_files(spark, sf, copies, batches), each), C_)
 
 
-def _stream_valid(spark, sf, copies: int = 1, files: int = 1) -> DataFrame:
-    return pipeline.accepted(pipeline.gated(_stream(spark, sf, copies, files), gates.strict_rules(C_)))
+def _stream_valid(spark, sf, copies: int = 1, batches: int = 1) -> DataFrame:
+    return pipeline.accepted(pipeline.gated(_stream(spark, sf, copies, batches), gates.strict_rules(C_)))
 
 
 def _drain(spark, rows: DataFrame, partitions=()) -> DataFrame:
@@ -1014,7 +1018,7 @@ def stream_dlq(spark, sf):
 
 def _event_kpi(spark, sf) -> jobs.MinuteKpi:
     kpis = jobs.MinuteKpi(C_, scratch_path(spark, "event-kpi"))
-    rows = _stream_valid(spark, sf, files=8)
+    rows = _stream_valid(spark, sf, batches=8)
     jobs.each_batch(rows, kpis.handle, scratch_path(spark, "checkpoint"), trigger=NOW).awaitTermination()
     return kpis
 
@@ -1063,7 +1067,7 @@ def _fan_out(spark, sf):
     kpi = stores.ParquetStore(scratch_path(spark, "kpi-state"), ["window_start", "operating_state"], ["sample_count"], compact_every=3)
     risk_rows = stores.ParquetStore(scratch_path(spark, "risk-state"), ["equipment_id"], ["event_time", "raw_index"], compact_every=3)
     job = jobs.FanOut(C_, gates.strict_rules(C_), scratch_path(spark, "fanout"), kpi, risk_rows)
-    source = ev.text_source(spark, _payload_files(spark, sf, 2, 4), files_per_batch=1)
+    source = ev.text_source(spark, _payload_files(spark, sf, 2, 4), files_per_batch=BATCH_FILES)
     job.start(source, scratch_path(spark, "checkpoint"), NOW).awaitTermination()
     return job
 

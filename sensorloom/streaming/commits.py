@@ -76,7 +76,10 @@ class Commits:
         return out
 
     def write(self, rows: DataFrame, output: str, batch_id: int, day: str | None = None) -> dict[str, list[str]]:
-        """Write one output of an attempt, a folder per day; nothing of it counts before ``commit``."""
+        """Write one output of an attempt, a folder per day; nothing of it counts before ``commit``.
+
+        Each task writes a file per day it has rows of, so large ``rows`` should be rebalanced by day.
+        """
         folder = f"{output}/{batch_id:010d}-{uuid.uuid4().hex}"
         if day is None:
             rows.write.parquet(f"{self.base}/{folder}")

@@ -54,17 +54,22 @@ def first_seen(rows: DataFrame, log: Commits, output: str, day: str, batch_id: i
     """Rows of a batch whose id is neither repeated in it nor in an earlier batch of ``output``.
 
     Ids are looked up in the days the batch touches, however late they are, and only the folders of those days are
-    listed and read; there is no watermark, so no event is lost.  A null id is never a repeat.
+    listed and read; there is no watermark, so no event is lost.  A null id is never a repeat.  Whole rows are shuffled
+    once, by id and day, which serves the repeats within the batch and the look-up.
     """
     spark = rows.sparkSession
     marked = rows.withColumn("_nth", F.when(F.col(key).isNull(), F.monotonically_increasing_id()))
-    once = marked.dropDuplicates([key, day, "_nth"]).drop("_nth")
-    touched = [r[0] for r in rows.select(day).distinct().collect()]  # at most the days of the history
+    once = marked.repartition(key, day).dropDuplicates([key, day, "_nth"]).drop("_nth")
+    touched = days_of(rows, day)
     schema = T.StructType([rows.schema[key], T.StructField(day, T.StringType())])
     known = log.read(spark, output, schema, touched, batch_id)
     return once.join(known, [key, day], "left_anti") if known.inputFiles() else once
 
 
+def days_of(rows: DataFrame, day: str) -> list[str]:
+    return [r[0] for r in rows.select(day).distinct().collect()]  # at most the days of the history
+
+
 @dataclass(frozen=True)
 class FirstSeen:
     """Deduplication as a sink: each id is stored once, by day."""
@@ -82,7 +87,7 @@ class FirstSeen:
         _tidy(spark, log, batch_id, self.compact_every)
         rows = p.readings_with_day(valid, self.spec).persist()
         try:
-            found = log.write(first_seen(rows, log, "rows", day, batch_id), "rows", batch_id, day)
+            found = log.write(first_seen(rows, log, "rows", day, batch_id).hint("rebalance", day), "rows", batch_id, day)
         finally:
             rows.unpersist()
         log.commit(spark, batch_id, [Change("rows", found)])
@@ -100,9 +105,9 @@ def _tidy(spark: SparkSession, log: Commits, batch_id: int, every: int) -> None:
 
 def _merged_partials(new: DataFrame, log: Commits, output: str, spec: SensorSpec, batch_id: int) -> tuple[DataFrame, list[str]]:
     """KPI partials of the days a batch touches, with those of earlier batches added, and the days."""
-    touched = [r[0] for r in new.select(spec.day).distinct().collect()]  # at most the days of the history
+    touched = days_of(new, spec.day)
     before = log.read(new.sparkSession, output, new.schema, touched, batch_id)
-    return add_partials(before.unionByName(new), spec), touched
+    return add_partials(before.unionByName(new), spec).hint("rebalance", spec.day), touched
 
 
 @dataclass(frozen=True)
@@ -185,13 +190,13 @@ class FanOut:
         spark, log, day = batch.sparkSession, self.log, self.spec.day
         _tidy(spark, log, batch_id, self.compact_every)
         gate = p.gated(decode_events(batch, self.spec), self.rules).persist()
-        valid = p.accepted(gate)
+        valid = p.readings_with_day(p.accepted(gate), self.spec)
         if self.unique:
-            valid = first_seen(p.readings_with_day(valid, self.spec), log, "readings", day, batch_id).drop(day)
-        valid = valid.select(p.accepted(gate).columns).persist()
+            valid = first_seen(valid, log, "readings", day, batch_id)
+        valid = valid.hint("rebalance", day).select(p.accepted(gate).columns).persist()
+        partials = kpi_partials(valid, self.spec).persist()
         try:
-            outputs = self._outputs(gate, valid)
-            partials = outputs["kpi_partials"]
+            outputs = self._outputs(gate, valid) | {"kpi_partials": partials}
             outputs["kpi_partials"], touched = _merged_partials(partials, log, "kpi_partials", self.spec, batch_id)
             changes = [
                 Change(name, log.write(rows, name, batch_id, day if day in rows.columns else None), replace=name == "kpi_partials")
@@ -206,6 +211,7 @@ class FanOut:
                 newest = p.latest_per_key(outputs["risk_events"], ["equipment_id"], [self.spec.time, self.spec.row_id])
                 write_degraded(self.risk_state, newest, batch_id)
         finally:
+            partials.unpersist()
             valid.unpersist()
             gate.unpersist()
 

@@ -134,3 +134,17 @@ def test_all_outputs_of_a_batch_appear_together(spark, tmp_path):
     for (k, _), counts in seen.items():
         assert set(counts.values()) == {k}
     assert job.read(spark, "readings").count() == 4 and job.read(spark, "dead_letters").agg(F.count("*")).first()[0] == 4
+
+
+def test_a_day_is_not_written_by_every_task(spark, tmp_path):
+    """Rows of all days lie in all tasks; files grow with the rows of a day and not with tasks times days."""
+    days = spark.range(20_000).selectExpr("concat('e', id) AS event_id", "timestamp_ntz '2024-01-01 01:00:00' + make_dt_interval(id % 4) AS event_time")
+    sink = jobs.FirstSeen(COMPRESSOR, str(tmp_path / "out"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sink.handle(days.repartition(8), 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = [list((tmp_path / "out" / f).glob("*.parquet")) for d in sink.log.state(spark)["rows"].values() for f in d]
+    assert len(files) == 4 and all(len(f) == 1 for f in files)
+    assert sink.read(spark, days.schema).count() == 20_000
