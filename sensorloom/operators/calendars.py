@@ -4,22 +4,23 @@ Readings and the starts and ends of incidents are merged once in the order of ti
 neighbours of a reading: the next start, the last end, and the incident that wins among those open.  In a slice of the order
 the open incidents are a stabbing query over positions, settled by numpy in rows times the logarithm of rows; an incident
 that covers whole slices is dealt to dyadic blocks of slices, of which each keeps its winner.  No reading is paired with an
-incident, and what is shuffled is one row per reading and two per incident.
+incident, and what is shuffled, once, is one row per reading and two per incident.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sensorloom.functions.scalars import epoch_micros
-from sensorloom.operators.ordered import InOrder, Order, before_and_after, in_order, seconds_to_next
+from sensorloom.operators.ordered import InOrder, Order, before_and_after, seconds_to_next
 from sensorloom.session import stored
 
 HORIZONS = (1, 6, 24)
@@ -27,6 +28,7 @@ POST_HOURS = 24
 _HOUR = 3_600_000_000
 _START, _END = 1, 2  # sides of an incident; readings have none
 _WHO = ("_listed", "_s", "_kind")
+_SETTLED = ("_slice", "_side", "_at", "_row", "_ended", "_next", *_WHO, "_e")
 #: Levels of blocks of slices, enough for 2**24 slices.
 _LEVELS = 24
 #: Rows of a slice that one task holds.
@@ -42,18 +44,24 @@ def _who() -> Column:
     return F.when(F.col("_s").isNotNull(), F.struct(*_WHO))
 
 
-def _merged(df: DataFrame, spans: DataFrame, order: Order, keys: list[str]) -> InOrder:
-    """Readings and both ends of every incident in one order; at one instant the ends go first."""
+def _merged(df: DataFrame, spans: DataFrame, order: Order, keys: list[str], schema: T.StructType, last_wins: bool) -> InOrder:
+    """Readings, settled slice by slice, and both ends of every incident in one order; at one instant the ends go first.
+
+    What orders the rows is evaluated by the exchange and does not travel with them, and a slice is settled where the
+    exchange delivers it: rows are shuffled once and written once.
+    """
     reading = df.select(F.struct(*df.columns).alias("_row"), *keys, epoch_micros(F.col(order.key)).alias("_at"))
-    side = lambda n, c: F.struct(F.lit(n).alias("_side"), F.col(c).alias("_at"))
-    ends = spans.select(*keys, "_id", "_e", *_WHO, F.explode(F.array(side(_START, "_s"), side(_END, "_e"))).alias("_x"))
+    side = lambda n, c: F.struct(F.lit(n).cast("byte").alias("_side"), F.col(c).alias("_at"))
+    ends = spans.select(*keys, "_listed", "_kind", (F.col("_e") - F.col("_s")).alias("_long"), F.explode(F.array(side(_START, "_s"), side(_END, "_e"))).alias("_x"))
     merged = reading.unionByName(ends.select("*", "_x.*").drop("_x"), allowMissingColumns=True)
     # a hash among the rows of one instant lets a hot instant be cut, among readings and among ends
-    spread = lambda c: F.pmod(F.xxhash64(c), F.lit(1 << 31))
-    ranked = merged.withColumn("_rank", F.when(F.col("_side").isNotNull(), -1 - spread("_id")).otherwise(spread("_row")))
+    spread = lambda *c: F.pmod(F.xxhash64(*c), F.lit(1 << 31))
+    rank = F.when(F.col("_side").isNotNull(), -1 - spread("_listed", "_long", "_kind")).otherwise(spread("_row"))
     wanted = (df.count() + 2 * spans.count()) // SLICE_ROWS + 1
-    enough = wanted <= int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return in_order(ranked, Order("_at", "_rank", tuple(keys)), None if enough else wanted)
+    by = [*keys, "_at", rank]
+    number = max(wanted, df.sparkSession.sparkContext.defaultParallelism)
+    ranged = merged.repartitionByRange(number, *by) if wanted > 1 else merged.repartitionByRange(*by)
+    return InOrder(Order("_at", None, tuple(keys)), stored(ranged.mapInArrow(_settled(keys, last_wins), schema), "ordered"))
 
 
 def _best(lo: np.ndarray, hi: np.ndarray, rank: np.ndarray, n: int) -> np.ndarray:
@@ -74,20 +82,34 @@ def _best(lo: np.ndarray, hi: np.ndarray, rank: np.ndarray, n: int) -> np.ndarra
     return best
 
 
-def _neighbours(keys: list[str], last_wins: bool) -> Callable[[pa.Table], pa.Table]:
-    """The readings of one slice with the last end, the next start and the winner among the incidents with an end in it."""
+def _changes(rows: pa.Table) -> np.ndarray:
+    """Whether a row differs from the one before it; nulls are equal."""
+    n = rows.num_rows
+    new = np.zeros(n, dtype=bool)
+    new[:1] = True
+    for column in rows.columns:
+        one, two = column.slice(0, max(n - 1, 0)), column.slice(1)
+        same = pc.or_kleene(pc.equal(one, two).fill_null(False), pc.and_(one.is_null(), two.is_null()))
+        new[1:] |= ~same.to_numpy().astype(bool)
+    return new
+
+
+def _sorted(rows: pa.Table) -> np.ndarray:
+    return pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in rows.column_names], null_placement="at_start").to_numpy().astype(np.int64)
+
+
+def _settled(keys: list[str], last_wins: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One slice: its readings with the last end, the next start and the winner among the incidents with an end in it, and
+    its ends; those whose other end is in another slice keep what the incident is.
+    """
 
-    def settle(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pc.sort_indices(rows, sort_keys=[(c, "ascending") for c in (*keys, "_at", "_rank")], null_placement="at_start"))
-        n = rows.num_rows
+    def settle(rows: pa.Table, number: int) -> Iterator[pa.Table]:
         side = rows["_side"].fill_null(0).to_numpy()
+        order = _sorted(rows.select([*keys, "_at"]).append_column("_reading", pa.array(side == 0)))
+        near, side = rows.select([*keys, "_at"]).take(pa.array(order)), side[order]
+        n = len(side)
         place = np.arange(n)
-        fresh = np.zeros(n, dtype=bool)
-        fresh[:1] = True
-        for c in keys:
-            one, two = rows[c].slice(0, n - 1), rows[c].slice(1)
-            same = pc.or_kleene(pc.equal(one, two).fill_null(False), pc.and_(one.is_null(), two.is_null()))
-            fresh[1:] |= ~same.to_numpy().astype(bool)
+        fresh = _changes(near.select(keys)) if keys else place == 0
         starts = np.flatnonzero(fresh)
         group = np.cumsum(fresh) - 1
         first, after = starts[group], np.append(starts[1:], n)[group]
@@ -95,41 +117,59 @@ def _neighbours(keys: list[str], last_wins: bool) -> Callable[[pa.Table], pa.Tab
         asked = np.flatnonzero(reading)
         ended = np.maximum.accumulate(np.where(side == _END, place, -1))
         coming = np.minimum.accumulate(np.where(side == _START, place, n)[::-1])[::-1]
-        at = rows["_at"].fill_null(0).to_numpy()
+        at = near["_at"].fill_null(0).to_numpy()
         pick = lambda found, ok: pa.array(at[np.where(ok, found, 0)], mask=~ok)
         ended, coming = ended[asked], coming[asked]
 
-        # incidents by their start, or by their end if the start is in an earlier slice
+        # the ends of an incident next to each other, and incidents in the order in which they win
         ends = np.flatnonzero(~reading)
-        ids = rows["_id"].take(pa.array(ends)).to_numpy()
-        by_id = np.lexsort((side[ends], ids))
-        ends, ids = ends[by_id], ids[by_id]
-        lead = np.append(True, ids[1:] != ids[:-1])[: len(ids)]
-        paired = np.append(~lead[1:], False)[: len(ids)]
-        one = ends[lead]
-        opens = side[one] == _START
-        until = np.append(ends[1:], 0)[: len(ends)][lead]
-        lo = np.where(opens, one, first[one])
-        hi = np.where(paired[lead], until, np.where(opens, after[one], one))
+        who = rows.select(["_listed", "_kind"]).take(pa.array(order[ends]))
+        long = rows["_long"].take(pa.array(order[ends])).to_numpy()
+        opening = side[ends] == _START
+        s, e = np.where(opening, at[ends], at[ends] - long), np.where(opening, at[ends] + long, at[ends])
+        who = pa.table([who["_listed"], pa.array(s), who["_kind"], pa.array(e), pa.array(group[ends])], names=[*_WHO, "_e", "_group"])
+        by = _sorted(who.append_column("_side", pa.array(side[ends])))
+        lead = np.flatnonzero(_changes(who.take(pa.array(by))))
+        sizes = np.diff(np.append(lead, len(by)))
+        one, last = ends[by[lead]], ends[by[lead + sizes - 1]]
+        opens, closes = side[one] == _START, side[last] == _END
+        lone = np.zeros(len(ends), dtype=bool)
+        lone[by] = np.repeat(~(opens & closes), sizes)
         upto = np.append(0, np.cumsum(reading))
-        lo, hi = upto[lo], upto[hi]
+        lo, hi = upto[np.where(opens, one, first[one])], upto[np.where(closes, last, after[last])]
+        rank = np.arange(len(lead)) if last_wins else np.arange(len(lead))[::-1]
         over = hi > lo
-        lo, hi, one = lo[over], hi[over], one[over]
-        who = rows.select(list(_WHO)).take(pa.array(one))
-        how = "ascending" if last_wins else "descending"
-        sorted_ = pc.sort_indices(who, sort_keys=[(c, how) for c in _WHO], null_placement="at_start" if last_wins else "at_end").to_numpy().astype(np.int64)
-        rank = np.empty(len(one), dtype=np.int64)
-        rank[sorted_] = np.arange(len(one))
-        best = _best(lo, hi, rank, len(asked))
-        winner = np.where(best >= 0, np.append(sorted_, 0)[best], 0)
-        won = who.take(pa.array(winner, mask=best < 0))
-        kept = rows.select([*keys, "_slice", "_at", "_row"]).take(pa.array(asked))
-        kept = kept.append_column("_ended", pick(ended, ended >= first[asked])).append_column("_next", pick(coming, coming < after[asked]))
-        for c in _WHO:
-            kept = kept.append_column(c, won[c])
-        return kept
-
-    return settle
+        best = _best(lo[over], hi[over], rank[over], len(asked))
+        # a null place takes nulls
+        won = who.take(pa.array(by[lead[(best if last_wins else -1 - best) % len(lead)]], mask=best < 0)) if len(lead) else None
+
+        def told(places: np.ndarray, columns: dict[str, pa.Array]) -> pa.Table:
+            key = near.select(keys).take(pa.array(places))
+            known = {**{c: key[c] for c in keys}, "_slice": pa.array(np.full(len(places), number, dtype=np.int32)), **columns}
+            kinds = {**{c: rows.schema.field(c).type for c in ("_side", "_row", "_listed", "_kind")}, "_ended": pa.int64(), "_next": pa.int64(), "_s": pa.int64(), "_e": pa.int64()}
+            names = [*keys, *_SETTLED]
+            return pa.table([known[c] if c in known else pa.nulls(len(places), kinds[c]) for c in names], names=names)
+
+        yield told(
+            asked,
+            {
+                "_at": near["_at"].take(pa.array(asked)),
+                "_row": rows["_row"].take(pa.array(order[asked])),
+                "_ended": pick(ended, ended >= first[asked]),
+                "_next": pick(coming, coming < after[asked]),
+                **({c: won[c] for c in _WHO} if won is not None else {}),
+            },
+        )
+        kept = who.take(pa.array(np.arange(len(ends)), mask=~lone))
+        yield told(ends, {"_side": pa.array(side[ends]), "_at": pa.array(at[ends]), **{c: kept[c] for c in (*_WHO, "_e")}})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = [b for b in batches if b.num_rows]
+        if parts:
+            for table in settle(pa.Table.from_batches(parts).combine_chunks(), TaskContext.get().partitionId()):
+                yield from table.combine_chunks().to_batches(max_chunksize=50_000)
+
+    return run
 
 
 def _over_slices(found: InOrder, on_overlap: str) -> DataFrame:
@@ -141,11 +181,13 @@ def _over_slices(found: InOrder, on_overlap: str) -> DataFrame:
     stretch = bounds.groupBy(*keys).agg(F.min("_slice").alias("_a"), F.max("_slice").alias("_b")).where("_b - _a > 1")
     same = lambda left, right, names: [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in names]
     wide = bounds.alias("x").join(F.broadcast(stretch).alias("y"), same("x", "y", keys) or F.lit(True), "left_semi")
+    # an incident that covers a whole slice reaches the far side of the slice next to that of each of its ends
+    wide = wide.select(*found.columns, F.lag("_lo").over(found.across()).alias("_before"), F.lead("_hi").over(found.across()).alias("_beyond"))
     wide = stored(wide, "calendar-slices")
-    ends = found.rows.where("_side is not null").select(*found.columns, "_id", "_side", "_e", *_WHO)
-    held = ends.alias("x").join(F.broadcast(wide).alias("y"), same("x", "y", found.columns)).select("x.*", "_lo", "_hi")
-    leaving = held.where(((F.col("_side") == _START) & (F.col("_e") >= F.col("_hi"))) | ((F.col("_side") == _END) & (F.col("_s") <= F.col("_lo"))))
-    crossing = leaving.groupBy(*keys, "_id", *_WHO).agg(F.min("_slice").alias("_a"), F.max("_slice").alias("_b")).where("_b - _a > 1")
+    ends = found.rows.where("_side is not null and _s is not null").select(*found.columns, "_side", "_e", *_WHO)
+    held = ends.alias("x").join(F.broadcast(wide).alias("y"), same("x", "y", found.columns)).select("x.*", "_before", "_beyond")
+    leaving = held.where(((F.col("_side") == _START) & (F.col("_e") >= F.col("_beyond"))) | ((F.col("_side") == _END) & (F.col("_s") <= F.col("_before"))))
+    crossing = leaving.groupBy(*keys, "_e", *_WHO).agg(F.min("_slice").alias("_a"), F.max("_slice").alias("_b")).where("_b - _a > 1")
     # slices _a + 1 .. _b - 1; at each level the odd block at either end is one of its own
     levels = F.sequence(F.lit(0), F.lit(_LEVELS))
     right, left = (lambda c, j: F.call_function("shiftright", c, j)), (lambda c, j: F.call_function("shiftleft", c, j))
@@ -196,13 +238,12 @@ def labels_by_table(
     s, e = epoch_micros(F.col(start)), epoch_micros(F.col(end)) + 1
     spans = calendar.select(*keys, F.col(listed).alias("_listed"), s.alias("_s"), F.col(kind).alias("_kind"), e.alias("_e")).where("_s < _e")
     spans = spans.dropna(subset=keys) if keys else spans
-    spans = stored(spans.withColumn("_id", F.monotonically_increasing_id()), "calendar")
-    found = _merged(df, spans, order, keys)
-    kinds = {f.name: f.dataType for f in found.rows.schema.fields}
-    shape = [*keys, "_slice", "_at", "_row", "_ended", "_next", *_WHO]
-    schema = T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in shape])
-    local = found.rows.select(*keys, "_slice", "_at", "_rank", "_side", "_id", *_WHO, "_row").groupBy("_slice")
-    settled = local.applyInArrow(_neighbours(keys, on_overlap == "last"), schema)
+    spans = stored(spans, "calendar")
+    kinds = {c: frame.schema[c].dataType for frame in (df, spans) for c in frame.columns if c in (*keys, "_listed", "_kind")}
+    kinds |= {"_slice": T.IntegerType(), "_side": T.ByteType(), "_row": T.StructType(df.schema.fields)}
+    schema = T.StructType([T.StructField(c, kinds.get(c, T.LongType())) for c in (*keys, *_SETTLED)])
+    found = _merged(df, spans, order, keys, schema, on_overlap == "last")
+    settled = found.rows.where("_side is null")
     tails = found.rows.groupBy(*found.columns).agg(
         F.max(F.when(F.col("_side") == _END, F.col("_at"))).alias("_ended"), F.min(F.when(F.col("_side") == _START, F.col("_at"))).alias("_next")
     )

@@ -60,5 +60,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once below the shared folder and read back: what follows does not evaluate its lineage again."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

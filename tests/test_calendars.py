@@ -126,3 +126,31 @@ def test_stored_rows_are_readings_and_two_per_incident(spark, monkeypatch):
     assert calendars.labels_by_table(df, cal, Order("event_time", "id", ("unit",))).count() == 400
     assert made["calendar"] == 300 and made["ordered"] == 1_000
     assert sum(made.values()) <= 1_300 + 10, made
+
+
+def test_rows_are_shuffled_once_and_written_narrow(spark, monkeypatch):
+    """A slice is settled where the exchange delivers it; no sort column is written, nor what an incident is beside both its ends."""
+    made, real = {}, calendars.stored
+    monkeypatch.setattr(calendars, "stored", lambda df, name: made.setdefault(name, real(df, name)))
+    monkeypatch.setattr(ordered, "stored", calendars.stored)
+    cal = spark.createDataFrame([(k, "a", at(7 * k), at(7 * k + 5), "x") for k in range(300)], CAL)
+    df = spark.createDataFrame([(k, "a", at(5 * k)) for k in range(400)], "id long, unit string, event_time timestamp_ntz")
+    out = calendars.labels_by_table(df, cal, Order("event_time", "id", ("unit",)))
+    assert "FlatMapGroups" not in out._jdf.queryExecution().executedPlan().toString()
+    assert not {"_pos", "_key", "_tie", "_last", "_rank"} & set(made["ordered"].columns)
+    ends = made["ordered"].where("_side is not null")
+    slices = made["ordered"].select("_slice").distinct().count()
+    assert ends.count() == 600 and ends.where("_s is not null").count() <= 2 * (slices - 1)
+
+
+@pytest.mark.parametrize("on_overlap,pick", [("last", max), ("first", min)])
+def test_incidents_that_repeat_and_slices_without_ends(spark, monkeypatch, on_overlap, pick):
+    monkeypatch.setattr(calendars, "SLICE_ROWS", 60)
+    incidents = [(k // 3, "a", at(50 * (k // 3)), at(50 * (k // 3) + 900 * (k // 3 % 2) + 20), "xyz"[k // 3 % 3]) for k in range(60)]
+    rows = [(k, "ab"[k % 2], at(4 * k - 50)) for k in range(800)]
+    df = spark.createDataFrame(rows, "id long, unit string, event_time timestamp_ntz")
+    got = calendars.labels_by_table(df, spark.createDataFrame(incidents, CAL), Order("event_time", "id", ("unit",)), on_overlap=on_overlap)
+    names = ["failure_window", "pre_failure_1h", "pre_failure_6h", "pre_failure_24h", "post_maintenance", "failure_type", "rul_seconds"]
+    found = {r["id"]: tuple(r[n] for n in names) for r in got.collect()}
+    for k, unit, t in rows:
+        assert found[k] == loop(t, unit, incidents, pick), (k, unit, t)
