@@ -12,14 +12,16 @@ surrounds equal anchors misses none.
 * Suffixes whose whole surroundings repeat are settled: all of it goes.
 * Suffixes whose gram repeats in other surroundings (the ends of a passage) get their surroundings from the text, once,
   are range-partitioned by gram, and each string through the anchor is compared by rolling digest with the others of its
-  gram.  A gram with more than ``HOT`` such rows is compared by counting digests instead, which combines before the
-  shuffle and never brings its rows together.
+  gram.  Rows of a gram with more than ``HOT`` of them are cut into pieces first, which get a finer gram from the bytes
+  that all strings of a piece share; digests of whole pieces are counted, which combines before the shuffle, and only
+  pieces that differ inside are cut again, down to single strings.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -292,6 +294,7 @@ def string_digests(data: list[bytes], before: np.ndarray, length: int) -> tuple[
 
 
 SPAN = "row_key long, low long, high long"
+AROUND = ["row_key", "place", "before", "data"]
 
 
 def _spans(keys: np.ndarray, place: np.ndarray, hit: np.ndarray, length: int) -> pa.RecordBatch:
@@ -338,23 +341,68 @@ def compare_surroundings(length: int):
     return run
 
 
-def explode_surroundings(length: int):
-    """``digest, row_key, low`` of every string through the anchors of hot grams."""
+def finer_pieces(length: int, width: int):
+    """Rows of hot grams to pieces, ``gram, whole, row_key, place, before, data``: the strings whose starts lie in one cell
+    of ``width`` distances before the anchor.
+
+    All strings of a cell cover its core, so the core's digest is part of the new ``gram``; ``whole`` is the digest of
+    all bytes of the piece.
+    """
+    reach = length - GRAM
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
                 gram, keys, place, before = (part.column(c).to_numpy() for c in ("gram", "row_key", "place", "before"))
-                found, exists = string_digests(part.column("data").to_pylist(), before, length)
-                found = mixed(found + gram.view(np.uint64)[:, None])
-                row, c = np.nonzero(exists)
-                low = place[row] - (length - GRAM) + c
-                yield pa.RecordBatch.from_arrays([pa.array(found[row, c].view(np.int64)), pa.array(keys[row]), pa.array(low)], ["digest", "row_key", "low"])
+                data = part.column("data").to_pylist()
+                sizes = np.array([len(x) for x in data])
+                least = before - (sizes - length)
+                cells = before // width - least // width + 1
+                row = np.repeat(np.arange(len(data)), cells)
+                cell = np.arange(len(row)) - np.repeat(np.cumsum(cells) - cells, cells) + (least // width)[row]
+                near, far = cell * width, np.minimum(cell * width + width - 1, reach)
+                a, b = np.maximum(near, least[row]), np.minimum(far, before[row])
+                buf = np.frombuffer(b"".join(data), np.uint8)
+                anchor = (np.cumsum(sizes) - sizes + before)[row]
+                low, high = anchor - b, anchor - a + length
+                core = stretch_digests(buf, anchor - near, anchor - far + length)
+                key = mixed(mixed(core + gram.view(np.uint64)[row] * U(BASE)) + cell.astype(np.uint64))
+                whole = mixed(mixed(stretch_digests(buf, low, high)) + (a << 16 | b).astype(np.uint64))
+                flat = buf.tobytes()
+                parts = [flat[x:y] for x, y in zip(low.tolist(), high.tolist(), strict=True)]
+                columns = [key.view(np.int64), whole.view(np.int64), keys[row], place[row], b]
+                yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array(parts, pa.binary())], ["gram", "whole", *AROUND])
 
     return run
 
 
+def finer(rows: DataFrame, length: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Stretches that repeat in rows of hot grams, and rows of finer grams that are to be compared with each other.
+
+    Rows are cut into pieces of a quarter of the strings and grouped by what all strings of a piece share, until groups are
+    small.  A piece that no other shares its gram with is done, and so is one that occurs twice as a whole: all of it goes,
+    and one such piece stands for all beside others of its gram.  So only pieces with an end of a repeat in them are cut again.
+    """
+    spans, cool, width = [], [], length - GRAM + 1
+    while width > 1:
+        width = -(-width // 4)
+        schema = "gram long, whole long, row_key long, place long, before long, data binary"
+        pieces = stored(rows.mapInArrow(finer_pieces(length, width), schema), "suffix-pieces", compression="zstd")
+        alike = pieces.groupBy("gram", "whole").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct(*AROUND)).alias("one"))
+        alike = stored(alike.select("gram", "whole", "n", "one.*"), "suffix-alike", compression="zstd")
+        low = F.col("place") - F.col("before")
+        twice = pieces.join(alike.where("n > 1").select("gram", "whole"), ["gram", "whole"])
+        spans.append(twice.select("row_key", low.alias("low"), (low + F.length("data")).alias("high")))
+        several = alike.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
+        onward = alike.join(several, "gram")
+        cool.append(onward.where(F.col("m") <= HOT).select("gram", *AROUND))
+        rows = onward.where(F.col("m") > HOT).select("gram", *AROUND)
+        if rows.isEmpty():
+            break
+    return spans, cool
+
+
 def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     """``row_key, low, high``: stretches of repeated strings, overlapping as they come; ``docs`` has ``row_key, text``."""
     flagged = compared_suffixes(docs, length)
@@ -371,13 +419,10 @@ def repeated_spans(docs: DataFrame, length: int) -> DataFrame:
     joined = packed(docs.select("row_key", "text")).join(places, "row_key")
     around = joined.mapInArrow(surroundings(length), "gram long, row_key long, place long, before long, data binary, hot boolean")
     around = stored(around, "suffix-around", compression="zstd")
-    cool = around.where("not hot").drop("hot").repartitionByRange("gram").sortWithinPartitions("gram")
+    spans, rest = finer(around.where("hot").drop("hot"), length)
+    cool = reduce(DataFrame.unionByName, rest, around.where("not hot").drop("hot")).repartitionByRange("gram").sortWithinPartitions("gram")
     compared = cool.mapInArrow(compare_surroundings(length), SPAN)
-    strings = around.where("hot").mapInArrow(explode_surroundings(length), "digest long, row_key long, low long")
-    strings = stored(strings, "suffix-hot")
-    twice = strings.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest")
-    counted = strings.join(twice, "digest").select("row_key", "low", (F.col("low") + length).alias("high"))
-    return settled.unionByName(compared).unionByName(counted)
+    return reduce(DataFrame.unionByName, spans, settled.unionByName(compared))
 
 
 def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

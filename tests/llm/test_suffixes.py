@@ -94,3 +94,26 @@ def test_lengths_beyond_384_bytes_of_surroundings(spark, rng, length):
     got = sorted(map(tuple, suffixes.without_repeats(documents(spark, cases), length).collect()), key=str)
     assert got == brute(cases, length)
     assert 0 < sum(r[2] for r in got) < sum(r[1] for r in got)
+
+
+@pytest.mark.parametrize("length", [200, 300])
+def test_hot_grams_are_cut_where_repeats_end(spark, rng, monkeypatch, length):
+    """A passage in hundreds of surroundings, near copies that differ in one letter: pieces stay few beside strings."""
+    monkeypatch.setattr(suffixes, "HOT", 3)
+    made, real = [], suffixes.stored
+
+    def counted(df, name, **how):
+        made.append((name, (out := real(df, name, **how)).count()))
+        return out
+
+    monkeypatch.setattr(suffixes, "stored", counted)
+    p, q = letters(rng, 700), letters(rng, 900)
+    cases = [(k, letters(rng, 60) + p[rng.randrange(40) : 700 - rng.randrange(300)] + letters(rng, 60)) for k in range(60)]
+    for k in range(60):
+        at = rng.randrange(900)
+        cases.append((100 + k, q[:at] + rng.choice("XYZ") + q[at + 1 :]))
+    got = suffixes.without_repeats(documents(spark, cases), length)
+    assert sorted(map(tuple, got.collect()), key=str) == brute(cases, length)
+    around = dict(made)["suffix-around"]
+    assert any(name == "suffix-pieces" and n for name, n in made)
+    assert max(n for name, n in made if name not in ("suffix-flags", "suffix-around")) <= 4 * around, made
