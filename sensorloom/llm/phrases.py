@@ -3,41 +3,42 @@
 A phrase is a run of words inside a piece of text (pieces end at ``.,;:!?`` and line breaks).  Candidates are grown word by
 word: hashes of phrases of k words are counted if both parts that are a word shorter may be frequent (Apriori), and may be
 frequent themselves if their hash reaches ``least``.  Phrases that share a hash only add up, so no frequent one is missed.
-The phrases of the hashes that are left are gathered once each.
+The hashes that are left become a bit filter of bounded size; what it lets through beyond them is only counted in vain.
 
-In byte order the candidates are cut into shards of bounded size, and every shard becomes a double-array trie.  Tries are
-broadcast a bounded number of bytes at a time.  In a batch of text numpy moves the states of all word starts together, one
-byte a step; positions that leave the trie drop out.  Where a word ends, accepting states are counted with bincount.  The
-sums over the shards of text are the exact numbers of occurrences.
+The phrases that pass are gathered with their numbers of occurrences in a stretch of text, where equal ones are merged byte
+by byte, and dealt out by hash.  In byte order the candidates of a bucket are cut into shards of bounded size, and every
+shard becomes a double-array trie.  numpy moves the states of all gathered phrases of the bucket together, one byte a step;
+phrases that leave the trie drop out, and where a phrase ends its occurrences are added to the accepting state.  The sums
+are the exact numbers of occurrences.  The text is read once per level and once to gather, however many candidates there are.
 
 Each cut of a phrase into a first part and the rest is scored by 1,000,000 * a^2 / (l * r); all arithmetic is on whole numbers.
 
-A text, a word or a language may be of any size.  Hashes are sent to tasks only up to ``SENT_HASHES`` of a level; beyond it a
-level is counted without that filter and the gathered phrases are joined with the hashes instead, with the same result.
+A text, a word or a language may be of any size.  A filter has ``FILTER_BITS`` bits per hash, for ``SENT_HASHES`` hashes at most;
+beyond it it lets more through, with the same result.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sensorloom.llm.tables import stored
 
-SENT_HASHES = 1 << 22
+SENT_HASHES = 1 << 24
+FILTER_BITS = 16
 HELD = 1 << 20  # hashes a task holds before it sends them
 BATCH_BYTES = 1 << 21
 SHARD_BYTES = 1 << 21  # of phrases in one trie
-SENT_BYTES = 1 << 25  # of packed tries in one broadcast
+SENT_BYTES = 1 << 23  # of gathered phrases that a task holds before it sends them
+BUCKET_HASHES = 1 << 16  # candidates of a bucket, about
 NO_LANG = "und"
 U = np.uint64
 _BYTE = np.arange(256)
@@ -124,89 +125,90 @@ def _stretches(batch: pa.RecordBatch) -> Iterator[tuple[list[bytes], list[bytes]
         at = to
 
 
-class Known:
-    """Sorted hashes with the place where each run of equal leading bits starts: finding one takes a few steps, not a search."""
-
-    def __init__(self, h: np.ndarray):
-        self.h = h
-        self.bits = min(max(len(h), 1).bit_length() + 1, 24)
-        lead = (h >> U(64 - self.bits)).astype(np.int64)
-        self.start = np.searchsorted(lead, np.arange((1 << self.bits) + 1)).astype(np.int32)
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """Place of each hash, -1 for none."""
-        out = np.full(len(h), -1, np.int32)
-        lead = (h >> U(64 - self.bits)).astype(np.int64)
-        at, end = self.start[lead], self.start[lead + 1]
-        left = np.flatnonzero(at < end)
-        while len(left):
-            place = at[left]
-            same = self.h[place] == h[left]
-            out[left[same]] = place[same]
-            left = left[~same]
-            at[left] += 1
-            left = left[at[left] < end[left]]
+@dataclass(frozen=True)
+class Filter:
+    """Bits of a set of hashes, two for each: one by the leading bits, the other in the same bucket by the last bits."""
+
+    bits: int
+    inner: int
+    data: np.ndarray
+
+    def holds(self, h: np.ndarray) -> np.ndarray:
+        """Which hashes may be in the set; those in it all are."""
+        one, two = _places(h, self.bits, self.inner)
+        set_ = lambda at: (self.data[at >> U(3)] >> (at & U(7)).astype(np.uint8)) & np.uint8(1) > 0
+        out = set_(one)
+        out[out] = set_(two[out])
         return out
 
 
-def _safe(words: Words, found: np.ndarray | None, k: int) -> np.ndarray:
-    """Where a phrase of k + 1 words starts whose parts may be frequent, by the places of its parts among the frequent ones; a
-    level without hashes at hand (None) rules nothing out."""
+def _places(h: np.ndarray, bits: int, inner: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two of the ``2 ** bits`` places for each hash that agree in all but the last ``inner`` bits."""
+    one, mask = h >> U(64 - bits), U((1 << inner) - 1)
+    return one, (one & ~mask) | (h & mask)
+
+
+def _safe(words: Words, part: np.ndarray | None, k: int) -> np.ndarray:
+    """Where a phrase of k + 1 words starts whose parts may be frequent, by where its parts of k words may be."""
     fits = words.after >= k
-    if k and found is not None:
-        part = found >= 0
+    if part is not None:
         fits = fits & part & np.concatenate([part[1:], [False]])[: len(part)]
     return fits
 
 
-def _opened(known: list[Broadcast | None]) -> list[tuple[Known, np.ndarray] | None]:
-    """What a task has of each level: its hashes and their witnesses."""
-    return [(Known(b.value[0]), b.value[1]) if b else None for b in known]
-
-
-def _merged(h: np.ndarray, n: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct hashes, sorted, with the sum of their counts and the least of their witnesses."""
+def _merged(h: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, with the sum of their counts."""
     order = np.argsort(h)
     h = h[order]
     first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
-    if not len(first):
-        return h, n[:0], w[:0]
-    return h[first], np.add.reduceat(n[order], first), np.minimum.reduceat(w[order], first)
+    return h[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
+
+
+def _counts(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct hashes, sorted, and how often each occurs."""
+    h = np.sort(h)
+    first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    return h[first], np.diff(np.append(first, len(h)))
+
 
+def _binary(data: np.ndarray, cut: np.ndarray) -> pa.Array:
+    """The values ``data[cut[j]:cut[j + 1]]`` as byte strings; they start at 0 and leave nothing out."""
+    data = np.ascontiguousarray(data)
+    return pa.Array.from_buffers(pa.binary(), len(cut) - 1, [None, pa.py_buffer((cut * data.itemsize).astype(np.int32)), pa.py_buffer(data)])
 
-def _witnesses(langs: list[bytes], texts: list[bytes]) -> np.ndarray:
-    """A number of each document by its content, the same in every pass however rows are dealt."""
-    return np.array([zlib.crc32(t, zlib.crc32(lang)) for lang, t in zip(langs, texts)], np.uint32)
 
+def _cuts(group: np.ndarray) -> np.ndarray:
+    """Where runs of equal values start, and the end."""
+    return np.concatenate([[0], np.flatnonzero(np.diff(group)) + 1, [len(group)]]) if len(group) else np.zeros(1, np.int64)
 
-def _packed(bits: int, h: np.ndarray, n: np.ndarray, w: np.ndarray) -> pa.RecordBatch:
+
+def _packed(bits: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     """Sorted hashes as one row per bucket of their leading bits."""
-    bucket = (h >> U(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
-    cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(h)] if len(h) else []
-    ranges = list(zip(cut[:-1], cut[1:]))
-    arrays = [pa.array([x[b:e].tobytes() for b, e in ranges], pa.binary()) for x in (h, n.astype(np.int64), w)]
-    return pa.RecordBatch.from_arrays([pa.array([bucket[b] for b, _ in ranges], pa.int64()), *arrays], ["bucket", "h", "n", "w"])
+    bucket = (h >> U(64 - bits)).astype(np.int64)
+    cut = _cuts(bucket)
+    return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), _binary(h, cut), _binary(n.astype(np.int64), cut)], ["bucket", "h", "n"])
 
 
-def level(rows: DataFrame, k: int, known: list[Broadcast | None], least: int) -> DataFrame:
-    """Stored hashes of phrases of k + 1 words that may be frequent, packed by bucket, each with a document that holds it.
+def _bucket_bits(rows: DataFrame) -> int:
+    settled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(settled, rows.rdd.getNumPartitions(), 1).bit_length()
+
+
+def level(rows: DataFrame, k: int, known: list[Broadcast], least: int, bits: int) -> DataFrame:
+    """Stored hashes of phrases of k + 1 words that may be frequent, packed by bucket.
 
     Hashes travel as packed runs, so that Spark moves a row per task and bucket and numpy adds up a bucket.
     """
-    settled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bits = max(settled, rows.rdd.getNumPartitions(), 1).bit_length()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = _opened(known[-1:])
+        last = Filter(*known[-1].value) if k else None
         held: list[tuple[np.ndarray, ...]] = []
         size = 0
         for batch in batches:
             for langs, texts in _stretches(batch):
                 words = words_of(texts, k + 1)
                 hashes = hashes_of(words, _salts(langs), k + 1)
-                fits = _safe(words, last[0][0].find(hashes[k - 1]) if k and last[0] else None, k)
-                h = hashes[k][fits]
-                held.append(_merged(h, np.ones(len(h), np.int64), _witnesses(langs, texts)[words.owner[fits]]))
+                held.append(_counts(hashes[k][_safe(words, last.holds(hashes[k - 1]) if last else None, k)]))
                 size += len(held[-1][0])
                 if size > HELD:
                     yield _packed(bits, *_merged(*map(np.concatenate, zip(*held))))
@@ -215,76 +217,148 @@ def level(rows: DataFrame, k: int, known: list[Broadcast | None], least: int) ->
             yield _packed(bits, *_merged(*map(np.concatenate, zip(*held))))
 
     def summed(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("h", np.uint64), ("n", np.int64), ("w", np.uint32))]
-        h, n, w = _merged(*parts)
-        row = {"bucket": table.column("bucket")[0].as_py(), "h": h[n >= least].tobytes(), "w": w[n >= least].tobytes()}
-        return pa.Table.from_pylist([row], pa.schema([("bucket", pa.int64()), ("h", pa.binary()), ("w", pa.binary())]))
+        h, n = _merged(*[np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("h", np.uint64), ("n", np.int64))])
+        row = {"bucket": table.column("bucket")[0].as_py(), "h": h[n >= least].tobytes()}
+        return pa.Table.from_pylist([row], pa.schema([("bucket", pa.int64()), ("h", pa.binary())]))
 
-    packed = rows.mapInArrow(counted, "bucket long, h binary, n binary, w binary")
-    return stored(packed.groupBy("bucket").applyInArrow(summed, "bucket long, h binary, w binary"), f"phrase-hashes-{k + 1}")
+    packed = rows.mapInArrow(counted, "bucket long, h binary, n binary")
+    return stored(packed.groupBy("bucket").applyInArrow(summed, "bucket long, h binary"), f"phrase-hashes-{k + 1}")
 
 
-def _sent(hashes: DataFrame) -> Broadcast | None:
-    """The hashes, sorted, and their witnesses as a broadcast; None if there are more than ``SENT_HASHES``."""
-    if (hashes.agg(F.sum(F.length("h"))).first()[0] or 0) > 8 * SENT_HASHES:
-        return None
-    found = hashes.orderBy("bucket").collect()
-    h, w = (np.frombuffer(b"".join(r[c] for r in found), t) for c, t in (("h", np.uint64), ("w", np.uint32)))
-    return hashes.sparkSession.sparkContext.broadcast((h, w))
+def _sent(hashes: DataFrame, bits: int) -> tuple[Broadcast, int]:
+    """The filter of the hashes as a broadcast, and how many hashes there are.  The tasks set the bits of their buckets."""
+    total = (hashes.agg(F.sum(F.length("h"))).first()[0] or 0) // 8
+    inner = max(3, (min(total, SENT_HASHES) * FILTER_BITS).bit_length() - bits)
 
+    def filled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for bucket, data in zip(batch.column("bucket").to_pylist(), batch.column("h").to_pylist()):
+                part = np.zeros(1 << inner, bool)
+                for at in _places(np.frombuffer(data, np.uint64), bits + inner, inner):
+                    part[at & U((1 << inner) - 1)] = True
+                yield pa.RecordBatch.from_arrays([pa.array([bucket]), pa.array([np.packbits(part, bitorder="little").tobytes()], pa.binary())], ["bucket", "part"])
 
-def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for data in batch.column("h").to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(data, np.int64))], ["h"])
+    data = np.zeros(1 << (bits + inner - 3), np.uint8)
+    for row in hashes.where(F.length("h") > 0).mapInArrow(filled, "bucket long, part binary").collect():  # FILTER_BITS bits per hash
+        data[row["bucket"] << (inner - 3) : (row["bucket"] + 1) << (inner - 3)] = np.frombuffer(row["part"], np.uint8)
+    return hashes.sparkSession.sparkContext.broadcast((bits + inner, inner, data)), total
 
 
-def _slices(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
-    """Byte strings ``buf[start:end]``."""
-    size = end - start
-    offset = np.concatenate([[0], np.cumsum(size)])
-    data = buf[np.arange(offset[-1]) + np.repeat(start - offset[:-1], size)]
-    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offset.astype(np.int32)), pa.py_buffer(data)])
+@dataclass(frozen=True)
+class Found:
+    """Phrases with their hashes, numbers of occurrences, numbers of their languages, and bytes: each ends with a line break."""
 
+    h: np.ndarray
+    n: np.ndarray
+    lang: np.ndarray
+    size: np.ndarray
+    buf: np.ndarray
 
-def candidates(rows: DataFrame, longest: int, least: int) -> DataFrame:
-    """Distinct ``lang, phrase`` (binary) that may be frequent."""
-    levels: list[DataFrame] = []
-    known: list[Broadcast | None] = []
-    for k in range(longest):
-        levels.append(level(rows, k, known, least))
-        known.append(_sent(levels[-1]))
 
-    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sent = _opened(known)
-        for batch in batches:
-            for langs, texts in _stretches(batch):
-                words = words_of(texts, longest)
-                own_number = _witnesses(langs, texts)[words.owner]
-                found = None
-                for k, h in enumerate(hashes_of(words, _salts(langs), longest)):
-                    fits = _safe(words, found, k)
-                    found = None
-                    if sent[k] is not None:  # once, from the document that stands for it (and its copies)
-                        hashes, witness = sent[k]
-                        found = np.full(len(h), -1, np.int32)
-                        found[fits] = hashes.find(h[fits])
-                        fits = found >= 0
-                        fits[fits] = witness[found[fits]] == own_number[fits]
-                    _, first = np.unique(h[fits], return_index=True)
-                    own = np.flatnonzero(fits)[first]
-                    for at in range(0, len(own), 1 << 18):
-                        here = own[at : at + (1 << 18)]
-                        arrays = [pa.array([langs[j] for j in words.owner[here]], pa.binary()), _slices(words.buf, words.start[here], words.end[here + k])]
-                        arrays += [pa.array(np.full(len(here), k, np.int32)), pa.array(h[here].view(np.int64))]
-                        yield pa.RecordBatch.from_arrays(arrays, ["lang", "phrase", "k", "h"])
-
-    found = rows.mapInArrow(gathered, "lang binary, phrase binary, k int, h long")
-    for k, sent in enumerate(known):
-        if sent is None:
-            own = levels[k].select("h").mapInArrow(_unpacked, "h long").withColumn("k", F.lit(k))
-            found = found.where(F.col("k") != k).unionByName(found.where(F.col("k") == k).join(own, ["k", "h"], "left_semi").select(found.columns))
-    return found.select("lang", "phrase").distinct()
+def _bytes_at(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Bytes of the strings of ``size`` bytes from ``start`` on, one after the other."""
+    end = np.cumsum(size)
+    return buf[np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - size), size)]
+
+
+def _equal(buf: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Which strings of ``size`` bytes are the same at ``start`` and at ``other``."""
+    out = start == other
+    left = np.flatnonzero(~out)
+    for own in np.split(left, np.searchsorted(np.cumsum(size[left]), np.arange(1 << 20, int(size[left].sum()), 1 << 20))):
+        if len(own):
+            same = _bytes_at(buf, start[own], size[own]) == _bytes_at(buf, other[own], size[own])
+            out[own] = np.logical_and.reduceat(same, np.cumsum(size[own]) - size[own])
+    return out
+
+
+def _runs(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by hash, the number of the run of equal hashes of each, and the first of each run."""
+    order = np.argsort(h)
+    first = np.concatenate([[True], np.diff(h[order]) != 0])[: len(h)]
+    return order, np.cumsum(first) - 1, order[first]
+
+
+def phrases_of(words: Words, lang: np.ndarray, hashes: list[np.ndarray], filters: list[Filter]) -> Iterator[Found]:
+    """Per number of words the distinct phrases that may be frequent.  ``lang`` has the number of each text's language.
+
+    Phrases are merged if their words are the same byte by byte; others of the same hash stay apart.
+    """
+    size = words.end - words.start
+    number = np.arange(len(size))  # of each word the first that is the same
+    part = None
+    for k, h in enumerate(hashes):
+        fits = _safe(words, part, k)
+        fits[fits] = filters[k].holds(h[fits])
+        part = fits
+        own = np.flatnonzero(fits)
+        order, run, first = _runs(h[own])
+        at, by = own[order], own[first][run]
+        if k:
+            same = np.logical_and.reduce([number[at + j] == number[by + j] for j in range(k + 1)])
+        else:
+            same = (size[at] == size[by]) & (lang[words.owner[at]] == lang[words.owner[by]])
+            same[same] = _equal(words.buf, words.start[at[same]], words.start[by[same]], size[at[same]])
+            number[at[same]] = by[same]
+        kept = np.concatenate([own[first], at[~same]])
+        n = np.concatenate([np.bincount(run[same], minlength=len(first)), np.ones(np.count_nonzero(~same), np.int64)])
+        length = words.end[kept + k] - words.start[kept] + 1
+        buf = _bytes_at(words.buf, words.start[kept], length)
+        buf[np.cumsum(length) - 1] = LINE
+        yield Found(h[kept], n.astype(np.int64), lang[words.owner[kept]], length, buf)
+
+
+def _together(held: list[Found]) -> Found:
+    """All of ``held`` with equal phrases merged, byte by byte."""
+    h, n, lang, size, buf = (np.concatenate([getattr(x, c) for x in held]) for c in ("h", "n", "lang", "size", "buf"))
+    start = np.cumsum(size) - size
+    at, run, first = _runs(h)
+    by = first[run]
+    same = (size[at] == size[by]) & (lang[at] == lang[by])
+    same[same] = _equal(buf, start[at[same]], start[by[same]], size[at[same]])
+    total = np.zeros(len(first), np.int64)
+    np.add.at(total, run[same], n[at[same]])
+    kept = np.concatenate([first, at[~same]])
+    return Found(h[kept], np.concatenate([total, n[at[~same]]]), lang[kept], size[kept], _bytes_at(buf, start[kept], size[kept]))
+
+
+def _dealt(found: Found, langs: list[bytes], bits: int) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket of leading bits and language; a batch for about ``BATCH_BYTES`` times 8 of phrases."""
+    bucket = (found.h >> U(64 - bits)).astype(np.int64)
+    start = np.cumsum(found.size) - found.size
+    order = np.lexsort((found.lang, bucket))
+    size = found.size[order]
+    for own in np.split(order, np.searchsorted(np.cumsum(size), np.arange(BATCH_BYTES << 3, int(size.sum()), BATCH_BYTES << 3))):
+        if not len(own):
+            continue
+        cut = _cuts(bucket[own] * len(langs) + found.lang[own])
+        data = _bytes_at(found.buf, start[own], found.size[own])
+        arrays = [pa.array(bucket[own][cut[:-1]]), pa.array([langs[j] for j in found.lang[own][cut[:-1]]], pa.binary())]
+        arrays += [_binary(data, np.concatenate([[0], np.cumsum(found.size[own])])[cut]), _binary(found.n[own], cut)]
+        yield pa.RecordBatch.from_arrays(arrays, ["bucket", "lang", "phrases", "n"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], filters: list[Filter], bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of ``_dealt``.  The words of a language are counted as occurrences of a phrase without words."""
+    held: list[Found] = []
+    number: dict[bytes, int] = {}
+    room = SENT_BYTES
+    for batch in batches:
+        for langs, texts in _stretches(batch):
+            words = words_of(texts, len(filters))
+            lang = np.array([number.setdefault(x, len(number)) for x in langs], np.int64)
+            salts = _salts(langs)
+            own = np.unique(lang, return_index=True)[1]
+            n = np.bincount(lang[words.owner], minlength=len(number))[lang[own]]
+            held.append(Found(_mixed(salts[own]), n, lang[own], np.ones(len(own), np.int64), np.full(len(own), LINE, np.uint8)))
+            for found in phrases_of(words, lang, hashes_of(words, salts, len(filters)), filters):
+                held.append(found)
+                room -= len(found.buf)
+            if room <= 0:
+                yield from _dealt(_together(held), list(number), bits)
+                held, number, room = [], {}, SENT_BYTES
+    if held:
+        yield from _dealt(_together(held), list(number), bits)
 
 
 @dataclass(frozen=True)
@@ -359,44 +433,6 @@ def build(keys: list[bytes]) -> Trie:
     return Trie(low, out_base, check, accept)
 
 
-def _sharded(found: DataFrame) -> DataFrame:
-    """Stored candidates in byte order: ``shard``, number in it, ``lang``, ``phrase``; shards of at most ``SHARD_BYTES`` or one phrase."""
-    kept = stored(found, "phrase-candidates")
-    total = kept.agg(F.sum(F.length("lang") + F.length("phrase") + 1)).first()[0] or 0
-    parts = max(1, -(-total // SHARD_BYTES))
-
-    def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shard, number, size = TaskContext.get().partitionId() << 32, 0, 0
-        for batch in batches:
-            length = pc.add(pc.binary_length(batch.column("lang")), pc.binary_length(batch.column("phrase"))).to_numpy() + 1
-            shards, numbers = np.empty(len(length), np.int64), np.empty(len(length), np.int32)
-            for k, bytes_ in enumerate(length):
-                if size + bytes_ > SHARD_BYTES and number:
-                    shard, number, size = shard + 1, 0, 0
-                shards[k], numbers[k] = shard, number
-                number, size = number + 1, size + int(bytes_)
-            yield pa.RecordBatch.from_arrays([pa.array(shards), pa.array(numbers), *batch.columns], ["shard", "number", "lang", "phrase"])
-
-    ordered = kept.repartitionByRange(parts, "lang", "phrase").sortWithinPartitions("lang", "phrase")
-    return stored(ordered.mapInArrow(numbered, "shard long, number int, lang binary, phrase binary"), "phrase-shards")
-
-
-def _tries(shards: DataFrame) -> DataFrame:
-    """Stored tries: ``shard``, number of keys, arrays as bytes.  A key is language, line break, phrase."""
-
-    def built(table: pa.Table) -> pa.Table:
-        table = table.sort_by("number")
-        keys = [lang + b"\n" + phrase for lang, phrase in zip(table.column("lang").to_pylist(), table.column("phrase").to_pylist())]
-        order = sorted(range(len(keys)), key=keys.__getitem__)  # a language may hold bytes below a line break
-        trie = build([keys[k] for k in order])
-        accept = np.where(trie.accept >= 0, np.array(order, np.int32)[trie.accept], -1).astype(np.int32)
-        arrays = [zlib.compress(x.tobytes(), 1) for x in (trie.base, trie.check, accept)]
-        row = {"shard": table.column("shard")[0].as_py(), "keys": len(keys), "root": trie.root, "base": arrays[0], "check": arrays[1], "accept": arrays[2]}
-        return pa.Table.from_pylist([row], pa.schema([("shard", pa.int64()), ("keys", pa.int32()), ("root", pa.int32())] + [(n, pa.binary()) for n in ("base", "check", "accept")]))
-
-    return stored(shards.groupBy("shard").applyInArrow(built, "shard long, keys int, root int, base binary, check binary, accept binary"), "phrase-tries")
-
-
 def walk(trie: Trie, state: int, path: bytes) -> int:
     """The state after ``path``, -1 if it leaves the trie."""
     for b in path:
@@ -407,91 +443,78 @@ def walk(trie: Trie, state: int, path: bytes) -> int:
     return state
 
 
-def count(trie: Trie, words: Words, langs: list[bytes], keys: int) -> np.ndarray:
-    """Occurrences of each key in a batch."""
-    total = np.zeros(keys, np.int64)
-    begin = {lang: walk(trie, trie.root, lang + b"\n") for lang in set(langs)}
-    state = np.array([begin[lang] for lang in langs], np.int32)[words.owner] if len(words.owner) else np.zeros(0, np.int32)
-    pos = words.start[state >= 0]
-    state = state[state >= 0]
+def count(trie: Trie, state: int, buf: np.ndarray, start: np.ndarray, n: np.ndarray, total: np.ndarray) -> None:
+    """Adds to each key's total the occurrences ``n`` of the phrases that are that key from ``state`` on.  A phrase goes from its
+    start to a line break."""
+    at, pos = np.full(len(start), state, np.int32), start
     while len(pos):
-        to = trie.base[state] + words.buf[pos]
-        on = trie.check[to] == state
-        state, pos = to[on], pos[on] + 1
-        here = words.buf[pos]
-        ends = (here == LINE) | (here == BLANK)
-        reached = trie.accept[state[ends]]
-        total += np.bincount(reached[reached >= 0], minlength=keys)
-        on = here != LINE
-        state, pos = state[on], pos[on]
-    return total
+        here = buf[pos]
+        ends = here == LINE
+        if ends.any():
+            reached = trie.accept[at[ends]]
+            np.add.at(total, reached[reached >= 0], n[ends][reached >= 0])
+            at, pos, here, n = at[~ends], pos[~ends], here[~ends], n[~ends]
+        to = trie.base[at] + here
+        on = trie.check[to] == at
+        at, pos, n = to[on], pos[on] + 1, n[on]
+
+
+def _shards(keys: list[bytes]) -> Iterator[list[bytes]]:
+    """Runs of at most ``SHARD_BYTES`` or one key."""
+    shard, size = [], 0
+    for key in keys:
+        if size + len(key) > SHARD_BYTES and shard:
+            yield shard
+            shard, size = [], 0
+        shard.append(key)
+        size += len(key)
+    if shard:
+        yield shard
+
+
+def _totals(table: pa.Table, least: int) -> pa.Table:
+    """Exact numbers of occurrences of the phrases of a bucket, counted by tries whose keys are language, line break, phrase."""
+    rows: dict[bytes, list[int]] = {}
+    for k, lang in enumerate(table.column("lang").to_pylist()):
+        rows.setdefault(lang, []).append(k)
+    gathered, n = (table.column(c).to_pylist() for c in ("phrases", "n"))
+    parts, keys = [], []
+    for lang, own in rows.items():
+        buf = np.frombuffer(b"".join([gathered[k] for k in own]), np.uint8)
+        cut = np.concatenate([[0], np.flatnonzero(buf == LINE) + 1])
+        parts.append((lang, buf, cut[:-1], np.frombuffer(b"".join([n[k] for k in own]), np.int64)))
+        keys += [lang + b"\n" + phrase[:-1] for phrase in pc.unique(_binary(buf, cut)).to_pylist()]
+    found, a = [], []
+    for shard in _shards(sorted(keys)):
+        trie, total = build(shard), np.zeros(len(shard), np.int64)
+        for lang, buf, start, times in parts:
+            if (state := walk(trie, trie.root, lang + b"\n")) >= 0:
+                count(trie, state, buf, start, times, total)
+        # a phrase has no line break, a language may
+        some = [k for k in range(len(shard)) if total[k] >= least or shard[k].endswith(b"\n")]
+        found += [shard[k].rpartition(b"\n") for k in some]
+        a.append(total[some])
+    arrays = [pa.array([x[k] for x in found], pa.binary()) for k in (0, 2)] + [pa.array(np.concatenate(a))]
+    return pa.table(arrays, names=["lang", "phrase", "a"])
 
 
 def occurrences(rows: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, a`` of the phrases with ``a`` of at least ``least`` occurrences, and ``lang, n`` of the words of each language."""
-    shards = _sharded(candidates(rows, longest, least))
-    tries = _tries(shards)
-    sizes = tries.select("shard", (F.length("base") + F.length("check") + F.length("accept")).alias("size")).orderBy("shard").collect()  # one row per SHARD_BYTES
-    rounds: list[list[int]] = [[]]
-    room = SENT_BYTES
-    for row in sizes:
-        if row["size"] > room and rounds[-1]:
-            rounds.append([])
-            room = SENT_BYTES
-        rounds[-1].append(row["shard"])
-        room -= row["size"]
-    stored_parts = []
-    for turn, some in enumerate(rounds):
-        own = tries.where(F.col("shard").isin(some)).collect()  # at most SENT_BYTES, or one trie
-        packed = [(r["shard"], r["keys"], r["root"], *(bytes(r[n]) for n in ("base", "check", "accept"))) for r in own]
-        sent = rows.sparkSession.sparkContext.broadcast(packed)
-        del own, packed
-
-        def counted(batches: Iterator[pa.RecordBatch], sent: Broadcast = sent, turn: int = turn) -> Iterator[pa.RecordBatch]:
-            held = [(shard, keys, Trie(start, *(np.frombuffer(zlib.decompress(x), np.int32) for x in arrays))) for shard, keys, start, *arrays in sent.value]
-            totals = [np.zeros(keys, np.int64) for _, keys, _ in held]
-            in_lang: dict[bytes, int] = {}
-            for batch in batches:
-                for langs, texts in _stretches(batch):
-                    words = words_of(texts, longest)
-                    for total, (_, keys, trie) in zip(totals, held):
-                        total += count(trie, words, langs, keys)
-                    for lang, n in zip(langs, np.bincount(words.owner, minlength=len(langs)).tolist()):
-                        in_lang[lang] = in_lang.get(lang, 0) + n
-            for total, (shard, _, _) in zip(totals, held):
-                some = np.flatnonzero(total)
-                yield _row(shard, b"", some.astype(np.int32).tobytes(), total[some].tobytes())
-            if turn == 0:
-                for lang, n in in_lang.items():
-                    yield _row(-1, lang, b"", np.int64(n).tobytes())
-
-        stored_parts.append(stored(rows.mapInArrow(counted, "shard long, lang binary, numbers binary, counts binary"), "phrase-counts"))
-    found = stored_parts[0]
-    for part in stored_parts[1:]:
-        found = found.unionByName(part)
-
-    def summed(table: pa.Table) -> pa.Table:
-        numbers, counts = (np.frombuffer(b"".join(table.column(c).to_pylist()), t) for c, t in (("numbers", np.int32), ("counts", np.int64)))
-        total = np.zeros(int(numbers.max(initial=-1)) + 1, np.int64)
-        np.add.at(total, numbers, counts)
-        some = np.flatnonzero(total >= least)
-        shard = pa.repeat(table.column("shard")[0], len(some)) if len(some) else pa.array([], pa.int64())
-        return pa.table([shard, pa.array(some.astype(np.int32)), pa.array(total[some])], names=["shard", "number", "a"])
-
-    frequent = found.where("shard >= 0").groupBy("shard").applyInArrow(summed, "shard long, number int, a long").join(shards, ["shard", "number"])
-    per_lang = found.where("shard < 0").select("lang", "counts").mapInArrow(_lang_sizes, "lang binary, n long").groupBy(F.col("lang").cast("string").alias("lang")).agg(F.sum("n").alias("n"))
-    return stored(frequent.select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), "a"), "phrases"), per_lang
-
-
-def _row(shard: int, lang: bytes, numbers: bytes, counts: bytes) -> pa.RecordBatch:
-    arrays = [pa.array([shard], pa.int64()), *[pa.array([x], pa.binary()) for x in (lang, numbers, counts)]]
-    return pa.RecordBatch.from_arrays(arrays, ["shard", "lang", "numbers", "counts"])
+    bits = _bucket_bits(rows)
+    known: list[Broadcast] = []
+    hashes = 0
+    for k in range(longest):
+        sent, some = _sent(level(rows, k, known, least, bits), bits)
+        known.append(sent)
+        hashes += some
+    bits = max(bits, (hashes // BUCKET_HASHES).bit_length())
 
+    def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _gathered(batches, [Filter(*b.value) for b in known], bits)
 
-def _lang_sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        sizes = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(sizes)], ["lang", "n"])
+    counted = rows.mapInArrow(gathered, "bucket long, lang binary, phrases binary, n binary").groupBy("bucket").applyInArrow(lambda table: _totals(table, least), "lang binary, phrase binary, a long")
+    found = stored(counted.select(F.col("lang").cast("string").alias("lang"), F.col("phrase").cast("string").alias("phrase"), "a"), "phrases")
+    return found.where("phrase <> ''"), found.where("phrase = ''").select("lang", F.col("a").alias("n"))
 
 
 def collocations(

@@ -111,3 +111,41 @@ def test_hashes_depend_on_language_and_words():
     one, two = phrases.hashes_of(words, phrases._salts([b"en", b"de", b"en"]), 2)
     assert len(set(one.tolist())) == 4 and len({two[0], two[2], two[4]}) == 3
     assert words.after.tolist() == [1, 0, 1, 0, 1, 0]
+
+
+def test_text_is_read_as_often_for_any_number_of_candidates(spark, rows, monkeypatch):
+    for name, value in (("SHARD_BYTES", 60), ("SENT_BYTES", 4000), ("SENT_HASHES", 3)):
+        monkeypatch.setattr(phrases, name, value)
+    some = rows[:60]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = table(spark, some).coalesce(1).select("text", "lang")
+    got = phrases.collocations(docs.mapInArrow(seen, docs.schema), longest=3, least=4).collect()
+    assert sorted(tuple(r) for r in got) == sorted(brute(some, least=4))
+    assert read.value == len(some) * (3 + 1)
+
+
+def test_gathered_phrases_that_share_a_hash_stay_apart(rows):
+    texts = [(t or "").encode() for _, t in rows]
+    langs = [(lang or "und").encode() for lang, _ in rows]
+    words = phrases.words_of(texts, 3)
+    known = sorted(set(langs))
+    lang = np.array([known.index(x) for x in langs])
+    everything = phrases.Filter(6, 3, np.full(8, 255, np.uint8))
+    alike = [h % np.uint64(3) for h in phrases.hashes_of(words, phrases._salts(langs), 3)]
+    found = phrases._together(list(phrases.phrases_of(words, lang, alike, [everything] * 3)))
+    total = Counter()
+    for batch in phrases._dealt(found, known, 4):
+        for r in phrases._totals(batch, 1).to_pylist():
+            total[r["lang"].decode(), tuple(r["phrase"].decode().split(" "))] += r["a"]
+    want = Counter()
+    for x, text in zip(langs, texts):
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered(text.decode())):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            want.update((x.decode(), tuple(w[i : i + k])) for k in range(1, 4) for i in range(len(w) - k + 1))
+    assert total == want
