@@ -12,15 +12,17 @@ expectation-maximisation: expected uses of each piece, from the forward and back
 words, with the vocabulary's own weights as ``prior`` uses.  Every character can also be spelled in byte pieces, so every
 text has a probability.
 
-Documents are cut into blocks of about ``BLOCK_BYTES`` of text, each with the list of its distinct words.  Word counts are
-summed over blocks, a word's count and log probability come back to the blocks that hold it by a join, and each block
-scores its own documents.  Nothing grows with the corpus on the driver or in a broadcast: the vocabulary is fixed, the
-words stay distributed.
+Documents are cut into blocks of about ``BLOCK_BYTES`` of text, each with the list of its distinct words, which go to
+buckets by hash, packed as one row per block and bucket.  A bucket sums the counts of its words, solves each word once and
+replies to each block in the order it was asked in; the replies in order of the buckets are the block's list, and each block
+scores its own documents.  No row is larger than a few MB, whatever the number of blocks in a task.  Nothing grows with the
+corpus on the driver or in a broadcast: the vocabulary is fixed, the words stay distributed.
 """
 
 from __future__ import annotations
 
 import os
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -32,9 +34,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from sensorloom.llm.tables import stored
+from sensorloom.llm.tables import bucket_bits, stored
 
-BLOCK_BYTES = 1 << 23
+BLOCK_BYTES = 1 << 22
+ROW_CELLS = 1 << 17  # words of documents that one row holds, or one document
 CELLS = 1 << 18  # characters times piece lengths that one call of the recursion holds
 PRIOR = 1000.0
 ROUNDS = 2
@@ -233,9 +236,20 @@ def fitted(pieces: Pieces, uses: np.ndarray, prior: float = PRIOR) -> np.ndarray
     return np.log(own / own.sum())
 
 
-def _cut_blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    """One row per block: its documents, their distinct words as places in the block's word list, and that list with the
-    words' counts in training documents.  The end is the empty word."""
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers below 2 ** 32, first the lowest bytes of all, then the next ones: high bytes are mostly 0 and compress away."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _numbers(data: bytes) -> np.ndarray:
+    """The numbers of ``_planes``."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4")[:, 0].astype(np.int64)
+
+
+def _cut_blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema, bits: int) -> Iterator[pa.RecordBatch]:
+    """Rows of two kinds.  With a bucket: the block's distinct words of that bucket and their counts in training documents.
+    Without (-1): some of its documents, each with its distinct words as places in the block's words, which are in order of
+    the buckets.  Words are led by a line break, as no word holds one; the end is the empty word."""
     for batch in batches:
         size = pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         total = np.cumsum(size)
@@ -254,24 +268,44 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch], schema: pa.Schema) -> Iterato
                     place.setdefault(word, len(place))
                 codes.append(np.fromiter(map(place.__getitem__, words), np.int64, len(words)))
             owner = np.repeat(np.arange(len(sizes)), sizes)
-            code = np.concatenate(codes)
-            cell, times = np.unique(owner * len(place) + code, return_counts=True)
+            width = len(place)
+            bucket = np.fromiter(map(zlib.crc32, place), np.int64, width) >> (32 - bits)
+            order = np.argsort(bucket, kind="stable")
+            rank = np.empty(width, np.int64)
+            rank[order] = np.arange(width)
+            code = rank[np.concatenate(codes)]
             held = part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
-            trained = np.bincount(code[~held[owner]], minlength=len(place))
-            starts = np.searchsorted(cell, np.arange(len(sizes) + 1) * len(place))
-            lists = [
-                part.column("key"),
-                pa.array(held),
-                pa.array(np.diff(starts)),
-                pa.array((cell % len(place)).astype(np.int32)),
-                pa.array(times.astype(np.int32)),
-                pa.array(list(place), pa.binary()),
-                pa.array(trained),
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int.from_bytes(os.urandom(8), "little", signed=True)])] + [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists],
-                [f.name for f in schema],
-            ).cast(schema)
+            trained = np.bincount(code[~held[owner]], minlength=width)
+            cell, times = np.unique(owner * width + code, return_counts=True)
+            block = int.from_bytes(os.urandom(8), "little", signed=True)
+
+            listed = list(place)
+            cut = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+            ends = np.append(cut[1:], width)
+            asked = {
+                "block": pa.array([block] * len(cut)),
+                "bucket": pa.array(bucket[order[cut]].astype(np.int32)),
+                "words": pa.array([b"".join([b"\n" + listed[k] for k in order[b:e]]) for b, e in zip(cut, ends)], pa.binary()),
+                "trained": pa.array([_planes(trained[b:e]) for b, e in zip(cut, ends)], pa.binary()),
+            }
+            yield _row_batch(asked, len(cut), schema)
+
+            starts = np.searchsorted(cell, np.arange(len(sizes) + 1) * width)
+            first = 0
+            while first < len(sizes):
+                last = max(first + 1, int(np.searchsorted(starts, starts[first] + ROW_CELLS, side="right")) - 1)
+                own = slice(starts[first], starts[last])
+                some = [part.column("key").slice(first, last - first), pa.array(held[first:last])]
+                lists = [pa.ListArray.from_arrays(pa.array([0, last - first], pa.int32()), x) for x in some]
+                steps = np.diff(cell[own] - first * width, prepend=0)
+                docs = {"block": pa.array([block]), "bucket": pa.array([-1], pa.int32()), "keys": lists[0], "held": lists[1], "width": pa.array([width])}
+                yield _row_batch(docs | {"steps": pa.array([_planes(steps)], pa.binary()), "times": pa.array([_planes(times[own])], pa.binary())}, 1, schema)
+                first = last
+
+
+def _row_batch(arrays: dict[str, pa.Array], n: int, schema: pa.Schema) -> pa.RecordBatch:
+    """``n`` rows of the schema, null where no array is given."""
+    return pa.RecordBatch.from_arrays([arrays[f.name].cast(f.type) if f.name in arrays else pa.nulls(n, f.type) for f in schema], [f.name for f in schema])
 
 
 def _blocks(docs: DataFrame, key: str, text: str, folds: int, held_fold: int) -> DataFrame:
@@ -282,15 +316,39 @@ def _blocks(docs: DataFrame, key: str, text: str, folds: int, held_fold: int) ->
         (F.pmod(F.crc32(id_text.cast("binary")), F.lit(folds)) == held_fold).alias("held_out"),
         F.col(text).cast("binary").alias("text"),
     )
-    fields = [("keys", rows.schema["key"].dataType), ("held", T.BooleanType()), ("parts", T.LongType()), ("places", T.IntegerType())]
-    fields += [("times", T.IntegerType()), ("words", T.BinaryType()), ("trained", T.LongType())]
-    schema = T.StructType([T.StructField("block", T.LongType())] + [T.StructField(n, T.ArrayType(t)) for n, t in fields])
-    arrow = to_arrow_schema(schema)
-    return stored(rows.mapInArrow(lambda batches: _cut_blocks(batches, arrow), schema), "lm-blocks")
+    fields = [("block", T.LongType()), ("bucket", T.IntegerType()), ("words", T.BinaryType()), ("trained", T.BinaryType()), ("keys", T.ArrayType(rows.schema["key"].dataType))]
+    fields += [("held", T.ArrayType(T.BooleanType())), ("width", T.LongType()), ("steps", T.BinaryType()), ("times", T.BinaryType())]
+    schema = T.StructType([T.StructField(n, t) for n, t in fields])
+    arrow, bits = to_arrow_schema(schema), bucket_bits(rows)
+    return stored(rows.mapInArrow(lambda batches: _cut_blocks(batches, arrow, bits), schema), "lm-blocks")
+
+
+#: A row of the vocabulary: a bucket's words, how often each occurs in training texts, what that adds up to, and for each block
+#: that asks how many words it asks for and which.
+VOCABULARY = "bucket int, words binary, c array<long>, tokens long, types long, once long, twice long, blocks array<long>, sizes array<long>, asked binary"
 
 
-def _words(batch: pa.RecordBatch) -> list[str]:
-    return [w.decode("utf-8", "surrogateescape") for w in batch.column("word").to_pylist()]
+def _vocabulary(blocks: DataFrame) -> DataFrame:
+    """Stored words of all blocks, a row per bucket."""
+
+    def summed(table: pa.Table) -> pa.Table:
+        place: dict[bytes, int] = {}
+        asked = [np.fromiter([place.setdefault(w, len(place)) for w in data.split(b"\n")[1:]], np.int64) for data in table.column("words").to_pylist()]
+        c = np.zeros(len(place), np.int64)
+        for own, data in zip(asked, table.column("trained").to_pylist()):
+            c[own] += _numbers(data)  # a block has a word once
+        row = {"bucket": table.column("bucket")[0].as_py(), "words": b"".join([b"\n" + w for w in place]), "c": c}
+        row |= {"tokens": c.sum(), "types": np.count_nonzero(c), "once": np.count_nonzero(c == 1), "twice": np.count_nonzero(c == 2)}
+        row |= {"blocks": table.column("block").to_numpy(), "sizes": np.array([len(x) for x in asked]), "asked": _planes(np.concatenate(asked))}
+        kinds = [pa.int32(), pa.binary(), pa.list_(pa.int64()), *[pa.int64()] * 4, pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
+        return pa.table([pa.array([x], kind) for x, kind in zip(row.values(), kinds)], names=list(row))
+
+    asked = blocks.where("bucket >= 0").select("block", "bucket", "words", "trained")
+    return stored(asked.groupBy("bucket").applyInArrow(summed, VOCABULARY), "lm-words")
+
+
+def _words(data: bytes) -> list[str]:
+    return data.decode("utf-8", "surrogateescape").split("\n")[1:]
 
 
 def fit(vocabulary: DataFrame, pieces: Pieces, rounds: int = ROUNDS, prior: float = PRIOR) -> np.ndarray:
@@ -301,12 +359,13 @@ def fit(vocabulary: DataFrame, pieces: Pieces, rounds: int = ROUNDS, prior: floa
         def uses(batches: Iterator[pa.RecordBatch], log: np.ndarray = log) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(log))
             for batch in batches:
-                words = _words(batch)
-                total += expected_uses(words, np.ones(len(words)), pieces, log)
+                for data, c in zip(batch.column("words").to_pylist(), batch.column("c")):
+                    words = [w for w, n in zip(_words(data), c.values.to_numpy()) if n > 0]
+                    total += expected_uses(words, np.ones(len(words)), pieces, log)
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["piece", "part"])
 
-        summed = vocabulary.where("c > 0").select("word").mapInArrow(uses, "piece long, part double").groupBy("piece").agg(F.sum("part").alias("part"))
+        summed = vocabulary.select("words", "c").mapInArrow(uses, "piece long, part double").groupBy("piece").agg(F.sum("part").alias("part"))
         total = np.zeros(len(log))
         for row in summed.collect():  # at most one row per piece
             total[row["piece"]] = row["part"]
@@ -335,28 +394,30 @@ def score(
     not read, so their names do not matter.
     """
     blocks = _blocks(docs, key, text, folds, held_fold)
-    counted = blocks.select(F.explode(F.arrays_zip("words", "trained")).alias("w")).select(F.col("w.words").alias("word"), F.col("w.trained").alias("c"))
-    vocabulary = stored(counted.groupBy("word").agg(F.sum("c").alias("c")), "lm-words")
-    tokens, types, once, twice = vocabulary.where("c > 0").agg(F.sum("c"), F.count("*"), F.count_if(F.col("c") == 1), F.count_if(F.col("c") == 2)).first()
-    tokens = tokens or 0
+    vocabulary = _vocabulary(blocks)
+    tokens, types, once, twice = (x or 0 for x in vocabulary.agg(*[F.sum(c) for c in ("tokens", "types", "once", "twice")]).first())
     discount = min(max(once / (once + 2 * twice), 0.1), 0.9) if once + twice else 0.5
     log = fit(vocabulary, pieces, rounds, prior)
     rest = discount * types / tokens if tokens else 1.0
 
     def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            by_pieces = log_probabilities(_words(batch), pieces, log) + np.log(rest)
-            c = batch.column("c").to_numpy(zero_copy_only=False)
-            with np.errstate(divide="ignore"):
-                whole = np.log(np.maximum(c - discount, 0.0) / max(tokens, 1))
-            both = np.logaddexp(by_pieces, whole) / np.log(10.0)
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), pa.array(both)], ["word", "c", "log"])
-
-    values = vocabulary.mapInArrow(solved, "word binary, c long, log double")
-    asked = blocks.select("block", F.posexplode("words").alias("k", "word"))
-    # a frequent word is in every block: the join sends each block's word once, and adaptive execution splits its rows
-    answers = asked.join(values, "word").groupBy("block").agg(F.collect_list(F.struct("k", "c", "log")).alias("values"))
-    ready = blocks.drop("words", "trained").join(answers, "block").select("keys", "held", "parts", "places", "times", "values.k", "values.c", "values.log")
+            bucket, words, counts, owners, sizes, asked = (batch.column(c) for c in ("bucket", "words", "c", "blocks", "sizes", "asked"))
+            for k in range(batch.num_rows):
+                by_pieces = log_probabilities(_words(words[k].as_py()), pieces, log) + np.log(rest)
+                c = counts[k].values.to_numpy()
+                with np.errstate(divide="ignore"):
+                    whole = np.log(np.maximum(c - discount, 0.0) / max(tokens, 1))
+                both = np.logaddexp(by_pieces, whole) / np.log(10.0)
+                own, ends = _numbers(asked[k].as_py()), np.cumsum(sizes[k].values.to_numpy())
+                parts = [[x[own[b:e]].tobytes() for b, e in zip(np.append(0, ends), ends)] for x in (c, both)]
+                yield pa.RecordBatch.from_arrays(
+                    [owners[k].values, pa.repeat(bucket[k], len(ends)), *[pa.array(x, pa.binary()) for x in parts]], ["block", "bucket", "c", "log"]
+                )
+
+    # a row for each block and bucket
+    answers = vocabulary.select("bucket", "words", "c", "blocks", "sizes", "asked").mapInArrow(solved, "block long, bucket int, c binary, log binary")
+    asking = blocks.where("bucket < 0").select("block", "keys", "held", "width", "steps", "times")
     key_type = blocks.schema["keys"].dataType.elementType
     schema = T.StructType(
         [T.StructField(key, key_type), T.StructField("held_out", T.BooleanType())]
@@ -364,17 +425,20 @@ def score(
         + [T.StructField(n, T.DoubleType()) for n in ("base_score", "score")]
     )
 
-    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+    def summed(docs: pa.Table, values: pa.Table) -> pa.Table:
+        values = values.sort_by("bucket")
+        count, log = (np.frombuffer(b"".join(values.column(n).to_pylist()), t) for n, t in (("c", np.int64), ("log", np.float64)))
+        out = []
+        for batch in docs.to_batches():
             for k in range(batch.num_rows):
-                keys, held, parts, places, times, word, c, value = (batch.column(j).slice(k, 1).flatten() for j in range(8))
-                owner = np.repeat(np.arange(len(parts)), parts.to_numpy())
-                place, m = places.to_numpy(), times.to_numpy()
-                order = np.argsort(word.to_numpy())
-                c, value = c.to_numpy()[order][place], value.to_numpy()[order][place]
-                add = lambda x: np.bincount(owner, x, len(parts))
+                keys, held = (batch.column(n).slice(k, 1).flatten() for n in ("keys", "held"))
+                width, steps, m = batch.column("width")[k].as_py(), _numbers(batch.column("steps")[k].as_py()), _numbers(batch.column("times")[k].as_py())
+                owner, place = np.divmod(np.cumsum(steps), width)
+                c, value = count[place], log[place]
+                add = lambda x: np.bincount(owner, x, len(keys))
                 base = np.log10((c + 1.0) / (tokens + types + 1.0))
-                whole = [pa.array(x.round().astype(np.int64)) for x in (add(m), add(m * (c > 0)), np.full(len(parts), float(tokens)))]
-                yield pa.RecordBatch.from_arrays([keys, held, *whole, pa.array(add(m * base)), pa.array(add(m * value))], schema.names)
+                whole = [pa.array(x.round().astype(np.int64)) for x in (add(m), add(m * (c > 0)), np.full(len(keys), float(tokens)))]
+                out.append(pa.RecordBatch.from_arrays([keys, held, *whole, pa.array(add(m * base)), pa.array(add(m * value))], schema.names))
+        return pa.Table.from_batches(out)
 
-    return ready.mapInArrow(summed, schema)
+    return asking.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(summed, schema)

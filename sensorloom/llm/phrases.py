@@ -30,7 +30,7 @@ from pyspark.core.broadcast import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sensorloom.llm.tables import stored
+from sensorloom.llm.tables import bucket_bits, stored
 
 SENT_HASHES = 1 << 24
 FILTER_BITS = 16
@@ -189,11 +189,6 @@ def _packed(bits: int, h: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket[cut[:-1]]), _binary(h, cut), _binary(n.astype(np.int64), cut)], ["bucket", "h", "n"])
 
 
-def _bucket_bits(rows: DataFrame) -> int:
-    settled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(settled, rows.rdd.getNumPartitions(), 1).bit_length()
-
-
 def level(rows: DataFrame, k: int, known: list[Broadcast], least: int, bits: int) -> DataFrame:
     """Stored hashes of phrases of k + 1 words that may be frequent, packed by bucket.
 
@@ -500,7 +495,7 @@ def _totals(table: pa.Table, least: int) -> pa.Table:
 
 def occurrences(rows: DataFrame, longest: int, least: int) -> tuple[DataFrame, DataFrame]:
     """``lang, phrase, a`` of the phrases with ``a`` of at least ``least`` occurrences, and ``lang, n`` of the words of each language."""
-    bits = _bucket_bits(rows)
+    bits = bucket_bits(rows)
     known: list[Broadcast] = []
     hashes = 0
     for k in range(longest):

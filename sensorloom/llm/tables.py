@@ -23,6 +23,12 @@ def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucket_bits(rows: DataFrame) -> int:
+    """Bits of a hash by which tasks deal out what they have packed: somewhat more buckets than tasks that get or send them."""
+    settled = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(settled, rows.rdd.getNumPartitions(), 1).bit_length()
+
+
 def word_count(text: Column) -> Column:
     """Words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

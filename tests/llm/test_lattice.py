@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sensorloom.llm import lattice
@@ -124,3 +125,42 @@ def test_public_vocabulary_prefers_words_of_the_corpus(spark, rng):
     rows = [(k, words(rng, 30, 40)) for k in range(60)]
     scores = {r["doc_id"]: r["score"] for r in lattice.score(documents(spark, rows + [(100, "qzxj vvkq " * 15)]), own).collect()}
     assert min(scores[k] for k in range(60)) > scores[100]
+
+
+def test_no_stored_row_grows_with_the_documents(spark, pieces, rng, monkeypatch):
+    rows = [(k, words(rng, 60, 3000)) for k in range(20_000)]
+    seen, stored = {}, lattice.stored
+    monkeypatch.setattr(lattice, "stored", lambda df, name: seen.setdefault(name, stored(df, name)))
+    got = lattice.score(documents(spark, rows).coalesce(1), pieces, rounds=1).collect()
+    assert len(got) == len(rows) and all(r["n_tokens"] == 61 for r in got)
+    sizes = [r[0] for df in seen.values() for r in df.selectExpr("length(to_json(struct(*)))").collect()]
+    assert max(sizes) < 2_000_000  # one row for a batch of these documents has over 4,000,000
+
+
+@pytest.mark.parametrize(("block", "cells", "bits"), [(1, 1, 1), (300, 7, 3), (1 << 20, 50, 4), (1 << 20, 1 << 17, 10)])
+def test_blocks_hold_the_words_of_their_documents(rng, monkeypatch, block, cells, bits):
+    rows = [(k, k % 3 == 0, rng.choice([None, "", "é \x00 é", words(rng, rng.randrange(30), 40)])) for k in range(100)]
+    monkeypatch.setattr(lattice, "BLOCK_BYTES", block)
+    monkeypatch.setattr(lattice, "ROW_CELLS", cells)
+    batch = pa.RecordBatch.from_pydict({"key": [k for k, _, _ in rows], "held_out": [h for _, h, _ in rows], "text": pa.array([t and t.encode() for _, _, t in rows], pa.binary())})
+    binary = [(n, pa.binary()) for n in ("words", "trained", "steps", "times")]
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("keys", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("width", pa.int64()), *binary])
+    cut = [r for b in lattice._cut_blocks(iter([batch]), schema, bits) for r in b.to_pylist()]
+    listed, trained, docs = {}, Counter(), {}
+    for r in sorted((r for r in cut if r["bucket"] >= 0), key=lambda r: r["bucket"]):
+        some = r["words"].decode().split("\n")[1:]
+        listed.setdefault(r["block"], []).extend(some)
+        trained.update(dict(zip(some, lattice._numbers(r["trained"]).tolist())))
+    for r in (r for r in cut if r["bucket"] < 0):
+        owner, place = np.divmod(np.cumsum(lattice._numbers(r["steps"])), r["width"])
+        assert r["width"] == len(listed[r["block"]]) and (cells > 1 or len(r["keys"]) == 1)
+        for o, p, n in zip(owner, place, lattice._numbers(r["times"])):
+            docs.setdefault((r["keys"][o], r["held"][o]), Counter())[listed[r["block"]][p]] += int(n)
+    assert docs == {(k, h): Counter(tokens_of(t)) for k, h, t in rows}
+    assert +trained == sum((Counter(tokens_of(t)) for _, h, t in rows if not h), Counter())
+
+
+def test_numbers_in_planes():
+    some = np.array([0, 1, 255, 256, 65536, (1 << 32) - 1])
+    assert lattice._numbers(lattice._planes(some)).tolist() == some.tolist()
+    assert lattice._numbers(lattice._planes(some[:0])).tolist() == []

@@ -5,6 +5,8 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from sensorloom.llm import phrases
@@ -130,22 +132,28 @@ def test_text_is_read_as_often_for_any_number_of_candidates(spark, rows, monkeyp
     assert read.value == len(some) * (3 + 1)
 
 
-def test_gathered_phrases_that_share_a_hash_stay_apart(rows):
-    texts = [(t or "").encode() for _, t in rows]
-    langs = [(lang or "und").encode() for lang, _ in rows]
-    words = phrases.words_of(texts, 3)
-    known = sorted(set(langs))
-    lang = np.array([known.index(x) for x in langs])
+@pytest.mark.parametrize("sizes", [(50, 60, 400), (1 << 21, 1 << 21, 1 << 23)])
+@pytest.mark.parametrize("alike", [False, True])
+def test_gathered_phrases_are_counted_exactly(rows, monkeypatch, sizes, alike):
+    for name, value in zip(("BATCH_BYTES", "SHARD_BYTES", "SENT_BYTES"), sizes):
+        monkeypatch.setattr(phrases, name, value)
+    if alike:  # phrases that share a hash stay apart
+        own = phrases.hashes_of
+        monkeypatch.setattr(phrases, "hashes_of", lambda *a: [h % np.uint64(3) for h in own(*a)])
+    texts, langs = [(t or "").encode() for _, t in rows], [(lang or "und").encode() for lang, _ in rows]
     everything = phrases.Filter(6, 3, np.full(8, 255, np.uint8))
-    alike = [h % np.uint64(3) for h in phrases.hashes_of(words, phrases._salts(langs), 3)]
-    found = phrases._together(list(phrases.phrases_of(words, lang, alike, [everything] * 3)))
-    total = Counter()
-    for batch in phrases._dealt(found, known, 4):
-        for r in phrases._totals(batch, 1).to_pylist():
-            total[r["lang"].decode(), tuple(r["phrase"].decode().split(" "))] += r["a"]
-    want = Counter()
-    for x, text in zip(langs, texts):
+    batch = pa.RecordBatch.from_arrays([pa.array(langs, pa.binary()), pa.array(texts, pa.binary())], ["lang", "text"])
+    sent = pa.Table.from_batches(phrases._gathered(iter([batch]), [everything] * 3, 4))
+    total, want = {}, Counter()
+    for bucket in pc.unique(sent["bucket"]):
+        for r in phrases._totals(sent.filter(pc.equal(sent["bucket"], bucket)), 1).to_pylist():
+            key = r["lang"].decode(), r["phrase"].decode()
+            assert key not in total
+            total[key] = r["a"]
+    for lang, text in zip(langs, texts):
+        want[lang.decode(), ""] += 0
         for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered(text.decode())):
             w = re.findall(r"[^\x20\x09]+", piece)
-            want.update((x.decode(), tuple(w[i : i + k])) for k in range(1, 4) for i in range(len(w) - k + 1))
+            want[lang.decode(), ""] += len(w)
+            want.update((lang.decode(), " ".join(w[i : i + k])) for k in range(1, 4) for i in range(len(w) - k + 1))
     assert total == want
