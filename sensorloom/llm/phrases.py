@@ -39,6 +39,7 @@ BATCH_BYTES = 1 << 21
 SHARD_BYTES = 1 << 21  # of phrases in one trie
 SENT_BYTES = 1 << 23  # of gathered phrases that a task holds before it sends them
 BUCKET_HASHES = 1 << 16  # candidates of a bucket, about
+COUNTED = 1 << 17  # gathered phrases that move through a trie together
 NO_LANG = "und"
 U = np.uint64
 _BYTE = np.arange(256)
@@ -250,20 +251,33 @@ class Found:
     buf: np.ndarray
 
 
+def _pieces(size: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of strings of about 1 MB together, or one string: what is needed for each byte is held for so many only."""
+    end = np.cumsum(size)
+    cut = np.searchsorted(end, np.arange(1 << 20, end[-1] if len(end) else 0, 1 << 20))
+    edges = np.unique(np.concatenate([[0], cut, [len(end)]])).tolist()
+    return zip(edges[:-1], edges[1:])
+
+
 def _bytes_at(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Bytes of the strings of ``size`` bytes from ``start`` on, one after the other."""
-    end = np.cumsum(size)
-    return buf[np.arange(end[-1] if len(end) else 0) + np.repeat(start - (end - size), size)]
+    out = np.empty(int(size.sum()), np.uint8)
+    done = 0
+    for b, e in _pieces(size):
+        end = np.cumsum(size[b:e])
+        out[done : done + end[-1]] = buf[np.arange(end[-1]) + np.repeat(start[b:e] - (end - size[b:e]), size[b:e])]
+        done += int(end[-1])
+    return out
 
 
 def _equal(buf: np.ndarray, start: np.ndarray, other: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Which strings of ``size`` bytes are the same at ``start`` and at ``other``."""
     out = start == other
     left = np.flatnonzero(~out)
-    for own in np.split(left, np.searchsorted(np.cumsum(size[left]), np.arange(1 << 20, int(size[left].sum()), 1 << 20))):
-        if len(own):
-            same = _bytes_at(buf, start[own], size[own]) == _bytes_at(buf, other[own], size[own])
-            out[own] = np.logical_and.reduceat(same, np.cumsum(size[own]) - size[own])
+    for b, e in _pieces(size[left]):
+        own = left[b:e]
+        same = _bytes_at(buf, start[own], size[own]) == _bytes_at(buf, other[own], size[own])
+        out[own] = np.logical_and.reduceat(same, np.cumsum(size[own]) - size[own])
     return out
 
 
@@ -467,24 +481,28 @@ def _shards(keys: list[bytes]) -> Iterator[list[bytes]]:
         yield shard
 
 
+def _data(strings: pa.Array) -> np.ndarray:
+    """The bytes of all strings, one after the other."""
+    offset = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset : strings.offset + len(strings) + 1]
+    return np.frombuffer(strings.buffers()[2] or b"", np.uint8)[offset[0] : offset[-1]]
+
+
 def _totals(table: pa.Table, least: int) -> pa.Table:
     """Exact numbers of occurrences of the phrases of a bucket, counted by tries whose keys are language, line break, phrase."""
-    rows: dict[bytes, list[int]] = {}
-    for k, lang in enumerate(table.column("lang").to_pylist()):
-        rows.setdefault(lang, []).append(k)
-    gathered, n = (table.column(c).to_pylist() for c in ("phrases", "n"))
     parts, keys = [], []
-    for lang, own in rows.items():
-        buf = np.frombuffer(b"".join([gathered[k] for k in own]), np.uint8)
+    for lang in pc.unique(table.column("lang")):
+        own = table.filter(pc.equal(table.column("lang"), lang))
+        buf, n = (np.concatenate([_data(x) for x in own.column(c).chunks if len(x)]) for c in ("phrases", "n"))
         cut = np.concatenate([[0], np.flatnonzero(buf == LINE) + 1])
-        parts.append((lang, buf, cut[:-1], np.frombuffer(b"".join([n[k] for k in own]), np.int64)))
-        keys += [lang + b"\n" + phrase[:-1] for phrase in pc.unique(_binary(buf, cut)).to_pylist()]
+        parts.append((lang.as_py(), buf, cut[:-1], n.view(np.int64)))
+        keys += [lang.as_py() + b"\n" + phrase[:-1] for phrase in pc.unique(_binary(buf, cut)).to_pylist()]
     found, a = [], []
     for shard in _shards(sorted(keys)):
         trie, total = build(shard), np.zeros(len(shard), np.int64)
         for lang, buf, start, times in parts:
             if (state := walk(trie, trie.root, lang + b"\n")) >= 0:
-                count(trie, state, buf, start, times, total)
+                for b in range(0, len(start), COUNTED):
+                    count(trie, state, buf, start[b : b + COUNTED], times[b : b + COUNTED], total)
         # a phrase has no line break, a language may
         some = [k for k in range(len(shard)) if total[k] >= least or shard[k].endswith(b"\n")]
         found += [shard[k].rpartition(b"\n") for k in some]
